@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, jaccard
 from .util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,8 +16,27 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op6_byte_bpe": op6_byte_bpe,
+    "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-SQL: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(lower(text), '[0-9a-zªµºÀ-\x{1fff}\x{2080}-\x{10ffff}]+')"
+
+SQL: dict[str, str] = {
+    "op10_ngram_jaccard_join": f"""
+        WITH words AS (SELECT doc_id, min({_WORDS}) AS w FROM documents GROUP BY doc_id),
+        grams AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS g
+            FROM words WHERE len(w) > 0),
+        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
+        SELECT doc_a, doc_b, round(k / (x.n + y.n - k), 6) AS jaccard
+        FROM shared JOIN sizes x ON x.doc_id = doc_a JOIN sizes y ON y.doc_id = doc_b
+        WHERE k / (x.n + y.n - k) >= 0.7""",
+}
