@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, jaccard
+from . import bpe, decontam, jaccard
 from .util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +16,17 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
     "op6_byte_bpe": op6_byte_bpe,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
