@@ -6,12 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, jaccard
+from . import bpe, decontam, jaccard, langid
 from .util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
@@ -25,6 +30,7 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op3_language_id": op3_language_id,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
