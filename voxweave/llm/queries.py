@@ -6,17 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, jaccard, langid
+from . import bpe, decontam, html, jaccard, langid, quality
 from .util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
@@ -30,7 +39,9 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_html_extraction": op2_html_extraction,
     "op3_language_id": op3_language_id,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
