@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, html, jaccard, langid, quality
+from . import bpe, decontam, html, jaccard, langid, pii, quality
 from .util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.train(docs))
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ QUERIES: dict[str, Query] = {
     "op2_html_extraction": op2_html_extraction,
     "op3_language_id": op3_language_id,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_pii": op5_pii,
     "op6_byte_bpe": op6_byte_bpe,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
