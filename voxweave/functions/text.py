@@ -12,8 +12,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Rules of one select at most: a chain of some 300 nested calls overflows the planner's stack.
-RULES_A_STEP = 100
+#: Glossary rules that are applied as nested built-in calls at most.
+CHAIN = 150
 
 QUESTION_STARTS = sorted(
     "acaso|cierto|como|crees|cual|cuando|cuanto|cuantos|cuál|cuándo|cuánto|cuántos|cómo|donde|dónde|es que|no crees|o no|piensas|podría|podrías|por qué|porqué|puede que|puedes|que|quien|quién|qué|sabes|será que|te parece|verdad".split("|")
@@ -130,14 +130,36 @@ def _rule(c: Column, error: str, correction: str, word_boundary: bool) -> Column
 
 
 def with_glossary(df: DataFrame, column: str, rules: list[tuple[str, str]], word_boundary: bool = False) -> DataFrame:
-    """``column`` with the rules applied one after the other, as raw substrings unless ``word_boundary``. Steps of 100 rules each."""
-    for at in range(0, len(rules), RULES_A_STEP):
-        c = F.col(column)
-        for error, correction in rules[at : at + RULES_A_STEP]:
-            if error:
-                c = _rule(c, error, correction, word_boundary)
-        df = df.withColumn(column, c)
-    return df
+    """``column`` with the rules applied one after the other, as raw substrings unless ``word_boundary``.
+
+    Up to CHAIN rules are one chain of built-in calls. The optimizer merges longer chains, however they are
+    cut, to one expression too deep for its stack, so more rules run compiled in an Arrow UDF, with the same results.
+    """
+    rules = [r for r in rules if r[0]]
+    if len(rules) > CHAIN:
+        return df.withColumn(column, _folded(rules, word_boundary)(F.col(column)))
+    c = F.col(column)
+    for error, correction in rules:
+        c = _rule(c, error, correction, word_boundary)
+    return df.withColumn(column, c)
+
+
+def _folded(rules: list[tuple[str, str]], word_boundary: bool):
+    edge = (r"(?<!\w)", r"(?!\w)") if word_boundary else ("", "")
+
+    @F.pandas_udf("string")
+    def of(texts: pd.Series) -> pd.Series:
+        compiled = [(re.compile(edge[0] + re.escape(e) + edge[1], re.I if ignores_case(e, c) else 0), c) for e, c in rules]
+
+        def fold(t: str | None) -> str | None:
+            if t is not None:
+                for pattern, c in compiled:
+                    t = pattern.sub(lambda _, c=c: c, t)
+            return t
+
+        return texts.map(fold)
+
+    return of
 
 
 def number_words() -> list[str]:
