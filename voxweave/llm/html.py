@@ -21,7 +21,7 @@ left out; block elements end a line; runs of blanks are one space; entities are
 decoded. title is that of the title element.
 
 Defined cases. Null html: text, title, path and used null. Empty html or no text: empty text,
-used 'body'. A null or hostless url counts as host ''. Unclosed and stray tags: an end tag closes
+used 'host' where the host's path is there (body always is), else 'body'. A null or hostless url counts as host ''. Unclosed and stray tags: an end tag closes
 up to the nearest open element of its name, or nothing; p and li are closed by the next one;
 any block element closes an open p; bare '<' is text. Elements nested deeper than 200 count at the path of their ancestor of that depth. Repeated rows each vote and each give a row.
 """
