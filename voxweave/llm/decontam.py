@@ -19,7 +19,7 @@ blocks of 8 bits: two fingerprints within ``radius`` bits have some block within
 radius // 8, so probing all variants of each block within that finds all items in
 the radius. Those, of the window's size, are verified on full shingle sets.
 
-The index of the items is sent to executors in runs of ``block`` items at most, each
+The index of the items is sent to executors in runs of about ``block`` items, each
 a pass over the documents, so what is sent at once doesn't grow with the benchmark.
 
 Defined cases. Null and empty texts, and null item texts or ids, match nothing.
@@ -81,7 +81,8 @@ def counts_of(splits: np.ndarray, i: int) -> int:
     return int(splits[i + 1] - splits[i])
 
 
-def build(rows: list[tuple[int, str]], n: int = N, least_words: int = LEAST_WORDS) -> Index | None:
+def build(rows: list[tuple[int, str]], n: int = N, least_words: int = LEAST_WORDS, total: int | None = None, among: dict[int, int] | None = None) -> Index | None:
+    """The index of some items; ``total`` and ``among`` are the number of all items and of those that have each shingle, where there are more."""
     raw, offsets = K.buffers(pa.array([t for _, t in rows], pa.string()))
     words = K.words(raw, offsets)
     counts = np.diff(words.splits)
@@ -94,7 +95,10 @@ def build(rows: list[tuple[int, str]], n: int = N, least_words: int = LEAST_WORD
     lists = [sets[splits[i] : splits[i + 1]] for i in keep]
     flat = np.concatenate(lists)
     shingles, place, many = np.unique(flat, return_inverse=True, return_counts=True)
-    value = np.log1p(len(keep) / many)
+    total = len(keep) if total is None else total
+    if among is not None:
+        many = np.array([among[h] for h in shingles.view(np.int64).tolist()], np.int64)
+    value = np.log1p(total / many)
     new = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
     owner = np.repeat(np.arange(len(keep)), [counts_of(splits_all, i) for i in keep])
     offset = np.concatenate([np.arange(counts_of(splits_all, i)) for i in keep])
@@ -105,7 +109,7 @@ def build(rows: list[tuple[int, str]], n: int = N, least_words: int = LEAST_WORD
     prints = np.array([simhash(x, value[place[new[i] : new[i + 1]]]) for i, x in enumerate(lists)], np.uint64)
     blocks = np.concatenate([(np.uint64(b << BITS) | ((prints >> np.uint64(BITS * b)) & np.uint64((1 << BITS) - 1))) for b in range(BLOCKS)])
     order = np.argsort(blocks, kind="stable")
-    return Index(np.array([rows[i][0] for i in keep], np.int64), counts[keep], K.reduce_rows(np.add, value[place], new, 0.0), shingles, value, bitmap, place, new, owner[by], offset[by], np.searchsorted(where[by], np.arange(len(shingles) + 1)), prints, blocks[order], np.tile(np.arange(len(keep)), BLOCKS)[order], float(np.log1p(len(keep))))
+    return Index(np.array([rows[i][0] for i in keep], np.int64), counts[keep], K.reduce_rows(np.add, value[place], new, 0.0), shingles, value, bitmap, place, new, owner[by], offset[by], np.searchsorted(where[by], np.arange(len(shingles) + 1)), prints, blocks[order], np.tile(np.arange(len(keep)), BLOCKS)[order], float(np.log1p(total)))
 
 
 def variants(radius: int) -> np.ndarray:
@@ -184,16 +188,40 @@ def _known(index: Index, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, index.shingles[at] == hashes
 
 
+def _frequencies(items: DataFrame, n: int, least_words: int) -> DataFrame:
+    """(part, shingle, first) of the distinct shingles of each item that is long enough; first marks one row an item."""
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        raw, offsets = K.buffers(batch.column(1))
+        words = K.words(raw, offsets)
+        sets, splits = K.distinct(*K.ngrams(words, n))
+        many = np.where(np.diff(words.splits) >= max(1, least_words), np.diff(splits), 0)
+        row = np.repeat(np.arange(len(many)), many)
+        at = np.repeat(splits[:-1] - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(sets[at].view(np.int64)), pa.array(at == splits[row])], names=["part", "shingle", "first"])
+
+    return map_batches(items.select("part", "text"), "part long, shingle long, first boolean", one)
+
+
 def matches(docs: DataFrame, items: DataFrame, n: int = N, threshold: float = THRESHOLD, radius: int = RADIUS, block: int = BLOCK, least_words: int = LEAST_WORDS) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, similarity rounded to 6 places)."""
     spark = docs.sparkSession
     texts = keyed(docs).where("doc_id is not null and text is not null")
     wanted = items.select(items["item_id"].cast("long").alias("item_id"), items["text"].cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
-    numbered = cut(wanted.withColumn("part", F.floor((F.row_number().over(Window.orderBy("item_id", "text")) - 1) / block)))
+    wanted = cut(wanted)
+    parts = max(1, -(-wanted.count() // block))
+    numbered = wanted.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
+    total = among = None
+    if parts > 1:  # weights are those of all items together
+        seen = cut(_frequencies(numbered, n, least_words))
+        total = seen.where("first").count()
+        counts = cut(seen.groupBy("shingle").agg(F.count("*").alias("many")))
     schema = "doc_id long, item_id long, start_word int, n_words int, similarity double"
     out = None
-    for part in range((numbered.agg(F.max("part")).first()[0] or 0) + 1):
-        index = build([(r[0], r[1]) for r in numbered.where(F.col("part") == part).select("item_id", "text").collect()], n, least_words)
+    for part in range(parts):
+        if parts > 1:
+            among = {r[0]: r[1] for r in counts.join(seen.where(F.col("part") == part).select("shingle").distinct(), "shingle").collect()}
+        index = build([(r[0], r[1]) for r in numbered.where(F.col("part") == part).orderBy("item_id", "text").select("item_id", "text").collect()], n, least_words, total, among)
         if index is None:
             continue
         sent = spark.sparkContext.broadcast(index)
@@ -214,4 +242,4 @@ def matches(docs: DataFrame, items: DataFrame, n: int = N, threshold: float = TH
 def clean(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """The rows of docs, all columns, whose text holds no item."""
     found = cut(matches(docs, items, **how).select(F.col("doc_id").alias("__hit")).distinct())
-    return docs.join(sized(found, 16), docs["doc_id"].cast("long") == F.col("__hit"), "left_anti")
+    return docs.join(sized(found, 16), docs["doc_id"].cast("long") == found["__hit"], "left_anti")

@@ -199,6 +199,43 @@ def similar(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.nd
     return np.minimum(a, b), np.maximum(a, b), np.concatenate(scores)
 
 
+def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
+    """A label for each set: equal where a chain of pairs at the threshold links them.
+
+    Breadth first: a set is compared only with those that no chain has reached yet, so a group of m copies takes about m comparisons, not m^2 / 2.
+    """
+    m = len(sets)
+    label = np.full(m, -1)
+    if m == 2:
+        return np.array([0, 0 if len(similar(sets, threshold)[0]) else 1])
+    sizes = np.array([len(s) for s in sets], np.int64)
+    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    flat = flat.astype(np.int32)
+    starts = np.concatenate([[0], np.cumsum(sizes)])
+    own = [flat[starts[k] : starts[k + 1]] for k in range(m)]
+    mark = np.zeros(int(flat.max()) + 1, dtype=np.int32)
+    rest, rest_flat, rest_size = np.arange(m), flat, sizes
+    for first in range(m):
+        if label[first] >= 0:
+            continue
+        label[first] = first
+        queue, at = [first], 0
+        while at < len(queue):
+            k, at = queue[at], at + 1
+            left = label[rest] < 0
+            if not left.all():
+                rest_flat, rest, rest_size = rest_flat[np.repeat(left, rest_size)], rest[left], rest_size[left]
+            if not len(rest):
+                break
+            mark[own[k]] = 1
+            shared = np.add.reduceat(mark[rest_flat], np.cumsum(rest_size) - rest_size)
+            mark[own[k]] = 0
+            new = rest[shared / (sizes[k] + rest_size - shared) >= threshold]
+            label[new] = first
+            queue += new.tolist()
+    return label
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
     """([(rep, ids)], [grams]) of each component; rows come sorted by component."""
     comp, docs, sets = None, [], []
@@ -281,22 +318,12 @@ def losers(df: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: floa
     """(doc_id) of the documents that go: all of a group but the lowest doc_id."""
 
     def merged(docs: list, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        i, j, _ = similar(sets, threshold)
-        parent = list(range(len(docs)))
-
-        def find(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = x = parent[parent[x]]
-            return x
-
-        for x, y in zip(i.tolist(), j.tolist()):
-            x, y = find(x), find(y)
-            if x != y:
-                x, y = (x, y) if docs[x][0] < docs[y][0] else (y, x)
-                parent[y] = x
-        gone = [docs[k][0] for k in range(len(docs)) if find(k) != k]
-        if gone:
-            yield pa.RecordBatch.from_arrays([pa.array(gone, pa.int64())], names=["doc_id"])
+        reps, label = np.array([d[0] for d in docs], np.int64), linked(sets, threshold)
+        least = np.full(len(docs), np.iinfo(np.int64).max)
+        np.minimum.at(least, label, reps)
+        gone = reps[least[label] != reps]
+        if len(gone):
+            yield pa.RecordBatch.from_arrays([pa.array(gone)], names=["doc_id"])
 
     reps, across = _in_components(df, "doc_id long", merged, n, threshold, recall, rows)
     copies = reps.where("copies > 1").select(F.explode(F.slice("ids", 2, F.greatest(F.size("ids") - 1, F.lit(1)))).alias("doc_id"))

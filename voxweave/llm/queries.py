@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontam, html, jaccard, langid, license, pii, quality, reshard, topk
+from . import bpe, decontam, html, jaccard, langid, license, oracles, pii, quality, reshard, topk
 from .util import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,30 +69,9 @@ QUERIES: dict[str, Query] = {
     "op10_ngram_jaccard_join": op10_ngram_jaccard_join,
 }
 
-_WORDS = r"regexp_extract_all(lower(text), '[0-9a-zªµºÀ-\x{1fff}\x{2080}-\x{10ffff}]+')"
-
 SQL: dict[str, str] = {
-    "op1_exact_topk": f"""
-        WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
-        stats AS (SELECT count(*)::DOUBLE AS n, sum(len(w))::DOUBLE / count(*) AS mean FROM d WHERE len(w) > 0),
-        q AS (SELECT DISTINCT r, query_id, t FROM (
-            SELECT row_number() OVER () AS r, item_id AS query_id, unnest({_WORDS}) AS t FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)),
-        tf AS (SELECT r, doc_id, n_words, t, count(*)::DOUBLE AS c FROM (SELECT r, doc_id, len(w)::DOUBLE AS n_words, unnest(w) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY ALL),
-        idf AS (SELECT t, ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) AS idf FROM (SELECT t, count(*)::DOUBLE AS df FROM tf GROUP BY t), stats),
-        impact AS (SELECT r, doc_id, t, floor(idf * c * (1.2::DOUBLE + 1) / (c + 1.2::DOUBLE * ((1 - 0.75::DOUBLE) + 0.75::DOUBLE * n_words / mean)) * 1e6::DOUBLE + 0.5::DOUBLE)::BIGINT AS i
-            FROM tf JOIN idf USING (t), stats),
-        total AS (SELECT q.r AS query_row, query_id, impact.r, doc_id, sum(i)::BIGINT AS s FROM q JOIN impact USING (t) GROUP BY ALL),
-        ranked AS (SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY s DESC, doc_id) AS rank FROM total)
-        SELECT query_id, rank, doc_id, s / 1e6::DOUBLE AS score FROM ranked WHERE rank <= 10""",
-    "op10_ngram_jaccard_join": f"""
-        WITH words AS (SELECT doc_id, min({_WORDS}) AS w FROM documents GROUP BY doc_id),
-        grams AS (
-            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-                ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS g
-            FROM words WHERE len(w) > 0),
-        sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
-        shared AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
-        SELECT doc_a, doc_b, round(k / (x.n + y.n - k), 6) AS jaccard
-        FROM shared JOIN sizes x ON x.doc_id = doc_a JOIN sizes y ON y.doc_id = doc_b
-        WHERE k / (x.n + y.n - k) >= 0.7""",
+    "op1_exact_topk": oracles.TOPK,
+    "op7_license_scan": oracles.LICENSE,
+    "op8_benchmark_decontamination": oracles.DECONTAM,
+    "op10_ngram_jaccard_join": oracles.JACCARD,
 }

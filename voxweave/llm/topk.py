@@ -16,7 +16,7 @@ may still be among the k are scored exactly. (3) The k best of each task are shu
 query and the k best of those kept.
 
 Documents are spread as they are read, so indexes don't grow with the corpus but in number; a run
-holds POSTINGS postings at most (or one batch). Queries are taken in runs of ``block`` rows, so that
+holds POSTINGS postings at most (or one batch). Queries are taken in runs of about ``block`` rows, so that
 what is broadcast is bounded.
 
 Defined cases. Null and empty texts and queries match nothing. Documents that share no term with
@@ -208,9 +208,11 @@ def search(docs: DataFrame, queries: DataFrame, k: int = TOP, key: str = "item_i
     """(query_id, rank from 1, doc_id, score)."""
     texts = keyed(docs).where("doc_id is not null and text is not null")
     wanted = queries.select(queries[key].cast("long").alias("query_id"), queries["text"].cast("string").alias("text")).where("query_id is not null and text is not null")
-    numbered = cut(wanted.withColumn("part", F.floor((F.row_number().over(Window.orderBy("query_id", "text")) - 1) / block)))
+    wanted = cut(wanted)
+    parts = max(1, -(-wanted.count() // block))
+    numbered = wanted.withColumn("part", F.pmod(F.xxhash64("query_id", "text"), F.lit(parts)))
     out = None
-    for part in range((numbered.agg(F.max("part")).first()[0] or 0) + 1):
+    for part in range(parts):
         rows = [(r[0], r[1]) for r in numbered.where(F.col("part") == part).orderBy("query_id", "text").select("query_id", "text").collect()]
         got = _found(texts, queries_of(rows), k).withColumn("part", F.lit(part)) if rows else None
         out = got if out is None else out.unionByName(got)
