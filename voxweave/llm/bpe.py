@@ -12,7 +12,7 @@ merges reach it; entries that they don't reach are left out of the hash.
 
 Tier 2. Distinct misses are merged lowest rank first, with a heap of pairs over
 a doubly linked list of byte parts: O(n log n), whatever the length. A bounded
-per-process memo, emptied when full, keeps those already seen; it changes no result.
+per-process memo of two generations keeps those seen of late; it changes no result.
 
 Every row is decoded again and compared with its text (``round_trip``); a row
 that a hash collision had spoilt would be encoded anew by tier 2 alone.
@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import base64
 import unicodedata
+from array import array
 from heapq import heapify, heappop, heappush
 
 import numpy as np
@@ -35,8 +36,8 @@ from . import kernels as K
 from .util import keyed, map_batches
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
-MEMO = 400_000
-SLICE = 6 << 20
+MEMO = 150_000
+SLICE = 1 << 20
 
 _SPACE = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _OTHER, _LETTER, _NUMBER, _BLANK = 0, 1, 2, 3
@@ -169,7 +170,8 @@ class Codec:
         self.perfect = PerfectHash(every[keys])
         keys = keys[self.perfect.order]
         self.slot_hash, self.slot_id, self.slot_length = every[keys], keys.astype(np.int32), self.lengths[keys]
-        self.memo: dict[int, tuple[int, ...]] = {}
+        self.memo: dict[int, bytes] = {}
+        self.old: dict[int, bytes] = {}
 
     def _chars(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Code points, and the byte at which each starts, and the end. A byte that isn't UTF-8 counts as a character."""
@@ -221,18 +223,21 @@ class Codec:
         miss = np.flatnonzero(~hit)
         if len(miss):
             distinct, first, back = np.unique(hashes[miss], return_index=True, return_inverse=True)
-            memo, pool, counts, data = self.memo, [], np.zeros(len(distinct), np.int64), raw.tobytes()
-            if len(memo) + len(distinct) > MEMO:
-                memo.clear()
+            pool, counts, data = [], np.zeros(len(distinct), np.int64), raw.tobytes()
+            if len(self.memo) > MEMO:
+                self.old, self.memo = self.memo, {}
+            memo, old = self.memo, self.old
             a, z = starts[miss[first]].tolist(), ends[miss[first]].tolist()
             for i, h in enumerate(distinct.tolist()):
                 ids = memo.get(h)
                 if ids is None:
-                    ids = tuple(merge(data[a[i] : z[i]], self.ranks))
+                    ids = old.get(h)
+                    if ids is None:
+                        ids = array("i", merge(data[a[i] : z[i]], self.ranks)).tobytes()
                     if z[i] - a[i] <= 64:
                         memo[h] = ids
-                pool += ids
-                counts[i] = len(ids)
+                pool.append(ids)
+                counts[i] = len(ids) >> 2
             many[miss] = counts[back]
         splits = np.concatenate([[0], np.cumsum(many)])
         out = np.empty(splits[-1], np.int32)
@@ -241,7 +246,7 @@ class Codec:
             begin = np.concatenate([[0], np.cumsum(counts)])[:-1]
             k = many[miss]
             inner = np.arange(k.sum()) - np.repeat(np.cumsum(k) - k, k)
-            out[np.repeat(splits[:-1][miss], k) + inner] = np.array(pool, np.int32)[np.repeat(begin[back], k) + inner]
+            out[np.repeat(splits[:-1][miss], k) + inner] = np.frombuffer(b"".join(pool), np.int32)[np.repeat(begin[back], k) + inner]
         return out, splits[np.searchsorted(starts, offsets)]
 
     def decode_rows(self, ids: np.ndarray, splits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

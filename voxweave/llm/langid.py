@@ -190,7 +190,7 @@ def rates(model: Model, column: pa.Array, chunk: int = CHUNK) -> tuple[np.ndarra
     t = tables(model)
     raw, offsets = K.buffers(column)
     parts, lengths = [], []
-    for _, _, part, off in K.slices(raw, offsets, 4 << 20):
+    for _, _, part, off in K.slices(raw, offsets, 2 << 20):
         data, ends = fold(part, off)
         length = np.diff(ends)
         parts.append(phrases(t, data, ends, chunk) * t.bits / np.maximum(length, 1)[:, None])

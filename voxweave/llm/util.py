@@ -46,11 +46,23 @@ def sized(df: DataFrame, width: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if df.count() * width <= limit else df
 
 
+#: Rows of an Arrow batch, where the session has Spark's default: texts are long, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS, DEFAULT_ROWS = 2000, "10000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, DEFAULT_ROWS) == DEFAULT_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = fn(batch)
             if out is not None and out.num_rows:
                 yield out
+        pa.default_memory_pool().release_unused()
 
+    small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
