@@ -88,6 +88,40 @@ def test_similar_in_runs():
     assert dict(zip(zip(i.tolist(), j.tolist()), s.tolist())) == {k: v for k, v in want.items() if v >= 0.4}
 
 
+def test_strangers_in_a_bucket_hide_nobody(spark):
+    """Many short documents share a passage, so buckets are full of strangers with lower ids."""
+    rng = random.Random(7)
+    shared = " ".join(f"line{k}" for k in range(12))
+    rows = [(k, " ".join(f"s{rng.randrange(10**6)}" for _ in range(14)) + " " + shared) for k in range(300)]
+    for k in range(300, 340, 2):
+        w = [f"p{rng.randrange(10**6)}" for _ in range(25)]
+        rows += [(k, " ".join(w) + " " + shared), (k + 1, " ".join([*w[:-1], "other"]) + " " + shared)]
+    got = {(r["doc_a"], r["doc_b"]) for r in J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(brute(rows)) == {(k, k + 1) for k in range(300, 340, 2)}
+
+
+def test_buckets_across_batches(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for bucket in range(40):
+        kinds = rng.integers(0, 256, (3, 16)).astype(np.uint8)
+        for d in rng.choice(1000, rng.choice([1, 2, 3, 30]), replace=False):
+            rows.append((bucket % 3, bucket, int(d), kinds[d % 3].tobytes()))
+    df = spark.createDataFrame(rows, "band int, value long, doc_id long, minima binary")
+    want = set()
+    for bucket in range(40):
+        for k in range(3):
+            own = sorted(d for _, b, d, _ in rows if b == bucket and d % 3 == k)
+            want |= {(d, own[0]) for d in own[1:]}
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for size in (1, 4, 7, 2000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+            assert {tuple(r) for r in J.stars(df, 16, 0.9).collect()} == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
 def test_chains():
     rng = np.random.default_rng(6)
     for m in (2, 3, 40):

@@ -81,3 +81,6 @@ def test_ties_and_short_training(spark):
     assert model.langs == ["a", "b"]
     got = {r["doc_id"]: r for r in L.identify(df, model).collect()}
     assert got[1]["lang"] == "a" and got[1]["margin"] == 0
+    none = L.train(df.limit(0))
+    assert {r["doc_id"]: (r["lang"], r["accepted"]) for r in L.identify(df, none).collect()} == {1: (None, True), 2: (None, True), 3: (None, False), 4: (None, True)}
+    assert {r["doc_id"] for r in L.accepted(df, none).collect()} == {1, 2, 4} and L.accepted(df.limit(0), none).count() == 0

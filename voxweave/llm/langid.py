@@ -1,6 +1,6 @@
 """Language ID by cross-parsing: the language whose text needs the fewest normalised phrases.
 
-``train(df)`` takes labelled text per language; ``identify(df, model)`` gives
+``train(df)`` takes labelled text of each language; ``identify(df, model)`` gives
 (doc_id, lang, rate, margin, accepted) for every row.
 
 A model holds, for each language, ``corpus_bytes`` bytes of folded text and its
@@ -27,8 +27,8 @@ bound is a parameter; identification covers everything.
 Defined cases. Null, empty and letterless texts: lang null, rate and margin null, not
 accepted. Repeated rows and null doc_id are treated row by row. A language with less
 text than ``corpus_bytes`` keeps what there is, normalised by its own length; rows
-with a null label or text don't train; no labelled text at all is an error in
-``train``, and a null language in ``identify`` with an empty model.
+with a null label or text don't train. Without any labelled text the model is empty: it names no
+language, and accepts whatever has letters.
 """
 
 from __future__ import annotations
@@ -203,7 +203,7 @@ def train(df: DataFrame, label: str = "lang", text: str = "text", corpus_bytes:
     rows = df.select(df[label].cast("string").alias("lang"), df[text].cast("string").alias("text"))
     counts = {r["lang"]: r["n"] for r in rows.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
-        raise ValueError("no labelled text")
+        return Model({})
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 3 * sample_rows / n))])
     order = F.xxhash64("text")
     drawn = rows.where("lang is not null and length(text) > 0").withColumn("o", order).where((F.pmod("o", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)))
@@ -231,7 +231,7 @@ def identify(df: DataFrame, model: Model, chunk: int = CHUNK, most_rate: float =
         else:
             best = second = np.zeros(len(length))
             lang = np.full(len(length), None, dtype=object)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.where(some, lang, None), pa.string()), pa.array(np.round(best, 6), mask=~some), pa.array(np.round(second - best, 6), mask=~some), pa.array(some & (best <= most_rate))], names=["doc_id", "lang", "rate", "margin", "accepted"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.where(some, lang, None), pa.string()), pa.array(np.round(best, 6), mask=~some), pa.array(np.round(second - best, 6), mask=~some), pa.array((length > 0) & (best <= most_rate))], names=["doc_id", "lang", "rate", "margin", "accepted"])
 
     return map_batches(keyed(df), "doc_id long, lang string, rate double, margin double, accepted boolean", one)
 
@@ -243,6 +243,6 @@ def accepted(df: DataFrame, model: Model, chunk: int = CHUNK, most_rate: float =
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         text = batch.column(index)
         rate, length = rates(model, text.cast(pa.string()), chunk)
-        return batch.filter(pa.array((length > 0) & (rate.min(axis=1, initial=np.inf) <= most_rate)))
+        return batch.filter(pa.array((length > 0) & (rate.min(axis=1, initial=np.inf if model.langs else 0) <= most_rate)))
 
     return map_batches(df, df.schema, one)
