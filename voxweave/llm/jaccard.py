@@ -9,10 +9,11 @@ How. (1) One Arrow pass hashes each text to its number of distinct n-grams, a
 128-bit digest of that set, and ``bands`` band hashes of ``rows`` minima each; bands
 and rows are the cheapest for which a pair at the threshold shares a band with
 probability ``recall``. (2) Documents of equal digest are one set; only its lowest
-doc_id goes on. (3) A shuffle on band hashes links each set to the lowest of its
-bucket: a star, so a bucket of m sets gives m - 1 links, not m^2/2. Links whose
-share of equal minima is four standard deviations below the threshold are dropped,
-so that chance links don't grow into one great component. (4) Stars are
+doc_id goes on. (3) A shuffle on band hashes brings
+each bucket together. Its members are linked, breadth first, where so many of their minima agree as a
+pair at the threshold has but for four standard deviations: each group within the bucket
+becomes a star, so m copies give m - 1 links, and strangers that share a band by chance
+give none and hide nobody, however full buckets become. (4) Stars are
 merged to components by alternating large-star and small-star steps, cut to the
 shared checkpoint folder. (5) Only sets in components of two or more have their
 n-grams sent, once each, to their component, where all pairs that sizes allow are
@@ -32,11 +33,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .util import cut, keyed, map_batches, sized
+from .util import cut, keyed, map_batches, sized, small_batches
 
 N, THRESHOLD, RECALL = 3, 0.7, 0.995
 ROWS = 4
@@ -94,15 +95,76 @@ def signatures(df: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     return map_batches(keyed(df), "doc_id long, size long, digest_a long, digest_b long, minima binary, bands array<long>", one)
 
 
-def likely(links: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(u, v) of the links (u, v, mu, mv) whose minima agree often enough for a pair at the threshold, four standard deviations allowed."""
+def _reached(minima: np.ndarray, least: float) -> np.ndarray:
+    """For each row the first row of its group: rows linked, by chains, by at least ``least`` equal minima."""
+    label = np.full(len(minima), -1)
+    rest = np.arange(len(minima))
+    for first in range(len(minima)):
+        if label[first] >= 0:
+            continue
+        label[first], queue, at = first, [first], 0
+        while at < len(queue):
+            rest = rest[label[rest] < 0]
+            if not len(rest):
+                return label
+            new = rest[(minima[rest] == minima[queue[at]]).sum(axis=1) >= least]
+            label[new] = first
+            queue += new.tolist()
+            at += 1
+    return label
+
+
+def stars(banded: DataFrame, width: int, threshold: float) -> DataFrame:
+    """(u, v), u > v, from (band, value, doc_id, minima): links within each bucket."""
     least = width * threshold - 4 * np.sqrt(width * threshold * (1 - threshold))
 
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        a, b = (K.buffers(c)[0].reshape(len(batch), width) for c in batch.columns[2:])
-        return batch.select([0, 1]).filter(pa.array((a == b).sum(axis=1) >= least))
+    def found(key: np.ndarray, ids: np.ndarray, minima: np.ndarray) -> pa.RecordBatch:
+        """Of whole buckets, one after the other; ``key`` is their number."""
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        many = np.diff(np.append(first, len(key)))
+        two = first[many == 2]
+        two = two[(minima[two] == minima[two + 1]).sum(axis=1) >= least]
+        u, v = [ids[two + 1]], [ids[two]]
+        for a, m in zip(first[many > 2].tolist(), many[many > 2].tolist()):
+            label = _reached(minima[a : a + m], least)
+            rest = np.flatnonzero(label != np.arange(m))
+            u.append(ids[a + rest])
+            v.append(ids[a + label[rest]])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
 
-    return map_batches(links, "u long, v long", one)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []  # what is known of the last bucket
+        last: tuple[int, int] | None = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            band, value, ids = (batch.column(k).to_numpy() for k in range(3))
+            minima = K.buffers(batch.column(3))[0].reshape(len(batch), width)
+            edge = np.flatnonzero((band[1:] != band[:-1]) | (value[1:] != value[:-1])) + 1
+            begin, end = (int(edge[0]) if len(edge) else len(ids)), (int(edge[-1]) if len(edge) else 0)
+            if held and (band[0], value[0]) == last:
+                held.append((ids[:begin].copy(), minima[:begin].copy()))
+            else:
+                begin = 0
+            if end > 0 or (held and (band[0], value[0]) != last):
+                if held:
+                    own = np.concatenate([h[0] for h in held])
+                    if len(own) > 1:
+                        yield found(np.zeros(len(own)), own, np.concatenate([h[1] for h in held]))
+                    held = []
+                if end > begin:
+                    yield found(np.cumsum(np.concatenate([[False], (band[1:] != band[:-1]) | (value[1:] != value[:-1])]))[begin:end], ids[begin:end], minima[begin:end])
+                held = [(ids[end:].copy(), minima[end:].copy())]
+            elif not held:
+                held = [(ids.copy(), minima.copy())]
+            last = (band[-1], value[-1])
+        if held:
+            own = np.concatenate([h[0] for h in held])
+            if len(own) > 1:
+                yield found(np.zeros(len(own)), own, np.concatenate([h[1] for h in held]))
+
+    small_batches(banded.sparkSession)
+    return banded.repartition("band", "value").sortWithinPartitions("band", "value", "doc_id").select("band", "value", "doc_id", "minima").mapInArrow(run, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -133,10 +195,7 @@ def _candidates(df: DataFrame, n: int, threshold: float, recall: float, rows: in
     same = signed.groupBy("digest_a", "digest_b", "size").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.sort_array(F.collect_list("doc_id")).alias("ids"))
     reps = cut(same.select("rep", "copies", "ids", "digest_a", "digest_b"))
     by_band = signed.join(reps.select("rep"), signed["doc_id"] == F.col("rep"), "left_semi").select("doc_id", "minima", F.posexplode("bands").alias("band", "value"))
-    first = F.min(F.struct("doc_id", "minima")).over(Window.partitionBy("band", "value"))
-    links = by_band.select("doc_id", "minima", first.alias("first")).where("doc_id > first.doc_id")
-    links = links.select(F.col("doc_id").alias("u"), F.col("first.doc_id").alias("v"), F.col("minima").alias("mu"), F.col("first.minima").alias("mv"))
-    return reps, components(likely(links, bands * rows, threshold))
+    return reps, components(stars(by_band, bands * rows, threshold))
 
 
 def _grams(df: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
