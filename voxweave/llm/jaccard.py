@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .util import cut, keyed, map_batches, sized, small_batches
 
-N, THRESHOLD, RECALL = 3, 0.7, 0.995
-ROWS = 4
+N, THRESHOLD, RECALL = 3, 0.6, 0.995
+ROWS = 3
 
 
 def plan(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> tuple[int, int]:

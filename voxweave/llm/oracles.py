@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 
-from . import decontam, kernels, license
+from . import decontam, jaccard, kernels, license
 
 #: Words as the kernels cut them.
 WORD = r"'[0-9a-zªµºÀ-\x{1fff}\x{2080}-\x{10ffff}]+'"
@@ -41,7 +41,7 @@ JACCARD = f"""
     shared AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
     SELECT doc_a, doc_b, round(k / (x.n + y.n - k), 6) AS jaccard
     FROM shared JOIN sizes x ON x.doc_id = doc_a JOIN sizes y ON y.doc_id = doc_b
-    WHERE k / (x.n + y.n - k) >= 0.7"""
+    WHERE k / (x.n + y.n - k) >= {jaccard.THRESHOLD}"""
 
 
 def _trigrams(source: str, keys: str) -> str:
