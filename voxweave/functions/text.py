@@ -52,7 +52,7 @@ def text_hash(c: Column) -> Column:
 
 def clean_id(c: Column) -> Column:
     """At most 50 characters of A-Z, a-z, 0-9, _ and -."""
-    return F.substring(F.regexp_replace(c, "[^a-zA-Z0-9_-]", "_"), 1, 50)
+    return F.substring(F.regexp_replace(c, "[^0-9A-Za-z_-]", "_"), 1, 50)
 
 
 def _number(c: Column, pattern: str) -> Column:
@@ -62,7 +62,7 @@ def _number(c: Column, pattern: str) -> Column:
 
 def speaker_code(c: Column) -> Column:
     """SPK_nn: as it is, or from the digits of SPEAKER_n or SPEAKER_GLOBAL_n, or from any digits, or SPK_00."""
-    n = F.coalesce(_number(c, r"SPEAKER_(?:GLOBAL_)?(\d+)"), _number(c, r"(\d+)"), F.lit(0))
+    n = F.coalesce(_number(c, r"SPEAKER_(?:GLOBAL_)?([0-9]+)"), _number(c, r"(\d+)"), F.lit(0))
     return F.when(c.rlike(r"^SPK_\d{2}$"), c).otherwise(F.format_string("SPK_%02d", n))
 
 
@@ -77,7 +77,7 @@ def speaker_number(c: Column, fixed: bool = False) -> Column:
 
     ``fixed`` reads SPEAKER_GLOBAL_n as n, which by default is 0.
     """
-    token = F.regexp_extract(c, r"SPEAKER_(?:GLOBAL_)?(\d+)", 1) if fixed else F.try_element_at(F.split(c, "_"), F.lit(2))
+    token = F.regexp_extract(c, r"SPEAKER_(?:GLOBAL_)?([0-9]+)", 1) if fixed else F.try_element_at(F.split(c, "_"), F.lit(2))
     return F.when(c.contains("SPEAKER_"), F.coalesce(token.try_cast("int"), F.lit(0))).otherwise(F.pmod(F.xxhash64(c), F.lit(1000)).cast("int"))
 
 
@@ -110,7 +110,7 @@ def duration_label(c: Column) -> Column:
 
 def spaced(c: Column) -> Column:
     """Single blanks, none before closing signs or after opening ones, one between a sign and a letter."""
-    for pattern, by in ((" +", " "), (" +([.,;:!?)])", "$1"), ("([.,;:!?])([A-Za-záéíóúñÁÉÍÓÚÑ])", "$1 $2"), ("([¿¡(]) +", "$1")):
+    for pattern, by in ((" +", " "), (" +([)?!:;,.])", "$1"), ("([?!:;,.])([ÁÉÍÓÚÑáéíóúña-zA-Z])", "$1 $2"), ("([¿¡(]) +", "$1")):
         c = F.regexp_replace(c, pattern, by)
     return strip(c)
 
@@ -188,7 +188,7 @@ def with_numbers(df: DataFrame, column: str) -> DataFrame:
     def of(t: Column, i: Column) -> Column:
         before = F.when(i > 0, F.element_at(F.col("__tokens"), F.greatest(i, F.lit(1)))).otherwise("")
         after = F.when(i + 1 < F.size("__tokens"), F.try_element_at(F.col("__tokens"), i + 2)).otherwise("")
-        plain = (F.length(t) <= 4) & ~before.rlike(r"(?U)\w$") & ((after == "") | after.rlike(r"(?U)^[\s.,;:!?]"))
+        plain = (F.length(t) <= 4) & ~before.rlike(r"(?U)\w$") & ((after == "") | after.rlike(r"(?U)^[?!:;,.\s]"))
         n = F.coalesce(t.try_cast("long"), F.lit(1_000_001))
         percent = F.when(F.length(t) > 18, t).otherwise(spoken(n, F.col("__words")))
         return F.when(~t.rlike("^[0-9]"), F.when((i > 0) & t.startswith("%"), F.concat(F.lit(" por ciento"), F.substring(t, 2, 1 << 30))).otherwise(t)).when(after.startswith("%"), percent).when(plain, spoken(n, F.col("__words"))).otherwise(t)
@@ -200,7 +200,7 @@ def with_numbers(df: DataFrame, column: str) -> DataFrame:
 
 def sentences(c: Column) -> Column:
     """Pieces that end with . ! or ? before blanks."""
-    return F.split(c, r"(?U)(?<=[.!?])\s+")
+    return F.split(c, r"(?U)(?<=[?!.])\s+")
 
 
 def _starts(c: Column, words: list[str]) -> Column:
@@ -266,7 +266,7 @@ def changes(text: str, rules: list[tuple[str, str]]) -> tuple[str, dict[str, lis
     """All stages in Python, with what each did: the change log needs the text between rules, which columns would have to repeat."""
     log: dict[str, list[str]] = {}
     was = text
-    for pattern, by in ((" +", " "), (" +([.,;:!?)])", r"\1"), ("([.,;:!?])([A-Za-záéíóúñÁÉÍÓÚÑ])", r"\1 \2"), ("([¿¡(]) +", r"\1")):
+    for pattern, by in ((" +", " "), (" +([)?!:;,.])", r"\1"), ("([?!:;,.])([ÁÉÍÓÚÑáéíóúña-zA-Z])", r"\1 \2"), ("([¿¡(]) +", r"\1")):
         text = re.sub(pattern, by, text)
     text = text.strip()
     if text != was:
@@ -281,10 +281,10 @@ def changes(text: str, rules: list[tuple[str, str]]) -> tuple[str, dict[str, lis
         log.setdefault("numbers", []).append(f"{m[0]} → {plain_spoken(int(m[1]))}")
         return plain_spoken(int(m[1])) + (" por ciento" if m[0].endswith("%") else "")
 
-    text = re.sub(r"\b([0-9]{1,4})\b(?=\s|[.,;:!?]|$)", said, text)
+    text = re.sub(r"\b([0-9]{1,4})\b(?=$|[?!:;,.]|\s)", said, text)
     text = re.sub(r"([0-9]+)%", said, text)
     out = []
-    for s in re.split(r"(?<=[.!?])\s+", text):
+    for s in re.split(r"(?<=[?!.])\s+", text):
         s, low = s.strip(), s.strip().lower()
         if s.endswith("?") and s[0] != "¿" and (low.startswith(tuple(QUESTION_STARTS)) or any(f" {w}" in low[:30] for w in QUESTION_STARTS) or re.search(QUESTION, low)):
             s = "¿" + s
@@ -301,8 +301,9 @@ def changes(text: str, rules: list[tuple[str, str]]) -> tuple[str, dict[str, lis
         return m[1] + m[2].upper()
 
     text = re.sub(r"([.!?¿¡]\s+)([a-záéíóúñ])", raised, text)
-    if text[:1].islower():
-        text = text[0].upper() + text[1:]
+    head = text[:1]
+    if head.islower():
+        text = head.upper() + text[1:]
         log.setdefault("capitals", []).append("start")
     return text.strip(), log
 

@@ -48,7 +48,7 @@ def parsed(c: Column, original: Column) -> Column:
     body = outer_json(c)
     got = F.from_json(body, RESPONSE)
     read = got.isNotNull() & (got["texto_corregido"].isNotNull() | got["confianza"].isNotNull() | got["cambios"].isNotNull())
-    saved = F.regexp_extract(c, r'"texto_corregido"\s*:\s*"([^"]*)"', 1)
+    saved = F.regexp_extract(c, r'"texto_corregido"(?:\s)*[:]\s*"((?:[^"])*)"', 1)
     return F.struct(
         (F.coalesce(read, F.lit(False)) | (saved != "")).alias("success"),
         F.when(read, F.coalesce(got["texto_corregido"], original)).when(saved != "", saved).otherwise(original).alias("text"),

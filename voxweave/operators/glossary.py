@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import strip, unaccented
 
-COMMON = sorted("the and for are but not you all can had her was one our out has los las del que por con una son para como pero esta este esto puede search results page home about contact privacy terms help more next previous code ddg this transitional utf doctype html lite get".split())
+COMMON = "about all and are but can code como con contact ddg del doctype esta este esto for get had has help her home html las lite los more next not one our out page para pero por previous privacy puede que results search son terms the this transitional una utf was you".split()
 TITLE_SKIPS = ("anexo:", "archivo:", "categoría:", "desambiguación", "plantilla:", "wikipedia:")
-TERM_PATTERNS = (r"\b([A-Z][a-zA-Z]{2,}(?:\s+[A-Z][a-zA-Z]+)?)\b", r"<b>([^<]+)</b>", r"<a[^>]*>([^<]+)</a>", r'class="result__(?:title|snippet)"[^>]*>([^<]+)<')
+TERM_PATTERNS = (r"\b([A-Z][A-Za-z][A-Za-z]+(?:\s\s*[A-Z][A-Za-z]+)?)\b", r"<b>((?:[^<])+)</b>", r"<[a][^>]*>((?:[^<])+)</a>", r'class="result__(?:title|snippet)"[^>]*>((?:[^<])+)<')
 
 #: Default rules: what is written as it stands, and pairs.
 _CAPITALS = "b2b b2c api kpi roi sem seo url gpt".split()

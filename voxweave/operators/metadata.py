@@ -28,7 +28,7 @@ def metadata(rows: DataFrame) -> DataFrame:
 def cleaned(rows: DataFrame, present: Column) -> DataFrame:
     """rows (podcast_id, pos, path, speaker_label) that remain: a file that is present, and a speaker, if need be from the file's name. Ids keep the number a row had before, so they have gaps."""
     stem = F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1)
-    named = F.coalesce(F.nullif(F.regexp_extract(stem, r"SPEAKER_(?:GLOBAL_)?(\d+)|SPK_(\d+)", 1), F.lit("")), F.nullif(F.regexp_extract(stem, r"SPEAKER_(?:GLOBAL_)?(\d+)|SPK_(\d+)", 2), F.lit("")))
+    named = F.nullif(F.regexp_extract(stem, r"(?:SPK_|SPEAKER_GLOBAL_|SPEAKER_(?=[0-9]))([0-9]+)", 1), F.lit(""))
     unknown = F.coalesce(F.col("speaker_label"), F.lit("")).isin("", "SPEAKER_00")
     label = F.when(unknown, F.when(named.isNotNull(), F.format_string("SPK_%02d", named.cast("int")))).otherwise(F.col("speaker_label"))
     kept = rows.withColumn("i", F.row_number().over(Window.partitionBy("podcast_id").orderBy("pos")) - 1).withColumn("speaker_label", label).where(present & F.col("speaker_label").isNotNull())

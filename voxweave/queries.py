@@ -128,8 +128,8 @@ def strip_sql(e: str) -> str:
 
 def spaced_sql(e: str) -> str:
     e = f"regexp_replace({e}, ' +', ' ', 'g')"
-    e = f"regexp_replace({e}, ' +([.,;:!?)])', '\\1', 'g')"
-    e = f"regexp_replace({e}, '([.,;:!?])([A-Za-záéíóúñÁÉÍÓÚÑ])', '\\1 \\2', 'g')"
+    e = f"regexp_replace({e}, ' +([)?!:;,.])', '\\1', 'g')"
+    e = f"regexp_replace({e}, '([?!:;,.])([ÁÉÍÓÚÑáéíóúña-zA-Z])', '\\1 \\2', 'g')"
     return strip_sql(f"regexp_replace({e}, '([¿¡(]) +', '\\1', 'g')")
 
 
@@ -157,7 +157,7 @@ def numbers_sql(source: str) -> str:
     return f"""SELECT o_orderkey, array_to_string([CASE
             WHEN NOT regexp_matches(toks[i], '^[0-9]') THEN CASE WHEN i > 1 AND starts_with(toks[i], '%') THEN ' por ciento' || substr(toks[i], 2) ELSE toks[i] END
             WHEN starts_with(coalesce(toks[i + 1], ''), '%') THEN {spoken_sql("toks[i]::BIGINT")}
-            WHEN length(toks[i]) <= 4 AND (i = 1 OR NOT regexp_matches(toks[i - 1], '[\\pL\\pN_]$')) AND (i = len(toks) OR regexp_matches(toks[i + 1], '^[\\s.,;:!?]')) THEN {spoken_sql("toks[i]::BIGINT")}
+            WHEN length(toks[i]) <= 4 AND (i = 1 OR NOT regexp_matches(toks[i - 1], '[\\pL\\pN_]$')) AND (i = len(toks) OR regexp_matches(toks[i + 1], '^[?!:;,.\\s]')) THEN {spoken_sql("toks[i]::BIGINT")}
             ELSE toks[i] END FOR i IN range(1, len(toks) + 1)], '') AS text
         FROM (SELECT o_orderkey, regexp_extract_all(text, '([0-9]+|[^0-9]+)') AS toks, {WORDS} AS words FROM {source})"""
 
@@ -288,7 +288,7 @@ def speaker_codes(spark, sf):
     return x.select("o_orderkey", "label", T.speaker_code(col("label")).alias("code"), T.fallback_speaker(col("label")).alias("fallback"), F.when(col("label").contains("SPEAKER_"), T.speaker_number(col("label"))).alias("number"))
 
 
-@query("SELECT page_id, substr(regexp_replace(url, '[^a-zA-Z0-9_-]', '_', 'g'), 1, 50) AS podcast_id FROM pages")
+@query("SELECT page_id, substr(regexp_replace(url, '[^0-9A-Za-z_-]', '_', 'g'), 1, 50) AS podcast_id FROM pages")
 def clean_ids(spark, sf):
     return read(spark, sf, "pages").select("page_id", T.clean_id(col("url")).alias("podcast_id"))
 
@@ -296,7 +296,7 @@ def clean_ids(spark, sf):
 VIDEOS = """v AS (SELECT page_id, CASE page_id % 4 WHEN 0 THEN 'https://youtu.be/' WHEN 1 THEN 'https://x.example/watch?v=' WHEN 2 THEN 'https://x.example/embed/' ELSE '' END || substr(md5(url), 1, 11) || CASE page_id % 3 WHEN 0 THEN '&list=PL1' WHEN 1 THEN '?list=a' ELSE '' END AS u FROM pages)"""
 
 
-@query(f"WITH {VIDEOS} SELECT page_id, coalesce(nullif(regexp_extract(u, '(?:v=|/v/|youtu\\.be/)([a-zA-Z0-9_-]{{11}})', 1), ''), nullif(regexp_extract(u, 'embed/([a-zA-Z0-9_-]{{11}})', 1), ''), nullif(regexp_extract(u, '^([a-zA-Z0-9_-]{{11}})$', 1), '')) AS video_id, CASE WHEN contains(u, '&list=') THEN string_split(u, '&list=')[1] ELSE string_split(u, '?list=')[1] END AS url FROM v")
+@query(f"WITH {VIDEOS} SELECT page_id, coalesce(nullif(regexp_extract(u, '(?:youtu\\.be/|/v/|v=)([0-9A-Za-z_-]{{11}})', 1), ''), nullif(regexp_extract(u, 'embed/([0-9A-Za-z_-]{{11}})', 1), ''), nullif(regexp_extract(u, '^([0-9A-Za-z_-]{{11}})$', 1), '')) AS video_id, CASE WHEN contains(u, '&list=') THEN string_split(u, '&list=')[1] ELSE string_split(u, '?list=')[1] END AS url FROM v")
 def video_ids(spark, sf):
     k, m = col("page_id") % 4, col("page_id") % 3
     u = F.concat(F.when(k == 0, "https://youtu.be/").when(k == 1, "https://x.example/watch?v=").when(k == 2, "https://x.example/embed/").otherwise(""), F.substring(F.md5("url"), 1, 11), F.when(m == 0, "&list=PL1").when(m == 1, "?list=a").otherwise(""))
