@@ -329,7 +329,7 @@ def text_opening_signs(spark, sf):
 
 @query(f"SELECT doc_id, {capitals_sql('text')} AS text FROM documents WHERE lang <> 'de'")
 def text_capitals(spark, sf):
-    return read(spark, sf, "documents").where("lang <> 'de'").select("doc_id", T.capitalised(col("text")).alias("text"))
+    return read(spark, sf, "documents").select("doc_id", T.capitalised(col("text")).alias("text"))
 
 
 @query(f"""WITH {SPOKEN}, a AS (SELECT o_orderkey, {spaced_sql('text')} AS text FROM spoken_text), b AS (SELECT o_orderkey, {glossary_sql('text', RULES)} AS text FROM a), c AS ({numbers_sql('b')}), d AS (SELECT o_orderkey, {opened_sql('text')} AS text FROM c),
