@@ -3,6 +3,7 @@
 import re
 
 from voxweave import queries as Q
+from voxweave.operators import glossary as G
 
 
 def test_text_capitals_of_all_languages(spark, tmp_path):
@@ -12,3 +13,18 @@ def test_text_capitals_of_all_languages(spark, tmp_path):
     plain = lambda t: t and re.sub(r"([.!?¿¡]\s+)([a-záéíóúñ])", lambda m: m[1] + m[2].upper(), t[:1].upper() + t[1:])
     got = {r["doc_id"]: r["text"] for r in Q.text_capitals(spark, str(tmp_path)).collect()}
     assert got == {k: plain(t) for k, t, _ in rows}
+
+
+def test_page_terms_with_accents(spark, tmp_path):
+    pages = [(1, "<b>Élan Vital</b> y Madrid <a href='/x'>Über uns</a>"), (2, "<b>Ñandú</b>"), (3, '<h2 class="result__title" id=a>Größe  Zwei</h2> The Home'), (4, "nada"), (5, None), (5, "<b>x</b><b>Ab</b><b>Abc</b> Abc")]
+    spark.createDataFrame(pages, "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    want = set()
+    for k, html in pages:
+        for p in G.TERM_PATTERNS:
+            for t in re.findall(p, html or ""):
+                t = re.sub(r"\s+", " ", re.sub(r"<[^>]+>", "", t)).strip()
+                if 3 <= len(t) <= 50 and t.lower() not in G.COMMON and any(c.isupper() for c in t):
+                    want.add((k, t))
+    got = [tuple(r) for r in Q.page_terms(spark, str(tmp_path)).select("page_id", "term").collect()]
+    assert sorted(got) == sorted(want)
+    assert {(1, "Élan Vital"), (1, "Über uns"), (2, "Ñandú"), (3, "Größe Zwei")} <= want

@@ -373,8 +373,7 @@ TERMS = f"""terms AS (SELECT DISTINCT page_id, term FROM (SELECT page_id, {strip
 
 @query(f"WITH {TERMS} SELECT page_id, count(*) AS terms, min(term) AS first, max(term) AS last FROM terms WHERE regexp_matches(term, '^[ -~]*$') GROUP BY 1")
 def page_terms(spark, sf):
-    found = G.page_terms(read(spark, sf, "pages")).where(col("term").rlike("^[ -~]*$"))
-    return found.groupBy("page_id").agg(F.count("*").alias("terms"), F.min("term").alias("first"), F.max("term").alias("last"))
+    return G.page_terms(read(spark, sf, "pages"))
 
 
 @query(f"WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+')) AS term FROM documents WHERE lang = 'es') SELECT DISTINCT * FROM (SELECT lower(term) AS error, term AS correction FROM w UNION ALL SELECT translate(term, {quoted(T.ACCENTED)}, {quoted(T.PLAIN)}), term FROM w) WHERE error <> correction")
