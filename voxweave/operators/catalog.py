@@ -125,7 +125,8 @@ def run_summary(details: DataFrame, seconds_a_segment: float = 12) -> DataFrame:
 def shown_errors(errors: DataFrame, most: int = 5) -> DataFrame:
     """(shown, more): the first errors (pos, error) and how many follow."""
     listed = F.transform(F.array_sort(F.collect_list(F.struct("pos", "error"))), lambda s: s["error"])
-    return errors.agg(listed.alias("e")).select(F.slice("e", 1, most).alias("shown"), F.greatest(F.size("e") - most, F.lit(0)).alias("more"))
+    first = errors.orderBy("pos", "error").limit(most).agg(listed.alias("shown"))
+    return first.crossJoin(errors.agg(F.greatest(F.count("*") - most, F.lit(0)).cast("int").alias("more")))
 
 
 def selection(found: DataFrame, registry: DataFrame, quota: int, keywords: list[str], channels: list[str], per_query: int = 5) -> DataFrame:

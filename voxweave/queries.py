@@ -387,8 +387,8 @@ PARTS = """base AS (SELECT p_partkey AS pos, p_name AS error, p_brand AS correct
 
 def _rules(spark, sf):
     p = read(spark, sf, "part")
-    pick = lambda k, c: p.where(col("p_partkey") % 3 == k).select(col("p_partkey").alias("pos"), col("p_name").alias("error"), col(c).alias("correction"))
-    return pick(0, "p_brand"), pick(1, "p_type")
+    pick = lambda base, c: p.where((col("p_partkey") % 3 == 0) == lit(base)).select(col("p_partkey").alias("pos"), col("p_name").alias("error"), col(c).alias("correction"))
+    return pick(True, "p_brand"), pick(False, "p_type")
 
 
 @query(f"WITH {PARTS}, a AS (SELECT 0 AS part, * FROM base UNION ALL SELECT 1, * FROM custom) SELECT row_number() OVER (ORDER BY min(part * 1000000000 + pos)) - 1 AS pos, error, arg_max(correction, part * 1000000000 + pos) AS correction FROM a GROUP BY error")
@@ -421,8 +421,8 @@ NOW = "TIMESTAMP '2024-06-01 00:00:00'"
 
 
 def _cache(spark, sf) -> DataFrame:
-    """Entries for the texts of even documents; ages and hits from the id."""
-    d = read(spark, sf, "documents").where("doc_id % 2 = 0").select(T.text_hash(col("text")).alias("text_hash"), "doc_id")
+    """An entry for each text: of even documents under its hash, of others as it was before a change, so that it is in the cache and isn't hit; ages and hits from the id."""
+    d = read(spark, sf, "documents").select(T.text_hash(F.when(col("doc_id") % 2 == 0, col("text")).otherwise(F.concat("text", lit(" antes")))).alias("text_hash"), "doc_id")
     one = d.groupBy("text_hash").agg(F.min("doc_id").alias("k"))
     return one.select("text_hash", F.concat(lit("c"), "k").alias("text"), F.array(lit("x")).alias("changes"), lit(0.9).alias("confidence"), lit("m").alias("model"), F.expr(f"{NOW} - make_interval(0, 0, 0, CAST(k % 60 AS INT))").alias("created_at"), (col("k") % 5).alias("hits"), lit(None).cast("timestamp").alias("last_accessed"))
 
@@ -477,7 +477,7 @@ WHY = "CASE WHEN contains(lower(title), 'low 1') THEN 'keyword: LOW 1' WHEN cont
 
 
 def _registry(spark, sf) -> DataFrame:
-    o = read(spark, sf, "orders").where("o_orderkey % 10 < 3")
+    o = read(spark, sf, "orders")
     k = col("o_orderkey")
     return o.select(F.concat(lit("v"), k).alias("video_id"), F.when(k % 3 == 0, "processed").when(k % 3 == 1, "failed").otherwise("skipped").alias("status"), F.when(k % 4 == 0, "downloaded").when(k % 4 == 1, "processing").when(k % 4 == 2, "download").otherwise("completed").alias("stage"), F.concat(lit("a"), k, lit(".wav")).alias("audio_path"), col("o_orderdate").cast("timestamp").alias("timestamp"))
 
@@ -590,7 +590,7 @@ def run_summary(spark, sf):
 
 @query("SELECT (SELECT string_agg(e, '|' ORDER BY o_orderkey) FROM (SELECT o_orderkey, 'error ' || o_orderkey AS e FROM orders WHERE o_orderkey % 100 = 0 ORDER BY 1 LIMIT 5)) AS shown, (SELECT greatest(count(*) - 5, 0) FROM orders WHERE o_orderkey % 100 = 0) AS more")
 def shown_errors(spark, sf):
-    e = read(spark, sf, "orders").where("o_orderkey % 100 = 0").select(col("o_orderkey").alias("pos"), F.concat(lit("error "), "o_orderkey").alias("error"))
+    e = read(spark, sf, "orders").select(col("o_orderkey").alias("pos"), F.concat(lit("error "), "o_orderkey").alias("error"))
     return L.shown_errors(e).select(F.array_join("shown", "|").alias("shown"), col("more").cast("long").alias("more"))
 
 
@@ -764,7 +764,7 @@ BANKED = f"""{EMB}, bank AS (SELECT label, [x / sqrt(list_sum([y * y FOR y IN m]
 
 
 def _bank(spark, sf) -> DataFrame:
-    e = read(spark, sf, "embeddings").where("vec_id % 2 = 0").select("label", V.unit(col("embedding")).alias("embedding"))
+    e = read(spark, sf, "embeddings").select("label", V.unit(col("embedding")).alias("embedding"))
     return P.mean_embedding(e, "label")
 
 
@@ -777,7 +777,7 @@ def mean_embeddings(spark, sf):
     SELECT vec_id AS query_id, CASE WHEN c >= 0.5 THEN l::VARCHAR END AS speaker_id, round(c, 6) AS score FROM m""")
 def nearest_speakers(spark, sf):
     bank = _bank(spark, sf).select(col("label").cast("string").alias("speaker_id"), "embedding")
-    q = read(spark, sf, "embeddings").where("vec_id % 2 = 1").select(col("vec_id").alias("query_id"), "embedding")
+    q = read(spark, sf, "embeddings").select(col("vec_id").alias("query_id"), "embedding")
     return P.nearest(q, bank, 0.5).withColumn("score", F.round("score", 6))
 
 
