@@ -57,3 +57,70 @@ def test_odd_rows(spark):
     got = L.scan(df).collect()
     assert sum(r["doc_id"] == 40 for r in got) == 2 and sum(r["doc_id"] is None for r in got) == 1
     assert L.scan(df.limit(0)).count() == 0
+
+
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+MIT = """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version."""
+BSD2 = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+
+
+def test_wrapped_notices():
+    m, want = L.Matcher(), [("Apache-2.0", "notice-full"), ("MIT", "text-full"), ("GPL-3.0-or-later", "notice"), ("BSD-2-Clause", "text-full"), ("BSD-3-Clause", "text-full")]
+    texts = [APACHE, MIT, GPL, BSD2, BSD3]
+    forms = [lambda t: t, lambda t: t.replace("\n", "\r\n"), *(lambda t, sign=sign: "\n".join(sign + x for x in t.split("\n")) for sign in ("# ", " * ", "// ", "-- ")), lambda t: "The notice\n" + t]
+    for form in forms:
+        assert [f[:3] for f in m.scan(pa.array([form(t) for t in texts]), L.GAP)] == [(k, *w) for k, w in enumerate(want)]
+    flat = [re.sub(r"(?<![.:;])\n\s*(?!\n)", " ", t) for t in (GPL, BSD3)]
+    assert [f[1:3] for f in m.scan(pa.array(flat), L.GAP)] == [want[2], want[4]]
+
+
+def test_wrapped_lines_end_at_signs_and_blank_lines():
+    m = L.Matcher([("Own", "r", ["one two three four"]), ("Two", "r", ["first known here", "second known here"])])
+    texts = ["one two\nthree four", "one two.\nthree four", "one two\n\nthree four", "one two\n# \n# three four", "one two\nthree four five", "zero\n// one\n// two three\n// four\nfive", "one two", "three four"]
+    assert [(f[0], f[3], f[4]) for f in m.scan(pa.array(texts), 0)] == [(0, 0, 1), (5, 1, 3)]
+    gap = ["first known\nhere.\na\nb\nc.\nd.\nsecond\nknown here", "first known here.\na.\nb.\nc.\nsecond known here"]
+    assert [(f[0], f[1], f[3], f[4], f[5]) for f in m.scan(pa.array(gap), 2)] == [(0, "Two", 0, 7, 2)]

@@ -7,7 +7,9 @@ How. Texts are cut to sentences at line ends and after . ! ? ; : that blanks fol
 normalised to its words (lower case, signs and blanks dropped) and looked up, by a hash of
 them, among the known licence sentences, which gives its identifier, or none. A rule is a
 licence's sentence identifiers in order; it matches where they occur in a row, with at most
-``gap`` unknown sentences between two of them. Rules are tried in their order, longest and most
+``gap`` unknown sentences between two of them. A known sentence that is wrapped is found too: words
+of several lines in a row, of which none but the last ends in an end sign or before a blank line, are those
+of the sentence (comment signs aren't words). In a gap, wrapped lines are one sentence. Rules are tried in their order, longest and most
 specific first; a sentence that has been used by one isn't used by a later one.
 
 Sentences are found, hashed and looked up for many rows at once; Python looks only at rows
@@ -18,11 +20,13 @@ licences.
 
 Defined cases. Null and empty texts: no match. Repeated rows and null doc_id are scanned row by
 row. A rule that occurs several times in a text matches several times. Sentence numbers count from 0
-over sentences that have words.
+over sentences that have words; each line of a wrapped sentence has a number.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -51,11 +55,13 @@ _BSD = [
     "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
 ]
+_BSD_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
 
 #: (license, rule, sentences), in the order in which they are tried.
 RULES: list[tuple[str, str, list[str]]] = [
     ("Apache-2.0", "notice-full", _APACHE),
     ("MIT", "text-full", _MIT),
+    ("BSD-3-Clause", "text-full", [*_BSD, _BSD_NAMES]),
     ("BSD-2-Clause", "text-full", _BSD),
     ("GPL-3.0-or-later", "notice", [_GPL.format(3)]),
     ("GPL-2.0-or-later", "notice", [_GPL.format(2)]),
@@ -84,13 +90,24 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 class Sentences:
     hash: np.ndarray
     splits: np.ndarray  # by row
+    words: K.Words
+    first: np.ndarray  # word that each begins with
+
+
+def _goes_on(between: bytes) -> bool:
+    """Whether a sentence goes on over what stands between two words: a line end, and neither an end sign before a blank nor a blank line."""
+    return len(re.findall(rb"\r\n|[\r\n]", between)) == 1 and not re.search(rb"[.!?;:][\t-\r ]", between)
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return K.mix(a * np.uint64(0xD1342543DE82EF95) + b)
 
 
 def sentences(raw: np.ndarray, offsets: np.ndarray) -> Sentences:
     """A hash of the words of each sentence that has any."""
     w = K.words(raw, offsets)
     if not len(w.hash):
-        return Sentences(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64))
+        return Sentences(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), w, np.zeros(0, np.int64))
     # a cut before a byte: after a line end, or where a blank follows an end sign
     cut = np.zeros(len(raw) + 1, np.int64)
     cut[1:] = (raw == 10) | (raw == 13)
@@ -101,23 +118,32 @@ def sentences(raw: np.ndarray, offsets: np.ndarray) -> Sentences:
     # order-sensitive sum: each word's hash is mixed with its place in the sentence
     place = np.arange(len(number)) - np.repeat(first, np.diff(np.concatenate([first, [len(number)]])))
     total = np.add.reduceat(K.mix(w.hash + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), first)
-    return Sentences(total, np.searchsorted(w.starts[first], offsets))
+    return Sentences(total, np.searchsorted(w.starts[first], offsets), w, first)
 
 
 class Matcher:
     def __init__(self, rules: list[tuple[str, str, list[str]]] | None = None):
         self.rules: list[tuple[str, str, list[int]]] = []
         known: dict[int, int] = {}
+        self.whole: dict[int, list[tuple[np.ndarray, int]]] = {}  # words of the known sentences and their identifier, by the first two
         for name, rule, lines in RULES if rules is None else rules:
             ids = []
             for line in lines:
                 raw, off = K.buffers(pa.array([line]))
-                ids += [known.setdefault(h, len(known)) for h in sentences(raw, off).hash.tolist()]
+                s = sentences(raw, off)
+                for h, a, z in zip(s.hash.tolist(), s.first.tolist(), [*s.first[1:].tolist(), len(s.words.hash)]):
+                    if h not in known and z - a > 1:
+                        own = s.words.hash[a:z]
+                        self.whole.setdefault(int(_pairs(own[:1], own[1:2])[0]), []).append((own, len(known)))
+                    ids.append(known.setdefault(h, len(known)))
             if ids:
                 self.rules.append((name, rule, ids))
         keys = np.array(list(known), np.uint64)
         order = np.argsort(keys)
         self.keys, self.ids = keys[order], np.arange(len(keys))[order]
+        self.begins = np.array(list(self.whole), np.uint64)
+        for some in self.whole.values():
+            some.sort(key=lambda x: -len(x[0]))
 
     def identify(self, hashes: np.ndarray) -> np.ndarray:
         """Identifier of each known sentence, or -1."""
@@ -126,15 +152,51 @@ class Matcher:
         at = np.minimum(np.searchsorted(self.keys, hashes), len(self.keys) - 1)
         return np.where(self.keys[at] == hashes, self.ids[at], -1)
 
-    def match(self, places: list[int], ids: list[int], gap: int) -> list[tuple[str, str, int, int, int]]:
-        """(license, rule, first, last, sentences) from the known sentences of a text, by place."""
+    def wrapped(self, s: Sentences, raw: np.ndarray) -> list[tuple[int, int, int]]:
+        """(first line, last line, identifier) of known sentences over several lines, of one place the longest."""
+        w, out = s.words, []
+        at = s.first[s.first + 1 < len(w.hash)]
+        for p in np.flatnonzero(np.isin(_pairs(w.hash[at], w.hash[at + 1]), self.begins)).tolist():
+            a = int(s.first[p])
+            if out and p <= out[-1][1]:
+                continue
+            end = int(w.splits[np.searchsorted(w.splits, a, side="right")])
+            for own, k in self.whole[int(_pairs(w.hash[a : a + 1], w.hash[a + 1 : a + 2])[0])]:
+                z = a + len(own)
+                if z > end or not np.array_equal(w.hash[a:z], own):
+                    continue
+                q = int(np.searchsorted(s.first, z))
+                if q > p + 1 and (z == end or s.first[q] == z) and all(self.soft(s, raw, i) for i in range(p + 1, q)):
+                    out.append((p, q - 1, k))
+                    break
+        return out
+
+    @staticmethod
+    def soft(s: Sentences, raw: np.ndarray, i: int) -> bool:
+        """Whether the line of this number goes on with the sentence of the one before in its row."""
+        k = int(s.first[i])
+        return k > 0 and _goes_on(raw[s.words.ends[k - 1] : s.words.starts[k]].tobytes())
+
+    def match(self, places: list[tuple[int, int]], ids: list[int], gap: int, soft: Callable[[int], bool]) -> list[tuple[str, str, int, int, int]]:
+        """(license, rule, first, last, sentences) from the known sentences of a text, by place; soft tells of a line whether it goes on with the one before."""
+
+        def far(last: int, first: int) -> bool:
+            if first - last <= gap + 1:
+                return False
+            unknown = 1
+            for i in range(last + 2, first):
+                if unknown > gap:
+                    break
+                unknown += not soft(i)
+            return unknown > gap
+
         used, out = [False] * len(ids), []
         for name, rule, wanted in self.rules:
             start = 0
             while start < len(ids):
                 took, at = [], start
                 while at < len(ids) and len(took) < len(wanted):
-                    if took and places[at] - places[took[-1]] > gap + 1:
+                    if took and far(places[took[-1]][1], places[at][0]):
                         break
                     if not used[at] and ids[at] == wanted[len(took)]:
                         took.append(at)
@@ -144,7 +206,7 @@ class Matcher:
                 if len(took) == len(wanted):
                     for k in took:
                         used[k] = True
-                    out.append((name, rule, places[took[0]], places[took[-1]], len(took)))
+                    out.append((name, rule, places[took[0]][0], places[took[-1]][1], len(took)))
                 start += 1
         return sorted(out, key=lambda m: (m[2], m[3], m[0], m[1]))
 
@@ -155,13 +217,17 @@ class Matcher:
         for i, _, part, off in K.slices(raw, offsets):
             s = sentences(part, off)
             ids = self.identify(s.hash)
-            hits = np.flatnonzero(ids >= 0)
-            if not len(hits):
+            joined = self.wrapped(s, part)
+            inside = {k for a, z, _ in joined for k in range(a, z + 1)}
+            hits = sorted(joined + [(k, k, int(ids[k])) for k in np.flatnonzero(ids >= 0).tolist() if k not in inside])
+            if not hits:
                 continue
-            row = np.searchsorted(s.splits, hits, side="right") - 1
-            for r in np.unique(row):
-                own = hits[row == r]
-                out += [(i + int(r), *m) for m in self.match((own - s.splits[r]).tolist(), ids[own].tolist(), gap)]
+            row = np.searchsorted(s.splits, [a for a, _, _ in hits], side="right") - 1
+            edges = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1], [True]])).tolist()
+            for a, z in zip(edges, edges[1:]):
+                r, own = int(row[a]), hits[a:z]
+                base = int(s.splits[r])
+                out += [(i + r, *m) for m in self.match([(x - base, y - base) for x, y, _ in own], [k for _, _, k in own], gap, lambda n, s=s, base=base: self.soft(s, part, base + n))]
         return out
 
 
