@@ -84,3 +84,16 @@ def test_ties_and_short_training(spark):
     none = L.train(df.limit(0))
     assert {r["doc_id"]: (r["lang"], r["accepted"]) for r in L.identify(df, none).collect()} == {1: (None, True), 2: (None, True), 3: (None, False), 4: (None, True)}
     assert {r["doc_id"] for r in L.accepted(df, none).collect()} == {1, 2, 4} and L.accepted(df.limit(0), none).count() == 0
+
+
+def test_languages_of_many_copies_are_trained(spark):
+    from pyspark.sql import functions as F
+
+    texts = [(f"l{k:02}", f"some words of text {k} {j}") for k in range(24) for j in range(1 + k % 2)]
+    df = spark.createDataFrame(texts, "lang string, text string").withColumn("c", F.explode(F.sequence(F.lit(1), F.lit(3000)))).drop("c")
+    df = df.unionByName(spark.createDataFrame([("empty", ""), ("null", None), (None, "unsaid")], "lang string, text string"))
+    assert L.train(df).langs == sorted({g for g, _ in texts})
+    many = spark.range(3000).selectExpr("'x' AS lang", "concat('words ', id) AS text")
+    few = L.train(many, sample_rows=5).texts["x"]
+    order = many.withColumn("o", F.xxhash64("text")).orderBy("o").limit(5).collect()
+    assert few == b" ".join(fold(r["text"]) for r in order)

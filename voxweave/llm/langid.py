@@ -20,8 +20,9 @@ entries hold the next state and the phrases ended.
 Accepted means: some letters, and a rate of ``most_rate`` or less. What is rejected
 isn't text in any of the languages.
 
-Training text is a bounded sample: rows in order of a hash of their text until
-``corpus_bytes`` are filled, drawn from at most ``sample_rows`` rows a language. The
+Training text is a bounded sample: distinct texts in order of a hash until
+``corpus_bytes`` are filled, drawn from the first ``sample_rows`` of each language, so that
+a language with any text is trained however often it is repeated. The
 bound is a parameter; identification covers everything.
 
 Defined cases. Null, empty and letterless texts: lang null, rate and margin null, not
@@ -201,12 +202,13 @@ def rates(model: Model, column: pa.Array, chunk: int = CHUNK) -> tuple[np.ndarra
 def train(df: DataFrame, label: str = "lang", text: str = "text", corpus_bytes: int = CORPUS_BYTES, sample_rows: int = SAMPLE_ROWS) -> Model:
     """A model from the labelled rows of df."""
     rows = df.select(df[label].cast("string").alias("lang"), df[text].cast("string").alias("text"))
-    counts = {r["lang"]: r["n"] for r in rows.where("lang is not null").groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    some = rows.where("lang is not null and length(text) > 0").withColumn("o", F.xxhash64("text"))
+    # the sample_rows-th hash of each language: over distinct hashes, so copies don't count, and of rows of two columns
+    least = some.select("lang", "o").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o"))).where(F.col("k") <= sample_rows)
+    last = {r["lang"]: r["o"] for r in least.groupBy("lang").agg(F.max("o").alias("o")).collect()}
+    if not last:
         return Model({})
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 3 * sample_rows / n))])
-    order = F.xxhash64("text")
-    drawn = rows.where("lang is not null and length(text) > 0").withColumn("o", order).where((F.pmod("o", F.lit(1 << 30)) < share[F.col("lang")] * (1 << 30)))
+    drawn = some.where(F.col("o") <= F.create_map(*[F.lit(x) for pair in last.items() for x in pair])[F.col("lang")])
     ranked = drawn.distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", "text"))).where(F.col("k") <= sample_rows)
     filled = F.coalesce(F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     enough = ranked.withColumn("before", filled).where(F.col("before") < 2 * corpus_bytes).orderBy("lang", "k").select("lang", F.substring("text", 1, corpus_bytes).alias("text")).collect()
