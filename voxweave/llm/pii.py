@@ -6,7 +6,8 @@ docs with each span replaced by ``[KIND]``.
 
 Candidates: spans of the text that look like e-mail addresses, IPv4 addresses, phone numbers,
 payment cards, keys and secrets, taken widely (any dotted quad, any 13 to 19 digits, ...), one
-kind to a span; of overlapping ones, the first in the order of KINDS.
+kind to a span; phone numbers compact or in groups of two digits too, quoted names of keys, bearer
+tokens and keys by their vendors' prefixes; of overlapping ones, the first in the order of KINDS.
 
 Labelers vote yes, no or nothing on each candidate, by three sorts of evidence: strict regular
 expressions and checksums (octets within 255, Luhn, digit counts, a mix of letters and digits),
@@ -43,14 +44,14 @@ THRESHOLD, ROUNDS = 0.5, 60
 KINDS = ("SECRET", "EMAIL", "CARD", "PHONE", "IP")
 
 _CANDIDATE = re.compile(
-    r"(?P<SECRET>(?:(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key|auth)\s*[=:]\s*\"?[^\s\"]{6,}\"?)|(?<![A-Za-z0-9])(?-i:[A-Z]{4}[A-Z0-9]{16})(?![A-Za-z0-9]))"
+    r"(?P<SECRET>(?<![A-Za-z])(?:auth(?:orization)?[\"']?\s*[=:]\s*[\"']?)?bearer\s+[A-Za-z0-9._~+/=-]{8,}|(?:(?<![A-Za-z])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key|auth)[\"']?\s*[=:]\s*\"?[^\s\"]{6,}\"?)|(?<![A-Za-z0-9])(?-i:(?:gh[pousr]|github_pat|glpat|xox[abprs]|sk|pk|rk)[_-][A-Za-z0-9_-]{10,}|AIza[A-Za-z0-9_-]{20,})|(?<![A-Za-z0-9])(?-i:[A-Z]{4}[A-Z0-9]{16})(?![A-Za-z0-9]))"
     r"|(?P<EMAIL>[A-Za-z0-9À-ɏ._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*)"
     r"|(?P<IP>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d))"
     r"|(?P<CARD>(?<![\d+])(?:\d{13,19}|\d{4}(?P<sep>[ -])\d{4}(?P=sep)\d{4}(?P=sep)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d))"
-    r"|(?P<PHONE>(?<![\d.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d))",
+    r"|(?P<PHONE>(?<![\d.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d)|(?<![\d.])(?:\+\d{7,15}|\+\d{1,3}(?:[ .-]?\(?\d{1,5}\)?){1,2}(?:[ .-]\d{2,8}){1,4}|0\d(?:[ .-]\d{2}){4}|\(\d{2,5}\)[ .-]?\d{3,4}[ .-]?\d{3,5}|\d{9,12})(?!\d))",
     re.I,
 )
-_PREFILTER = r"[0-9]{3}|[0-9]\.[0-9]|@|(?i:passw|pwd|token|secret|api.?key|access.?key|auth)|[A-Z]{4}[A-Z0-9]{16}"
+_PREFILTER = r"[0-9]{3}|[0-9][ .)-]+[0-9]|@|(?i:passw|pwd|token|secret|api.?key|access.?key|auth|bearer)|[A-Z]{4}[A-Z0-9]{16}|gh[pousr][_-]|github_pat|glpat|xox[abprs]|[spr]k[_-]|AIza"
 _CUES = {
     "EMAIL": re.compile(r"(?:mail|contact|write|correo|kontakt|courriel)\W*$", re.I),
     "PHONE": re.compile(r"(?:phone|tel|call|mobile|fax|llama|telefon|appel)\w*\W*$", re.I),
@@ -61,7 +62,7 @@ _CUES = {
 _NOT = re.compile(r"(?:version|section|chapter|isbn|ver|v|no|page|figure)\.?\s*$", re.I)
 _DOMAINS = frozenset("com net org edu gov io de fr es it uk eu info biz mx us ca co dev app me".split())
 _CARD_STARTS = re.compile(r"(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5)|35|30|36|38)")
-_KEY_STARTS = re.compile(r"(?:AKIA|ASIA|AIDA|AROA|AGPA)|(?i:password|passwd|pwd|token|secret|api|access)")
+_KEY_STARTS = re.compile(r"(?:AKIA|ASIA|AIDA|AROA|AGPA|gh[pousr]_|github_pat_|glpat-|xox[abprs]-|[spr]k[_-]|AIza)|(?i:authorization|bearer|password|passwd|pwd|token|secret|api|access)")
 
 
 def luhn(digits: str) -> bool:
