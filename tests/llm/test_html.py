@@ -50,3 +50,16 @@ def test_deep_and_odd_pages(spark):
 def test_ties_go_to_the_lower_path(spark):
     df = spark.createDataFrame([(1, "http://h/", "<main>a</main>"), (2, "http://h/", "<article>a</article>")], "page_id long, url string, html string")
     assert H.paths(df).first()["path"] == "body>article"
+
+
+def test_empty_element_at_the_winning_path():
+    page = "<div class=post></div><div class=story>The article is here</div>"
+    assert H.extract_one(page, "body>div.post")[1::2] == ("page", "The article is here")
+    assert H.extract_one("<div class=post></div>", "body>div.post")[1::2] == ("host", "")
+    assert H.extract_one("<div class=post></div><a>only a link</a>", "body>div.post")[1::2] == ("body", "only a link")
+
+
+def test_forms():
+    whole = "<form id=aspnet><nav>menu</nav><div class=post><p>The article is here</p></div><form><input>search</form></form>tail"
+    assert H.extract_one(whole, None)[3] == "The article is here" and H.vote(whole) == "body>form>div.post"
+    assert H.extract_one("<div>A text that is longer</div><form>search here</form>", None)[3] == "A text that is longer"

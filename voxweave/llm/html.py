@@ -10,14 +10,14 @@ path: the tags from body down with their classes, where digits in a class are
 replaced by '#', and position is left out. (2) Votes are counted by host and path in
 Spark, weighted one a page; the winner has the most votes, ties by the path. (3) Each page
 is read again with its host's path: text of all elements at that path, in order; a
-page that has no such element falls back to its own best container (used = 'page'), and
+page that has no such element, or only empty ones though there is text elsewhere, falls back to its own best container (used = 'page'), and
 to all text of the body where there is none (used = 'body').
 
 Only counts are shuffled, a row for each host and path of each task. The winners
 (one a host) are broadcast where their size allows it, else joined by shuffle.
 
 Text: script, style, template, noscript, head, nav, footer, aside, form and iframe are
-left out; block elements end a line; runs of blanks are one space; entities are
+left out, but for a form that holds more than half of the page's other text, which is read; block elements end a line; runs of blanks are one space; entities are
 decoded. title is that of the title element.
 
 Defined cases. Null html: text, title, path and used null. Empty html or no text: empty text,
@@ -66,6 +66,8 @@ class Node:
     text: int = 0
     linked: int = 0
     pieces: list[str] = field(default_factory=list)
+    forms: tuple[int, ...] = ()  # forms it is in, by their number in the page
+    hidden: bool = False  # skipped by something else than a form
 
 
 @dataclass
@@ -83,7 +85,10 @@ def _part(tag: str, attributes: str) -> tuple[str, str]:
     return tag + "".join("." + c for c in sorted({_DIGITS.sub("#", x.lower()) for x in names})), " ".join(names)
 
 
-def parse(source: str) -> Page:
+def parse(source: str, read: frozenset[int] | None = None) -> Page:
+    """read: numbers of the forms that are read; by default they are found."""
+    inside: dict[int, int] = {}  # characters in each form
+    skipped, form = 0, -1
     root = Node("body", "body", None, None, False, False, False)
     root.container = root
     page = Page("", [root], [])
@@ -93,7 +98,12 @@ def parse(source: str) -> Page:
             text = source[at : m.start()]
             if in_title:
                 title.append(text)
-            elif not stack[-1].skip:
+            elif stack[-1].skip:
+                if not stack[-1].hidden:
+                    n = len(entities.unescape(text)) - text.count(" ")
+                    skipped += n
+                    inside |= {k: inside.get(k, 0) + n for k in stack[-1].forms}
+            else:
                 _add(page, stack[-1], entities.unescape(text) if "&" in text else text)
         at = m.end()
         if m[3] is None:
@@ -123,13 +133,19 @@ def parse(source: str) -> Page:
             continue
         up = stack[-1]
         part, names = _part(tag, m[4])
-        node = Node(tag, f"{up.path}>{part}" if len(stack) < _DEPTH else up.path, up, up.container, up.skip or tag in _SKIP, up.boiler or bool(names and _BOILER.search(names)), up.link or tag == "a")
+        node = Node(tag, f"{up.path}>{part}" if len(stack) < _DEPTH else up.path, up, up.container, up.skip or tag in _SKIP and not (tag == "form" and form + 1 in (read or ())), up.boiler or bool(names and _BOILER.search(names)), up.link or tag == "a")
+        form += tag == "form"
+        node.forms = (*up.forms, form) if tag == "form" else up.forms
+        node.hidden = up.hidden or tag in _SKIP and tag != "form"
         if tag in _CONTAINERS and not node.skip:
             node.container = node
             page.containers.append(node)
         stack.append(node)
     if at < len(source) and not stack[-1].skip and not in_title:
         _add(page, stack[-1], entities.unescape(source[at:]))
+    total = skipped + sum(c.text for c in page.containers)
+    if read is None and (most := frozenset(k for k, n in inside.items() if 2 * n > total)):
+        return parse(source, most)
     page.title = _tidy(entities.unescape("".join(title))).replace("\n", " ")
     return page
 
@@ -190,7 +206,7 @@ def extract_one(source: str | None, path: str | None) -> tuple[str | None, str |
     if source is None:
         return None, None, None, None
     page = parse(source)
-    if path is not None and (text := text_at(page, path)) is not None:
+    if path is not None and (text := text_at(page, path)) is not None and (text or not text_at(page, None)):
         return path, "host", page.title, text
     top = best(page)
     if top is not None:
