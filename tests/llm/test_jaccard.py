@@ -32,12 +32,43 @@ def brute(rows, n=J.N, t=J.THRESHOLD):
     return {(a, b): round(len(sets[a] & sets[b]) / len(sets[a] | sets[b]), 6) for a, b in itertools.combinations(sorted(sets), 2) if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= t}
 
 
+def classes(rows, pairs):
+    """{doc_id: (class_id, links)} from pairs."""
+    parent = {i: i for i, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    links = dict.fromkeys(parent, 0)
+    for a, b in pairs:
+        links[a] += 1
+        links[b] += 1
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {i: (find(i), links[i]) for i in parent}
+
+
+def joined(spark, rows, **how):
+    got = J.join(spark.createDataFrame(rows, "doc_id long, text string"), **how).collect()
+    assert len(got) == len({i for i, _ in rows})
+    return {r["doc_id"]: (r["class_id"], r["links"]) for r in got}
+
+
 def test_join_against_brute_force(spark):
     rows = corpus(1)
-    got = {(r["doc_a"], r["doc_b"]): r["jaccard"] for r in J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    want = brute(rows)
-    assert len(want) > 100 and all(want.get(p) == j for p, j in got.items())
-    assert len(got) >= 0.98 * len(want)
+    pairs = brute(rows)
+    assert len(pairs) > 100
+    assert joined(spark, rows, recall=0.9999) == classes(rows, pairs)
+
+
+def test_groups_in_blocks(spark):
+    """Groups larger than a cell are cut to blocks: the same result."""
+    rows = corpus(9, groups=6, most=60, words=50)
+    want = classes(rows, brute(rows))
+    assert joined(spark, rows, recall=0.9999, cell=300) == want
+    assert joined(spark, rows, recall=0.9999, cell=4000) == want
 
 
 def test_one_of_each(spark):
@@ -80,66 +111,67 @@ def test_components(spark):
     assert got == {x: find(x) for x in list(parent)}
 
 
-def test_similar_in_runs():
+def test_settled_and_crossed():
     rng = np.random.default_rng(5)
-    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50))).astype(np.uint64) for _ in range(60)]
-    i, j, s = J.similar(sets, 0.4)
-    want = {(a, b): len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) for a, b in itertools.combinations(range(60), 2)}
-    assert dict(zip(zip(i.tolist(), j.tolist()), s.tolist())) == {k: v for k, v in want.items() if v >= 0.4}
+    for m in (2, 3, 60):
+        base = rng.permutation(400)[:60]
+        sets = [np.unique(np.concatenate([base[: rng.integers(1, 60)], rng.integers(0, 400, rng.integers(1, 12))])) for _ in range(m)]
+        copies = rng.integers(1, 5, m)
+        j = np.array([[len(np.intersect1d(a, b)) / len(np.union1d(a, b)) for b in sets] for a in sets])
+        for t in (0.3, 0.6, 0.8):
+            near = (j >= t) & ~np.eye(m, dtype=bool)
+            first, links = J.settled(sets, copies, t)
+            want = classes([(k, "") for k in range(m)], [(a, b) for a in range(m) for b in range(a) if near[a, b]])
+            assert first.tolist() == [want[k][0] for k in range(m)] and links.tolist() == (near @ copies).tolist()
+            cut = m // 3 + 1
+            across = near.copy()
+            across[:cut, :cut] = across[cut:, cut:] = False
+            first, links = J.crossed(sets[:cut], sets[cut:], copies, t)
+            want = classes([(k, "") for k in range(m)], [(a, b) for a in range(m) for b in range(a) if across[a, b]])
+            assert first.tolist() == [want[k][0] for k in range(m)] and links.tolist() == (across @ copies).tolist()
 
 
 def test_strangers_in_a_bucket_hide_nobody(spark):
     """Many short documents share a passage, so buckets are full of strangers with lower ids."""
     rng = random.Random(7)
     shared = " ".join(f"line{k}" for k in range(12))
-    rows = [(k, " ".join(f"s{rng.randrange(10**6)}" for _ in range(14)) + " " + shared) for k in range(300)]
-    for k in range(300, 340, 2):
+    rows = [(k, " ".join(f"s{rng.randrange(10**6)}" for _ in range(14)) + " " + shared) for k in range(900)]
+    for k in range(900, 960, 2):
         w = [f"p{rng.randrange(10**6)}" for _ in range(25)]
         rows += [(k, " ".join(w) + " " + shared), (k + 1, " ".join([*w[:-1], "other"]) + " " + shared)]
-    got = {(r["doc_a"], r["doc_b"]) for r in J.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == set(brute(rows)) == {(k, k + 1) for k in range(300, 340, 2)}
+    pairs = brute(rows)
+    assert set(pairs) == {(k, k + 1) for k in range(900, 960, 2)}
+    assert joined(spark, rows) == classes(rows, pairs)
 
 
-def test_buckets_across_batches(spark):
+def test_crowds(spark):
+    """A text repeated 10^5 times, 10^5 strangers that share a passage, 2000 near copies: no list, block or task holds them all."""
     rng = np.random.default_rng(8)
-    rows = []
-    for bucket in range(40):
-        kinds = rng.integers(0, 256, (3, 16)).astype(np.uint8)
-        for d in rng.choice(1000, rng.choice([1, 2, 3, 30]), replace=False):
-            rows.append((bucket % 3, bucket, int(d), kinds[d % 3].tobytes()))
-    df = spark.createDataFrame(rows, "band int, value long, doc_id long, minima binary")
-    want = set()
-    for bucket in range(40):
-        for k in range(3):
-            own = sorted(d for _, b, d, _ in rows if b == bucket and d % 3 == k)
-            want |= {(d, own[0]) for d in own[1:]}
-    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
-    try:
-        for size in (1, 4, 7, 2000):
-            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-            assert {tuple(r) for r in J.stars(df, 16, 0.9).collect()} == want
-    finally:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
-
-
-def test_chains():
-    rng = np.random.default_rng(6)
-    for m in (2, 3, 40):
-        sets = [np.unique(rng.integers(0, 40, rng.integers(1, 25))).astype(np.uint64) for _ in range(m)]
-        label = list(range(m))
-        for a, b, _ in zip(*(x.tolist() for x in J.similar(sets, 0.4))):
-            x, y = label[a], label[b]
-            label = [min(x, y) if z in (x, y) else z for z in label]
-        assert J.linked(sets, 0.4).tolist() == label
+    m = 100_000
+    words = rng.integers(0, 1 << 40, (m, 14))
+    shared = " ".join(f"line{k}" for k in range(12))
+    base = [f"b{k}" for k in range(60)]
+    near = [" ".join([*base[:k], f"x{i}", *base[k + 1 :]]) for i, k in enumerate(rng.integers(0, 60, 2000).tolist())]
+    rows = [(k, "the same words in the same order every time") for k in range(m)] + [(m + k, " ".join(map(str, w)) + " " + shared) for k, w in enumerate(words.tolist())] + [(2 * m + k, t) for k, t in enumerate(near)]
+    import pandas as pd
+
+    df = spark.createDataFrame(pd.DataFrame(rows, columns=["doc_id", "text"])).repartition(8)
+    got = J.join(df).selectExpr("case when doc_id < 100000 then 'copy' when doc_id < 200000 then 'stranger' else 'near' end as kind", "class_id - doc_id as off", "class_id", "links")
+    by = {r["kind"]: r for r in got.groupBy("kind").agg({"class_id": "max", "off": "min", "links": "min"}).collect()}
+    most = {r["kind"]: r["max(links)"] for r in got.groupBy("kind").agg({"links": "max"}).collect()}
+    assert by["copy"]["max(class_id)"] == 0 and by["copy"]["min(links)"] == most["copy"] == m - 1
+    assert by["stranger"]["min(off)"] == 0 and most["stranger"] == 0
+    assert by["near"]["max(class_id)"] == 2 * m and by["near"]["min(links)"] == most["near"] == 1999
 
 
 def test_odd_rows(spark):
     df = odd(spark)
-    assert J.join(df).collect() == []
+    got = J.join(df).collect()
+    assert sorted(r["doc_id"] for r in got) == [1, 2, 3, 4, 5, 6, 7, 8] and all(r["class_id"] == r["doc_id"] and r["links"] == 0 for r in got)
     assert J.one_of_each(df).columns == df.columns and J.one_of_each(df).count() == df.count()
     assert J.join(df.limit(0)).count() == 0 and J.one_of_each(df.limit(0)).count() == 0
     same = [(3, "a b c d", "x"), (1, "A, b c d!", "x"), (2, "a b c d", "x"), (2, "a b c d", "x"), (9, "zz", "x"), (8, "zz", "x"), (8, "other words here now", "x"), (None, "a b c d", "x")]
     df = odd(spark, same)
-    pairs = {(r["doc_a"], r["doc_b"]) for r in J.join(df).collect()}
-    assert pairs >= {(1, 2), (1, 3), (2, 3)} and pairs <= {(1, 2), (1, 3), (2, 3), (8, 9)}
+    got = {r["doc_id"]: (r["class_id"], r["links"]) for r in J.join(df).collect()}
+    assert got in ({1: (1, 2), 2: (1, 2), 3: (1, 2), 8: (8, 0), 9: (9, 0)}, {1: (1, 2), 2: (1, 2), 3: (1, 2), 8: (8, 1), 9: (8, 1)})
     assert {1, 8, None} <= {r["doc_id"] for r in J.one_of_each(df).collect()} <= {1, 8, 9, None}

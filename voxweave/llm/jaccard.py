@@ -1,46 +1,50 @@
 """N-gram Jaccard join by MinHash banding, with exact verification.
 
-``join(df)`` gives (doc_a, doc_b, jaccard), doc_a < doc_b, for the pairs whose sets
-of word n-grams have a Jaccard similarity of ``threshold`` or more.
-``one_of_each(df)`` gives the rows of df that stay when of each group of
-documents, linked by such pairs, the one with the lowest doc_id stays.
-
-How. (1) One Arrow pass hashes each text to its number of distinct n-grams, a
-128-bit digest of that set, and ``bands`` band hashes of ``rows`` minima each; bands
-and rows are the cheapest for which a pair at the threshold shares a band with
-probability ``recall``. (2) Documents of equal digest are one set; only its lowest
-doc_id goes on. (3) A shuffle on band hashes brings
-each bucket together. Its members are linked, breadth first, where so many of their minima agree as a
-pair at the threshold has but for four standard deviations: each group within the bucket
-becomes a star, so m copies give m - 1 links, and strangers that share a band by chance
-give none and hide nobody, however full buckets become. (4) Stars are
-merged to components by alternating large-star and small-star steps, cut to the
-shared checkpoint folder. (5) Only sets in components of two or more have their
-n-grams sent, once each, to their component, where all pairs that sizes allow are
-verified on full sets. No cap on buckets, partners or components.
-
-Defined cases. Null and empty texts, and texts without words, have no n-grams,
-match nothing and stay. A text of fewer than n words is one n-gram of them all.
-Rows that repeat a doc_id count once for ``join`` (the first text in order of
-its digest, for a doc_id with several); in ``one_of_each`` rows of a doc_id stay or
-go together. Rows of null doc_id match nothing and stay. Ties don't arise: the
-lowest doc_id stays.
+``join(df)`` gives (doc_id, class_id, links) of every document: links is the number of other documents whose
+sets of word n-grams have a Jaccard similarity of ``threshold`` or more with its own, copies included; class_id is the
+lowest doc_id among the documents that chains of such links reach from it. ``one_of_each(df)`` gives the rows of df that
+stay when of each class the document with the lowest doc_id stays.
+
+How. (1) One Arrow pass hashes each text to its number of distinct n-grams, a 128-bit digest of that set, and ``bands``
+band hashes of ``rows`` minima each; bands and rows are the cheapest for which a pair at the threshold shares a band
+with probability ``recall``. (2) Documents of equal digest are one set, counted, of which the lowest doc_id goes on;
+no list of ids is made. (3) A shuffle on band hashes counts each bucket and finds its lowest member. Members within a distance of
+BALL of it are one ball, of which the lowest is the home: a group of m near copies takes m verifications, not m^2. (4) Homes that
+share a bucket are candidates. Buckets of at most BUCKET homes are joined with themselves. Homes of fuller
+ones are split by n-gram: any pair at the threshold shares one among the rarest of each, so strangers whom only a common passage
+brought together part without being compared, and nobody is lost. Groups that are still large are paired in blocks. All candidates are
+verified on full sets by a shuffle; those stay that are so near that members of their balls may be linked. (5) What they join is
+the groups within which every link must lie. Sets are sent once to their group and all pairs settled there: Jaccard distance is a
+metric, so most pairs of near copies are settled by their distances to one of them, and the others are counted on full sets. A group of more than
+CELL n-grams is cut to blocks by distance to its lowest member, of which each pair not settled by distance is a task. No cap on buckets,
+partners or groups; nothing is broadcast but the n-grams that more than one in FREQUENT of those looked at are (at most FREQUENT),
+and classes that hold more than one in HOT of all documents (at most HOT).
+
+Defined cases. Null and empty texts, and texts without words, have no n-grams, no links, and are a class by themselves. A text
+of fewer than n words is one n-gram of them all. Very long texts are sets like others; one that is longer than CELL is a block by itself.
+Rows that repeat a doc_id count once for ``join`` (the first text in order of its digest, one with words first); in
+``one_of_each`` rows of a doc_id stay or go together. Rows of null doc_id are left out by ``join`` and stay in ``one_of_each``. Ties don't arise: the
+lowest doc_id names the class. An empty table gives no rows. Only doc_id and text are read, so other columns can't clash; ``one_of_each``
+returns them as they are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .util import cut, keyed, map_batches, sized, small_batches
+from .util import cut, keyed, map_batches, small_batches
 
 N, THRESHOLD, RECALL = 3, 0.6, 0.995
 ROWS = 3
+BALL, BUCKET, BLOCK, CELL, STEP = 0.1, 32, 512, 1 << 18, 0.05
+FREQUENT, HOT = 500_000, 10_000
+EPS = 1e-9
 
 
 def plan(threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> tuple[int, int]:
@@ -52,13 +56,11 @@ def _odd(k: int) -> np.ndarray:
     return K.mix(np.arange(1, k + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
-def row_sets(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, n-grams, their splits, distinct n-grams, their splits) of slices of rows."""
+def row_sets(column: pa.Array, n: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, distinct n-grams, their splits) of slices of rows."""
     raw, offsets = K.buffers(column)
     for i, j, part, off in K.slices(raw, offsets):
-        grams, splits = K.ngrams(K.words(part, off), n)
-        sets, set_splits = K.distinct(grams, splits)
-        yield i, j, grams, splits, sets, set_splits
+        yield i, j, *K.distinct(*K.ngrams(K.words(part, off), n))
 
 
 def digests(sets: np.ndarray, splits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -68,103 +70,28 @@ def digests(sets: np.ndarray, splits: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def signatures(df: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
-    """(doc_id, size, digest_a, digest_b, minima binary, bands array<long>) of the rows that have words; minima has a byte of each minimum."""
+    """(doc_id, size, digest_a, digest_b, bands array<long>) of the rows with a doc_id; without words size is 0 and bands are empty. A band's number is part of its hash."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         m = len(batch)
         size, a, b = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m, np.int64)
         band = np.zeros((m, bands), np.uint64)
-        minima = np.zeros((m, bands * rows), np.uint8)
         odd = _odd(bands * rows)
-        for i, j, _, _, sets, splits in row_sets(batch.column(1), n):
+        for i, j, sets, splits in row_sets(batch.column(1), n):
             size[i:j] = np.diff(splits)
             a[i:j], b[i:j] = digests(sets, splits)
             for k in range(bands):
                 total = np.full(j - i, k + 1, np.uint64)
                 for r in range(rows):
-                    least = K.reduce_rows(np.minimum, sets * odd[k * rows + r], splits, 0)
-                    minima[i:j, k * rows + r] = least & np.uint64(255)
-                    total = K.mix(total * np.uint64(31) + least)
+                    total = K.mix(total * np.uint64(31) + K.reduce_rows(np.minimum, sets * odd[k * rows + r], splits, 0))
                 band[i:j, k] = total
-        keep = np.flatnonzero((size > 0) & np.asarray(batch.column(0).is_valid()))
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * bands), pa.array(band[keep].reshape(-1).view(np.int64)))
-        width = bands * rows
-        bytes_ = pa.BinaryArray.from_buffers(pa.binary(), len(keep), [None, pa.py_buffer((np.arange(len(keep) + 1) * width).astype(np.int32)), pa.py_buffer(minima[keep].tobytes())])
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), pa.array(size[keep]), pa.array(a[keep]), pa.array(b[keep]), bytes_, lists], names=["doc_id", "size", "digest_a", "digest_b", "minima", "bands"])
+        keep = np.flatnonzero(np.asarray(batch.column(0).is_valid()))
+        some = size[keep] > 0
+        splits = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(splits), pa.array(band[keep[some]].reshape(-1).view(np.int64)))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), pa.array(size[keep]), pa.array(a[keep]), pa.array(b[keep]), lists], names=["doc_id", "size", "digest_a", "digest_b", "bands"])
 
-    return map_batches(keyed(df), "doc_id long, size long, digest_a long, digest_b long, minima binary, bands array<long>", one)
-
-
-def _reached(minima: np.ndarray, least: float) -> np.ndarray:
-    """For each row the first row of its group: rows linked, by chains, by at least ``least`` equal minima."""
-    label = np.full(len(minima), -1)
-    rest = np.arange(len(minima))
-    for first in range(len(minima)):
-        if label[first] >= 0:
-            continue
-        label[first], queue, at = first, [first], 0
-        while at < len(queue):
-            rest = rest[label[rest] < 0]
-            if not len(rest):
-                return label
-            new = rest[(minima[rest] == minima[queue[at]]).sum(axis=1) >= least]
-            label[new] = first
-            queue += new.tolist()
-            at += 1
-    return label
-
-
-def stars(banded: DataFrame, width: int, threshold: float) -> DataFrame:
-    """(u, v), u > v, from (band, value, doc_id, minima): links within each bucket."""
-    least = width * threshold - 4 * np.sqrt(width * threshold * (1 - threshold))
-
-    def found(key: np.ndarray, ids: np.ndarray, minima: np.ndarray) -> pa.RecordBatch:
-        """Of whole buckets, one after the other; ``key`` is their number."""
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-        many = np.diff(np.append(first, len(key)))
-        two = first[many == 2]
-        two = two[(minima[two] == minima[two + 1]).sum(axis=1) >= least]
-        u, v = [ids[two + 1]], [ids[two]]
-        for a, m in zip(first[many > 2].tolist(), many[many > 2].tolist()):
-            label = _reached(minima[a : a + m], least)
-            rest = np.flatnonzero(label != np.arange(m))
-            u.append(ids[a + rest])
-            v.append(ids[a + label[rest]])
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []  # what is known of the last bucket
-        last: tuple[int, int] | None = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            band, value, ids = (batch.column(k).to_numpy() for k in range(3))
-            minima = K.buffers(batch.column(3))[0].reshape(len(batch), width)
-            edge = np.flatnonzero((band[1:] != band[:-1]) | (value[1:] != value[:-1])) + 1
-            begin, end = (int(edge[0]) if len(edge) else len(ids)), (int(edge[-1]) if len(edge) else 0)
-            if held and (band[0], value[0]) == last:
-                held.append((ids[:begin].copy(), minima[:begin].copy()))
-            else:
-                begin = 0
-            if end > 0 or (held and (band[0], value[0]) != last):
-                if held:
-                    own = np.concatenate([h[0] for h in held])
-                    if len(own) > 1:
-                        yield found(np.zeros(len(own)), own, np.concatenate([h[1] for h in held]))
-                    held = []
-                if end > begin:
-                    yield found(np.cumsum(np.concatenate([[False], (band[1:] != band[:-1]) | (value[1:] != value[:-1])]))[begin:end], ids[begin:end], minima[begin:end])
-                held = [(ids[end:].copy(), minima[end:].copy())]
-            elif not held:
-                held = [(ids.copy(), minima.copy())]
-            last = (band[-1], value[-1])
-        if held:
-            own = np.concatenate([h[0] for h in held])
-            if len(own) > 1:
-                yield found(np.zeros(len(own)), own, np.concatenate([h[1] for h in held]))
-
-    small_batches(banded.sparkSession)
-    return banded.repartition("band", "value").sortWithinPartitions("band", "value", "doc_id").select("band", "value", "doc_id", "minima").mapInArrow(run, "u long, v long")
+    return map_batches(keyed(df), "doc_id long, size long, digest_a long, digest_b long, bands array<long>", one)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -187,25 +114,14 @@ def components(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
 
 
-def _candidates(df: DataFrame, n: int, threshold: float, recall: float, rows: int) -> tuple[DataFrame, DataFrame]:
-    """(sets, members). sets: (comp, rep, ids, grams) of each set that has a partner or several ids."""
-    bands, rows = plan(threshold, recall, rows)
-    signed = signatures(df, n, bands, rows)
-    signed = cut(signed.groupBy("doc_id").agg(F.min(F.struct("digest_a", "digest_b", "size", "minima", "bands")).alias("s")).select("doc_id", "s.*"))
-    same = signed.groupBy("digest_a", "digest_b", "size").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.sort_array(F.collect_list("doc_id")).alias("ids"))
-    reps = cut(same.select("rep", "copies", "ids", "digest_a", "digest_b"))
-    by_band = signed.join(reps.select("rep"), signed["doc_id"] == F.col("rep"), "left_semi").select("doc_id", "minima", F.posexplode("bands").alias("band", "value"))
-    return reps, components(stars(by_band, bands * rows, threshold))
-
-
 def _grams(df: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(comp, rep, ids, grams) of the wanted (comp, rep, ids, digests), from the texts; of several texts of a doc_id, the one of that digest."""
+    """(rep, grams) of the wanted (rep, digest_a, digest_b), from the texts; of several texts of a doc_id, the one of that digest, once."""
     texts = keyed(df)
-    texts = texts.join(wanted, texts["doc_id"] == wanted["rep"]).select("comp", "rep", "ids", "text", "digest_a", "digest_b")
+    texts = texts.join(wanted.select("rep", "digest_a", "digest_b"), texts["doc_id"] == wanted["rep"]).select("rep", "text", "digest_a", "digest_b")
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts, counts, a, b = [], [], [], []
-        for _, _, _, _, sets, splits in row_sets(batch.column(3), n):
+        for _, _, sets, splits in row_sets(batch.column(1), n):
             parts.append(sets)
             counts.append(np.diff(splits))
             x, y = digests(sets, splits)
@@ -214,182 +130,298 @@ def _grams(df: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
         flat = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         splits = np.concatenate([[0], np.cumsum(np.concatenate(counts))]) if counts else np.zeros(1)
         lists = pa.ListArray.from_arrays(pa.array(splits.astype(np.int32)), pa.array(flat.view(np.int64)))
-        out = pa.RecordBatch.from_arrays([*batch.columns[:3], lists], names=["comp", "rep", "ids", "grams"])
-        same = (np.concatenate(a) == batch.column(4).to_numpy()) & (np.concatenate(b) == batch.column(5).to_numpy()) if a else np.zeros(0, dtype=bool)
+        out = pa.RecordBatch.from_arrays([batch.column(0), lists], names=["rep", "grams"])
+        same = (np.concatenate(a) == batch.column(2).to_numpy()) & (np.concatenate(b) == batch.column(3).to_numpy()) if a else np.zeros(0, dtype=bool)
         return out if same.all() else out.filter(pa.array(same))
 
-    return map_batches(texts, "comp long, rep long, ids array<long>, grams array<long>", one)
-
-
-def similar(sets: list[np.ndarray], threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, jaccard), i < j, of all pairs of sorted distinct arrays at the threshold or above."""
-    m = len(sets)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    if m == 2:
-        shared = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
-        score = shared / (sizes.sum() - shared)
-        return (np.array([0]), np.array([1]), np.array([score])) if score >= threshold else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
-    order = np.argsort(sizes, kind="stable")
-    ordered = sizes[order]
-    _, flat = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
-    starts = np.concatenate([[0], np.cumsum(ordered)])
-    mark = np.zeros(int(flat.max()) + 1 if len(flat) else 1, dtype=np.int32)
-    left, right, scores = [], [], []
-    for k in range(m - 1):
-        stop = int(np.searchsorted(ordered, ordered[k] / threshold * (1 + 1e-12), side="right"))
-        if stop <= k + 1:
-            continue
-        own = flat[starts[k] : starts[k + 1]]
-        mark[own] = 1
-        at = k + 1
-        while at < stop:  # in runs of bounded size
-            to = min(stop, max(at + 1, int(np.searchsorted(starts, starts[at] + (4 << 20), side="right")) - 1))
-            shared = np.add.reduceat(mark[flat[starts[at] : starts[to]]], starts[at:to] - starts[at])
-            score = shared / (ordered[k] + ordered[at:to] - shared)
-            good = np.flatnonzero(score >= threshold)
-            left.append(np.full(len(good), k))
-            right.append(good + at)
-            scores.append(score[good])
-            at = to
-        mark[own] = 0
-    if not left:
-        return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
-    a, b = order[np.concatenate(left)], order[np.concatenate(right)]
-    return np.minimum(a, b), np.maximum(a, b), np.concatenate(scores)
-
-
-def linked(sets: list[np.ndarray], threshold: float) -> np.ndarray:
-    """A label for each set: equal where a chain of pairs at the threshold links them.
-
-    Breadth first: a set is compared only with those that no chain has reached yet, so a group of m copies takes about m comparisons, not m^2 / 2.
+    return map_batches(texts, "rep long, grams array<long>", one)
+
+
+def _verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """pairs (u, v, ...) with j, their exact similarity: full sets are joined by shuffle, twice on the same partitioning of the sets."""
+    with_u = pairs.join(grams.select(F.col("rep").alias("u"), F.col("grams").alias("gu")), "u")
+    both = with_u.join(grams.select(F.col("rep").alias("v"), F.col("grams").alias("gv")), "v")
+    k = F.size(F.array_intersect("gu", "gv"))
+    return both.select(*pairs.columns, (k / (F.size("gu") + F.size("gv") - k)).alias("j"))
+
+
+def _sizes_fit(a: Column, b: Column, least: Column | float) -> Column:
+    return F.least(a, b) >= F.greatest(a, b) * (least - EPS)
+
+
+def _paired(rows: DataFrame, key: str, threshold: float) -> DataFrame:
+    """(u, v, need), u > v, distinct, of the rows (key, id, size, ball, level) that share a key; need is the similarity below which no members of their balls are linked.
+
+    Groups of more than BLOCK rows are paired in blocks, so a task's join has at most some BLOCK^2 pairs of a group, whatever its size.
     """
-    m = len(sets)
-    label = np.full(m, -1)
-    if m == 2:
-        return np.array([0, 0 if len(similar(sets, threshold)[0]) else 1])
-    sizes = np.array([len(s) for s in sets], np.int64)
-    _, flat = np.unique(np.concatenate(sets), return_inverse=True)
-    flat = flat.astype(np.int32)
-    starts = np.concatenate([[0], np.cumsum(sizes)])
-    own = [flat[starts[k] : starts[k + 1]] for k in range(m)]
-    mark = np.zeros(int(flat.max()) + 1, dtype=np.int32)
-    rest, rest_flat, rest_size = np.arange(m), flat, sizes
-    for first in range(m):
-        if label[first] >= 0:
+    n = rows.groupBy(key).agg(F.count("*").alias("__n")).where("__n > 1")
+    cells = rows.join(n, key).withColumn("k", F.ceil(F.col("__n") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("k")))
+    cells = cells.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    cells = cells.select(key, F.least("own", "c").alias("i"), F.greatest("own", "c").alias("j"), "own", "id", "size", "ball", "level")
+    other = cells.select(key, "i", "j", *[F.col(c).alias("o_" + c) for c in ("own", "id", "size", "ball", "level")])
+    both = cells.join(other, [key, "i", "j"]).where((F.col("id") > F.col("o_id")) & ((F.col("i") == F.col("j")) | (F.col("own") != F.col("o_own"))))
+    balls = F.col("ball").cast("int") + F.col("o_ball").cast("int")
+    both = both.where(F.greatest("level", "o_level") <= balls).withColumn("need", threshold - BALL * balls)
+    return both.where(_sizes_fit(F.col("size"), F.col("o_size"), F.col("need"))).select(F.col("id").alias("u"), F.col("o_id").alias("v"), "need").distinct()
+
+
+def _rarest(homes: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
+    """(gram, id, size, ball, level) of the homes (id, size, ball): the rarest n-grams of each, as many as a pair must share one of; level is the number of balls from which on a pair needs it."""
+    own = homes.join(grams, homes["id"] == grams["rep"]).select("id", "size", "ball", "grams")
+    total = homes.agg(F.sum("size")).first()[0] or 0
+    counts = own.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > max(BUCKET, total // FREQUENT))
+    frequent = counts.collect()  # of n-grams that occur more than total / FREQUENT times there are at most FREQUENT
+    keys = np.array([r["gram"] for r in frequent], np.int64)
+    order = np.argsort(keys)
+    sent = homes.sparkSession.sparkContext.broadcast((keys[order], np.array([r["n"] for r in frequent], np.int64)[order]))
+
+    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keys, many = sent.value
+        lists = batch.column(3)
+        flat, size = lists.flatten().to_numpy(), batch.column(1).to_numpy()
+        row = np.repeat(np.arange(len(batch)), size)
+        ball = batch.column(2).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = np.minimum(np.searchsorted(keys, flat), max(0, len(keys) - 1))
+        rank = np.where(keys[at] == flat, many[at], 0) if len(keys) else np.zeros(len(flat), np.int64)
+        by = np.lexsort((flat, rank, row))
+        place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
+        level = np.full(len(flat), 3)
+        for k in (2, 1, 0):
+            reach = size - np.ceil(np.maximum(threshold - BALL * k, 0.01) * size - EPS).astype(np.int64) + 1
+            level[place < reach[row]] = k
+        keep = level <= 1 + ball[row]
+        row = row[keep]
+        ids = batch.column(0).take(pa.array(row))
+        return pa.RecordBatch.from_arrays([pa.array(flat[by][keep]), ids, pa.array(size[row]), pa.array(ball[row] > 0), pa.array(level[keep].astype(np.int32))], names=["gram", "id", "size", "ball", "level"])
+
+    return map_batches(own, "gram long, id long, size long, ball boolean, level int", one)
+
+
+class _Sets:
+    """Sorted distinct n-grams of several documents, numbered, for counting what they share."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.size = np.array([len(s) for s in sets], np.int64)
+        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        self.flat = flat.reshape(-1).astype(np.int32)
+        self.start = np.concatenate([[0], np.cumsum(self.size)])
+        self.mark = np.zeros(int(self.flat.max(initial=-1)) + 1, np.int32)
+
+    def own(self, k: int) -> np.ndarray:
+        return self.flat[self.start[k] : self.start[k + 1]]
+
+    def scores(self, k: int, among: np.ndarray | None = None) -> np.ndarray:
+        """Similarity of set k and each of the others, or of those ``among``."""
+        own = self.own(k)
+        self.mark[own] = 1
+        if among is None:
+            shared, size = np.add.reduceat(self.mark[self.flat], self.start[:-1]), self.size
+        else:
+            size = self.size[among]
+            at = np.repeat(self.start[among] - np.cumsum(size) + size, size) + np.arange(size.sum())
+            shared = np.add.reduceat(self.mark[self.flat[at]], np.cumsum(size) - size)
+        self.mark[own] = 0
+        return shared / (self.size[k] + size - shared)
+
+
+def _find(parent: list[int], x: int) -> int:
+    while parent[x] != x:
+        parent[x] = parent[parent[x]]
+        x = parent[x]
+    return x
+
+
+def _unite(parent: list[int], x: int, others: np.ndarray) -> None:
+    for y in others.tolist():
+        a, b = _find(parent, x), _find(parent, y)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+
+
+def settled(sets: list[np.ndarray], copies: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """(first, links): for each set the first that chains of links reach, and the copies of all other sets at the threshold or above.
+
+    A leader's distances to all are taken; sets within half of the greatest linked distance of it are linked with each other, and with
+    a set y whose distance from the leader lies beyond theirs by more they are not. Only what lies between is compared.
+    """
+    m, s, near = len(sets), _Sets(sets), 1 - threshold
+    links, parent, left = np.zeros(m, np.int64), list(range(m)), np.ones(m, dtype=bool)
+    for leader in range(m):
+        if not left[leader]:
             continue
-        label[first] = first
-        queue, at = [first], 0
-        while at < len(queue):
-            k, at = queue[at], at + 1
-            left = label[rest] < 0
-            if not left.all():
-                rest_flat, rest, rest_size = rest_flat[np.repeat(left, rest_size)], rest[left], rest_size[left]
-            if not len(rest):
-                break
-            mark[own[k]] = 1
-            shared = np.add.reduceat(mark[rest_flat], np.cumsum(rest_size) - rest_size)
-            mark[own[k]] = 0
-            new = rest[shared / (sizes[k] + rest_size - shared) >= threshold]
-            label[new] = first
-            queue += new.tolist()
-    return label
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[np.ndarray]]]:
-    """([(rep, ids)], [grams]) of each component; rows come sorted by component."""
-    comp, docs, sets = None, [], []
+        score = s.scores(leader)
+        away = 1 - score
+        linked = np.flatnonzero(score >= threshold)
+        links[leader] = copies[linked].sum() - copies[leader]
+        _unite(parent, leader, linked)
+        core = np.flatnonzero(left & (away <= near / 2 - EPS))
+        left[core] = left[leader] = False
+        order = np.argsort(away, kind="stable")
+        ranked, summed = away[order], np.concatenate([[0], np.cumsum(copies[order])])
+        for x in core[core != leader].tolist():
+            a, z = np.searchsorted(ranked, (near - EPS - away[x], near + EPS + away[x]), side="right")
+            links[x] = summed[a] - copies[x]
+            if z > a:
+                open_ = order[a:z]
+                more = open_[s.scores(x, open_) >= threshold]
+                links[x] += copies[more].sum()
+                _unite(parent, x, more)
+    return np.array([_find(parent, x) for x in range(m)]), links
+
+
+def crossed(left: list[np.ndarray], right: list[np.ndarray], copies: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """As ``settled``, of pairs of one set of left and one of right, which are numbered on; copies are of both."""
+    a, m = len(left), len(left) + len(right)
+    s, links, parent = _Sets([*left, *right]), np.zeros(m, np.int64), list(range(m))
+    short, long = (np.arange(a), np.arange(a, m)) if a <= m - a else (np.arange(a, m), np.arange(a))
+    for x in short.tolist():
+        with_x = long[s.scores(x, long) >= threshold]
+        links[x] += copies[with_x].sum()
+        links[with_x] += copies[x]
+        _unite(parent, x, with_x)
+    return np.array([_find(parent, x) for x in range(m)]), links
+
+
+def _groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[list[int], list[int], list[int], list[np.ndarray]]]:
+    """(reps, copies, sides, sets) of each run of rows of equal first ``keys`` columns; then come side, rep, copies, grams."""
+    at, reps, copies, sides, sets = None, [], [], [], []
     for batch in batches:
-        comps, reps = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-        ids, grams = batch.column(2), batch.column(3)
-        ids_flat, ids_off = ids.values.to_numpy(), ids.offsets.to_numpy()
-        flat, off = grams.values.to_numpy().view(np.uint64), grams.offsets.to_numpy()
+        key = list(zip(*(batch.column(k).to_pylist() for k in range(keys))))
+        side, rep, many = (batch.column(keys + k).to_pylist() for k in range(3))
+        lists = batch.column(keys + 3)
+        flat, off = lists.values.to_numpy(), lists.offsets.to_numpy()
         for k in range(len(batch)):
-            if comps[k] != comp and docs:
-                yield docs, sets
-                docs, sets = [], []
-            if comps[k] == comp and docs and docs[-1][0] == reps[k]:
+            if key[k] != at and reps:
+                yield reps, copies, sides, sets
+                reps, copies, sides, sets = [], [], [], []
+            if key[k] == at and reps and reps[-1] == rep[k]:
                 continue  # a repeated row
-            comp = comps[k]
-            docs.append((int(reps[k]), ids_flat[ids_off[k] : ids_off[k + 1]].copy()))
+            at = key[k]
+            reps.append(rep[k])
+            copies.append(many[k])
+            sides.append(side[k])
             sets.append(flat[off[k] : off[k + 1]].copy())
-    if docs:
-        yield docs, sets
+    if reps:
+        yield reps, copies, sides, sets
 
 
-def _in_components(df: DataFrame, schema: str, fn, n: int, threshold: float, recall: float, rows: int) -> DataFrame:
-    reps, comps = _candidates(df, n, threshold, recall, rows)
-    wanted = cut(reps.join(comps, reps["rep"] == comps["node"]).select("rep", "ids", "digest_a", "digest_b", F.col("label").alias("comp")))
-    grams = _grams(df, sized(wanted, 100), n)
+def _in_groups(rows: DataFrame, keys: list[str], settle: Callable) -> DataFrame:
+    """(rep, root, links) of the rows (keys, side, rep, copies, grams), each group of keys in one task, which its size allows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs, sets in _groups(batches):
-            yield from fn(docs, sets)
-
-    return reps, grams.repartition("comp").sortWithinPartitions("comp", "rep").mapInArrow(run, schema)
-
-
-def _pair_batches(a: np.ndarray, b: np.ndarray, score: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for k in range(0, len(a), 1 << 18):
-        x, y, s = a[k : k + (1 << 18)], b[k : k + (1 << 18)], score[k : k + (1 << 18)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y)), pa.array(np.round(s, 6))], names=["doc_a", "doc_b", "jaccard"])
-
-
-def join(df: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
-    """(doc_a, doc_b, jaccard rounded to 6 places)."""
-
-    def pairs(docs: list, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        i, j, score = similar(sets, threshold)
-        ids = [d[1] for d in docs]
-        count = np.array([len(x) for x in ids])
-        plain = (count[i] == 1) & (count[j] == 1)
-        firsts = np.array([x[0] for x in ids])
-        yield from _pair_batches(firsts[i[plain]], firsts[j[plain]], score[plain])
-        for x, y, s in zip(i[~plain], j[~plain], score[~plain]):
-            a, b = np.repeat(ids[x], count[y]), np.tile(ids[y], count[x])
-            yield from _pair_batches(a, b, np.full(len(a), s))
-
-    reps, across = _in_components(df, "doc_a long, doc_b long, jaccard double", pairs, n, threshold, recall, rows)
-
-    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column(0)
-            flat, off = ids.values.to_numpy(), ids.offsets.to_numpy()
-            left, right, held = [], [], 0
-            for k in range(len(batch)):
-                own = flat[off[k] : off[k + 1]]
-                for x in range(len(own) - 1):
-                    left.append(np.full(len(own) - x - 1, own[x]))
-                    right.append(own[x + 1 :])
-                    held += len(own) - x - 1
-                    if held > 1 << 18:
-                        a = np.concatenate(left)
-                        yield from _pair_batches(a, np.concatenate(right), np.ones(len(a)))
-                        left, right, held = [], [], 0
-            if held:
-                a = np.concatenate(left)
-                yield from _pair_batches(a, np.concatenate(right), np.ones(len(a)))
-
-    within = reps.where("copies > 1").select("ids").mapInArrow(copies, "doc_a long, doc_b long, jaccard double")
-    return across.unionByName(within)
-
-
-def losers(df: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
-    """(doc_id) of the documents that go: all of a group but the lowest doc_id."""
-
-    def merged(docs: list, sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        reps, label = np.array([d[0] for d in docs], np.int64), linked(sets, threshold)
-        least = np.full(len(docs), np.iinfo(np.int64).max)
-        np.minimum.at(least, label, reps)
-        gone = reps[least[label] != reps]
-        if len(gone):
-            yield pa.RecordBatch.from_arrays([pa.array(gone)], names=["doc_id"])
-
-    reps, across = _in_components(df, "doc_id long", merged, n, threshold, recall, rows)
-    copies = reps.where("copies > 1").select(F.explode(F.slice("ids", 2, F.greatest(F.size("ids") - 1, F.lit(1)))).alias("doc_id"))
-    return across.unionByName(copies)
+        for reps, copies, sides, sets in _groups(batches, len(keys)):
+            first, links = settle(sets, sides, np.array(copies, np.int64))
+            ids = np.array(reps, np.int64)
+            least = np.full(len(ids), np.iinfo(np.int64).max)
+            np.minimum.at(least, first, ids)
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(least[first]), pa.array(links)], names=["rep", "root", "links"])
+
+    small_batches(rows.sparkSession)
+    return rows.select(*keys, "side", "rep", "copies", "grams").repartition(*keys).sortWithinPartitions(*keys, "side", "rep").mapInArrow(run, "rep long, root long, links long")
+
+
+def _in_blocks(placed: DataFrame, grams: DataFrame, threshold: float, cell: int) -> DataFrame:
+    """(rep, root, links) of groups (label, rep, size, copies) too large for a task."""
+    near = round((1 - threshold) / STEP)
+    known = _verified(placed.where("rep <> label").select(F.col("rep").alias("u"), F.col("label").alias("v"), "size", "copies"), grams)
+    own = placed.where("rep = label").select(F.col("rep").alias("u"), F.col("label").alias("v"), "size", "copies", F.lit(1.0).alias("j"))
+    rows = cut(known.unionByName(own).select(F.col("v").alias("label"), F.col("u").alias("rep"), "size", "copies", "j", F.floor((1 - F.col("j")) / STEP).cast("int").alias("bin")))
+    bins = cut(rows.groupBy("label", "bin").agg(F.sum("size").alias("w"), F.sum("copies").alias("c")).withColumn("parts", F.ceil(F.col("w") / cell)))
+    other = bins.select("label", F.col("bin").alias("o_bin"), F.col("c").alias("o_c"), F.col("parts").alias("o_parts"))
+    pairs = bins.select("label", "bin", "parts").join(other, "label")
+    surely = F.col("bin") + F.col("o_bin") + 2 <= near
+    sums = pairs.where(surely).groupBy("label", "bin").agg(F.sum("o_c").alias("sure"))
+    open_ = pairs.where(~surely & (F.abs(F.col("bin") - F.col("o_bin")) <= near + 1))
+    code = lambda b, p: F.shiftleft(b.cast("long"), 40) + p
+    open_ = open_.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("o_parts") - 1))).select("label", "bin", "parts", code(F.col("o_bin"), F.col("part")).alias("there"))
+    cells = rows.join(open_, ["label", "bin"]).withColumn("here", code(F.col("bin"), F.pmod(F.xxhash64("rep"), F.col("parts"))))
+    cells = cells.select("label", F.least("here", "there").alias("lo"), F.greatest("here", "there").alias("hi"), (F.col("here") > F.col("there")).cast("int").alias("side"), "rep", "copies").join(grams, "rep")
+
+    def settle(sets: list[np.ndarray], sides: list[int], copies: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        a = sides.count(0)
+        if 0 < a < len(sets):
+            return crossed(sets[:a], sets[a:], copies, threshold)
+        return settled(sets, copies, threshold)
+
+    # a block that meets an empty one is alone in its cell; it must not be settled with itself there
+    alone = cells.groupBy("label", "lo", "hi").agg(F.min("side").alias("a"), F.max("side").alias("z")).where("lo = hi or a <> z")
+    found = cut(_in_groups(cells.join(alone.select("label", "lo", "hi"), ["label", "lo", "hi"]), ["label", "lo", "hi"], settle))
+    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
+    edges = found.where("rep <> root").select(F.col("rep").alias("u"), F.col("root").alias("v")).unionByName(rows.where((F.col("j") >= threshold) & (F.col("rep") != F.col("label"))).select(F.col("rep").alias("u"), F.col("label").alias("v")))
+    comps = components(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")))
+    counted = rows.join(sums, ["label", "bin"], "left").join(links, "rep", "left").join(comps.select(F.col("node").alias("rep"), F.col("label").alias("root")), "rep", "left")
+    sure = F.coalesce(F.col("sure") - F.when(2 * F.col("bin") + 2 <= near, F.col("copies")).otherwise(0), F.lit(0))
+    return counted.select("rep", F.coalesce("root", "rep").alias("root"), (sure + F.coalesce("links", F.lit(0))).alias("links"))
+
+
+def _classes(df: DataFrame, n: int, threshold: float, recall: float, rows: int, cell: int) -> tuple[DataFrame, DataFrame]:
+    """(docs, found): (doc_id, size, digests) of all documents; (digests, class_id, links, copies) of the sets that have links or copies."""
+    bands, rows = plan(threshold, recall, rows)
+    first = F.min(F.struct((F.col("size") == 0).alias("none"), "digest_a", "digest_b", "size", "bands")).alias("s")
+    docs = cut(signatures(df, n, bands, rows).groupBy("doc_id").agg(first).select("doc_id", "s.size", "s.digest_a", "s.digest_b", "s.bands"))
+    sets = cut(docs.where("size > 0").groupBy("digest_a", "digest_b", "size").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.any_value("bands").alias("bands")))
+    docs = docs.drop("bands")
+
+    # buckets of two or more, with their lowest member
+    banded = sets.select("rep", F.explode("bands").alias("value"))
+    buckets = banded.groupBy("value").agg(F.count("*").alias("n"), F.min("rep").alias("pivot")).where("n > 1")
+    members = cut(banded.join(buckets.drop("n"), "value").select("value", "rep", "pivot"))
+    involved = cut(sets.drop("bands").join(members.select("rep").distinct(), "rep", "left_semi"))
+    grams = cut(_grams(df, involved, n))
+    size = lambda c: involved.select(F.col("rep").alias(c), F.col("size").alias("size_" + c))
+
+    # balls: near copies of a bucket's lowest member, unless that is near another
+    stars = members.where("rep <> pivot").select(F.col("rep").alias("u"), F.col("pivot").alias("v")).distinct()
+    stars = stars.join(size("u"), "u").join(size("v"), "v").where(_sizes_fit(F.col("size_u"), F.col("size_v"), 1 - BALL)).select("u", "v")
+    close = cut(_verified(stars, grams).where(F.col("j") >= 1 - BALL + EPS).select("u", "v"))
+    homes = close.join(close.select(F.col("u").alias("v")).distinct(), "v", "left_anti").groupBy("u").agg(F.min("v").alias("home"))
+    nodes = involved.join(homes.withColumnRenamed("u", "rep"), "rep", "left").withColumn("home", F.coalesce("home", "rep")).select("rep", "size", "copies", "home")
+    balls = nodes.where("home <> rep").select("home").distinct().withColumn("ball", F.lit(True))
+    nodes = cut(nodes.join(balls, "home", "left").withColumn("ball", F.coalesce("ball", F.lit(False))))
+
+    # homes that share a bucket
+    heads = members.select("value", "rep").join(nodes.select("rep", "home", "ball"), "rep").select("value", F.col("home").alias("id"), "ball").distinct()
+    heads = cut(heads.join(size("id").withColumnRenamed("size_id", "size"), "id"))
+    full = heads.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
+    sharing = cut(heads.join(full, "value").withColumn("level", F.lit(0)))
+    pairs = _paired(sharing.where(F.col("n") <= BUCKET).drop("n"), "value", threshold)
+    crowd = cut(sharing.where(F.col("n") > BUCKET).select("id", "size", "ball").distinct())
+    if not crowd.isEmpty():
+        pairs = pairs.unionByName(_paired(_rarest(crowd, grams, threshold), "gram", threshold)).distinct()
+    edges = _verified(pairs, grams).where(F.col("j") >= F.col("need") - EPS)
+    comps = components(edges)
+
+    # groups within which every link lies
+    grouped = nodes.join(comps.select(F.col("node").alias("home"), "label"), "home", "left").where("ball or label is not null")
+    placed = cut(grouped.select(F.coalesce("label", "home").alias("label"), "rep", "size", "copies"))
+    weights = cut(placed.groupBy("label").agg(F.sum("size").alias("w")))
+    small = placed.join(weights.where(F.col("w") <= cell).select("label"), "label").join(grams, "rep").withColumn("side", F.lit(0))
+    found = _in_groups(small, ["label"], lambda sets, _, copies: settled(sets, copies, threshold))
+    if not weights.where(F.col("w") > cell).isEmpty():
+        found = found.unionByName(_in_blocks(placed.join(weights.where(F.col("w") > cell).select("label"), "label"), grams, threshold, cell))
+    joined = sets.drop("bands").join(found, "rep", "left").where("copies > 1 or root is not null")
+    return docs, cut(joined.select("digest_a", "digest_b", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "copies"))
+
+
+def join(df: DataFrame, n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, rows: int = ROWS, cell: int = CELL) -> DataFrame:
+    """(doc_id, class_id, links) of every document."""
+    docs, found = _classes(df, n, threshold, recall, rows, cell)
+    share = docs.count() / HOT
+    hot, rest = found.where(F.col("copies") > share).drop("copies"), found.where(F.col("copies") <= share).drop("copies")  # there are fewer than HOT hot ones
+    key = ["digest_a", "digest_b"]
+    worded = docs.where("size > 0")
+    some = worded.join(F.broadcast(hot), key)
+    others = worded.join(F.broadcast(hot.select(*key)), key, "left_anti").join(rest, key, "left")
+    out = some.select("doc_id", "class_id", "links").unionByName(others.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links")))
+    return out.unionByName(docs.where("size = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("links")))
+
+
+def losers(df: DataFrame, **how) -> DataFrame:
+    """(doc_id) of the documents that go: all of a class but the lowest doc_id."""
+    return join(df, **how).where("doc_id <> class_id").select("doc_id")
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     """The rows of df, all columns, without the losers."""
-    gone = sized(cut(losers(df.select(df[key].alias("doc_id"), df["text"]), **how).select(F.col("doc_id").alias("__gone"))), 16)
+    gone = losers(df.select(df[key].alias("doc_id"), df["text"]), **how).select(F.col("doc_id").alias("__gone"))
     return df.join(gone, df[key].cast("long") == gone["__gone"], "left_anti")

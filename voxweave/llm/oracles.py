@@ -32,16 +32,19 @@ TOPK = f"""
     SELECT query_id, rank, doc_id, s / 1e6::DOUBLE AS score FROM ranked WHERE rank <= 10"""
 
 JACCARD = f"""
-    WITH words AS (SELECT doc_id, min({words("text")}) AS w FROM documents GROUP BY doc_id),
+    WITH RECURSIVE words AS (SELECT doc_id, min({words("text")}) AS w FROM documents GROUP BY doc_id),
     grams AS (
         SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
             ELSE [w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)] END) AS g
         FROM words WHERE len(w) > 0),
     sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
-    shared AS (SELECT a.doc_id AS doc_a, b.doc_id AS doc_b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL)
-    SELECT doc_a, doc_b, round(k / (x.n + y.n - k), 6) AS jaccard
-    FROM shared JOIN sizes x ON x.doc_id = doc_a JOIN sizes y ON y.doc_id = doc_b
-    WHERE k / (x.n + y.n - k) >= {jaccard.THRESHOLD}"""
+    shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    near AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE k / (x.n + y.n - k) >= {jaccard.THRESHOLD}),
+    reach AS (SELECT a, b FROM near UNION SELECT r.a, n.b FROM reach r JOIN near n ON n.a = r.b),
+    lowest AS (SELECT a, min(b) AS b FROM reach GROUP BY 1),
+    many AS (SELECT a, count(*) AS links FROM near GROUP BY 1)
+    SELECT doc_id, coalesce(least(doc_id, b), doc_id) AS class_id, coalesce(links, 0) AS links
+    FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL) d LEFT JOIN lowest ON lowest.a = doc_id LEFT JOIN many ON many.a = doc_id"""
 
 
 def _trigrams(source: str, keys: str) -> str:
