@@ -99,8 +99,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     def unfinished(e: DataFrame) -> bool:
         """Whether some node has two links, or links to a node that links on."""
-        many = e.groupBy("u").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
-        return many > 1 or not e.join(e.select(F.col("v").alias("u")), "u", "left_semi").isEmpty()
+        ends = e.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(e.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+        seen = ends.groupBy("x").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+        return bool(seen.agg(F.max((F.col("out") > 1) | ((F.col("out") > 0) & (F.col("into") > 0)))).first()[0])
 
     edges = cut(edges.select("u", "v").distinct())
     while unfinished(edges):
