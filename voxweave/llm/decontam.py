@@ -7,26 +7,26 @@ the best window for each document and item whose weighted shingle similarity is
 Shingles are word trigrams (a text of fewer words is one shingle). A shingle's
 weight is ln(1 + items / items that have it). Similarity of a window and an item is
 the weight of the shingles both have over that of those either has; shingles that no
-item has weigh ``ln(1 + items)``.
+item has weigh ``ln(1 + items)``. All items are searched. Of an item of fewer than ``whole_below``
+words, which a sentence of other meaning may share most shingles with, all shingles must be there: its threshold is 1.
 
 How. One Arrow pass over the documents, no shuffle. Windows have an item's number
-of words (a shorter document is one window) and start where a shingle that the item
-shares with the document puts the item's first word. An item is possible in a
-document only if the shingles they share weigh threshold x the item's weight, which
-any window that reaches the threshold implies; windows of no possible item are left
-out, and none is lost by it. Each window gets a 64-bit SimHash. It is cut into eight
+of words (a shorter document is one window) and start at every word. (1) Windows that can't reach the threshold go: the
+similarity is at most the weight of the item's shingles in the window over the item's weight. That is a proof, so no window
+is lost by it. (2) Each other window gets a 64-bit SimHash of its distinct shingles, by running sums. It is cut into eight
 blocks of 8 bits: two fingerprints within ``radius`` bits have some block within
 radius // 8, so probing all variants of each block within that finds all items in
-the radius. Those, of the window's size, are verified on full shingle sets.
+the radius. (3) Where some window is within an item's radius, the exact similarity of all windows is taken. So an item is missed only if none of
+its overlapping windows is within the radius, though one reaches the threshold.
 
-The index of the items is sent to executors in runs of about ``block`` items, each
-a pass over the documents, so what is sent at once doesn't grow with the benchmark.
+The index of the items is sent to executors in runs of about ``block_bytes`` of text, each
+a pass over the documents, so what is sent at once doesn't grow with the benchmark (an item longer than that is sent whole).
 
-Defined cases. Null and empty texts, and null item texts or ids, match nothing.
-Items of fewer than ``least_words`` words are left out: their windows aren't
-evidence. Repeated rows of a doc_id or item_id count once: the best window over
-them. Among windows of equal similarity the first is given. Null doc_id: reported
-never, and kept by ``clean``.
+Defined cases. Null and empty texts, texts without words, and null item texts or ids, match nothing. Very long texts are searched whole.
+Repeated rows of a doc_id or item_id count once: the best window over
+them. Ties: among windows of equal similarity the first is given. Null doc_id: reported
+never, and kept by ``clean``. Empty tables of documents or items give no matches, and ``clean`` keeps all. Only doc_id, item_id and text are
+read, so other columns can't clash; ``clean`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -42,8 +42,9 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .util import cut, keyed, map_batches, sized
 
-N, THRESHOLD, RADIUS, BLOCK, LEAST_WORDS = 3, 0.5, 23, 50_000, 8
+N, THRESHOLD, RADIUS, WHOLE_BELOW, BLOCK_BYTES = 3, 0.5, 23, 8, 4 << 20
 BLOCKS, BITS = 8, 8
+EPS = 1e-9
 
 
 @dataclass
@@ -56,8 +57,7 @@ class Index:
     filter: np.ndarray  # bitmap over the low bits of shingles
     sets: np.ndarray  # item shingles as indexes into shingles, by item
     splits: np.ndarray
-    post: np.ndarray  # items of each shingle, and the shingle's offset in words there
-    post_offset: np.ndarray
+    post: np.ndarray  # items of each shingle
     post_splits: np.ndarray
     prints: np.ndarray  # SimHash by item
     keys: np.ndarray  # sorted block keys: block << 16 | bits
@@ -77,39 +77,30 @@ def simhash(hashes: np.ndarray, weights: np.ndarray) -> int:
     return int(np.packbits(total > 0, bitorder="little").view(np.uint64)[0])
 
 
-def counts_of(splits: np.ndarray, i: int) -> int:
-    return int(splits[i + 1] - splits[i])
-
-
-def build(rows: list[tuple[int, str]], n: int = N, least_words: int = LEAST_WORDS, total: int | None = None, among: dict[int, int] | None = None) -> Index | None:
-    """The index of some items; ``total`` and ``among`` are the number of all items and of those that have each shingle, where there are more."""
+def build(rows: list[tuple[int, str]], n: int = N, total: int | None = None, among: dict[int, int] | None = None) -> Index | None:
+    """The index of some items; ``total`` and ``among`` are the number of all items with words and of those that have each shingle, where there are more."""
     raw, offsets = K.buffers(pa.array([t for _, t in rows], pa.string()))
     words = K.words(raw, offsets)
     counts = np.diff(words.splits)
-    grams, splits = K.ngrams(words, n)
-    splits_all = splits
-    sets, splits = K.distinct(grams, splits)
-    keep = np.flatnonzero(counts >= max(1, least_words))
+    sets, splits = K.distinct(*K.ngrams(words, n))
+    keep = np.flatnonzero(counts > 0)
     if not len(keep):
         return None
     lists = [sets[splits[i] : splits[i + 1]] for i in keep]
-    flat = np.concatenate(lists)
-    shingles, place, many = np.unique(flat, return_inverse=True, return_counts=True)
+    shingles, place, many = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
     total = len(keep) if total is None else total
     if among is not None:
         many = np.array([among[h] for h in shingles.view(np.int64).tolist()], np.int64)
     value = np.log1p(total / many)
     new = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
-    owner = np.repeat(np.arange(len(keep)), [counts_of(splits_all, i) for i in keep])
-    offset = np.concatenate([np.arange(counts_of(splits_all, i)) for i in keep])
-    where = np.searchsorted(shingles, np.concatenate([grams[splits_all[i] : splits_all[i + 1]] for i in keep]))
-    by = np.argsort(where, kind="stable")
+    by = np.argsort(place, kind="stable")
     bitmap = np.zeros(1 << 22, dtype=bool)
     bitmap[shingles & np.uint64((1 << 22) - 1)] = True
     prints = np.array([simhash(x, value[place[new[i] : new[i + 1]]]) for i, x in enumerate(lists)], np.uint64)
     blocks = np.concatenate([(np.uint64(b << BITS) | ((prints >> np.uint64(BITS * b)) & np.uint64((1 << BITS) - 1))) for b in range(BLOCKS)])
     order = np.argsort(blocks, kind="stable")
-    return Index(np.array([rows[i][0] for i in keep], np.int64), counts[keep], K.reduce_rows(np.add, value[place], new, 0.0), shingles, value, bitmap, place, new, owner[by], offset[by], np.searchsorted(where[by], np.arange(len(shingles) + 1)), prints, blocks[order], np.tile(np.arange(len(keep)), BLOCKS)[order], float(np.log1p(total)))
+    owner = np.repeat(np.arange(len(keep)), np.diff(new))
+    return Index(np.array([rows[i][0] for i in keep], np.int64), counts[keep], K.reduce_rows(np.add, value[place], new, 0.0), shingles, value, bitmap, place, new, owner[by], np.searchsorted(place[by], np.arange(len(shingles) + 1)), prints, blocks[order], np.tile(np.arange(len(keep)), BLOCKS)[order], float(np.log1p(total)))
 
 
 def variants(radius: int) -> np.ndarray:
@@ -136,84 +127,137 @@ def within(index: Index, prints: np.ndarray, radius: int) -> tuple[np.ndarray, n
     return both // len(index.ids), both % len(index.ids)
 
 
-def search(index: Index, column: pa.Array, n: int, threshold: float, radius: int) -> list[tuple[int, int, int, int, float]]:
+def _short(w: K.Words, m: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, splits by row) of all runs of m words, m < n, hashed as a text of just these words is."""
+    many = np.maximum(np.diff(w.splits) - m + 1, 0)
+    splits = np.concatenate([[0], np.cumsum(many)])
+    first = np.repeat(w.splits[:-1] - splits[:-1], many) + np.arange(splits[-1])
+    total = np.zeros(len(first), np.uint64)
+    for k in range(n):
+        total = K.mix(total * np.uint64(0xD1342543DE82EF95) + (w.hash[first + k] if k < m else np.uint64(0)) + np.uint64(k + 1))
+    return total, splits
+
+
+class _Row:
+    """A document's shingles, for sums over the distinct ones of each window."""
+
+    def __init__(self, index: Index, grams: np.ndarray):
+        self.grams, m = grams, len(grams)
+        order = np.argsort(grams, kind="stable")
+        again = np.flatnonzero(grams[order[1:]] == grams[order[:-1]]) + 1
+        self.before = np.full(m, -1)  # place of the same shingle before
+        self.before[order[again]] = order[again - 1]
+        self.at = np.minimum(np.searchsorted(index.shingles, grams), len(index.shingles) - 1)
+        self.known = index.shingles[self.at] == grams
+        self.weight = np.where(self.known, index.value[self.at], index.default)
+        self.totals: dict[int, np.ndarray] = {}
+
+    def summed(self, values: np.ndarray, z: int) -> np.ndarray:
+        """Over windows of z shingles by start: the sum of values of the distinct shingles in it. values has a row for each place."""
+        place = np.arange(len(values))
+        change = np.zeros((len(values) + 1, *values.shape[1:]))
+        np.add.at(change, np.maximum(self.before + 1, place - z + 1).clip(0), values)
+        change[1:] -= values  # a shingle is in no window that starts after it
+        return np.cumsum(change, axis=0)[: len(values) - z + 1]
+
+    def total(self, z: int) -> np.ndarray:
+        if z not in self.totals:
+            self.totals[z] = self.summed(self.weight, z)
+        return self.totals[z]
+
+    def prints(self, starts: np.ndarray, z: int) -> np.ndarray:
+        """SimHash of the windows at ``starts``, which are sorted, over the stretch they span."""
+        a, b = int(starts[0]), int(starts[-1]) + z
+        part = _Row.__new__(_Row)
+        part.before = np.maximum(self.before[a:b] - a, -1)
+        sums = part.summed(_bits(self.grams[a:b]) * self.weight[a:b, None], z)[starts - a]
+        return np.ascontiguousarray(np.packbits(sums > 0, axis=1, bitorder="little")).view(np.uint64)[:, 0]
+
+
+def search(index: Index, column: pa.Array, n: int, threshold: float, radius: int, whole_below: int = WHOLE_BELOW) -> list[tuple[int, int, int, int, float]]:
     """(row, item, first word, words, similarity): the best window of each row and item."""
     raw, offsets = K.buffers(column)
-    best: dict[tuple[int, int], tuple[float, int, int]] = {}
+    out: list[tuple[int, int, int, int, float]] = []
     items = len(index.ids)
+    least = np.where(index.words < whole_below, 1.0, threshold)
     for i, _, part, off in K.slices(raw, offsets):
         words = K.words(part, off)
-        grams, splits = K.ngrams(words, n)
-        hit = np.flatnonzero(index.filter[grams & np.uint64((1 << 22) - 1)])
-        at = np.minimum(np.searchsorted(index.shingles, grams[hit]), len(index.shingles) - 1)
-        good = index.shingles[at] == grams[hit]
-        hit, at = hit[good], at[good]
-        if not len(hit):
-            continue
-        many = index.post_splits[at + 1] - index.post_splits[at]
-        place = np.repeat(index.post_splits[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        item, offset, hit, at = index.post[place], index.post_offset[place], np.repeat(hit, many), np.repeat(at, many)
-        row = np.searchsorted(splits, hit, side="right") - 1
-        pair = row * items + item
-        _, first = np.unique(pair * len(index.shingles) + at, return_index=True)
-        pairs, back = np.unique(pair[first], return_inverse=True)
-        possible = pairs[np.bincount(back, weights=index.value[at[first]]) >= threshold * index.weight[pairs % items] - 1e-9]
-        keep = np.isin(pair, possible)
-        row, item, offset, hit = row[keep], item[keep], offset[keep], hit[keep]
-        if not len(row):
-            continue
-        size, total = index.words[item], np.diff(words.splits)[row]
-        start = np.clip(hit - splits[row] - offset, 0, np.maximum(total - size, 0))
-        windows = np.unique(np.stack([row, start, size], axis=1), axis=0)
-        sets = [np.unique(grams[splits[r] + s : min(splits[r] + s + max(1, z - n + 1), splits[r + 1])]) for r, s, z in windows.tolist()]
-        known = [_known(index, h) for h in sets]
-        weights = [np.where(k, index.value[p], index.default) for p, k in known]
-        prints = np.array([simhash(h, w) for h, w in zip(sets, weights)], np.uint64)
-        window, found = within(index, prints, radius)
-        fits = index.words[found] == windows[window, 2]
-        for w, k in zip(window[fits].tolist(), found[fits].tolist()):
-            p, is_known = known[w]
-            both = float(index.value[np.intersect1d(p[is_known], index.sets[index.splits[k] : index.splits[k + 1]])].sum())
-            score = round(both / (float(weights[w].sum()) + float(index.weight[k]) - both), 6)
-            r, s, z = windows[w].tolist()
-            if score >= threshold:
-                mine = (score, -s, -min(z, int(np.diff(words.splits)[r])))
-                if (i + r, k) not in best or mine > best[i + r, k]:
-                    best[i + r, k] = mine
-    return [(r, k, -s, -z, score) for (r, k), (score, s, z) in best.items()]
-
-
-def _known(index: Index, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at = np.minimum(np.searchsorted(index.shingles, hashes), len(index.shingles) - 1)
-    return at, index.shingles[at] == hashes
-
-
-def _frequencies(items: DataFrame, n: int, least_words: int) -> DataFrame:
-    """(part, shingle, first) of the distinct shingles of each item that is long enough; first marks one row an item."""
+        for m in [n, *sorted({int(x) for x in index.words if x < n})]:
+            grams, splits = K.ngrams(words, n) if m == n else _short(words, m, n)
+            hit = np.flatnonzero(index.filter[grams & np.uint64((1 << 22) - 1)])
+            at = np.minimum(np.searchsorted(index.shingles, grams[hit]), len(index.shingles) - 1)
+            good = index.shingles[at] == grams[hit]
+            hit, at = hit[good], at[good]
+            many = index.post_splits[at + 1] - index.post_splits[at]
+            item = index.post[np.repeat(index.post_splits[at] - np.cumsum(many) + many, many) + np.arange(many.sum())]
+            fits = index.words[item] >= n if m == n else index.words[item] == m
+            item, hit, at = item[fits], np.repeat(hit, many)[fits], np.repeat(at, many)[fits]
+            if not len(hit):
+                continue
+            row = np.searchsorted(splits, hit, side="right") - 1
+            pair = row * items + item
+            if m < n:  # the window is the item
+                pairs, first = np.unique(pair, return_index=True)
+                out += [(i + p // items, p % items, int(hit[f] - splits[p // items]), m, 1.0) for p, f in zip(pairs.tolist(), first.tolist())]
+                continue
+            _, first = np.unique(pair * len(index.shingles) + at, return_index=True)
+            pairs, back = np.unique(pair[first], return_inverse=True)
+            possible = pairs[np.bincount(back, weights=index.value[at[first]]) >= (least * index.weight)[pairs % items] - EPS]
+            out += [(i + r, k, s, min(int(index.words[k]), int(words.splits[r + 1] - words.splits[r])), score) for r, k, s, score in _best(index, grams, splits, possible, least, n, radius)]
+    return out
+
+
+def _best(index: Index, grams: np.ndarray, splits: np.ndarray, pairs: np.ndarray, least: np.ndarray, n: int, radius: int) -> list[tuple[int, int, int, float]]:
+    """(row, item, start, similarity) of the pairs (row x items + item), sorted, that match."""
+    items, rows, held, prints = len(index.ids), {}, [], []
+    for p in pairs.tolist():
+        r, k = divmod(p, items)
+        if r not in rows:
+            rows = {r: _Row(index, grams[splits[r] : splits[r + 1]])}
+        row = rows[r]
+        z = min(max(1, int(index.words[k]) - n + 1), len(row.grams))
+        own = row.known & np.isin(row.at, index.sets[index.splits[k] : index.splits[k + 1]])
+        both = row.summed(row.weight * own, z)
+        starts = np.flatnonzero(both >= least[k] * index.weight[k] - EPS)
+        if len(starts):
+            scores = np.round(both[starts] / (row.total(z)[starts] + index.weight[k] - both[starts]), 6)
+            top = int(np.argmax(scores))
+            if scores[top] >= least[k]:
+                held.append((r, k, int(starts[top]), float(scores[top])))
+                prints.append(row.prints(starts, z))
+    if not held:
+        return []
+    of = np.repeat(np.arange(len(held)), [len(x) for x in prints])
+    distinct, back = np.unique(np.concatenate(prints), return_inverse=True)
+    window, found = within(index, distinct, radius)
+    near = set((window * items + found).tolist())
+    seen = {h for h, b in zip(of.tolist(), back.reshape(-1).tolist()) if b * items + held[h][1] in near}
+    return [held[h] for h in sorted(seen)]
+
+
+def _frequencies(items: DataFrame, n: int) -> DataFrame:
+    """(part, shingle, first) of the distinct shingles of each item; first marks one row an item."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         raw, offsets = K.buffers(batch.column(1))
-        words = K.words(raw, offsets)
-        sets, splits = K.distinct(*K.ngrams(words, n))
-        many = np.where(np.diff(words.splits) >= max(1, least_words), np.diff(splits), 0)
-        row = np.repeat(np.arange(len(many)), many)
-        at = np.repeat(splits[:-1] - np.cumsum(many) + many, many) + np.arange(many.sum())
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(sets[at].view(np.int64)), pa.array(at == splits[row])], names=["part", "shingle", "first"])
+        sets, splits = K.distinct(*K.ngrams(K.words(raw, offsets), n))
+        row = np.repeat(np.arange(len(splits) - 1), np.diff(splits))
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row)), pa.array(sets.view(np.int64)), pa.array(np.arange(len(row)) == splits[row])], names=["part", "shingle", "first"])
 
     return map_batches(items.select("part", "text"), "part long, shingle long, first boolean", one)
 
 
-def matches(docs: DataFrame, items: DataFrame, n: int = N, threshold: float = THRESHOLD, radius: int = RADIUS, block: int = BLOCK, least_words: int = LEAST_WORDS) -> DataFrame:
+def matches(docs: DataFrame, items: DataFrame, n: int = N, threshold: float = THRESHOLD, radius: int = RADIUS, block_bytes: int = BLOCK_BYTES, whole_below: int = WHOLE_BELOW) -> DataFrame:
     """(doc_id, item_id, start_word, n_words, similarity rounded to 6 places)."""
     spark = docs.sparkSession
     texts = keyed(docs).where("doc_id is not null and text is not null")
     wanted = items.select(items["item_id"].cast("long").alias("item_id"), items["text"].cast("string").alias("text")).where("item_id is not null and text is not null").distinct()
     wanted = cut(wanted)
-    parts = max(1, -(-wanted.count() // block))
+    parts = max(1, -(-(wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
     numbered = wanted.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
     total = among = None
     if parts > 1:  # weights are those of all items together
-        seen = cut(_frequencies(numbered, n, least_words))
+        seen = cut(_frequencies(numbered, n))
         total = seen.where("first").count()
         counts = cut(seen.groupBy("shingle").agg(F.count("*").alias("many")))
     schema = "doc_id long, item_id long, start_word int, n_words int, similarity double"
@@ -221,15 +265,15 @@ def matches(docs: DataFrame, items: DataFrame, n: int = N, threshold: float = TH
     for part in range(parts):
         if parts > 1:
             among = {r[0]: r[1] for r in counts.join(seen.where(F.col("part") == part).select("shingle").distinct(), "shingle").collect()}
-        index = build([(r[0], r[1]) for r in numbered.where(F.col("part") == part).orderBy("item_id", "text").select("item_id", "text").collect()], n, least_words, total, among)
+        index = build([(r[0], r[1]) for r in numbered.where(F.col("part") == part).orderBy("item_id", "text").select("item_id", "text").collect()], n, total, among)
         if index is None:
             continue
         sent = spark.sparkContext.broadcast(index)
 
         def one(batch: pa.RecordBatch, sent=sent) -> pa.RecordBatch:
-            found = search(sent.value, batch.column(1), n, threshold, radius)
+            found = search(sent.value, batch.column(1), n, threshold, radius, whole_below)
             rows = pa.array([f[0] for f in found], pa.int64())
-            return pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array([int(sent.value.ids[f[1]]) for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.int32()), pa.array([round(f[4], 6) for f in found], pa.float64())], names=["doc_id", "item_id", "start_word", "n_words", "similarity"])
+            return pa.RecordBatch.from_arrays([batch.column(0).take(rows), pa.array([int(sent.value.ids[f[1]]) for f in found], pa.int64()), pa.array([f[2] for f in found], pa.int32()), pa.array([f[3] for f in found], pa.int32()), pa.array([f[4] for f in found], pa.float64())], names=["doc_id", "item_id", "start_word", "n_words", "similarity"])
 
         got = map_batches(texts, schema, one)
         out = got if out is None else out.unionByName(got)

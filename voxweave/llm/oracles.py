@@ -51,24 +51,27 @@ def _trigrams(source: str, keys: str) -> str:
     return f"SELECT {keys}, i - 1 AS pos, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM {source})"
 
 
-#: The best aligned window by exact similarity; the radius isn't tested, which pairs of this similarity are within.
+#: The best of all windows of an item's words by exact similarity, of pairs that share enough shingles anywhere for some window to reach the threshold. Neither fingerprints nor the radius come in.
 DECONTAM = f"""
-    WITH its AS (SELECT row_number() OVER () AS k, item_id, w, len(w) AS size FROM (SELECT item_id, {words("text")} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)) WHERE len(w) >= {decontam.LEAST_WORDS}),
+    WITH its AS (SELECT row_number() OVER () AS k, item_id, w, len(w) AS size, CASE WHEN len(w) < {decontam.WHOLE_BELOW} THEN 1.0 ELSE {decontam.THRESHOLD} END::DOUBLE AS least
+        FROM (SELECT item_id, {words("text")} AS w FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)) WHERE len(w) > 0),
     ig AS ({_trigrams("its", "k, size")}),
-    own AS (SELECT DISTINCT k, g FROM ig),
+    own AS (SELECT DISTINCT k, g FROM ig UNION SELECT k, array_to_string(w, ' ') FROM its WHERE size < 3),
     base AS (SELECT ln(1 + count(*)::DOUBLE) AS v FROM its),
     wt AS (SELECT g, ln(1 + (SELECT count(*)::DOUBLE FROM its) / count(*)) AS v FROM own GROUP BY g),
     iw AS (SELECT k, sum(v) AS weight FROM own JOIN wt USING (g) GROUP BY k),
     d AS (SELECT row_number() OVER () AS r, doc_id, len(w) AS n, w FROM (SELECT doc_id, {words("text")} AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)),
     dg AS ({_trigrams("d", "r, doc_id, n")}),
-    hits AS (SELECT r, doc_id, n, ig.k, size, dg.pos - ig.pos AS s, dg.g FROM dg JOIN ig ON dg.g = ig.g),
-    possible AS (SELECT r, h.k FROM (SELECT DISTINCT r, k, g FROM hits) h JOIN wt USING (g) JOIN iw ON iw.k = h.k GROUP BY r, h.k, weight HAVING sum(v) >= {decontam.THRESHOLD}::DOUBLE * weight - 1e-9),
-    starts AS (SELECT DISTINCT h.r, doc_id, n, h.k, size, greatest(least(s, greatest(n - size, 0)), 0) AS s FROM hits h JOIN possible p ON p.r = h.r AND p.k = h.k),
-    win AS (SELECT DISTINCT s.r, s.doc_id, s.n, k, size, s, g FROM starts s JOIN dg ON dg.r = s.r AND pos BETWEEN s AND s + size - 3),
-    summed AS (SELECT win.r, doc_id, n, win.k, size, s, sum(coalesce(v, (SELECT v FROM base))) AS total, coalesce(sum(v) FILTER (own.g IS NOT NULL), 0) AS both_
+    shared AS (SELECT DISTINCT r, doc_id, n, k, g FROM dg JOIN own USING (g)),
+    possible AS (SELECT r, doc_id, n, k, size, weight, least, unnest(range(0, greatest(n - size, 0) + 1)) AS s FROM
+        (SELECT r, doc_id, n, k, size, weight, least FROM shared JOIN wt USING (g) JOIN iw USING (k) JOIN its USING (k) WHERE size >= 3 GROUP BY ALL HAVING sum(v) >= least * weight - 1e-9)),
+    win AS (SELECT DISTINCT p.*, g FROM possible p JOIN dg ON dg.r = p.r AND pos BETWEEN s AND s + size - 3),
+    summed AS (SELECT win.r, doc_id, n, win.k, size, weight, least, s, sum(coalesce(v, (SELECT v FROM base))) AS total, coalesce(sum(v) FILTER (own.g IS NOT NULL), 0) AS both_
         FROM win LEFT JOIN wt ON wt.g = win.g LEFT JOIN own ON own.k = win.k AND own.g = win.g GROUP BY ALL),
-    scored AS (SELECT doc_id, item_id, s::INT AS start_word, least(summed.size, n)::INT AS n_words, round(both_ / (total + weight - both_), 6) AS similarity FROM summed JOIN iw ON iw.k = summed.k JOIN its ON its.k = summed.k)
-    SELECT * FROM scored WHERE similarity >= {decontam.THRESHOLD} QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start_word, n_words) = 1"""
+    brief AS (SELECT doc_id, item_id, s, size FROM (SELECT *, unnest(range(0, n - size + 1)) AS s FROM d JOIN (SELECT k, item_id, size, w AS iw FROM its WHERE size < 3) i ON n >= size) WHERE w[s + 1 : s + size] = iw),
+    scored AS (SELECT doc_id, item_id, s::INT AS start_word, least(summed.size, n)::INT AS n_words, round(both_ / (total + weight - both_), 6) AS similarity, summed.least FROM summed JOIN its ON its.k = summed.k
+        UNION ALL SELECT doc_id, item_id, s::INT, size::INT, 1.0, 1.0 FROM brief)
+    SELECT * EXCLUDE (least) FROM scored WHERE similarity >= least QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start_word, n_words) = 1"""
 
 
 def _license() -> str:
