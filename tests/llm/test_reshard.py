@@ -38,6 +38,62 @@ def test_small_flow_by_enumeration():
     assert sum(n for *_, n in R.transfers(sizes, caps)) == best == 2
 
 
+def test_blocks_move_least_by_enumeration():
+    rng, settled = random.Random(3), 0
+    for _ in range(150):
+        names = [f"s{k}" for k in range(rng.randrange(1, 4))]
+        own = {s: [(b, rng.randrange(0, 20)) for b in range(rng.randrange(1, 4))] for s in names}
+        sizes = {s: sum(n for _, n in x) for s, x in own.items()}
+        caps = {s: rng.randrange(0, 45) for s in [*rng.sample(names, rng.randrange(0, len(names) + 1)), "n0"]}
+        every = [(s, b, n) for s, x in own.items() for b, n in x]
+        best = None
+        for to in itertools.product(sorted(caps), repeat=len(every)):
+            after = dict.fromkeys(caps, 0)
+            for (_, _, n), x in zip(every, to):
+                after[x] += n
+            if all(after[x] <= caps[x] for x in caps):
+                cost = sum(n for (s, _, n), x in zip(every, to) if s != x)
+                best = cost if best is None else min(best, cost)
+        losing = {s: x for s, x in own.items() if sizes[s] > caps.get(s, -1)}
+        try:
+            got = R.moves(sizes, caps, losing)
+        except ValueError:
+            continue
+        after = dict(sizes)
+        for old, block, new, n in got:
+            assert (block, n) in own[old] and old != new
+            after[old] -= n
+            after[new] = after.get(new, 0) + n
+        assert all(n <= caps.get(s, 0) for s, n in after.items())
+        assert sum(n for *_, n in got) == best
+        settled += 1
+    assert settled > 60
+
+
+def test_heaviest_choice():
+    rng = random.Random(4)
+    for _ in range(100):
+        sizes = [rng.randrange(0, 30) for _ in range(rng.randrange(0, 9))]
+        capacity = rng.randrange(0, 90)
+        best = max(x for k in range(len(sizes) + 1) for c in itertools.combinations(sizes, k) if (x := sum(c)) <= capacity)
+        got = R.heaviest(sizes, capacity)
+        assert len(set(got)) == len(got) and sum(sizes[k] for k in got) == best
+    sizes = [rng.randrange(1 << 28) for _ in range(200)]
+    got = sum(sizes[k] for k in R.heaviest(sizes, 1 << 34))
+    assert (1 << 34) * (1 - len(sizes) / R.STEPS) <= got <= 1 << 34
+
+
+def test_nothing_moves_that_need_not(spark):
+    df = spark.createDataFrame([(k, "x" * 50, "a") for k in range(127)], "doc_id long, text string, source string")
+    assert not any(r["moved"] for r in R.assign(df, capacities={"a": 6400, "b": 6400}).collect())
+    df = spark.createDataFrame([(k, "x" * 100, "a" if k < 90 else "b") for k in range(91)], "doc_id long, text string, source string")
+    got = R.assign(df, capacities={"a": 6400, "b": 6400}).collect()
+    assert sum(r["bytes"] for r in got if r["moved"]) == 2600
+    # ties: rows of equal size, whichever go, are as many as must
+    df = spark.createDataFrame([(k, "x", "a") for k in range(10)], "doc_id long, text string, source string")
+    assert sum(r["moved"] for r in R.assign(df, capacities={"a": 5, "b": 5}).collect()) == 5
+
+
 def table(spark):
     rng = random.Random(2)
     rows = [(k, "x" * rng.randrange(0, 300), "hot" if k % 3 else f"s{k % 7}") for k in range(3000)]
@@ -56,8 +112,7 @@ def test_assignment(spark):
     assert all(n <= caps[k] for k, n in after.items())
     least = sum(max(0, n - caps[k]) for k, n in sizes.items())
     moved = sum(r["bytes"] for r in got if r["moved"])
-    block = caps["hot"] // R.PARTS
-    assert least <= moved <= least + 3 * block * len(after)
+    assert least <= moved <= least + 0.01 * caps["hot"]
     assert {r["old_shard"] for r in got if r["moved"]} == {"hot"}
 
 
@@ -66,8 +121,8 @@ def test_rewrite(spark, tmp_path):
     got = sorted(map(tuple, R.rewrite(df, str(tmp_path / "out"), file_bytes=50_000).collect()))
     assert got == sorted(map(tuple, R.assign(df).collect()))
     written = {r["doc_id"]: r for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    touched = {g[2] for g in got if g[3]} | {g[1] for g in got if g[3]}
-    assert set(written) == {g[0] for g in got if g[2] in touched}
+    losing = {g[1] for g in got if g[3]}
+    assert set(written) == {g[0] for g in got if g[1] in losing} and losing
     assert all(written[k]["text"] == rows[k][1] and written[k]["source"] == rows[k][2] for k in written)
 
 

@@ -1,41 +1,43 @@
 """Resharding by minimum-cost flow.
 
 ``transfers(sizes, capacities)`` solves on the driver, over shards, which bytes go from which
-old shard to which new one so that the fewest bytes move. ``assign(docs)`` gives
-(doc_id, old_shard, new_shard, moved, bytes) of every row; ``rewrite(docs, assigned, path)``
-writes the shards that lose or gain rows, and only those, below ``path``.
-
-How. Sizes by shard come from one pass that keeps a few bytes a row (id, shard, bytes, hash). The
-flow network has an arc of cost 0 from each old shard to the new one of its name, and one of
-cost 1 a byte to a hub from which all new shards are reached, so it grows with the number
-of shards, not its square. It is solved by the primal-dual method: a maximum flow at each
-cost, lowest first. Each shard's rows fall into blocks by a hash, about 1/``parts`` of a
-capacity each; the flow out of a shard is met by its first blocks in order of number, each
-going to the shard in whose stretch of the flow it begins. So no row or block is known to
-the driver. The flow is planned within capacities less two blocks, which what the last block
-of a transfer adds stays within, unless single rows are larger than blocks.
-
-Moved bytes are the minimum for those capacities, and at most one block for each transfer more.
+old shard to which new one so that the fewest bytes move. ``moves(sizes, capacities, blocks)`` gives the blocks that go and where.
+``assign(docs)`` gives (doc_id, old_shard, new_shard, moved, bytes) of every row; ``rewrite(docs, assigned, path)``
+writes the shards that lose rows, and the rows that others gain, and nothing else, below ``path``.
+
+How. Sizes by shard come from one pass that keeps a few bytes a row (id, shard, bytes, hash). Each shard's rows fall into blocks by a hash, about 1/``parts`` of a
+capacity each. Only the sizes of shards, and of the blocks of those that exceed their capacity, are known to the driver. Of such a shard the heaviest
+choice of blocks that its capacity holds stays (a subset sum, exact to 1/STEPS of the capacity), as staying costs nothing; the others must go. Where they go is a
+flow: an arc of cost 0 from each old shard to the new one of its name, and one of
+cost 1 a byte to a hub from which all new shards are reached, so the network grows with the number
+of shards, not its square; it is solved by the primal-dual method: a maximum flow at each
+cost, lowest first. Blocks are dealt along the flow, each whole and only where it fits, so capacities hold.
+
+Moved bytes are the least for whole blocks: no plan of whole blocks that keeps to the capacities moves fewer. Where the room left is so scattered that some block
+fits nowhere, blocks are made a quarter as large, down to 1/MOST_PARTS of a capacity.
 
 Defined cases. Null shard names count as ''. Null texts have 0 bytes and stay or move with their
-block. Repeated rows go together. An empty table gives no rows. Capacities below the sum of sizes
-are an error (ValueError).
+block; so do empty ones. Very long texts count by their bytes; one that exceeds every capacity is an error. Repeated rows go together. Ties: of equal blocks the first by number stays. An empty table gives no rows. Capacities below the sum of sizes,
+or that no whole blocks fit, are an error (ValueError). All columns are rewritten as they are; what is added to the files has names that begin with __reshard_.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections import deque
+from collections.abc import Hashable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .util import cut, ensure_checkpoint_dir, sized
 
-SLACK, PARTS, EXTRA, FILE_BYTES = 0.10, 64, 4, 256 << 20
+SLACK, PARTS, MOST_PARTS, EXTRA = 0.10, 64, 4096, 4
+FILE_BYTES, LEAST_FILE_BYTES = 256 << 20, 16 << 20
+STEPS = 1 << 14
 
 
-def transfers(sizes: dict[str, int], capacities: dict[str, int]) -> list[tuple[str, str, int]]:
+def transfers(sizes: dict[Hashable, int], capacities: dict[str, int]) -> list[tuple]:
     """(old, new, bytes), old <> new, of a flow that moves the fewest bytes."""
     if sum(sizes.values()) > sum(capacities.values()):
         raise ValueError("the new shards can't hold the old ones")
@@ -115,75 +117,146 @@ def transfers(sizes: dict[str, int], capacities: dict[str, int]) -> list[tuple[s
     return out
 
 
-def even(sizes: dict[str, int], extra: int = EXTRA, slack: float = SLACK) -> dict[str, int]:
-    """Equal capacities for the old shards and ``extra`` new ones, with ``slack`` to spare."""
+class NoRoomError(ValueError):
+    """Some block fits nowhere."""
+
+
+def heaviest(sizes: list[int], capacity: int) -> list[int]:
+    """Which of the sizes, by place, have the greatest sum within the capacity; exact where that is below STEPS, else to 1/STEPS of it."""
+    if sum(sizes) <= capacity:
+        return list(range(len(sizes)))
+    unit = -(-capacity // STEPS) if capacity > STEPS else 1
+    most, reach, before = capacity // unit, 1, []
+    for size in sizes:
+        before.append(reach)
+        reach |= (reach << -(-size // unit)) & ((1 << (most + 1)) - 1)
+    at, out = reach.bit_length() - 1, []
+    for k in range(len(sizes) - 1, -1, -1):
+        if not before[k] >> at & 1:
+            out.append(k)
+            at -= -(-sizes[k] // unit)
+    return out[::-1]
+
+
+def moves(sizes: dict[str, int], capacities: dict[str, int], blocks: dict[str, list[tuple[int, int]]]) -> list[tuple[str, int, str, int]]:
+    """(old shard, block, new shard, bytes) of the blocks that go; blocks holds (number, bytes) of those of every shard that exceeds its capacity or has none."""
+    if sum(sizes.values()) > sum(capacities.values()):
+        raise ValueError("the new shards can't hold the old ones")
+    free = {k: c - (sizes.get(k, 0) if k not in blocks else 0) for k, c in capacities.items()}
+    going: dict[str, list[tuple[int, int]]] = {}
+    for shard, own in sorted(blocks.items()):
+        stay = set(heaviest([n for _, n in own], capacities[shard])) if shard in capacities else set()
+        if shard in capacities:
+            free[shard] -= sum(own[k][1] for k in stay)
+        going[shard] = [b for k, b in enumerate(own) if k not in stay]
+    flow: dict[str, dict[str, int]] = {}
+    for (_, old), new, n in transfers({("from", k): sum(n for _, n in own) for k, own in going.items()}, free):
+        flow.setdefault(old, {})[new] = n
+    out = []
+    for n, shard, block in sorted(((n, shard, block) for shard, own in going.items() for block, n in own), key=lambda x: (-x[0], x[1], x[2])):
+        planned = flow.get(shard, {})
+        fits = [k for k in free if free[k] >= n and k != shard] or [k for k in free if free[k] >= n]
+        if not fits:
+            raise NoRoomError("no whole blocks fit the capacities")
+        new = max(fits, key=lambda k: (min(planned.get(k, 0), n), planned.get(k, 0) if planned.get(k, 0) >= n else -free[k], k))
+        planned[new] = max(0, planned.get(new, 0) - n)
+        free[new] -= n
+        out.append((shard, block, new, n))
+    return out
+
+
+def even(sizes: dict[str, int], extra: int = EXTRA, slack: float = SLACK, most: int = 0) -> dict[str, int]:
+    """Equal capacities for the old shards and ``extra`` new ones, with ``slack`` to spare, and room for two rows of ``most`` bytes."""
     names = [*sorted(sizes), *(f"new-{k:04d}" for k in range(extra))]
-    return dict.fromkeys(names, int(sum(sizes.values()) * (1 + slack) / max(1, len(names))) + 1)
+    return dict.fromkeys(names, max(2 * most, int(sum(sizes.values()) * (1 + slack) / max(1, len(names))) + 1))
 
 
 def _hash(docs: DataFrame) -> Column:
     return F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
 
 
+def _bytes(docs: DataFrame) -> Column:
+    return F.coalesce(F.octet_length(docs["text"].cast("string")), F.lit(0)).cast("long")
+
+
 def _shard(docs: DataFrame, by: str) -> Column:
     return F.coalesce(docs[by].cast("string"), F.lit(""))
 
 
-def plan(docs: DataFrame, by: str = "source", capacities: dict[str, int] | None = None, parts: int = PARTS) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, blocks, cuts): (doc_id, old_shard, bytes, hash) of all rows; (old_shard, block, new_shard) of the blocks that move; (old_shard, blocks) of all shards."""
-    spark = docs.sparkSession
-    rows = cut(docs.select(docs["doc_id"].cast("long").alias("doc_id"), _shard(docs, by).alias("old_shard"), F.coalesce(F.octet_length(docs["text"].cast("string")), F.lit(0)).cast("long").alias("bytes"), _hash(docs).alias("hash")))
-    sizes = {r["old_shard"]: r["bytes"] for r in rows.groupBy("old_shard").agg(F.sum("bytes").alias("bytes")).collect()}
-    capacities = even(sizes) if capacities is None else capacities
-    block = max(1, min(capacities.values(), default=1) // parts)
-    planned = {k: max(0, c - 2 * block) for k, c in capacities.items()}
-    flow = transfers(sizes, planned if sum(planned.values()) >= sum(sizes.values()) else capacities)
-    cuts = spark.createDataFrame([(k, max(1, -(-v // block))) for k, v in sizes.items()], "old_shard string, blocks long")
-    stretches, at = [], {}
-    for old, new, n in flow:
-        a = at.get(old, 0)
-        stretches.append((old, new, a, a + n))
-        at[old] = a + n
-    stretch = spark.createDataFrame(stretches, "to_old string, new_shard string, from_byte long, to_byte long")
-    totals = rows.join(sized(cuts, 64), "old_shard").groupBy("old_shard", F.pmod("hash", "blocks").alias("block")).agg(F.sum("bytes").alias("bytes"))
-    begins = F.coalesce(F.sum("bytes").over(Window.partitionBy("old_shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    placed = totals.withColumn("begins", begins)
-    blocks = placed.join(stretch, (F.col("old_shard") == F.col("to_old")) & (F.col("begins") >= F.col("from_byte")) & (F.col("begins") < F.col("to_byte")) & (F.col("bytes") > 0))
-    return rows, cut(blocks.select("old_shard", "block", "new_shard")), cuts
-
-
-def _placed(rows: DataFrame, blocks: DataFrame, cuts: DataFrame) -> DataFrame:
-    """rows, which hold old_shard and hash, with new_shard."""
-    moves = blocks.select(F.col("old_shard").alias("__old"), F.col("block").alias("__block"), "new_shard")
-    cuts = cuts.select(F.col("old_shard").alias("__name"), "blocks")
-    numbered = rows.join(sized(cuts, 64), F.col("old_shard") == F.col("__name"))
-    joined = numbered.join(sized(moves, 100), (F.col("old_shard") == F.col("__old")) & (F.pmod("hash", "blocks") == F.col("__block")), "left")
-    return joined.withColumn("new_shard", F.coalesce("new_shard", "old_shard")).drop("__old", "__block", "__name", "blocks")
+class Plan:
+    """rows: (doc_id, old_shard, bytes, hash) of all rows; cuts: (old_shard, blocks) and goes: (old_shard, block, new_shard) of the shards that lose rows, whose names are ``losing``; written: bytes by new shard of what is written."""
+
+    def __init__(self, docs: DataFrame, by: str, capacities: dict[str, int] | None, parts: int):
+        spark = docs.sparkSession
+        self.rows = cut(docs.select(docs["doc_id"].cast("long").alias("doc_id"), _shard(docs, by).alias("old_shard"), _bytes(docs).alias("bytes"), _hash(docs).alias("hash")))
+        seen = self.rows.groupBy("old_shard").agg(F.sum("bytes").alias("bytes"), F.max("bytes").alias("most")).collect()
+        sizes = {r["old_shard"]: r["bytes"] for r in seen}
+        capacities = even(sizes, most=max((r["most"] for r in seen), default=0)) if capacities is None else capacities
+        losing = sorted(k for k, n in sizes.items() if n > capacities.get(k, -1))
+        own = self.rows.where(F.col("old_shard").isin(losing)) if losing else self.rows.limit(0)
+        found: list[tuple[str, int, str, int]] = []
+        while True:
+            block = max(1, min(capacities.values(), default=1) // parts)
+            counts = [(k, max(1, -(-sizes[k] // block))) for k in losing]
+            self.cuts = spark.createDataFrame(counts, "old_shard string, blocks long")
+            blocks: dict[str, list[tuple[int, int]]] = {k: [] for k in losing}
+            if losing:
+                for r in own.join(sized(self.cuts, 64), "old_shard").groupBy("old_shard", F.pmod("hash", "blocks").alias("block")).agg(F.sum("bytes").alias("bytes")).orderBy("old_shard", "block").collect():
+                    blocks[r["old_shard"]].append((r["block"], r["bytes"]))
+            try:
+                found = moves(sizes, capacities, blocks)
+                break
+            except NoRoomError:
+                if parts >= MOST_PARTS:
+                    raise
+                parts *= 4
+        self.losing = sorted({old for old, *_ in found})
+        self.goes = cut(spark.createDataFrame([f[:3] for f in found], "old_shard string, block long, new_shard string"))
+        self.written = {k: sizes[k] - sum(n for old, _, _, n in found if old == k) for k in self.losing}
+        for _, _, new, n in found:
+            self.written[new] = self.written.get(new, 0) + n
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """rows, which hold old_shard and hash, with new_shard."""
+        goes = self.goes.select(F.col("old_shard").alias("__old"), F.col("block").alias("__block"), "new_shard")
+        cuts = self.cuts.select(F.col("old_shard").alias("__name"), "blocks")
+        numbered = rows.join(sized(cuts, 64), F.col("old_shard") == F.col("__name"), "left")
+        joined = numbered.join(sized(goes, 100), (F.col("old_shard") == F.col("__old")) & (F.pmod("hash", "blocks") == F.col("__block")), "left")
+        return joined.withColumn("new_shard", F.coalesce("new_shard", "old_shard")).drop("__old", "__block", "__name", "blocks")
 
 
 def assign(docs: DataFrame, by: str = "source", capacities: dict[str, int] | None = None, parts: int = PARTS) -> DataFrame:
     """(doc_id, old_shard, new_shard, moved, bytes)."""
-    placed = _placed(*plan(docs, by, capacities, parts))
-    return placed.select("doc_id", "old_shard", "new_shard", (F.col("old_shard") != F.col("new_shard")).alias("moved"), "bytes")
+    plan = Plan(docs, by, capacities, parts)
+    return plan.placed(plan.rows).select("doc_id", "old_shard", "new_shard", (F.col("old_shard") != F.col("new_shard")).alias("moved"), "bytes")
 
 
 def rewrite(docs: DataFrame, path: str, by: str = "source", capacities: dict[str, int] | None = None, parts: int = PARTS, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Writes the rows of all shards that lose or gain any to path/new_shard=NAME/, in files of about ``file_bytes``. Gives what ``assign`` gives, read from those files where they were written."""
-    rows, blocks, cuts = plan(docs, by, capacities, parts)
-    touched = {r[0] for r in blocks.select(F.explode(F.array("old_shard", "new_shard")).alias("s")).distinct().collect()}
-    total = rows.agg(F.sum("bytes")).first()[0] or 0
-    source = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"), _shard(docs, by).alias("old_shard"), F.coalesce(F.octet_length(docs["text"].cast("string")), F.lit(0)).cast("long").alias("bytes"), _hash(docs).alias("hash"))
-    placed = _placed(source, blocks, cuts)
-    hit = placed.where(F.col("new_shard").isin(*touched) if touched else F.lit(False))
-    files = max(1, -(-total // file_bytes))
-    spread = max(1, -(-files // max(1, len(touched))))  # files a shard
-    split = hit.repartition("new_shard", F.pmod(F.shiftright("hash", 17), F.lit(spread)))
-    split.select("row.*", F.col("old_shard").alias("__old_shard"), F.col("bytes").alias("__bytes"), F.col("new_shard").alias("__new_shard")).write.partitionBy("__new_shard").parquet(path)
-    spark = docs.sparkSession
-    schema = "doc_id long, __old_shard string, __bytes long, __new_shard string"
-    written = spark.read.schema(schema).parquet(path).select("doc_id", F.col("__old_shard").alias("old_shard"), F.col("__new_shard").alias("new_shard"), (F.col("__old_shard") != F.col("__new_shard")).alias("moved"), F.col("__bytes").alias("bytes"))
-    kept = rows.where(~F.col("old_shard").isin(*touched)) if touched else rows
-    return written.unionByName(kept.select("doc_id", "old_shard", F.col("old_shard").alias("new_shard"), F.lit(False).alias("moved"), "bytes"))
+    """Writes the rows of all shards that lose any to path/__reshard_new=NAME/, in files of about ``file_bytes`` (smaller ones where there would be fewer than tasks run at once). Shards that only gain keep the files they have. Gives what ``assign`` gives, read from the new files where they were written.
+
+    Rows of other shards are not read: the condition on the shard is the scan's. A task writes one file.
+    """
+    spark, plan = docs.sparkSession, Plan(docs, by, capacities, parts)
+    kept = plan.rows.where(~F.col("old_shard").isin(plan.losing)) if plan.losing else plan.rows
+    kept = kept.select("doc_id", "old_shard", F.col("old_shard").alias("new_shard"), F.lit(False).alias("moved"), "bytes")
+    if not plan.losing:
+        return kept
+    name = docs[by].cast("string")
+    named = name.isin([k for k in plan.losing if k])
+    lost = docs.where(named | name.isNull() | (name == "") if "" in plan.losing else named)
+    source = lost.select(F.struct(*[lost[c] for c in lost.columns]).alias("row"), _shard(lost, by).alias("old_shard"), _bytes(lost).alias("bytes"), _hash(lost).alias("hash"))
+    each = min(file_bytes, max(min(file_bytes, LEAST_FILE_BYTES), sum(plan.written.values()) // (3 * spark.sparkContext.defaultParallelism) + 1))
+    spread, files = [], 0
+    for new, n in sorted(plan.written.items()):
+        spread.append((new, files, max(1, -(-n // each))))
+        files += spread[-1][2]
+    spread = spark.createDataFrame(spread, "to_shard string, first int, files int")
+    placed = plan.placed(source).join(sized(spread, 64), F.col("new_shard") == F.col("to_shard"))
+    split = placed.repartitionById(files, F.col("first") + F.pmod(F.shiftright("hash", 17), F.col("files")).cast("int"))
+    split.select("row.*", F.col("old_shard").alias("__reshard_old"), F.col("bytes").alias("__reshard_bytes"), F.col("new_shard").alias("__reshard_new")).write.partitionBy("__reshard_new").parquet(path)
+    written = spark.read.schema("doc_id long, __reshard_old string, __reshard_bytes long, __reshard_new string").parquet(path)
+    old, new = F.col("__reshard_old"), F.coalesce("__reshard_new", F.lit(""))
+    return written.select("doc_id", old.alias("old_shard"), new.alias("new_shard"), (old != new).alias("moved"), F.col("__reshard_bytes").alias("bytes")).unionByName(kept)
 
 
 def target(docs: DataFrame) -> str:
