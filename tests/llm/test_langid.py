@@ -25,14 +25,14 @@ def test_rates_against_plain_parsing():
     say = lambda n: "".join(rng.choice(letters) for _ in range(n))
     model = L.Model({"x": fold(say(300)), "y": fold(say(200))})
     texts = [say(rng.randrange(0, 90)) for _ in range(60)] + ["zzz", "Abc! 12 dE", "ÉÉ  ß", "", "  "]
-    for chunk in (7, 4096):
-        rate, length = L.rates(model, pa.array(texts), chunk)
-        for k, t in enumerate(texts):
-            f = fold(t)
-            assert length[k] == len(f)
-            for j, lang in enumerate(model.langs):
-                c = sum(plain_phrases(f[a : a + chunk], model.texts[lang]) for a in range(0, len(f), chunk))
-                assert math.isclose(rate[k, j], c * math.log2(len(model.texts[lang]) + 1) / max(1, len(f)))
+    texts += [say(9000), say(12_000)]  # walked by themselves beyond what others have
+    rate, length = L.rates(model, pa.array(texts))
+    for k, t in enumerate(texts):
+        f = fold(t)
+        assert length[k] == len(f)
+        for j, lang in enumerate(model.langs):
+            c = plain_phrases(f, model.texts[lang])
+            assert math.isclose(rate[k, j], c * math.log2(len(model.texts[lang]) + 1) / max(1, len(f)))
 
 
 def fold(t: str) -> bytes:
@@ -53,7 +53,27 @@ def test_accuracy_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = L.identify(docs, L.train(docs)).join(docs.select("doc_id", docs["lang"].alias("said")), "doc_id").collect()
     assert sum(r["lang"] == r["said"] for r in got) / len(got) > 0.97
-    assert all(r["accepted"] for r in got)
+    assert sum(r["accepted"] for r in got) >= 0.99 * len(got)
+
+
+FOREIGN = [
+    "Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, che la diritta via era smarrita. Ahi quanto a dir qual era e cosa dura",
+    "Litwo, ojczyzno moja, ty jesteś jak zdrowie; ile cię trzeba cenić, ten tylko się dowie, kto cię stracił. Dziś piękność twą w całej ozdobie",
+    "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten, en behoren zich jegens elkander te gedragen",
+    "Ainda que eu falasse as línguas dos homens e dos anjos, e não tivesse amor, seria como o metal que soa ou como o sino que tine",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+]
+
+
+def test_other_languages_and_noise_are_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = L.train(docs.where("doc_id % 2 = 0"))
+    rng = random.Random(5)
+    noise = [" ".join(f"{rng.getrandbits(64):016x}" for _ in range(20)), "".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(400))]
+    got = L.identify(spark.createDataFrame(list(enumerate([*FOREIGN, *noise])), "doc_id long, text string"), model).collect()
+    assert not any(r["accepted"] for r in got)
+    rest = L.identify(docs.where("doc_id % 2 = 1"), model).collect()
+    assert sum(r["accepted"] for r in rest) >= 0.99 * len(rest)
 
 
 def test_held_out_accuracy(spark):
@@ -94,6 +114,6 @@ def test_languages_of_many_copies_are_trained(spark):
     df = df.unionByName(spark.createDataFrame([("empty", ""), ("null", None), (None, "unsaid")], "lang string, text string"))
     assert L.train(df).langs == sorted({g for g, _ in texts})
     many = spark.range(3000).selectExpr("'x' AS lang", "concat('words ', id) AS text")
-    few = L.train(many, sample_rows=5).texts["x"]
-    order = many.withColumn("o", F.xxhash64("text")).orderBy("o").limit(5).collect()
+    few = L.train(many, sample_rows=5, held_rows=7).texts["x"]
+    order = many.withColumn("o", F.pmod(F.xxhash64("text"), F.lit(1 << 61))).orderBy("o").limit(5).collect()
     assert few == b" ".join(fold(r["text"]) for r in order)

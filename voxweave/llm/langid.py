@@ -3,7 +3,7 @@
 ``train(df)`` takes labelled text of each language; ``identify(df, model)`` gives
 (doc_id, lang, rate, margin, accepted) for every row.
 
-A model holds, for each language, ``corpus_bytes`` bytes of folded text and its
+A model holds, for each language, folded labelled text and its
 suffix automaton. A text is parsed against it from left to right: each phrase is the
 longest match of what follows anywhere in that language's text, found by walking the
 automaton until it has no way on; the byte at which it stops begins the next phrase.
@@ -12,24 +12,23 @@ byte x log2(corpus length): the cross-parsing estimate of bits per byte. The
 language of the lowest rate wins, ties by name; margin is the gap to the next.
 
 Folding: letters are lowered (ASCII and Latin-1), digits and ASCII punctuation become
-spaces, runs of spaces one; other bytes stay. Texts longer than ``chunk`` bytes are
-parsed in blocks of that size, whose phrases add up; all of the text is used. Many
-blocks are walked at once, a byte of each at a step, through one dense table whose
-entries hold the next state and the phrases ended.
+spaces, runs of spaces one; other bytes stay. Texts are parsed whole, however long. Many
+are walked at once, a byte of each at a step, through one dense table whose
+entries hold the next state and the phrases ended; where only a few are as long as that, each of those is walked by itself.
 
-Accepted means: some letters, and a rate of ``most_rate`` or less. What is rejected
-isn't text in any of the languages.
+Accepted means: some letters, and a rate, less SHORT / sqrt(bytes) as short texts vary more, within the winner's limit: MARGIN above the 0.99 quantile of that
+language's held-out texts. What is rejected isn't text in any of the languages.
 
-Training text is a bounded sample: distinct texts in order of a hash until
-``corpus_bytes`` are filled, drawn from the first ``sample_rows`` of each language, so that
-a language with any text is trained however often it is repeated. The
-bound is a parameter; identification covers everything.
+Training text is a bounded sample of whole rows: ``sample_rows`` distinct texts of each language in order of a hash, those of more than
+LONGEST bytes after all others; the ``held_rows`` next ones are held out to set the limit. So
+a language with any text is trained however often it is repeated. Both
+bounds are parameters; identification covers everything.
 
 Defined cases. Null, empty and letterless texts: lang null, rate and margin null, not
-accepted. Repeated rows and null doc_id are treated row by row. A language with less
-text than ``corpus_bytes`` keeps what there is, normalised by its own length; rows
-with a null label or text don't train. Without any labelled text the model is empty: it names no
-language, and accepts whatever has letters.
+accepted. Repeated rows and null doc_id are treated row by row. An empty table gives no rows. Rows
+with a null label or text don't train. A language without held-out text has the highest limit of the others; where none has any,
+whatever has letters is accepted. Without any labelled text the model is empty: it names no
+language, and accepts whatever has letters. Only doc_id, text and, in training, lang are read, so other columns can't clash; ``accepted`` returns them as they are.
 """
 
 from __future__ import annotations
@@ -45,8 +44,8 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .util import keyed, map_batches
 
-CORPUS_BYTES, SAMPLE_ROWS, CHUNK, MOST_RATE = 24_000, 400, 4096, 9.0
-LANES = 4096
+SAMPLE_ROWS, HELD_ROWS, LONGEST, MARGIN, SHORT = 20, 200, 8192, 0.4, 15.0
+LANES, FEW = 4096, 16
 
 _SPACES = np.zeros(256, dtype=bool)
 _SPACES[:97] = _SPACES[123:128] = True
@@ -107,6 +106,7 @@ def automaton(text: bytes) -> tuple[list[dict[int, int]], int]:
 @dataclass
 class Model:
     texts: dict[str, bytes]
+    limits: dict[str, float] = field(default_factory=dict)  # rate of long texts up to which one is accepted
     langs: list[str] = field(default_factory=list)
 
     def __post_init__(self) -> None:
@@ -158,72 +158,103 @@ def tables(model: Model) -> Tables:
     return _tables[key]
 
 
-def phrases(t: Tables, data: np.ndarray, offsets: np.ndarray, chunk: int) -> np.ndarray:
+def phrases(t: Tables, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """(rows, languages): phrases of each row's folded bytes."""
     n, langs = len(offsets) - 1, len(t.root)
     out = np.zeros((n, langs), np.int64)
     length = np.diff(offsets)
-    blocks = -(-length // chunk)
-    row = np.repeat(np.arange(n), blocks)
-    begin = offsets[row] + (np.arange(len(row)) - np.repeat(np.cumsum(blocks) - blocks, blocks)) * chunk
-    size = np.minimum(chunk, offsets[row + 1] - begin)
-    order = np.argsort(-size, kind="stable")
-    symbols = t.symbol[data].astype(np.int32)
+    order = np.argsort(-length, kind="stable")[: int((length > 0).sum())]
+    symbols, steps = t.symbol[data].astype(np.int32), memoryview(t.step)
     for a in range(0, len(order), LANES):
         lane = order[a : a + LANES]
-        at, left = begin[lane], size[lane]
+        at, left = offsets[lane], length[lane]
         live = np.searchsorted(-left, -np.arange(1, left[0] + 1), side="right")  # lanes that have an s-th byte
+        wide = int(np.searchsorted(-live, -FEW, side="right"))  # steps at which there are at least FEW
         state = np.repeat(t.root[:, None], len(lane), axis=1).astype(t.step.dtype)
         count = np.zeros((langs, len(lane)), np.int64)
-        for s, k in enumerate(live.tolist()):
+        for s, k in enumerate(live[:wide].tolist()):
             got = t.step[state[:, :k] + symbols[at[:k] + s]]
             count[:, :k] += got & 3
             state[:, :k] = got >> 2
+        for k in range(int(live[wide]) if wide < len(live) else 0):
+            rest = symbols[at[k] + wide : at[k] + left[k]].tolist()
+            for x in range(langs):
+                now, many = int(state[x, k]), 0
+                for y in rest:
+                    got = steps[now + y]
+                    many += got & 3
+                    now = got >> 2
+                state[x, k] = now
+                count[x, k] += many
         # what is open at the end is a phrase
-        count += state != t.root[:, None]
-        for x in range(langs):
-            np.add.at(out[:, x], row[lane], count[x])
+        out[lane] = (count + (state != t.root[:, None])).T
     return out
 
 
-def rates(model: Model, column: pa.Array, chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
+def rates(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(rows, languages) of bits per byte, and each row's folded length."""
     t = tables(model)
     raw, offsets = K.buffers(column)
     parts, lengths = [], []
-    for _, _, part, off in K.slices(raw, offsets, 2 << 20):
+    for _, _, part, off in K.slices(raw, offsets, 8 << 20):
         data, ends = fold(part, off)
         length = np.diff(ends)
-        parts.append(phrases(t, data, ends, chunk) * t.bits / np.maximum(length, 1)[:, None])
+        parts.append(phrases(t, data, ends) * t.bits / np.maximum(length, 1)[:, None])
         lengths.append(length)
     return (np.concatenate(parts) if parts else np.zeros((0, len(model.langs)))), (np.concatenate(lengths) if lengths else np.zeros(0, np.int64))
 
 
-def train(df: DataFrame, label: str = "lang", text: str = "text", corpus_bytes: int = CORPUS_BYTES, sample_rows: int = SAMPLE_ROWS) -> Model:
+def _model(drawn: dict[str, list[str]], sample_rows: int) -> Model:
+    """From each language's texts in order: the first are its text, the rest set its limit."""
+
+    def folded(texts: list[str]) -> bytes:
+        data, ends = fold(*K.buffers(pa.array(texts, pa.string())))
+        return b" ".join(p for a, z in zip(ends, ends[1:]) if (p := data[a:z].tobytes()))
+
+    model = Model({lang: folded(texts[:sample_rows]) for lang, texts in drawn.items()})
+    limits = {}
+    for lang in model.langs:
+        rate, length = rates(model, pa.array(drawn[lang][sample_rows:], pa.string()))
+        if (length > 0).any():
+            some = length > 0
+            limits[lang] = float(np.quantile(rate[some, model.langs.index(lang)] - SHORT / np.sqrt(length[some]), 0.99)) * (1 + MARGIN)
+    model.limits = {lang: limits.get(lang, max(limits.values())) for lang in model.langs} if limits else {}
+    return model
+
+
+def train(df: DataFrame, label: str = "lang", text: str = "text", sample_rows: int = SAMPLE_ROWS, held_rows: int = HELD_ROWS) -> Model:
     """A model from the labelled rows of df."""
     rows = df.select(df[label].cast("string").alias("lang"), df[text].cast("string").alias("text"))
-    some = rows.where("lang is not null and length(text) > 0").withColumn("o", F.xxhash64("text"))
-    # the sample_rows-th hash of each language: over distinct hashes, so copies don't count, and of rows of two columns
-    least = some.select("lang", "o").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o"))).where(F.col("k") <= sample_rows)
+    long = F.when(F.octet_length("text") > LONGEST, F.lit(1 << 61)).otherwise(F.lit(0))
+    some = rows.where("lang is not null and length(text) > 0").withColumn("o", F.pmod(F.xxhash64("text"), F.lit(1 << 61)) + long)
+    most = sample_rows + held_rows
+    # the last hash that is wanted of each language: over distinct hashes, so copies don't count, and of rows of two columns
+    least = some.select("lang", "o").distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o"))).where(F.col("k") <= most)
     last = {r["lang"]: r["o"] for r in least.groupBy("lang").agg(F.max("o").alias("o")).collect()}
     if not last:
         return Model({})
-    drawn = some.where(F.col("o") <= F.create_map(*[F.lit(x) for pair in last.items() for x in pair])[F.col("lang")])
-    ranked = drawn.distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", "text"))).where(F.col("k") <= sample_rows)
-    filled = F.coalesce(F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    enough = ranked.withColumn("before", filled).where(F.col("before") < 2 * corpus_bytes).orderBy("lang", "k").select("lang", F.substring("text", 1, corpus_bytes).alias("text")).collect()
-    parts: dict[str, list[bytes]] = {}
-    for lang, one in enough:
-        raw, offsets = K.buffers(pa.array([one]))
-        parts.setdefault(lang, []).append(fold(raw, offsets)[0].tobytes())
-    return Model({lang: b" ".join(p for p in got if p)[:corpus_bytes] for lang, got in parts.items()})
-
-
-def identify(df: DataFrame, model: Model, chunk: int = CHUNK, most_rate: float = MOST_RATE) -> DataFrame:
+    near = some.where(F.col("o") <= F.create_map(*[F.lit(x) for pair in last.items() for x in pair])[F.col("lang")])
+    ranked = near.distinct().withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("o", "text"))).where(F.col("k") <= most)
+    drawn: dict[str, list[str]] = {}
+    for r in ranked.orderBy("lang", "k").select("lang", "text").collect():
+        drawn.setdefault(r["lang"], []).append(r["text"])
+    return _model(drawn, sample_rows)
+
+
+def _accepted(model: Model, rate: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Whether each row has letters and a rate within the limit of its best language."""
+    if not model.limits or not len(rate):
+        return length > 0
+    best = np.argmin(rate, axis=1)
+    limit = np.array([model.limits[x] for x in model.langs])[best] + SHORT / np.sqrt(np.maximum(length, 1))
+    return (length > 0) & (rate[np.arange(len(rate)), best] <= limit)
+
+
+def identify(df: DataFrame, model: Model) -> DataFrame:
     """(doc_id, lang, rate, margin, accepted); rate and margin rounded to 6 places."""
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rate, length = rates(model, batch.column(1), chunk)
+        rate, length = rates(model, batch.column(1))
         some = (length > 0) & bool(model.langs)
         if model.langs:
             order = np.argsort(rate, axis=1, kind="stable")
@@ -233,18 +264,17 @@ def identify(df: DataFrame, model: Model, chunk: int = CHUNK, most_rate: float =
         else:
             best = second = np.zeros(len(length))
             lang = np.full(len(length), None, dtype=object)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.where(some, lang, None), pa.string()), pa.array(np.round(best, 6), mask=~some), pa.array(np.round(second - best, 6), mask=~some), pa.array((length > 0) & (best <= most_rate))], names=["doc_id", "lang", "rate", "margin", "accepted"])
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.where(some, lang, None), pa.string()), pa.array(np.round(best, 6), mask=~some), pa.array(np.round(second - best, 6), mask=~some), pa.array(_accepted(model, rate, length))], names=["doc_id", "lang", "rate", "margin", "accepted"])
 
     return map_batches(keyed(df), "doc_id long, lang string, rate double, margin double, accepted boolean", one)
 
 
-def accepted(df: DataFrame, model: Model, chunk: int = CHUNK, most_rate: float = MOST_RATE) -> DataFrame:
+def accepted(df: DataFrame, model: Model) -> DataFrame:
     """The rows of df, all columns, that ``identify`` accepts: one map over whole rows, no join."""
     index = df.columns.index("text")
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        text = batch.column(index)
-        rate, length = rates(model, text.cast(pa.string()), chunk)
-        return batch.filter(pa.array((length > 0) & (rate.min(axis=1, initial=np.inf if model.langs else 0) <= most_rate)))
+        rate, length = rates(model, batch.column(index).cast(pa.string()))
+        return batch.filter(pa.array(_accepted(model, rate, length)))
 
     return map_batches(df, df.schema, one)
