@@ -1,10 +1,15 @@
+import random
 import re
+import textwrap
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 from common import ODD, odd
 
 from voxweave.llm import kernels as K
+from oracle import of_spark, of_sql
 from voxweave.llm import license as L
+from voxweave.llm import oracles
 
 SF = "/root/testdata/sf0.01"
 
@@ -124,3 +129,52 @@ def test_wrapped_lines_end_at_signs_and_blank_lines():
     assert [(f[0], f[3], f[4]) for f in m.scan(pa.array(texts), 0)] == [(0, 0, 1), (5, 1, 3)]
     gap = ["first known\nhere.\na\nb\nc.\nd.\nsecond\nknown here", "first known here.\na.\nb.\nc.\nsecond known here"]
     assert [(f[0], f[1], f[3], f[4], f[5]) for f in m.scan(pa.array(gap), 2)] == [(0, "Two", 0, 7, 2)]
+
+
+def filled(lines, width, prefix):
+    """A text as files hold it: paragraphs of wrapped lines behind a comment sign; what has no end sign stands by itself."""
+    parts, now = [], ""
+    for line in lines:
+        now = f"{now} {line}".strip()
+        if line[-1] in ".!?;:":
+            continue
+        parts, now = [*parts, now], ""
+    parts += [now] if now else []
+    text = "\n\n".join(textwrap.fill(p, width) for p in ["Copyright (c) 2020 Someone", *parts])
+    return "\n".join(prefix + x for x in text.split("\n"))
+
+
+def test_every_rule_in_every_form():
+    """Each text or notice of the rules, wrapped at several widths behind several comment signs, gives its name and nothing else."""
+    m = L.Matcher()
+    for width in (40, 60, 78, 10_000):
+        for prefix in ("", "# ", " * ", "// ", "-- ", ";; "):
+            got = m.scan(pa.array([filled(lines, width, prefix) for _, _, lines in L.RULES]), L.GAP)
+            assert [f[:3] for f in got] == [(k, name, rule) for k, (name, rule, _) in enumerate(L.RULES)]
+
+
+def test_several_licences_in_one_text():
+    """Rules of several sentences, in any order with other text between, against what they were put together from."""
+    m, rng = L.Matcher(), random.Random(1)
+    full = [r for r in L.RULES if len(r[2]) > 1]
+    texts, want = [], []
+    for k in range(60):
+        chosen = rng.sample(full, 4)
+        other = "\n\nThis has nothing to do with it. Nor has this. Nor this. Nor that.\n\n"
+        texts.append(other.join(filled(r[2], rng.choice((50, 72)), "# ") for r in chosen))
+        want += [(k, *r[:2]) for r in chosen]
+    assert [f[:3] for f in m.scan(pa.array(texts), L.GAP)] == want
+
+
+def test_ties():
+    m = L.Matcher([("First", "r", ["same words here"]), ("Second", "r", ["same words here"]), ("Long", "r", ["same words here and more"])])
+    assert [f[1] for f in m.scan(pa.array(["same words here", "same words\nhere and more"]), 0)] == ["First", "Long"]
+
+
+def test_sql_of_wrapped_texts(spark, tmp_path):
+    """The SQL joins lines in another way: by what they say together."""
+    rng = random.Random(2)
+    texts = [T for T in (APACHE, MIT, GPL, BSD2, BSD3)] + [filled(r[2], rng.choice((50, 72)), p) for r in L.RULES for p in ("", "# ", ";; ")]
+    texts += ["\n\nOther words. And more.\n\n".join(filled(r[2], 60, " * ") for r in rng.sample(L.RULES, 3)) for _ in range(40)]
+    pq.write_table(pa.table({"doc_id": range(len(texts)), "text": texts}), f"{tmp_path}/documents.parquet")
+    assert of_spark(L.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))) == of_sql(oracles.LICENSE, str(tmp_path))

@@ -15,11 +15,12 @@ specific first; a sentence that has been used by one isn't used by a later one.
 Sentences are found, hashed and looked up for many rows at once; Python looks only at rows
 with a known sentence. No shuffle.
 
-``rules`` may be given: (license, rule name, sentences). RULES holds the notices of common
-licences.
+``rules`` may be given: (license, rule name, sentences). RULES holds the texts and notices of common
+licences, those of the most sentences first.
 
-Defined cases. Null and empty texts: no match. Repeated rows and null doc_id are scanned row by
-row. A rule that occurs several times in a text matches several times. Sentence numbers count from 0
+Defined cases. Null and empty texts: no match. Very long texts are scanned whole. Repeated rows and null doc_id are scanned row by
+row. An empty table gives no rows. A rule that occurs several times in a text matches several times. Ties: of rules that fit the same sentences the first in their order is given;
+of known sentences that begin at one place, the longest. Only doc_id and text are read, so other columns can't clash. Sentence numbers count from 0
 over sentences that have words; each line of a wrapped sentence has a number.
 """
 
@@ -42,6 +43,7 @@ _MIT = [
     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
     "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.",
+    "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
 ]
 _APACHE = [
     "Licensed under the Apache License, Version 2.0 (the \"License\");",
@@ -49,36 +51,131 @@ _APACHE = [
     "You may obtain a copy of the License at",
     "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
 ]
-_GPL = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_APACHE_END = "See the License for the specific language governing permissions and limitations under the License."
+_APACHE_TEXT = ["TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION", "Definitions.", "\"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document."]
+_APACHE_GRANT = "Subject to the terms and conditions of this License, each Contributor hereby grants to You a perpetual, worldwide, non-exclusive, no-charge, royalty-free, irrevocable copyright license to reproduce, prepare Derivative Works of, publicly display, publicly perform, sublicense, and distribute the Work and such Derivative Works in Source or Object form."
+
+
+def _gnu(name: str, version: str, what: str = "program") -> list[str]:
+    """The notice of a licence of the GNU family: grant, no warranty, where to find it."""
+    article = "library" if what == "library" else "program"
+    return [
+        f"This {article} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version.",
+        f"This {article} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.",
+        f"See the GNU {name} for more details.",
+        f"You should have received a copy of the GNU {name} along with this {article}.",
+    ]
+
+
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
 _BSD = [
     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
     "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
 ]
-_BSD_NAMES = "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_NAMES = [
+    f"Neither the name of {holder} may be used to endorse or promote products derived from this software without specific prior written permission."
+    for holder in ("the copyright holder nor the names of its contributors", "the copyright holders nor the names of its contributors", "the copyright owner nor the names of its contributors", "the University nor the names of its contributors", "the author nor the names of its contributors", "the organization nor the names of its contributors", "Google Inc. nor the names of its contributors")
+]
+_BSD_WARRANTY = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+_BSD_LIABLE = [
+    f"IN NO EVENT SHALL THE COPYRIGHT {who} OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    for who in ("HOLDER", "HOLDERS", "OWNER")
+]
+_ISC = [
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.",
+    "IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+]
+_ISC_OLD = "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+_ZERO_BSD = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."
+_MPL = ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "If a copy of the MPL was not distributed with this file, You can obtain one at"]
+_ZLIB = [
+    "This software is provided 'as-is', without any express or implied warranty.",
+    "In no event will the authors be held liable for any damages arising from the use of this software.",
+    "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "The origin of this software must not be misrepresented;",
+    "you must not claim that you wrote the original software.",
+]
+_BOOST = [
+    "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:",
+    "The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.",
+]
+_UNLICENSE = [
+    "This is free and unencumbered software released into the public domain.",
+    "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+]
+_EPL = ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v2.0 which accompanies this distribution, and is available at"]
+_CC0 = "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."
+
+
+def _gnu_rules() -> list[tuple[str, str, list[str]]]:
+    out: list[tuple[str, str, list[str]]] = []
+    for code, name, versions, whats in (("AGPL", _AGPL, ("3",), ("program",)), ("LGPL", _LGPL, ("3", "2.1"), ("library", "program")), ("GPL", _GPL, ("3", "2"), ("program",))):
+        for version in versions:
+            spdx = f"{code}-{version if '.' in version else version + '.0'}-or-later"
+            for what in whats:
+                own = _gnu(name, version, what)
+                semi = [own[0].replace("free software: you", "free software; you"), *own[1:]]
+                out += [(spdx, "notice-full", own), (spdx, "notice-full", semi), (spdx, "notice", own[:1]), (spdx, "notice", semi[:1])]
+    return out
+
+
+def _spdx(name: str, *more: str) -> list[tuple[str, str, list[str]]]:
+    return [(name, "line", [s]) for s in (f"SPDX-License-Identifier: {name}", *more)]
+
 
-#: (license, rule, sentences), in the order in which they are tried.
-RULES: list[tuple[str, str, list[str]]] = [
+_FULL: list[tuple[str, str, list[str]]] = [
+    ("Apache-2.0", "notice-full", [*_APACHE, _APACHE_END]),
     ("Apache-2.0", "notice-full", _APACHE),
+    ("Apache-2.0", "text", [*_APACHE_TEXT]),
+    ("Apache-2.0", "text-grant", [_APACHE_GRANT]),
     ("MIT", "text-full", _MIT),
-    ("BSD-3-Clause", "text-full", [*_BSD, _BSD_NAMES]),
+    ("MIT", "text-full", _MIT[:3]),
+    *(("BSD-3-Clause", "text-full", [*_BSD, names, _BSD_WARRANTY, liable]) for names in _BSD_NAMES for liable in _BSD_LIABLE),
+    *(("BSD-3-Clause", "text-full", [*_BSD, names]) for names in _BSD_NAMES),
+    *(("BSD-2-Clause", "text-full", [*_BSD, _BSD_WARRANTY, liable]) for liable in _BSD_LIABLE),
     ("BSD-2-Clause", "text-full", _BSD),
-    ("GPL-3.0-or-later", "notice", [_GPL.format(3)]),
-    ("GPL-2.0-or-later", "notice", [_GPL.format(2)]),
+    *_gnu_rules(),
+    ("ISC", "text-full", _ISC),
+    ("ISC", "text-full", [_ISC_OLD, *_ISC[1:]]),
+    ("0BSD", "text-full", [_ZERO_BSD, *_ISC[1:]]),
+    ("BSL-1.0", "text-full", _BOOST),
+    ("Zlib", "text-full", _ZLIB),
+    ("Unlicense", "text-full", _UNLICENSE),
+    ("MPL-2.0", "notice-full", _MPL),
+    *(("EPL-2.0", "notice", [s]) for s in _EPL),
+    ("AGPL-3.0-only", "text", ["GNU AFFERO GENERAL PUBLIC LICENSE", "Version 3, 19 November 2007"]),
+    ("LGPL-3.0-only", "text", ["GNU LESSER GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"]),
+    ("LGPL-2.1-only", "text", ["GNU LESSER GENERAL PUBLIC LICENSE", "Version 2.1, February 1999"]),
+    ("GPL-3.0-only", "text", ["GNU GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"]),
+    ("GPL-2.0-only", "text", ["GNU GENERAL PUBLIC LICENSE", "Version 2, June 1991"]),
+    ("MPL-2.0", "text", ["Mozilla Public License Version 2.0"]),
+    ("Apache-2.0", "text-head", ["Apache License", "Version 2.0, January 2004"]),
     ("MIT", "grant", _MIT[:1]),
     ("Apache-2.0", "notice-head", _APACHE[:2]),
     ("BSD-2-Clause", "grant", _BSD[:1]),
-    *(("Apache-2.0", "line", [s]) for s in ("Licensed under the Apache License, Version 2.0.", _APACHE[0], "SPDX-License-Identifier: Apache-2.0", "Released under the Apache License 2.0.", "This work is licensed under the Apache License, Version 2.0.")),
-    *(("MIT", "line", [s]) for s in ("Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the MIT License.", "This work is licensed under the MIT License.", "SPDX-License-Identifier: MIT")),
-    *(("GPL-3.0-only", "line", [s]) for s in ("This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3.", "Released under the GNU GPL v3.", "SPDX-License-Identifier: GPL-3.0-only")),
-    *(("GPL-2.0-only", "line", [s]) for s in ("This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2.", "SPDX-License-Identifier: GPL-2.0-only")),
-    *(("CC-BY-NC-4.0", "line", [s]) for s in ("Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.")),
-    *(("CC-BY-SA-4.0", "line", [s]) for s in ("Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.")),
-    *(("CC-BY-4.0", "line", [s]) for s in ("Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License.")),
-    *(("BSD-3-Clause", "line", [s]) for s in ("Licensed under the BSD 3-Clause License.", "Released under the BSD 3-Clause License.", "SPDX-License-Identifier: BSD-3-Clause")),
-    ("CC0-1.0", "line", ["This work is dedicated to the public domain under CC0 1.0."]),
+    ("ISC", "grant", _ISC[:1]),
+    ("ISC", "grant", [_ISC_OLD]),
+    ("MPL-2.0", "notice", _MPL[:1]),
+    ("Unlicense", "head", _UNLICENSE[:1]),
+    ("BSL-1.0", "line", ["Distributed under the Boost Software License, Version 1.0."]),
+    ("CC0-1.0", "notice", [_CC0]),
+    *_spdx("Apache-2.0", "Licensed under the Apache License, Version 2.0.", _APACHE[0], "Released under the Apache License 2.0.", "This work is licensed under the Apache License, Version 2.0."),
+    *_spdx("MIT", "Released under the MIT License.", "Licensed under the MIT License.", "This project is licensed under the MIT License.", "This work is licensed under the MIT License."),
+    *_spdx("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3.", "Licensed under the GNU General Public License, version 3.", "Released under the GNU GPL v3."),
+    *_spdx("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2.", "Licensed under the GNU General Public License, version 2."),
+    *_spdx("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0.", "This work is licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    *_spdx("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0.", "This work is licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    *_spdx("CC-BY-4.0", "Licensed under CC BY 4.0.", "This work is licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    *_spdx("BSD-3-Clause", "Licensed under the BSD 3-Clause License.", "Released under the BSD 3-Clause License."),
+    *_spdx("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    *(r for name in ("GPL-3.0-or-later", "GPL-2.0-or-later", "LGPL-3.0-or-later", "LGPL-2.1-or-later", "AGPL-3.0-or-later", "AGPL-3.0-only", "MPL-2.0", "ISC", "Unlicense", "Zlib", "BSL-1.0", "EPL-2.0", "0BSD") for r in _spdx(name)),
+    *_spdx("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0."),
     ("LicenseRef-Proprietary", "line", ["All rights reserved."]),
 ]
+#: (license, rule, sentences), in the order in which they are tried: those of the most sentences first, of equals as they are listed.
+RULES: list[tuple[str, str, list[str]]] = sorted(_FULL, key=lambda r: -len(r[2]))
 
 _END = np.zeros(256, dtype=bool)
 _END[[ord(c) for c in ".!?;:"]] = True
@@ -95,8 +192,8 @@ class Sentences:
 
 
 def _goes_on(between: bytes) -> bool:
-    """Whether a sentence goes on over what stands between two words: a line end, and neither an end sign before a blank nor a blank line."""
-    return len(re.findall(rb"\r\n|[\r\n]", between)) == 1 and not re.search(rb"[.!?;:][\t-\r ]", between)
+    """Whether a sentence goes on over what stands between two words: one line end, and before it no end sign that a blank follows."""
+    return len(re.findall(rb"\r\n|[\r\n]", between)) == 1 and not re.search(rb"[.!?;:][\t-\r ]", between[: re.search(rb"[\r\n]", between).end()])
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> np.ndarray:

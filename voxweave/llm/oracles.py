@@ -75,45 +75,50 @@ DECONTAM = f"""
 
 
 def _license() -> str:
-    """Rules by number of sentences: longer ones first take their sentences, as in their order."""
-    gap = license.GAP + 1
-    cut = lambda t: f"string_split(regexp_replace(regexp_replace({t}, '[\\r\\n]', chr(1), 'g'), '([.!?;:])([\\t\\x0b\\x0c ])', '\\1' || chr(1) || '\\2', 'g'), chr(1))"
-    flat, values = license.RULES, []
-    for n, (name, rule, lines) in enumerate(flat):
-        values += [f"({n}, {quoted(name)}, {quoted(rule)}, {k}, {quoted(line)})" for k, line in enumerate(lines)]
+    """Pieces of lines, cut at line ends and end signs; known sentences over one or several of them, joined by their words; then the rules one after the other."""
+    gap = license.GAP
+    cut = lambda t: f"string_split(regexp_replace(regexp_replace(regexp_replace({t}, '\\r\\n', chr(10), 'g'), '([.!?;:])([\\t\\x0b\\x0c ])', '\\1' || chr(1) || '\\2', 'g'), '[\\r\\n]', chr(1) || chr(2), 'g'), chr(1))"
+    values = [f"({n}, {quoted(name)}, {quoted(rule)}, {k}, {quoted(line)})" for n, (name, rule, lines) in enumerate(license.RULES) for k, line in enumerate(lines)]
+    key = f"array_to_string({words('s')}, ' ')"
     ctes = f"""
     WITH lines AS (SELECT * FROM (VALUES {", ".join(values)}) t(n, license, rule, k, line)),
-    parts AS (SELECT n, license, rule, row_number() OVER (PARTITION BY n ORDER BY k, j) AS j, key FROM (
-        SELECT n, license, rule, k, j, array_to_string({words("s")}, ' ') AS key FROM (SELECT n, license, rule, k, unnest({cut("line")}) AS s, generate_subscripts({cut("line")}, 1) AS j FROM lines)) WHERE key <> ''),
-    sentence AS (SELECT r, doc_id, row_number() OVER (PARTITION BY r ORDER BY j) - 1 AS p, key FROM (
-        SELECT r, doc_id, j, array_to_string({words("s")}, ' ') AS key FROM (SELECT r, doc_id, unnest({cut("text")}) AS s, generate_subscripts({cut("text")}, 1) AS j FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents WHERE text IS NOT NULL))) WHERE key <> ''),
-    u0 AS (SELECT * FROM sentence WHERE key IN (SELECT key FROM parts))"""
-    out, level = [], 0
-    sizes = [sum(len(license.sentences(*kernels.buffers(pa.array([line]))).hash) for line in lines) for _, _, lines in flat]
-    at = 0
-    while at < len(flat):
+    parts AS MATERIALIZED (SELECT n, license, rule, row_number() OVER (PARTITION BY n ORDER BY k, j) AS j, key FROM (
+        SELECT n, license, rule, k, j, {key} AS key FROM (SELECT n, license, rule, k, unnest({cut("line")}) AS s, generate_subscripts({cut("line")}, 1) AS j FROM lines)) WHERE key <> ''),
+    known AS (SELECT DISTINCT key FROM parts),
+    raw_ AS (SELECT r, doc_id, j, s, {key} AS key, starts_with(s, chr(2))::INT AS broke FROM (SELECT r, doc_id, unnest({cut("text")}) AS s, generate_subscripts({cut("text")}, 1) AS j FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents WHERE text IS NOT NULL))),
+    numbered AS (SELECT *, count(*) FILTER (key <> '') OVER (PARTITION BY r ORDER BY j) AS c, sum(broke) OVER (PARTITION BY r ORDER BY j) AS breaks FROM raw_),
+    signs AS (SELECT r, c, bool_or(breaks = own AND regexp_matches(s, '[.!?;:][\\t-\\r ]*$')) AS ended FROM (SELECT *, min(breaks) OVER (PARTITION BY r, c) AS own FROM numbered) GROUP BY ALL),
+    piece AS MATERIALIZED (SELECT n.r, doc_id, n.c - 1 AS p, key, n.c > 1 AND breaks - lag(breaks) OVER (PARTITION BY n.r ORDER BY n.c) = 1 AND NOT s.ended AS soft FROM (SELECT * FROM numbered WHERE key <> '') n LEFT JOIN signs s ON s.r = n.r AND s.c = n.c - 1),
+    hard AS (SELECT *, sum((NOT coalesce(soft, false))::INT) OVER (PARTITION BY r ORDER BY p) AS h FROM piece),
+    begun AS (SELECT r, p, k.key AS whole FROM piece JOIN known k ON k.key <> piece.key AND starts_with(k.key || ' ', piece.key || ' ')),
+    grown AS (SELECT b.r, b.p, whole, s.p AS q, string_agg(s.key, ' ') OVER w AS said, bool_and(s.p = b.p OR s.soft) OVER w AS soft FROM begun b JOIN piece s ON s.r = b.r AND s.p BETWEEN b.p AND b.p + 200 WINDOW w AS (PARTITION BY b.r, b.p, whole ORDER BY s.p)),
+    joined AS (SELECT r, p AS a, q AS z, whole AS key FROM grown WHERE said = whole AND soft QUALIFY row_number() OVER (PARTITION BY r, p ORDER BY length(whole) DESC) = 1),
+    hits AS (SELECT r, a, z, key FROM joined UNION ALL SELECT r, p, p, key FROM piece WHERE key IN (SELECT key FROM known) AND NOT EXISTS (SELECT 1 FROM joined x WHERE x.r = piece.r AND piece.p BETWEEN x.a AND x.z)),
+    u0 AS MATERIALIZED (SELECT hits.r, b.doc_id, a, z, hits.key, coalesce(b.h - (NOT coalesce(b.soft, false))::INT, 0) AS before, coalesce(n.h, e.h) AS after FROM hits JOIN hard b ON b.r = hits.r AND b.p = hits.a JOIN hard e ON e.r = hits.r AND e.p = hits.z LEFT JOIN hard n ON n.r = hits.r AND n.p = hits.z + 1)"""
+    out, level, at = [], 0, 0
+    sizes = [sum(len(license.sentences(*kernels.buffers(pa.array([line]))).hash) for line in lines) for _, _, lines in license.RULES]
+    while at < len(sizes):
         n, size = at, sizes[at]
         end = at + 1
         if size == 1:  # a run of single-sentence rules is one step
-            while end < len(flat) and sizes[end] == 1:
+            while end < len(sizes) and sizes[end] == 1:
                 end += 1
             ctes += f""",
-    m{level} AS (SELECT r, doc_id, license, rule, p AS first, p AS last, 1 AS c FROM (SELECT u.*, license, rule, row_number() OVER (PARTITION BY r, p ORDER BY n) AS o FROM u{level} u JOIN parts ON parts.key = u.key AND n BETWEEN {n} AND {end - 1}) WHERE o = 1),
-    u{level + 1} AS (SELECT u.* FROM u{level} u ANTI JOIN m{level} m ON m.r = u.r AND m.first = u.p)"""
+    m{level} AS MATERIALIZED (SELECT r, doc_id, license, rule, a AS first, z AS last, 1 AS c FROM (SELECT u.*, license, rule, row_number() OVER (PARTITION BY r, a ORDER BY n) AS o FROM u{level} u JOIN parts ON parts.key = u.key AND n BETWEEN {n} AND {end - 1}) WHERE o = 1),
+    u{level + 1} AS MATERIALIZED (SELECT u.* FROM u{level} u ANTI JOIN m{level} m ON m.r = u.r AND m.first = u.a)"""
+            out.append(f"SELECT doc_id, license, rule, first::INT AS first_sentence, last::INT AS last_sentence, c::INT AS sentences FROM m{level}")
         else:
-            step = f"SELECT r, doc_id, p AS first, p AS p1 FROM u{level} JOIN parts ON parts.key = u{level}.key AND n = {n} AND j = 1"
+            step = f"SELECT r, doc_id, a AS a1, z AS z1, after AS f1 FROM u{level} JOIN parts ON parts.key = u{level}.key AND n = {n} AND j = 1"
             for j in range(2, size + 1):
-                step = f"SELECT s.*, min(u.p) AS p{j} FROM ({step}) s JOIN u{level} u ON u.r = s.r AND u.p > s.p{j - 1} JOIN parts ON parts.key = u.key AND n = {n} AND j = {j} GROUP BY ALL HAVING min(u.p) - s.p{j - 1} <= {gap}"
-            ps = ", ".join(f"p{j}" for j in range(1, size + 1))
+                o = j - 1
+                step = f"SELECT s.*, min(u.a) AS a{j}, arg_min(u.z, u.a) AS z{j}, arg_min(u.after, u.a) AS f{j} FROM ({step}) s JOIN u{level} u ON u.r = s.r AND u.a > s.z{o} JOIN parts ON parts.key = u.key AND n = {n} AND j = {j} GROUP BY ALL HAVING min(u.a) - s.z{o} <= {gap + 1} OR 1 + arg_min(u.before, u.a) - s.f{o} <= {gap}"
+            places = ", ".join(f"a{j}" for j in range(1, size + 1))
             ctes += f""",
-    m{level} AS (SELECT *, p{size} AS last FROM ({step}) QUALIFY row_number() OVER (PARTITION BY r, p{size} ORDER BY first) = 1),
-    x{level} AS (SELECT r, unnest([{ps}]) AS p FROM m{level}),
-    u{level + 1} AS (SELECT u.* FROM u{level} u ANTI JOIN x{level} x ON x.r = u.r AND x.p = u.p)"""
-        if size == 1:
-            out.append(f"SELECT doc_id, license, rule, first::INT AS first_sentence, last::INT AS last_sentence, c::INT AS sentences FROM m{level}")
-        else:
-            name, rule, _ = flat[n]
-            out.append(f"SELECT doc_id, {quoted(name)}, {quoted(rule)}, first::INT, last::INT, {size}::INT FROM m{level}")
+    m{level} AS MATERIALIZED (SELECT * FROM ({step}) QUALIFY row_number() OVER (PARTITION BY r, a{size} ORDER BY a1) = 1),
+    x{level} AS (SELECT r, unnest([{places}]) AS a FROM m{level}),
+    u{level + 1} AS MATERIALIZED (SELECT u.* FROM u{level} u ANTI JOIN x{level} x ON x.r = u.r AND x.a = u.a)"""
+            name, rule, _ = license.RULES[n]
+            out.append(f"SELECT doc_id, {quoted(name)}, {quoted(rule)}, a1::INT, z{size}::INT, {size}::INT FROM m{level}")
         level += 1
         at = end
     first = next(k for k, s in enumerate(out) if "AS first_sentence" in s)
