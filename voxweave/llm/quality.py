@@ -3,21 +3,22 @@
 ``train(docs, labels)`` gives a model; ``score(docs, model)`` gives (doc_id, score,
 high_quality) of every row.
 
-Features: word unigrams and bigrams, where a word that repeats the one before it counts as
-the bigram "again", and what stands between words (blanks and signs, as they are), hashed
+Words are runs of letters and digits, folded, and runs of other signs that aren't blank, so "price!! $$$" has the words price, !! and
+$$$. Features: n-grams of one to ``n`` words, hashed
 to 2^bits buckets. A bucket's value is the root of its count, scaled so that the squares
 of a text's values sum to 1. Training is FTRL-proximal with per-coordinate rates, one
-example at a time in order of a hash, ``epochs`` times over; L1 leaves most weights zero.
+example at a time in order of a hash, ``epochs`` times over, each class with the same weight in all; L1 leaves most weights zero.
 A score is the logistic of one sparse dot product, computed for many rows at once.
 
 Training uses a bounded sample: about ``sample_rows`` labelled documents, chosen by a hash
 of doc_id. Labels of the sample are sent to the documents, features are made where the
 documents are, and one task makes the updates. The bound is a parameter; scoring covers all.
 
-Defined cases. Null, empty and wordless texts: score 0, not of high quality. Labels that
+Defined cases. Null, empty and blank texts: score 0, not of high quality. Very long texts are scored whole. Labels that
 are null or whose document is missing don't train; repeated rows of labels or documents
-count as often as they occur. Without any labelled text every weight is zero, and so every
-score with words 0.5. Scores at the threshold count as high quality.
+count as often as they occur. Without any labelled text, as with an empty table of labels, every weight is zero, and so every
+score with words 0.5; an empty table of documents gives no rows. Ties: scores at the threshold count as high quality; examples of equal hash train in order of doc_id, label and
+features. Only doc_id, text and the label are read, so other columns can't clash.
 """
 
 from __future__ import annotations
@@ -33,9 +34,8 @@ from pyspark.sql import functions as F
 from . import kernels as K
 from .util import keyed, map_batches
 
-BITS, SAMPLE_ROWS, EPOCHS, THRESHOLD = 18, 8_000, 2, 0.5
-_AGAIN = np.uint64(0xC0FFEE << 40)
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.05, 0.1
+N, BITS, SAMPLE_ROWS, EPOCHS, THRESHOLD = 2, 18, 8_000, 4, 0.5
+ALPHA, BETA, L1, L2 = 3.0, 1.0, 0.2, 0.1
 
 
 @dataclass
@@ -43,28 +43,50 @@ class Model:
     bits: int
     weights: np.ndarray  # float32
     bias: float
+    n: int = N
 
 
-def features(column: pa.Array, bits: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[:33] = _BLANK[127] = True
+
+
+def tokens(raw: np.ndarray, offsets: np.ndarray) -> K.Words:
+    """Words and runs of signs."""
+    kind = np.where(K.word_mask(raw), 1, np.where(_BLANK[raw], 0, 2)).astype(np.int8)
+    edge = np.ones(len(raw) + 1, dtype=bool)
+    if len(raw):
+        edge[1:-1] = kind[1:] != kind[:-1]
+    edge[offsets] = True  # a word can't go on into the next row
+    at = np.flatnonzero(edge)
+    starts, ends = at[:-1], at[1:]
+    some = kind[starts] > 0
+    starts, ends = starts[some], ends[some]
+    return K.Words(starts, ends, K.span_hashes(K.fold_bytes(raw), starts, ends), np.searchsorted(starts, offsets))
+
+
+def features(column: pa.Array, bits: int, n: int = N) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, distinct buckets, their values, splits) of slices of rows."""
     raw, offsets = K.buffers(column)
     for i, j, part, off in K.slices(raw, offsets):
-        w = K.words(part, off)
+        w = tokens(part, off)
         row = np.repeat(np.arange(j - i), np.diff(w.splits))
-        pairs = K.mix(w.hash[:-1] * np.uint64(0xD1342543DE82EF95) + w.hash[1:]) if len(w.hash) else w.hash
-        pairs[w.hash[:-1] == w.hash[1:]] = _AGAIN
-        inner = row[:-1] == row[1:] if len(row) else np.zeros(0, dtype=bool)
-        gaps = K.mix(K.span_hashes(part, w.ends[:-1], w.starts[1:]) + np.uint64(7)) if len(w.hash) else w.hash
-        every = np.concatenate([w.hash, pairs[inner], gaps[inner]]) >> np.uint64(64 - bits)
-        rows = np.concatenate([row, row[:-1][inner], row[:-1][inner]])
-        keys, many = np.unique((rows.astype(np.int64) << bits) | every.astype(np.int64), return_counts=True)
+        grams, every, rows = w.hash, [w.hash], [row]
+        for k in range(1, n):
+            grams = K.mix(grams[:-1] * np.uint64(0xD1342543DE82EF95) + w.hash[k:])  # of k + 1 words, by the first
+            inner = row[: len(grams)] == row[k:]
+            every.append(grams[inner])
+            rows.append(row[: len(grams)][inner])
+        buckets, rows = np.concatenate(every) >> np.uint64(64 - bits), np.concatenate(rows)
+        keys, many = np.unique((rows.astype(np.int64) << bits) | buckets.astype(np.int64), return_counts=True)
         splits = np.searchsorted(keys, np.arange(j - i + 1, dtype=np.int64) << bits)
         total = K.reduce_rows(np.add, many.astype(np.float64), splits, 1.0)
         yield i, j, keys & ((1 << bits) - 1), np.sqrt(many / total[keys >> bits]), splits
 
 
-def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], targets: list[int], bits: int = BITS, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> Model:
-    """FTRL-proximal over the examples, in order; the last coordinate is the bias."""
+def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], targets: list[int], bits: int = BITS, n_words: int = N, epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> Model:
+    """FTRL-proximal over the examples, in order; the last coordinate is the bias. Examples of a class weigh len(targets) / 2 together."""
+    ones = sum(targets)
+    share = (len(targets) / 2 / max(1, len(targets) - ones), len(targets) / 2 / max(1, ones))
     size = (1 << bits) + 1
     z, n = np.zeros(size), np.zeros(size)
 
@@ -78,14 +100,14 @@ def ftrl(rows: list[tuple[np.ndarray, np.ndarray]], targets: list[int], bits: in
             x = np.append(values, 1.0)
             w = weigh(at)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
-            g = (p - y) * x
+            g = (p - y) * x * share[y]
             z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / alpha * w
             n[at] += g * g
     w = weigh(slice(None))
-    return Model(bits, w[:-1].astype(np.float32), float(w[-1]))
+    return Model(bits, w[:-1].astype(np.float32), float(w[-1]), n_words)
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, bits: int = BITS, epochs: int = EPOCHS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS, bits: int = BITS, epochs: int = EPOCHS, n: int = N) -> Model:
     known = labels.select(labels["doc_id"].cast("long").alias("label_id"), labels[label].cast("int").alias("y")).where("label_id is not null and y is not null")
     share = min(1.0, sample_rows / max(1, known.count()))
     order = F.xxhash64("label_id")
@@ -95,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
 
     def made(batch: pa.RecordBatch) -> pa.RecordBatch:
         parts, sizes, counts = [], [], []
-        for _, _, buckets, values, splits in features(batch.column(2), bits):
+        for _, _, buckets, values, splits in features(batch.column(2), bits, n):
             parts.append(buckets.astype(np.int32))
             sizes.append(values.astype(np.float32))
             counts.append(np.diff(splits))
@@ -113,22 +135,22 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_row
             flat, values, off = lists.values.to_numpy(), batch.column(3).values.to_numpy(), lists.offsets.to_numpy()
             xs += [(flat[off[k] : off[k + 1]].copy(), values[off[k] : off[k + 1]].astype(np.float64)) for k in range(len(batch))]
             ys += batch.column(1).to_pylist()
-        model = ftrl(xs, ys, bits, epochs)
+        model = ftrl(xs, ys, bits, n, epochs)
         at = np.flatnonzero(model.weights)
         yield pa.RecordBatch.from_arrays([pa.array([at.astype(np.int32).tobytes()], pa.binary()), pa.array([model.weights[at].tobytes()], pa.binary()), pa.array([model.bias])], names=["at", "weights", "bias"])
 
     one = examples.repartition(1).sortWithinPartitions(F.xxhash64("doc_id", F.lit(1)), "doc_id", "y", "buckets").mapInArrow(fit, "at binary, weights binary, bias double").collect()
     weights = np.zeros(1 << bits, np.float32)
     if not one:
-        return Model(bits, weights, 0.0)
+        return Model(bits, weights, 0.0, n)
     weights[np.frombuffer(one[0]["at"], np.int32)] = np.frombuffer(one[0]["weights"], np.float32)
-    return Model(bits, weights, one[0]["bias"])
+    return Model(bits, weights, one[0]["bias"], n)
 
 
 def scores(model: Model, column: pa.Array) -> np.ndarray:
     """The logistic of each row's dot product; 0 without words."""
     out = np.zeros(len(column))
-    for i, j, buckets, values, splits in features(column, model.bits):
+    for i, j, buckets, values, splits in features(column, model.bits, model.n):
         total = K.reduce_rows(np.add, model.weights[buckets] * values, splits, 0.0)
         out[i:j] = np.where(np.diff(splits) > 0, 1 / (1 + np.exp(-np.clip(total + model.bias, -35, 35))), 0.0)
     return out
