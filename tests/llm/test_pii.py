@@ -20,14 +20,91 @@ def test_all_kinds_are_found(spark):
     assert P.redacted(clean, m, P.THRESHOLD) == clean
 
 
-def test_documents_against_plain_expressions(spark):
-    import re
+FORMS = (r"[\w.]+@[\w.]+\.\w+", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])", r"(?<!\d)\d{16}(?!\d)", r"\+\d \(\d{3}\) \d{3}-\d{4}", r"\bAKIA[A-Z0-9]{16}\b", r'token = "[0-9a-f]{40}"', r"password=[0-9a-f]{18}")
+
+
+def plain_spans(text):
+    """(start, length) of what the documents' forms are, numbers of cards only with their check digit."""
+    for f in FORMS:
+        for m in re.finditer(f, text or ""):
+            digits = [int(c) for c in reversed(m[0])] if m[0].isdigit() else []
+            if not digits or (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0:
+                yield m.start(), m.end() - m.start()
 
+
+def test_documents_against_plain_expressions(spark):
+    """All that is planted is found, and what isn't a card's number, or anything else, isn't."""
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {(r["doc_id"], r["start"], r["length"]) for r in P.find(docs, model(spark)).collect()}
-    forms = (r"[\w.]+@[\w.]+\.\w+", r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d.])", r"(?<!\d)\d{16}(?!\d)", r"\+\d \(\d{3}\) \d{3}-\d{4}", r"\bAKIA[A-Z0-9]{16}\b", r'token = "[0-9a-f]{40}"', r"password=[0-9a-f]{18}")
-    want = {(r["doc_id"], m.start(), m.end() - m.start()) for r in docs.collect() for f in forms for m in re.finditer(f, r["text"])}
-    assert len(want) > 50 and len(want & got) >= 0.98 * len(want) and len(got - want) <= 0.05 * len(got)
+    want = {(r["doc_id"], *x) for r in docs.collect() for x in plain_spans(r["text"])}
+    by_chance = {w for w in want - got if w[2] == 16}  # passes the check digit, but begins like no card
+    assert len(want) > 50 and want - by_chance <= got and len(by_chance) <= 0.05 * len(want) and len(got - want) <= 0.01 * len(got)
+
+
+def plain_em(votes, counts, rounds=P.ROUNDS):
+    """Probabilities of the vote patterns: counting, pattern by pattern and labeler by labeler."""
+    def likely(v, rel, share):
+        good, bad = share, 1 - share
+        for x, (a, b, c, d) in zip(v, rel):
+            good *= a if x > 0 else b if x < 0 else max(1 - a - b, 1e-4)
+            bad *= c if x > 0 else d if x < 0 else max(1 - c - d, 1e-4)
+        return good / (good + bad)
+
+    rel, share = [list(map(float, r)) for r in P.PRIOR], 0.5
+    p = [likely(v, rel, share) for v in votes]
+    for _ in range(rounds):
+        true = sum(n * x for n, x in zip(counts, p))
+        false = sum(counts) - true
+        share = min(P.MOST_TRUE, (true + P.PSEUDO_SHARE) / (sum(counts) + 2 * P.PSEUDO_SHARE))
+        for k in range(len(rel)):
+            for j, (total, sign, of) in enumerate(((true, 1, 1), (true, -1, 1), (false, 1, 0), (false, -1, 0))):
+                seen = sum(n * (x if of else 1 - x) for v, n, x in zip(votes, counts, p) if v[k] == sign)
+                rel[k][j] = min(max((seen + P.PSEUDO * P.PRIOR[k][j]) / (total + P.PSEUDO), 1e-4), 1 - 1e-4)
+            rel[k][1] = min(rel[k][1], P.MOST_FAILING[k])
+        p = [likely(v, rel, share) for v in votes]
+    return p, rel, share
+
+
+def test_expectation_maximisation_against_plain_counting():
+    rng = np.random.default_rng(4)
+    for _ in range(5):
+        votes = np.unique(rng.integers(-1, 2, (12, P.LABELERS)), axis=0)
+        counts = rng.integers(1, 300, len(votes)).astype(float)
+        p, rel, share = P.expect(votes, counts)
+        plain, plain_rel, plain_share = plain_em(votes.tolist(), counts.tolist())
+        assert np.allclose(p, plain) and np.allclose(rel, plain_rel) and np.isclose(share, plain_share)
+
+
+def test_classifier_is_the_minimum():
+    """No step in any direction makes the penalised loss smaller."""
+    rng = np.random.default_rng(5)
+    x, t, n = np.c_[np.ones(80), rng.normal(size=(80, 4))], rng.random(80), rng.random(80) + 0.1
+    l2 = np.array([0.01, 0.1, 1, 0.1, 5])
+    loss = lambda w: -(n * (t * np.log(P._logistic(x @ w)) + (1 - t) * np.log(1 - P._logistic(x @ w)))).sum() + 0.5 * l2 @ (w * w)
+    w = P.classify(x, t, n, l2)
+    assert all(loss(w + d) >= loss(w) for d in rng.normal(size=(50, 5)) * 0.01)
+
+
+def test_whole_operator_against_plain(spark):
+    """Counts, draw, classifier and spans from a table, against the same in one plain pass."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    patterns, some = {}, []
+    for i, text in docs:
+        for a, z, kind, votes in P.candidates(text):
+            patterns[kind, votes] = patterns.get((kind, votes), 0) + 1
+            some.append((kind, text[a:z], *P.around(text, a, z)))
+    assert all(sum(k == kind for k, *_ in some) <= P.SAMPLE_SPANS for kind in P.KINDS)
+    m = P.fit([(k, v, n) for (k, v), n in patterns.items()], some)
+    got = P.find(spark.createDataFrame(docs, "doc_id long, text string"), model(spark)).collect()
+    want = {(i, a, z - a, kind): s for i, text in docs for a, z, kind, s in P.spans(text, m, P.THRESHOLD)}
+    assert {(r["doc_id"], r["start"], r["length"], r["kind"]) for r in got} == set(want)
+    assert all(abs(r["score"] - want[r["doc_id"], r["start"], r["length"], r["kind"]]) < 1e-6 for r in got)
+
+
+def test_what_only_looks_alike(spark):
+    m = model(spark)
+    for x in ("999.1.2.3", "0.0.0.0", "a@b", "1111-1111-1111-1111", "card 4111111111111112", "password = hunter", "256.300.1.1"):
+        assert P.redacted(f"see {x} there", m, P.THRESHOLD) == f"see {x} there", x
 
 
 def test_reliabilities_are_recovered():
@@ -37,11 +114,9 @@ def test_reliabilities_are_recovered():
     for k, (right, wrong) in enumerate(((0.95, 0.05), (0.8, 0.1), (0.7, 0.2), (0.5, 0.5))):
         votes[:, k] = np.where(rng.random(n) < np.where(truth, right, wrong), 1, -1)
     patterns, back, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
-    p, rel, share = P.expect(patterns, counts.astype(float))
+    p, rel, share = P.expect(patterns, counts.astype(float), prior=np.tile([0.6, 0.1, 0.1, 0.6], (4, 1)), failing=np.ones(4))
     assert abs(share - 0.7) < 0.05 and rel[0, 0] > 0.9 and rel[0, 2] < 0.12 and abs(rel[3, 0] - rel[3, 2]) < 0.1
     assert ((p[back.ravel()] > 0.5) == truth).mean() > 0.95
-    w = P.classify(patterns, counts.astype(float), p)
-    assert (((P._features(patterns) @ w) > 0) == (p > 0.5)).mean() > 0.9
 
 
 def test_odd_rows(spark):

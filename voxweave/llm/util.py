@@ -35,6 +35,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     spark.sparkContext.setCheckpointDir(folder)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """A folder that was written here, of any file system."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows, written once to the shared checkpoint folder, so that lost executors don't repeat or change them."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -46,14 +52,15 @@ def sized(df: DataFrame, width: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if df.count() * width <= limit else df
 
 
-#: Rows of an Arrow batch, where the session has Spark's default: texts are long, and a batch is held by the JVM and by Python at once.
-BATCH_ROWS, DEFAULT_ROWS = 2000, "10000"
+#: Rows of an Arrow batch where the session says nothing about them: texts are long, and a batch is held by the JVM and by Python at once.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def small_batches(spark: SparkSession) -> None:
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key, DEFAULT_ROWS) == DEFAULT_ROWS:
-        spark.conf.set(key, str(BATCH_ROWS))
+    """Takes BATCH_ROWS for the session unless its user chose a number, whichever it is."""
+    if not spark._jsparkSession.sessionState().conf().contains(_BATCH):
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
 
 
 def map_batches(df: DataFrame, schema: str, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> DataFrame:
