@@ -11,10 +11,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-#: Glossary rules that are applied as nested built-in calls at most. Each scans the text by a case-blind expression; a compiled
-#: fold that first looks for the rule's letters is some 20 times faster for 50 rules, and has no depth limit.
-CHAIN = 8
+from pyspark.sql.types import StringType
 
 QUESTION_STARTS = sorted(
     "acaso|cierto|como|crees|cual|cuando|cuanto|cuantos|cuál|cuándo|cuánto|cuántos|cómo|donde|dónde|es que|no crees|o no|piensas|podría|podrías|por qué|porqué|puede que|puedes|que|quien|quién|qué|sabes|será que|te parece|verdad".split("|")
@@ -79,7 +76,7 @@ def speaker_number(c: Column, fixed: bool = False) -> Column:
     ``fixed`` reads SPEAKER_GLOBAL_n as n, which by default is 0.
     """
     token = F.regexp_extract(c, r"SPEAKER_(?:GLOBAL_)?([0-9]+)", 1) if fixed else F.try_element_at(F.split(c, "_"), F.lit(2))
-    return F.when(c.contains("SPEAKER_"), F.coalesce(token.try_cast("int"), F.lit(0))).otherwise(F.pmod(F.xxhash64(c), F.lit(1000)).cast("int"))
+    return F.when(c.contains("SPEAKER_"), F.coalesce(token.try_cast("int"), F.lit(0))).otherwise((F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long") % 1000).cast("int"))
 
 
 def video_id(c: Column) -> Column:
@@ -97,9 +94,19 @@ def unaccented(c: Column) -> Column:
     return F.translate(c, ACCENTED, PLAIN)
 
 
+def compatible(c: Column) -> Column:
+    """Compatibility forms of letters and signs (full-width, ligatures, ...) as the plain ones: NFKC, which Spark has no function for; in Arrow batches."""
+
+    @F.pandas_udf(StringType())
+    def of(texts: pd.Series) -> pd.Series:
+        return texts.str.normalize("NFKC")
+
+    return of(c)
+
+
 def search_title(c: Column) -> Column:
-    """A title as files are named after it: lower case, signs to blanks, single blanks, 50 characters. Compatibility forms of letters aren't folded."""
-    return F.substring(strip(F.regexp_replace(F.translate(F.lower(c), TITLE_SIGNS, " " * len(TITLE_SIGNS)), r"(?U)\s+", " ")), 1, 50)
+    """A title as files are named after it: lower case, plain forms of letters, signs to blanks, single blanks, 50 characters."""
+    return F.substring(strip(F.regexp_replace(F.translate(compatible(F.lower(c)), TITLE_SIGNS, " " * len(TITLE_SIGNS)), r"(?U)\s+", " ")), 1, 50)
 
 
 def duration_label(c: Column) -> Column:
@@ -121,52 +128,32 @@ def ignores_case(error: str, correction: str) -> bool:
     return error.islower() and not correction.isupper()
 
 
-def _rule(c: Column, error: str, correction: str, word_boundary: bool) -> Column:
-    quoted = correction.replace("\\", "\\\\").replace("$", "\\$")
-    edge = (r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])") if word_boundary else ("", "")
-    flags = "(?iu)" if ignores_case(error, correction) else ""
-    if not flags and not word_boundary:
-        return F.replace(c, F.lit(error), F.lit(correction))
-    return F.regexp_replace(c, f"{flags}{edge[0]}\\Q{error}\\E{edge[1]}", quoted)
+def _any_case(c: Column) -> Column:
+    """One form of all letters that a case-blind expression takes for the same."""
+    return F.lower(F.upper(c))
 
 
 def with_glossary(df: DataFrame, column: str, rules: list[tuple[str, str]], word_boundary: bool = False) -> DataFrame:
     """``column`` with the rules applied one after the other, as raw substrings unless ``word_boundary``.
 
-    Up to CHAIN rules are one chain of built-in calls, more run compiled in an Arrow UDF, with the same results. (The optimizer
-    also merges long chains, however they are cut, to one expression that is too deep for its stack.)
+    A fold over an array of rules, in the JVM, of any number of them: a rule's expression runs only where its letters, in any case, are in the text.
     """
     rules = [r for r in rules if r[0]]
-    if len(rules) > CHAIN:
-        return df.withColumn(column, _folded(rules, word_boundary)(F.col(column)))
-    c = F.col(column)
-    for error, correction in rules:
-        c = _rule(c, error, correction, word_boundary)
-    return df.withColumn(column, c)
-
-
-def _folded(rules: list[tuple[str, str]], word_boundary: bool):
-    edge = (r"(?<!\w)", r"(?!\w)") if word_boundary else ("", "")
-
-    @F.pandas_udf("string")
-    def of(texts: pd.Series) -> pd.Series:
-        compiled = [(e.lower(), re.compile(edge[0] + re.escape(e) + edge[1], re.I if ignores_case(e, c) else 0), c) for e, c in rules]
-
-        def fold(t: str | None) -> str | None:
-            if t is None:
-                return None
-            low = t.lower()
-            sure = low.isascii() or max(t) <= "\xff"  # beyond Latin-1, letters match in more ways than lower case tells
-            for error, pattern, c in compiled:
-                if not sure or error in low:
-                    new = pattern.sub(lambda _, c=c: c, t)
-                    if new != t:
-                        t, low = new, new.lower()
-            return t
+    if not rules:
+        return df
+    state = "struct<t:string,f:string>"
+    edge = (r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])") if word_boundary else ("", "")
+    one = lambda e, c: F.struct(
+        F.lit(e).alias("e"), F.lit(c).alias("c"), _any_case(F.lit(e)).alias("f"), F.lit(not word_boundary and not ignores_case(e, c)).alias("plain"),
+        F.lit(f"{'(?iu)' if ignores_case(e, c) else ''}{edge[0]}\\Q{e}\\E{edge[1]}").alias("p"), F.lit(c.replace("\\", "\\\\").replace("$", "\\$")).alias("q"),
+    )
 
-        return texts.map(fold)
+    def step(s: Column, r: Column) -> Column:
+        new = F.when(r["plain"], F.replace(s["t"], r["e"], r["c"])).otherwise(F.regexp_replace(s["t"], r["p"], r["q"]))
+        return F.when(F.contains(s["f"], r["f"]), F.struct(new.alias("t"), _any_case(new).alias("f")).cast(state)).otherwise(s)
 
-    return of
+    start = F.struct(F.col(column).alias("t"), _any_case(F.col(column)).alias("f")).cast(state)
+    return df.withColumn(column, F.aggregate(F.array(*[one(e, c) for e, c in rules]), start, step)["t"])
 
 
 def number_words() -> list[str]:
@@ -324,3 +311,12 @@ def with_changes(df: DataFrame, column: str, rules: list[tuple[str, str]]) -> Da
 
     done = df.withColumn("__done", of(F.col(column)))
     return done.withColumn("text_original", F.col(column)).withColumn(column, F.col("__done.text")).withColumn("changes", F.col("__done.changes")).drop("__done")
+
+
+STAGES = ("spacing", "glossary", "numbers", "punctuation", "capitals")
+
+
+def stage_counts(rows: DataFrame) -> DataFrame:
+    """One row of rows with ``changes``, as ``with_changes`` gives: texts processed, and by stage how many texts it changed."""
+    changed = lambda s: F.count_if(F.coalesce(F.size(F.try_element_at("changes", F.lit(s))), F.lit(0)) > 0)
+    return rows.agg(F.count("*").alias("processed"), *[changed(s).alias(s) for s in STAGES])

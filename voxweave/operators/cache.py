@@ -48,6 +48,14 @@ def figures(looked: DataFrame) -> DataFrame:
     return looked.agg(F.count_if("hit").alias("hits"), F.count_if(~F.col("hit")).alias("misses"), F.coalesce(F.round(F.try_divide(F.count_if("hit") * 100.0, F.count("*")), 2), F.lit(0.0)).alias("hit_rate"))
 
 
+def run_figures(looked: DataFrame, before: DataFrame, new: DataFrame, most: int = MOST) -> DataFrame:
+    """One row of a run: hits, misses, hit_rate, writes (entries given), evictions (what ``written`` lets go), entries after it and how many there may be."""
+    keys = before.select("text_hash").unionByName(new.select("text_hash")).agg(F.countDistinct("text_hash").alias("keys"))
+    wrote = new.agg(F.count("*").alias("writes"))
+    row = figures(looked).crossJoin(wrote).crossJoin(keys)  # of one row each
+    return row.withColumn("evictions", F.greatest(F.col("keys") - most, F.lit(0))).withColumn("entries", F.least(F.col("keys"), F.lit(most))).withColumn("max_entries", F.lit(most)).drop("keys")
+
+
 def contains(texts: DataFrame, cache: DataFrame, column: str = "text") -> DataFrame:
     return looked_up(texts, cache, column).drop("cached")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,11 +30,21 @@ def exclusion(title: Column, channel: Column, keywords: list[str], channels: lis
     return F.coalesce(*found, F.lit(None).cast("string"))
 
 
+def containing(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """(id, key_id): which of texts (id, text) hold which of keys (key_id, key), empty ones in none. An equi-join on the parts of a text that are as long as some key, so it shuffles and needs no pair that doesn't match; the lengths that occur are known to the driver."""
+    some = keys.where(F.length("key") > 0)
+    lengths = [r[0] for r in some.select(F.length("key").alias("n")).distinct().orderBy("n").collect()]
+    part = lambda n: F.transform(F.sequence(F.lit(1), F.length("text") - n + 1), lambda i: F.col("text").substr(i, F.lit(n)))
+    none = F.array().cast("array<string>")
+    cut = F.array_distinct(F.flatten(F.array(none, *[F.when(F.length("text") >= n, part(n)).otherwise(none) for n in lengths])))
+    return texts.where("text is not null").select("id", F.explode(cut).alias("key")).join(some, "key").select("id", "key_id")
+
+
 def exclusion_join(rows: DataFrame, keywords: DataFrame) -> DataFrame:
     """``exclusion`` against a table (pos, keyword): rows (id, title) with the first keyword the title holds."""
-    k = keywords.select("pos", "keyword")
-    hits = rows.join(k, F.lower("title").contains(F.lower("keyword"))).groupBy("id").agg(F.min_by("keyword", "pos").alias("reason"))
-    return rows.join(hits, "id", "left")
+    hits = containing(rows.select("id", F.lower("title").alias("text")), keywords.select(F.col("pos").alias("key_id"), F.lower("keyword").alias("key")))
+    first = hits.join(keywords.select(F.col("pos").alias("key_id"), "keyword"), "key_id").groupBy("id").agg(F.min_by("keyword", "key_id").alias("reason"))
+    return rows.join(first, "id", "left")
 
 
 def first_of_each(rows: DataFrame, key: str = "id", *order: str) -> DataFrame:
@@ -62,10 +75,14 @@ def skipped(rows: DataFrame, registry: DataFrame) -> DataFrame:
 
 
 def upsert(registry: DataFrame, changes: DataFrame, key: str = "video_id", at: str = "timestamp") -> DataFrame:
-    """The latest row of each key; of equal times, the change."""
+    """The latest row of each key; of equal times, the change. Columns that changes doesn't have keep what the registry held."""
     both = registry.withColumn("__new", F.lit(0)).unionByName(changes.withColumn("__new", F.lit(1)), allowMissingColumns=True)
-    rank = F.row_number().over(Window.partitionBy(key).orderBy(F.desc_nulls_last(at), F.desc("__new")))
-    return both.withColumn("__k", rank).where("__k = 1").drop("__k", "__new")
+    by = Window.partitionBy(key)
+    old = by.orderBy("__new", F.desc_nulls_last(at)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for c in registry.columns:
+        if c not in changes.columns:
+            both = both.withColumn(c, F.when(F.col("__new") == 0, F.col(c)).otherwise(F.first(F.when(F.col("__new") == 0, F.col(c))).over(old)))
+    return both.withColumn("__k", F.row_number().over(by.orderBy(F.desc_nulls_last(at), F.desc("__new")))).where("__k = 1").drop("__k", "__new")
 
 
 def retryable(registry: DataFrame, present: DataFrame) -> DataFrame:
@@ -76,8 +93,8 @@ def retryable(registry: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def retried(registry: DataFrame, results: DataFrame) -> DataFrame:
-    """The registry after retries (video_id, ok, segments, error, timestamp): what went well is processed, the rest failed, and both are marked."""
-    done = results.select("video_id", F.when(F.col("ok"), "processed").otherwise("failed").alias("status"), F.when(F.col("ok"), "completed").otherwise("processing").alias("stage"), "segments", "error", "timestamp", F.lit(True).alias("retried"))
+    """The registry after retries (video_id, ok, segments, error, timestamp): what went well is processed and marked, with its title, category and file as they were; what failed again stays as it was, so it may be tried again."""
+    done = results.where("ok").select("video_id", F.lit("processed").alias("status"), F.lit("completed").alias("stage"), "segments", F.lit(None).cast("string").alias("error"), "timestamp", F.lit(True).alias("retried"))
     return upsert(registry, done)
 
 
@@ -100,8 +117,49 @@ def leftovers(files: DataFrame, patterns: tuple[str, ...] = (r"\.part$", r"\.ytd
 
 def matching_titles(titles: DataFrame, files: DataFrame, width: int = 20) -> DataFrame:
     """(id, path): files and titles of which one's first ``width`` characters are in the other."""
-    a, b = F.col("title"), F.col("name")
-    return titles.join(files, b.contains(F.substring(a, 1, width)) | a.contains(F.substring(b, 1, width))).where((F.length(a) > 0) & (F.length(b) > 0)).select("id", "path")
+    a, b = titles.where(F.length("title") > 0), files.where(F.length("name") > 0)
+    there = containing(b.select(F.col("path").alias("id"), F.col("name").alias("text")), a.select(F.col("id").alias("key_id"), F.substring("title", 1, width).alias("key"))).select(F.col("key_id").alias("id"), F.col("id").alias("path"))
+    back = containing(a.select("id", F.col("title").alias("text")), b.select(F.col("path").alias("key_id"), F.substring("name", 1, width).alias("key"))).select("id", F.col("key_id").alias("path"))
+    return there.unionByName(back).distinct()
+
+
+def new_files(after: DataFrame, before: DataFrame) -> DataFrame:
+    """(path) of the files that are there after and weren't before, each once."""
+    return after.select("path").distinct().join(before.select("path"), "path", "left_anti")
+
+
+def validation_summary(report: DataFrame) -> DataFrame:
+    """One row of a report (valid, repaired): files, valid ones, repaired ones and those that stay bad."""
+    fixed = F.coalesce(F.col("repaired"), F.lit(False))
+    return report.agg(F.count("*").alias("files"), F.count_if("valid").alias("valid"), F.count_if(fixed).alias("repaired"), F.count_if(~F.col("valid") & ~fixed).alias("bad"))
+
+
+def download_summary(results: DataFrame) -> DataFrame:
+    """One row of download results (ok, kind): how many, how many went well, failed, and failed for good."""
+    return results.agg(F.count("*").alias("downloads"), F.count_if("ok").alias("succeeded"), F.count_if(~F.col("ok")).alias("failed"), F.count_if(~F.col("ok") & (F.col("kind") != "retry")).alias("terminal"))
+
+
+def downloaded(wanted: DataFrame, fetch: Callable[[str], bytes], tries: int = 3) -> DataFrame:
+    """(id, url, ok, tries, content, error) of wanted (id, url): each fetched by a given callable, ``tries`` times at most, unless the error is one that no retry mends (``error_kind``). No failure fails a task."""
+    final = ("Private video", "Video unavailable", "HTTP Error 403", "HTTP Error 404", "Sign in to confirm your age")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for i, url in zip(pdf["id"], pdf["url"]):
+                content, error, k = None, None, 0
+                while content is None and k < tries:
+                    k += 1
+                    try:
+                        content, error = fetch(url), None
+                    except Exception as e:  # noqa: BLE001 - what the source raises is a row
+                        error = str(e) or type(e).__name__
+                        if any(x in error for x in final):
+                            break
+                rows.append((i, url, content is not None, k, content, error))
+            yield pd.DataFrame(rows, columns=["id", "url", "ok", "tries", "content", "error"])
+
+    return wanted.select("id", "url").mapInPandas(run, "id string, url string, ok boolean, tries int, content binary, error string").withColumn("kind", F.when(~F.col("ok"), error_kind(F.coalesce("error", F.lit("")))))
 
 
 def chosen_file(found: DataFrame) -> DataFrame:

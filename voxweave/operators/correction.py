@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .metadata import tidy_changes
+
 BATCH, RETRIES, CONFIDENCE = 5, 3, 0.7
 RESPONSE = "struct<texto_corregido:string,cambios:array<string>,confianza:double>"
 ITEMS = "struct<correcciones:array<struct<id:int,texto_corregido:string,cambios:array<string>,confianza:double>>>"
@@ -52,7 +54,7 @@ def parsed(c: Column, original: Column) -> Column:
     return F.struct(
         (F.coalesce(read, F.lit(False)) | (saved != "")).alias("success"),
         F.when(read, F.coalesce(got["texto_corregido"], original)).when(saved != "", saved).otherwise(original).alias("text"),
-        F.when(read, F.coalesce(got["cambios"], F.array().cast("array<string>"))).when(saved != "", F.array(F.lit("partial"))).otherwise(F.array().cast("array<string>")).alias("changes"),
+        F.when(read, tidy_changes(F.coalesce(got["cambios"], F.array().cast("array<string>")))).when(saved != "", F.array(F.lit("partial"))).otherwise(F.array().cast("array<string>")).alias("changes"),
         F.when(read, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(got["confianza"], F.lit(0.5))))).when(saved != "", F.lit(0.5)).otherwise(F.lit(0.0)).alias("confidence"),
     )
 
@@ -77,27 +79,66 @@ def correction_figures(rows: DataFrame) -> DataFrame:
     return rows.agg(F.count_if("llm_applied").alias("corrected"), F.count_if("llm_error").alias("failed"), F.count_if("llm_low_confidence").alias("low_confidence"), F.coalesce(F.sum(F.size("changes")), F.lit(0)).alias("changes"), F.round(F.avg(F.when(~F.col("llm_error"), F.col("confidence"))), 6).alias("mean_confidence"))
 
 
+_REPAIRS = tuple(
+    (re.compile(pattern, flags), by)
+    for pattern, by, flags in (
+        (r"^```(?:json)?\s*|\s*```$", "", 0),  # fences
+        (r"^(?:here is.*?:|json:?\s*)", "", re.I),  # what leads in
+        (r"(?<!:)//[^\n]*|/\*[\s\S]*?\*/", "", 0),  # comments
+        (r",(\s*[}\]])", r"\1", 0),  # commas too many
+        (r"\}(\s*)\{", r"},\1{", 0),  # commas too few: between objects,
+        (r'"[^\S\n]+"(?=[^":,{}\[\]]*":)', '", "', 0),  # between a value and a name,
+        (r'([\d"\]])(\s*\n\s*|\s+)(?=")', r"\1,\2", 0),  # and after a value, over lines too
+        (r'\b(true|false|null)(\s+)(?=")', r"\1,\2", 0),
+    )
+)
+
+
 def repaired_json(s: str) -> str:
-    """An answer made parseable: outer braces, fences and comments off, commas put or taken, odd quotes closed."""
-    if m := re.search(r"\{[\s\S]*\}", s.strip()):
+    """An answer made parseable: outer braces, fences and comments off, commas put or taken, odd quotes closed, brackets closed, nothing after the last brace. What parses stays as it is."""
+    s = s.strip()
+    if m := re.search(r"\{[\s\S]*\}", s):
         s = m[0]
-    for pattern, by, flags in (
-        (r"^```(?:json)?\s*|\s*```$", "", 0),
-        (r"^(?:here is.*?:|json:?\s*)", "", re.I),
-        (r"(?<!:)//[^\n]*|/\*[\s\S]*?\*/", "", 0),
-        (r",(\s*[}\]])", r"\1", 0),
-        (r"\}(\s*)\{", r"},\1{", 0),
-        (r'([\d"\]])(\s*\n\s*|\s+)(?=")', r"\1,\2", 0),
-    ):
-        s = re.sub(pattern, by, s, flags=flags)
+    try:
+        json.loads(s)
+        return s
+    except ValueError:
+        pass
+    for pattern, by in _REPAIRS:
+        s = pattern.sub(by, s)
     lines = [line.rstrip() + '"' if line.count('"') % 2 and not line.rstrip().endswith('"') else line for line in s.split("\n")]
     s = "\n".join(lines)
-    return s[: s.rfind("}") + 1] or s
+    s = s[: s.rfind("}") + 1] or s
+    missing = s.count("[") - s.count("]")
+    if missing > 0 and s.endswith("}"):
+        s = s[:-1] + "]" * missing + "}"
+    return s
+
+
+def with_repaired_json(df: DataFrame, column: str) -> DataFrame:
+    """``column`` made parseable, in Arrow batches; null stays null."""
+
+    @F.pandas_udf("string")
+    def of(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else repaired_json(t))
+
+    return df.withColumn(column, of(F.col(column)))
 
 
 Client = Callable[[str, str], str]
 
 
+def healthy(client: Client, tries: int = 1) -> bool:
+    """Whether the model answers anything."""
+    for _ in range(tries):
+        try:
+            if str(client("", "ping") or "").strip():
+                return True
+        except Exception:  # noqa: BLE001, S112 - a model that fails isn't healthy
+            continue
+    return False
+
+
 def read_batch(answer: str, texts: list[str]) -> list[tuple[str, list[str], float, str | None]] | None:
     """(text, changes, confidence, error) of each text of a batch, or None if nothing can be read."""
     for s in (answer, repaired_json(answer)):
@@ -118,7 +159,7 @@ def read_batch(answer: str, texts: list[str]) -> list[tuple[str, list[str], floa
         if x is None or not str(x.get("texto_corregido") or "").strip():
             out.append((t, [], 0.0, "missing_in_batch"))
         else:
-            changes = [c.strip() for c in x.get("cambios") or [] if isinstance(c, str) and c.strip()][:10]
+            changes = [c.strip() for c in x.get("cambios") or [] if isinstance(c, str) and c.strip()]
             try:
                 confidence = min(1.0, max(0.0, float(x.get("confianza", 0.5))))
             except (TypeError, ValueError):

@@ -42,28 +42,28 @@ def purity(overlap: DataFrame, amount: str = "overlap") -> DataFrame:
     return by_speaker(overlap, amount).groupBy("podcast_id", "seg_idx").agg(best.alias("dominant"), (F.max("total") / F.sum("total")).alias("purity"), F.count("*").alias("speakers"), F.sum("total").alias("seconds"))
 
 
-def assigned(segments: DataFrame, turns: DataFrame, default_length: float = 15) -> DataFrame:
+def assigned(segments: DataFrame, turns: DataFrame, default_length: float = 15, bucket: float | None = None) -> DataFrame:
     """Segments with the speaker of the most overlap; SPEAKER_00 where there is none. A missing end is start + default_length."""
     whole = segments.withColumn("end", F.coalesce("end", F.col("start") + default_length))
-    found = purity(overlaps(whole, turns)).select("podcast_id", "seg_idx", "dominant")
+    found = purity(overlaps(whole, turns, bucket)).select("podcast_id", "seg_idx", "dominant")
     return whole.join(found, ["podcast_id", "seg_idx"], "left").withColumn("speaker", F.coalesce("dominant", F.lit(UNKNOWN))).drop("dominant")
 
 
-def reviewed(segments: DataFrame, turns: DataFrame, max_speakers: int = 1, min_purity: float = 0.8) -> DataFrame:
+def reviewed(segments: DataFrame, turns: DataFrame, max_speakers: int = 1, min_purity: float = 0.8, bucket: float | None = None, overlap: DataFrame | None = None) -> DataFrame:
     """Segments with decision (keep, split, drop), dominant, purity and speakers.
 
     Without any overlap a segment is kept as it is; with more than max_speakers it is split; below min_purity dropped; else
-    kept with its dominant speaker. At the default of one speaker the purity rule can't apply: a single speaker's purity is 1.
+    kept with its dominant speaker. ``overlap`` is their overlaps, where they are known. At the default of one speaker the purity rule can't apply: a single speaker's purity is 1.
     """
-    seen = purity(overlaps(segments, turns)).select("podcast_id", "seg_idx", "dominant", "purity", "speakers")
+    seen = purity(overlaps(segments, turns, bucket) if overlap is None else overlap).select("podcast_id", "seg_idx", "dominant", "purity", "speakers")
     joined = segments.join(seen, ["podcast_id", "seg_idx"], "left")
     decision = F.when(F.col("speakers").isNull(), "keep").when(F.col("speakers") > max_speakers, "split").when(F.col("purity") < min_purity, "drop").otherwise("keep")
     return joined.withColumn("decision", decision).withColumn("dominant", F.coalesce("dominant", F.col("speaker"))).withColumn("purity", F.coalesce("purity", F.lit(1.0))).withColumn("speakers", F.coalesce("speakers", F.lit(0)))
 
 
-def split_by_speaker(segments: DataFrame, turns: DataFrame, min_length: float = 5) -> DataFrame:
+def split_by_speaker(segments: DataFrame, turns: DataFrame, min_length: float = 5, bucket: float | None = None, overlap: DataFrame | None = None) -> DataFrame:
     """(podcast_id, seg_idx, piece, start, end, speaker): a piece for each clipped turn of min_length or more, in absolute time; a segment without any stays whole as SPEAKER_00."""
-    clipped = overlaps(segments, turns).where(F.col("overlap") >= min_length)
+    clipped = (overlaps(segments, turns, bucket) if overlap is None else overlap).where(F.col("overlap") >= min_length)
     base = segments.select("podcast_id", "seg_idx", F.col("start").alias("base"), F.col("end").alias("base_end"))
     order = Window.partitionBy("podcast_id", "seg_idx").orderBy("start", "turn_idx")
     pieces = clipped.join(base, ["podcast_id", "seg_idx"]).withColumn("piece", F.row_number().over(order) - 1)
@@ -72,11 +72,13 @@ def split_by_speaker(segments: DataFrame, turns: DataFrame, min_length: float =
     return pieces.unionByName(whole.select("podcast_id", "seg_idx", F.lit(0).alias("piece"), F.col("base").alias("start"), F.col("base_end").alias("end"), F.lit(UNKNOWN).alias("speaker")))
 
 
-def review(segments: DataFrame, turns: DataFrame, max_speakers: int = 1, min_purity: float = 0.8, min_length: float = 5) -> DataFrame:
+def review(segments: DataFrame, turns: DataFrame, max_speakers: int = 1, min_purity: float = 0.8, min_length: float = 5, bucket: float | None = None) -> DataFrame:
     """The segments after review: (podcast_id, segment, start, end, speaker, speaker_purity, split_from), numbered anew in each recording. Segments below min_length go first."""
-    seen = reviewed(segments.where(F.col("end") - F.col("start") >= min_length), turns, max_speakers, min_purity)
+    long = segments.where(F.col("end") - F.col("start") >= min_length)
+    overlap = overlaps(long, turns, bucket)  # one join: both uses below share its exchange
+    seen = reviewed(long, turns, max_speakers, min_purity, overlap=overlap)
     kept = seen.where("decision = 'keep'").select("podcast_id", "seg_idx", F.lit(0).alias("piece"), "start", "end", F.col("dominant").alias("speaker"), F.col("purity").alias("speaker_purity"), F.lit(None).cast("long").alias("split_from"))
-    parts = split_by_speaker(seen.where("decision = 'split'").select("podcast_id", "seg_idx", "start", "end", "speaker"), turns, min_length)
+    parts = split_by_speaker(seen.where("decision = 'split'").select("podcast_id", "seg_idx", "start", "end", "speaker"), turns, min_length, overlap=overlap)
     parts = parts.select("podcast_id", "seg_idx", "piece", "start", "end", "speaker", F.lit(None).cast("double").alias("speaker_purity"), F.col("seg_idx").cast("long").alias("split_from"))
     number = F.row_number().over(Window.partitionBy("podcast_id").orderBy("seg_idx", "piece")) - 1
     return kept.unionByName(parts).withColumn("segment", number).drop("seg_idx", "piece")
@@ -102,7 +104,7 @@ def clamped(turns: DataFrame, duration: Column) -> DataFrame:
 
 
 def by_turn(turns: DataFrame, duration: Column, max_length: float = 15, min_length: float = 10) -> DataFrame:
-    """Segments from turns: clamped, short ones dropped, long ones cut at max_length, pieces below min_length skipped. (The cut at the quietest place near max_length is ``signal.split_long``, which needs the sound.)"""
+    """Segments from turns: clamped, short ones dropped, long ones cut at max_length, pieces below min_length skipped. (With the sound at hand, ``signal.split_turns`` cuts at the quietest place near max_length.)"""
     kept = clamped(turns, duration).where(F.col("end") - F.col("start") >= min_length)
     pieces = F.sequence(F.lit(0), (F.ceil((F.col("end") - F.col("start")) / max_length) - 1).cast("int"))
     cut = kept.withColumn("k", F.explode(pieces))
@@ -143,3 +145,11 @@ def filled(chunks: DataFrame, max_length: float = 15, min_length: float = 10) ->
 
     folded = ordered.select("podcast_id", F.posexplode(F.aggregate("c", empty, step, end)).alias("seg_idx", "duration"))
     return folded
+
+
+def transcribed_again(reviewed_rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Reviewed rows (podcast_id, segment, split_from, text, ...) of which those that were split take the text and language of their new transcript (podcast_id, segment, text, language); others, and those without one, keep theirs."""
+    again = texts.select("podcast_id", "segment", F.col("text").alias("__text"), F.col("language").alias("__language"))
+    joined = reviewed_rows.join(again, ["podcast_id", "segment"], "left")
+    new = F.col("split_from").isNotNull() & F.col("__text").isNotNull()
+    return joined.withColumn("text", F.when(new, F.col("__text")).otherwise(F.col("text"))).withColumn("language", F.when(new, F.col("__language")).otherwise(F.col("language"))).drop("__text", "__language")

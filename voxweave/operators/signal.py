@@ -43,15 +43,55 @@ def sliding_rms(samples: DataFrame, width: int, hop: int) -> DataFrame:
     return whole.groupBy("podcast_id", "frame").agg(F.sqrt(F.avg(F.col("x") * F.col("x"))).alias("rms"))
 
 
+def signal_stats(samples: DataFrame) -> DataFrame:
+    """(podcast_id, peak, rms) of samples (podcast_id, x), by plain aggregates."""
+    return samples.groupBy("podcast_id").agg(F.max(F.abs("x")).alias("peak"), F.sqrt(F.avg(F.col("x") * F.col("x"))).alias("rms"))
+
+
 # numpy kernels
 
+Sound = tuple[np.ndarray, int]
+#: Decoders by format, for what isn't WAV: content -> (mono samples, rate).
+Decoders = dict[str, Callable[[bytes], Sound]]
+
+
+class UnsupportedError(ValueError):
+    """A known format of sound for which there is no decoder."""
+
+
+def audio_format(content: bytes | None) -> str | None:
+    """wav, mp3, flac, ogg, m4a or webm by what a file begins with, or None."""
+    c = content or b""
+    if c[:4] == b"RIFF" and c[8:12] == b"WAVE":
+        return "wav"
+    if c[:3] == b"ID3" or len(c) > 1 and c[0] == 0xFF and c[1] & 0xE0 == 0xE0:
+        return "mp3"
+    if c[4:8] == b"ftyp":
+        return "m4a"
+    return {b"fLaC": "flac", b"OggS": "ogg", b"\x1aE\xdf\xa3": "webm"}.get(c[:4])
+
+
+def decode(content: bytes | None, decoders: Decoders | None = None) -> Sound:
+    """Mono samples and rate, by the decoder of the content's format; WAV needs none."""
+    kind = audio_format(content)
+    if kind is None:
+        raise ValueError("not sound of a known format")
+    if decoders and kind in decoders:
+        return decoders[kind](content)
+    if kind != "wav":
+        raise UnsupportedError(f"no decoder for {kind}")
+    return decode_wav(content)
+
 
 def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
-    """Mono float samples and rate of PCM of 8, 16 or 32 bits; channels are averaged."""
+    """Mono float samples and rate of PCM of 8, 16, 24 or 32 bits; channels are averaged."""
     with wave.open(io.BytesIO(content)) as w:
         rate, width, channels, raw = w.getframerate(), w.getsampwidth(), w.getnchannels(), w.readframes(w.getnframes())
     if width == 1:
         x = np.frombuffer(raw, np.uint8).astype(np.float64) / 128 - 1
+    elif width == 3:
+        b = np.frombuffer(raw, np.uint8).reshape(-1, 3).astype(np.int32)
+        x = ((b[:, 0] << 8 | b[:, 1] << 16 | b[:, 2] << 24) >> 8) / float(1 << 23)
     elif width in (2, 4):
         x = np.frombuffer(raw, f"<i{width}").astype(np.float64) / float(1 << (8 * width - 1))
     else:
@@ -116,30 +156,116 @@ def quiet_parts(x: np.ndarray, rate: int, threshold: float = -40.0, least: float
     return out
 
 
-def best_cut(x: np.ndarray, rate: int, start: float, target: float, least: float, end: float, search: float = 1.0) -> float:
-    """The quietest place within ``search`` seconds of target: the middle of the 50 ms frame of the lowest RMS, not before start + least nor after end."""
-    lo, hi = max(start + least, target - search), min(target + search, end, len(x) / rate)
-    width, hop = max(1, int(0.05 * rate)), max(1, int(0.025 * rate))
-    places = range(int(lo * rate), int(hi * rate) - width + 1, hop)
-    if not len(places):
-        return min(target, end)
-    return (min(places, key=lambda p: (level(x[p : p + width]), p)) + width / 2) / rate
+def best_cut(x: np.ndarray, rate: int, start: float, target: float, least: float, search: float = 1.0) -> float:
+    """The quietest place within ``search`` seconds of target: the start of the 50 ms frame of the lowest RMS, not before start + least; target where there is none."""
+    lo, hi = max(start + least, target - search), min(target + search, len(x) / rate)
+    part, width = x[int(lo * rate) : max(int(lo * rate), int(hi * rate))], max(1, int(0.05 * rate))
+    places = range(0, len(part) - width, max(1, width // 2))
+    if hi <= lo or not len(places):
+        return target
+    cut = lo + min(places, key=lambda p: (level(part[p : p + width]), p)) / rate
+    return cut if cut - start >= least else target
 
 
 def split_long(x: np.ndarray, rate: int, start: float, end: float, max_length: float = 15, min_length: float = 10) -> list[tuple[float, float]]:
     """Pieces of a long turn, each cut but the last moved to the quietest place near max_length; pieces below min_length are skipped."""
     out, at = [], start
     while at < end:
-        stop = end if end - at <= max_length else best_cut(x, rate, at, at + max_length, min_length, end)
-        if stop <= at:
-            break
+        stop = min(at + max_length, end)
         if stop - at >= min_length:
+            if stop < end:
+                stop = best_cut(x, rate, at, stop, min_length)
             out.append((at, stop))
         at = stop
     return out
 
 
-def normalised_files(files: DataFrame, target: int = 22050, lufs: float = -23.0, peak: bool = True) -> DataFrame:
+def turns_by_energy(x: np.ndarray, rate: int, width: float = 2.0, share: float = 0.5, labels: int = 3) -> list[tuple[float, float, str]]:
+    """(start, end, speaker) as ``energy_turns`` gives, of one recording's samples."""
+    step = max(1, int(rate * width))
+    energy = [float(np.mean(x[a : a + step] ** 2)) for a in range(0, len(x), step)]
+    if not energy:
+        return [(0.0, len(x) / rate, "SPEAKER_00")]
+    limit, speaker, out = share * float(np.median(energy)), 0, [(0.0, 0)]
+    for k in range(1, len(energy)):
+        if abs(energy[k] - energy[k - 1]) > limit:
+            speaker = (speaker + 1) % labels
+            out.append((k * step / rate, speaker))
+    ends = [a for a, _ in out[1:]] + [len(x) / rate]
+    return [(a, z, f"SPEAKER_{n:02d}") for (a, n), z in zip(out, ends)]
+
+
+Diarizer = Callable[[bytes], list[dict]]
+
+
+def diarized(files: DataFrame, diarizer: Diarizer | None = None, decoders: Decoders | None = None) -> DataFrame:
+    """(podcast_id, turn_idx, start, end, speaker, method, error) of files (podcast_id, content): turns (start, end, speaker) of a given model, method 'model'; where there is none, or it fails or finds nothing, turns by energy ('energy'); where the sound can't be read, one turn of SPEAKER_00 without length ('none')."""
+
+    def one(content: bytes | None) -> tuple[list[tuple[float, float, str]], str, str | None]:
+        error = None
+        if diarizer:
+            try:
+                if got := [(float(t["start"]), float(t["end"]), str(t["speaker"])) for t in diarizer(content)]:
+                    return got, "model", None
+                error = "the model found no turns"
+            except Exception as e:  # noqa: BLE001 - a model's failure is what the fallback is for
+                error = str(e) or type(e).__name__
+        try:
+            return turns_by_energy(*decode(content, decoders)), "energy", error
+        except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+            return [(0.0, 0.0, "SPEAKER_00")], "none", str(e) or type(e).__name__
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for name, content in zip(pdf["podcast_id"], pdf["content"]):
+                turns, method, error = one(content)
+                rows += [(name, k, *t, method, error) for k, t in enumerate(turns)]
+            yield pd.DataFrame(rows, columns=["podcast_id", "turn_idx", "start", "end", "speaker", "method", "error"])
+
+    return files.select("podcast_id", "content").mapInPandas(run, "podcast_id string, turn_idx long, start double, end double, speaker string, method string, error string")
+
+
+def split_turns(turns: DataFrame, files: DataFrame, max_length: float = 15, min_length: float = 10, decoders: Decoders | None = None) -> DataFrame:
+    """Segments (podcast_id, seg_idx, start, end, speaker, error) of turns (podcast_id, turn_idx, start, end, speaker), long ones cut at quiet places of the sound in files (podcast_id, content), which is decoded once a recording. Turns are clamped to the sound; short ones go. Without readable sound long turns are cut at max_length, and error says why."""
+    kind = dict(turns.dtypes)["podcast_id"]
+
+    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        rows, x, rate, error = [], np.zeros(0), 1, None
+        try:
+            if right.empty:
+                raise ValueError("no file")
+            x, rate = decode(right["content"].iloc[0], decoders)
+        except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+            error = str(e) or type(e).__name__
+        for t in left.sort_values(["start", "turn_idx"], kind="stable").itertuples():
+            start, end = max(0.0, float(t.start)), float(t.end) if error else min(float(t.end), len(x) / rate)
+            if end - start >= min_length:
+                rows += [(a, z, t.speaker) for a, z in split_long(x, rate, start, end, max_length, min_length)]
+        return pd.DataFrame([(key[0], k, a, z, s, error) for k, (a, z, s) in enumerate(rows)], columns=["podcast_id", "seg_idx", "start", "end", "speaker", "error"])
+
+    grouped = turns.select("podcast_id", "turn_idx", "start", "end", "speaker").groupBy("podcast_id")
+    return grouped.cogroup(files.select("podcast_id", "content").groupBy("podcast_id")).applyInPandas(run, f"podcast_id {kind}, seg_idx long, start double, end double, speaker string, error string")
+
+
+def converted_files(files: DataFrame, rate: int | None = None, decoders: Decoders | None = None) -> DataFrame:
+    """(path, content, error): files of any format that can be decoded as WAV, at ``rate`` or their own."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for path, content in zip(pdf["path"], pdf["content"]):
+                try:
+                    x, own = decode(content, decoders)
+                    rows.append((path, encode_wav(resample(x, own, rate or own), rate or own), None))
+                except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+                    rows.append((path, None, str(e) or type(e).__name__))
+            yield pd.DataFrame(rows, columns=["path", "content", "error"])
+
+    return files.select("path", "content").mapInPandas(run, "path string, content binary, error string")
+
+
+def normalised_files(files: DataFrame, target: int = 22050, lufs: float = -23.0, peak: bool = True, decoders: Decoders | None = None) -> DataFrame:
     """(path, content, sample_rate, peak, rms, loudness, duration, error) of files (path, content); a file that can't be read gives an error and no content."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -147,38 +273,47 @@ def normalised_files(files: DataFrame, target: int = 22050, lufs: float = -23.0,
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 try:
-                    x = normalise(*decode_wav(content), target, lufs, peak)
+                    x = normalise(*decode(content, decoders), target, lufs, peak)
                     r = level(x)
                     rows.append((path, encode_wav(x, target), target, float(np.abs(x).max(initial=0)), r, 20 * math.log10(r) - 0.691 if r > 0 else float("-inf"), len(x) / target, None))
-                except (ValueError, EOFError, wave.Error, TypeError) as e:
+                except Exception as e:  # noqa: BLE001 - a row, not a task's failure
                     rows.append((path, None, None, None, None, None, None, str(e) or type(e).__name__))
             yield pd.DataFrame(rows, columns=["path", "content", "sample_rate", "peak", "rms", "loudness", "duration", "error"])
 
     return files.select("path", "content").mapInPandas(run, "path string, content binary, sample_rate int, peak double, rms double, loudness double, duration double, error string")
 
 
-def segmented_files(files: DataFrame, max_length: float = 15, min_length: float = 10, threshold: float = -40.0) -> DataFrame:
-    """(path, chunk_idx, duration) between silences, for ``intervals.filled``."""
+def segmented_files(files: DataFrame, max_length: float = 15, min_length: float = 10, threshold: float = -40.0, decoders: Decoders | None = None) -> DataFrame:
+    """(podcast_id, chunk_idx, duration, error) between silences, for ``intervals.filled``; a file that can't be read is one row with an error alone."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [(p, k, z - a) for p, c in zip(pdf["path"], pdf["content"]) for k, (a, z) in enumerate(quiet_parts(*decode_wav(c), threshold))]
-            yield pd.DataFrame(rows, columns=["podcast_id", "chunk_idx", "duration"])
+            rows = []
+            for p, c in zip(pdf["path"], pdf["content"]):
+                try:
+                    rows += [(p, k, z - a, None) for k, (a, z) in enumerate(quiet_parts(*decode(c, decoders), threshold))]
+                except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+                    rows.append((p, None, None, str(e) or type(e).__name__))
+            yield pd.DataFrame(rows, columns=["podcast_id", "chunk_idx", "duration", "error"]).astype({"chunk_idx": "Int32"})
 
-    return files.select("path", "content").mapInPandas(run, "podcast_id string, chunk_idx int, duration double")
+    return files.select("path", "content").mapInPandas(run, "podcast_id string, chunk_idx int, duration double, error string")
 
 
-def cut_files(segments: DataFrame, files: DataFrame) -> DataFrame:
-    """(podcast_id, seg_idx, path, content): the sound of each segment as WAV; files (podcast_id, content) are decoded once a recording."""
+def cut_files(segments: DataFrame, files: DataFrame, decoders: Decoders | None = None) -> DataFrame:
+    """(podcast_id, seg_idx, path, content, error): the sound of each segment as WAV; files (podcast_id, content) are decoded once a recording. Segments of a file that isn't there or can't be read have an error and no content."""
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if right.empty or left.empty:
-            return pd.DataFrame({"podcast_id": [], "seg_idx": [], "path": [], "content": []})
-        x, rate = decode_wav(right["content"].iloc[0])
-        rows = [(key[0], s, f"{key[0]}/seg_{s:04d}.wav", encode_wav(x[int(a * rate) : int(z * rate)], rate)) for s, a, z in zip(left["seg_idx"], left["start"], left["end"])]
-        return pd.DataFrame(rows, columns=["podcast_id", "seg_idx", "path", "content"])
-
-    return segments.select("podcast_id", "seg_idx", "start", "end").groupBy("podcast_id").cogroup(files.select("podcast_id", "content").groupBy("podcast_id")).applyInPandas(run, "podcast_id string, seg_idx long, path string, content binary")
+        x, rate, error = np.zeros(0), 1, None
+        try:
+            if right.empty:
+                raise ValueError("no file")
+            x, rate = decode(right["content"].iloc[0], decoders)
+        except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+            error = str(e) or type(e).__name__
+        rows = [(key[0], s, f"{key[0]}/seg_{s:04d}.wav", None if error else encode_wav(x[int(a * rate) : int(z * rate)], rate), error) for s, a, z in zip(left["seg_idx"], left["start"], left["end"])]
+        return pd.DataFrame(rows, columns=["podcast_id", "seg_idx", "path", "content", "error"])
+
+    return segments.select("podcast_id", "seg_idx", "start", "end").groupBy("podcast_id").cogroup(files.select("podcast_id", "content").groupBy("podcast_id")).applyInPandas(run, "podcast_id string, seg_idx long, path string, content binary, error string")
 
 
 Transcriber = Callable[[bytes], dict]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -16,17 +16,52 @@ from ..functions.text import fallback_speaker
 THRESHOLD = 0.85
 
 
-def nearest(queries: DataFrame, bank: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(query_id, speaker_id, score): the bank's most similar speaker of each embedding, null below the threshold; of equals the lowest id. An empty bank, or an embedding that isn't valid, gives null and 0.
+#: So many bytes of the bank are sent to tasks at once.
+BANK_BYTES = 32 << 20
 
-    Exact: every pair is scored. The bank is normalised once; Spark broadcasts it while it is small and joins by blocks beyond.
+
+def nearest(queries: DataFrame, bank: DataFrame, threshold: float = THRESHOLD, bank_bytes: int = BANK_BYTES) -> DataFrame:
+    """(query_id, speaker_id, score): the bank's most similar speaker of each embedding, null below the threshold; of equals the lowest id. An empty bank, or an embedding that isn't valid, gives null and 0; one of another length than all the bank's, null and -1.
+
+    Exact: every pair is scored, by products of matrices. The bank is counted and sent in blocks of at most ``bank_bytes``, each a pass over the queries, which aren't shuffled unless there are several.
     """
-    q = queries.select("query_id", V.unit(F.col("embedding")).alias("q"), V.valid(F.col("embedding")).alias("ok"))
-    b = bank.where(V.valid(F.col("embedding"))).select("speaker_id", V.unit(F.col("embedding")).alias("b"))
-    pairs = q.where("ok").crossJoin(b).select("query_id", "speaker_id", V.cosine(F.col("q"), F.col("b")).alias("score"))
-    ranked = pairs.groupBy("query_id").agg(F.max(F.struct("score")).alias("m"), F.min_by("speaker_id", F.struct((-F.col("score")).alias("s"), F.col("speaker_id").alias("i"))).alias("speaker_id"))
-    best = ranked.select("query_id", F.when(F.col("m.score") >= threshold, F.col("speaker_id")).alias("speaker_id"), F.col("m.score").alias("score"))
-    return q.select("query_id").join(best, "query_id", "left").withColumn("score", F.coalesce("score", F.lit(0.0)))
+    kind = dict(queries.dtypes)["query_id"]
+    valid = bank.where(V.valid(F.col("embedding"))).select(F.col("speaker_id").cast("string").alias("speaker_id"), V.unit(F.col("embedding")).alias("b"))
+    counted = valid.agg(F.coalesce(F.sum(F.size("b") * 8 + 64), F.lit(0)).alias("bytes")).first()["bytes"]
+    parts = max(1, -(-counted // bank_bytes))
+    numbered = valid.withColumn("part", F.pmod(F.xxhash64("speaker_id"), F.lit(parts)))
+    q = queries.select("query_id", F.when(V.valid(F.col("embedding")), V.unit(F.col("embedding"))).alias("q"))
+    out = None
+    for part in range(parts):
+        rows = numbered.where(F.col("part") == part).orderBy("speaker_id").select("speaker_id", "b").collect()
+        blocks: dict[int, tuple[list[str], list]] = {}
+        for r in rows:
+            ids, vectors = blocks.setdefault(len(r["b"]), ([], []))
+            ids.append(r["speaker_id"])
+            vectors.append(r["b"])
+        sent = queries.sparkSession.sparkContext.broadcast({n: (ids, np.array(v)) for n, (ids, v) in blocks.items()})
+
+        def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
+            for pdf in batches:
+                best, score = [None] * len(pdf), np.zeros(len(pdf))
+                length = np.array([0 if v is None else len(v) for v in pdf["q"]])
+                score[(length > 0) & bool(sent.value)] = -1.0
+                for n, (ids, vectors) in sent.value.items():
+                    at = np.flatnonzero(length == n)
+                    for k in range(0, len(at), 1024):
+                        own = at[k : k + 1024]
+                        products = np.stack(pdf["q"].iloc[own].to_list()) @ vectors.T
+                        top = products.argmax(axis=1)
+                        score[own] = products[np.arange(len(own)), top]
+                        for i, t in zip(own.tolist(), top.tolist()):
+                            best[i] = ids[t]
+                yield pd.DataFrame({"query_id": pdf["query_id"], "best": best, "score": score})
+
+        found = q.mapInPandas(run, f"query_id {kind}, best string, score double")
+        out = found if out is None else out.unionByName(found)
+    if parts > 1:
+        out = out.groupBy("query_id").agg(F.min_by("best", F.struct((-F.col("score")).alias("s"), F.col("best").alias("i"))).alias("best"), F.max("score").alias("score"))
+    return out.select("query_id", F.when(F.col("score") >= threshold, F.col("best")).alias("speaker_id"), "score")
 
 
 def longest(turns: DataFrame, most: int = 5, preferred: float = 2.0, least: float = 1.0) -> DataFrame:
@@ -39,12 +74,32 @@ def longest(turns: DataFrame, most: int = 5, preferred: float = 2.0, least: floa
 
 
 def mean_embedding(parts: DataFrame, *keys: str) -> DataFrame:
-    """(keys, embedding): mean by dimension of valid embeddings, of length 1; null where there is none."""
-    flat = parts.where(V.valid(F.col("embedding"))).select(*keys, F.posexplode(V.doubles(F.col("embedding"))).alias("dim", "x"))
-    means = flat.groupBy(*keys, "dim").agg(F.avg("x").alias("x"))
-    gathered = means.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "x"))), lambda s: s["x"]).alias("e"))
-    unit = gathered.select(*keys, F.when(V.valid(F.col("e")), V.unit(F.col("e"))).alias("embedding"))
-    return parts.select(*keys).distinct().join(unit, list(keys), "left")
+    """(keys, embedding): mean by dimension of valid embeddings, of length 1; null where there is none. Tasks add up their vectors, so a row for each key and task is shuffled."""
+    kinds = dict(parts.dtypes)
+    schema = ", ".join(f"{k} {kinds[k]}" for k in keys) + ", total array<double>, n long"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, list] = {}
+        for pdf in batches:
+            for key, own in pdf.groupby(list(keys), dropna=False, sort=False):
+                vectors = [v for v in own["e"] if v is not None]
+                width = max((len(v) for v in vectors), default=0)
+                total = np.zeros(width)
+                for v in vectors:
+                    total[: len(v)] += v
+                held = sums.setdefault(tuple(None if x != x else x for x in key), [np.zeros(0), 0])
+                if len(held[0]) < width:
+                    held[0] = np.pad(held[0], (0, width - len(held[0])))
+                held[0][:width] += total
+                held[1] += len(vectors)
+        yield pd.DataFrame([(*k, t.tolist(), n) for k, (t, n) in sums.items()], columns=[*keys, "total", "n"])
+
+    partial = parts.select(*keys, F.when(V.valid(F.col("embedding")), V.doubles(F.col("embedding"))).alias("e")).mapInPandas(run, schema)
+    many = partial.groupBy(*keys).agg(F.sum("n").alias("n"))
+    flat = partial.select(*keys, F.posexplode("total").alias("dim", "x")).groupBy(*keys, "dim").agg(F.sum("x").alias("x"))
+    gathered = flat.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "x"))), lambda s: s["x"]).alias("e"))
+    both = many.join(gathered, list(keys), "left").withColumn("e", F.transform("e", lambda x: x / F.col("n")))
+    return both.select(*keys, F.when(V.valid(F.col("e")), V.unit(F.col("e"))).alias("embedding"))
 
 
 def with_global_ids(turns: DataFrame, ids: DataFrame) -> DataFrame:
@@ -64,13 +119,41 @@ def next_id(ids: list[str], made: Callable[[int], str] | None = None, pattern: s
 
 
 class Bank:
-    """A speaker bank: embeddings of length 1 with the times each was met. ``match``, ``add`` and ``update`` are the steps of the online fold."""
+    """A speaker bank: embeddings of length 1 with the times each was met. ``match``, ``add`` and ``update`` are the steps of the online fold.
+
+    Embeddings are rows of one matrix that grows by doubling, and the highest number of an id is kept, so a meeting costs one product of the matrix.
+    """
 
     def __init__(self, threshold: float = THRESHOLD, made: Callable[[int], str] | None = None):
         self.threshold, self.made = threshold, made
         self.ids: list[str] = []
-        self.vectors: list[np.ndarray] = []
         self.times: list[int] = []
+        self.at: dict[str, int] = {}
+        self.highest, self.mixed = 0, False
+        self._rows = np.zeros((0, 0))
+        self._odd: list[np.ndarray] = []  # all vectors, where their lengths differ
+
+    @property
+    def vectors(self) -> list[np.ndarray]:
+        return self._odd if self.mixed else list(self._rows[: len(self.ids)])
+
+    def load(self, name: str, e: np.ndarray, times: int) -> None:
+        """One speaker more, of a known id."""
+        v = self.unit(np.asarray(e, np.float64))
+        n = len(self.ids)
+        if not self.mixed and n and len(v) != self._rows.shape[1]:
+            self._odd, self.mixed = self.vectors, True
+        if self.mixed:
+            self._odd.append(v)
+        else:
+            if n == len(self._rows):
+                self._rows = np.concatenate([self._rows.reshape(n, len(v)), np.zeros((max(8, n), len(v)))])
+            self._rows[n] = v
+        self.ids.append(name)
+        self.times.append(times)
+        self.at.setdefault(name, n)
+        if m := re.search(r"(\d+)$", name):
+            self.highest = max(self.highest, int(m[1]))
 
     @staticmethod
     def valid(e: np.ndarray | None) -> bool:
@@ -82,27 +165,30 @@ class Bank:
         return e / n if n > 0 else e
 
     def match(self, e: np.ndarray | None) -> tuple[str | None, float]:
-        if not self.ids or not self.valid(e):
-            return None, 0.0
-        same = [v for v in self.vectors if len(v) == len(e)]
-        if len(same) != len(self.vectors):
+        n = len(self.ids)
+        if not n or not self.valid(e) or self.mixed or self._rows.shape[1] != len(e):
             return None, 0.0
-        scores = np.stack(self.vectors) @ self.unit(np.asarray(e, np.float64))
+        scores = self._rows[:n] @ self.unit(np.asarray(e, np.float64))
         at = int(np.argmax(scores))
         return (self.ids[at] if scores[at] >= self.threshold else None), float(scores[at])
 
     def add(self, e: np.ndarray | None) -> str | None:
         if not self.valid(e):
             return None
-        self.ids.append(next_id(self.ids, self.made))
-        self.vectors.append(self.unit(np.asarray(e, np.float64)))
-        self.times.append(1)
+        self.load(self.made(len(self.ids) + 1) if self.made else f"SPEAKER_GLOBAL_{self.highest + 1:03d}", e, 1)
         return self.ids[-1]
 
     def update(self, name: str, e: np.ndarray) -> None:
-        if name in self.ids and self.valid(e):
-            at = self.ids.index(name)
-            self.vectors[at] = self.unit((self.vectors[at] * self.times[at] + self.unit(np.asarray(e, np.float64))) / (self.times[at] + 1))
+        if name in self.at and self.valid(e):
+            at = self.at[name]
+            old = self.vectors[at] if self.mixed else self._rows[at]
+            if len(old) != len(e):
+                return
+            new = self.unit((old * self.times[at] + self.unit(np.asarray(e, np.float64))) / (self.times[at] + 1))
+            if self.mixed:
+                self._odd[at] = new
+            else:
+                self._rows[at] = new
             self.times[at] += 1
 
     def meet(self, e: np.ndarray | None) -> tuple[str | None, float, bool]:
@@ -119,7 +205,7 @@ def clustered(speakers: DataFrame, bank: DataFrame | None = None, threshold: flo
     """(podcast_id, speaker, global_id, score, created): local speakers (podcast_id, speaker, embedding, seq) meet the bank in order of seq.
 
     Each meeting changes the bank, so the order is the semantics and the fold is one task; embeddings are made before it, in parallel, and a row is one
-    speaker of one recording. Rows of several banks can be folded side by side by a column bank_id.
+    speaker of one recording. Rows of several banks can be folded side by side by a column bank_id. A given bank is state of that fold, so it is read by the driver; ``sources.bank`` keeps it as a table.
     """
     rows = speakers if "bank_id" in speakers.columns else speakers.withColumn("bank_id", F.lit(0))
     old = [] if bank is None else [(r["speaker_id"], list(r["embedding"]), r["occurrences"]) for r in bank.orderBy("speaker_id").collect()]
@@ -127,9 +213,7 @@ def clustered(speakers: DataFrame, bank: DataFrame | None = None, threshold: flo
     def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         b = Bank(threshold, made)
         for name, e, n in old:
-            b.ids.append(name)
-            b.vectors.append(b.unit(np.asarray(e, np.float64)))
-            b.times.append(n)
+            b.load(name, np.asarray(e, np.float64), n)
         met = [b.meet(None if e is None else np.asarray(e, np.float64)) for e in pdf.sort_values("seq", kind="stable")["embedding"]]
         out = pdf.sort_values("seq", kind="stable")[["podcast_id", "speaker"]].copy()
         out["global_id"], out["score"], out["created"] = [m[0] for m in met], [m[1] for m in met], [m[2] for m in met]

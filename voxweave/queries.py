@@ -6,8 +6,11 @@ transcripts; pages are web pages and URLs; orders, customer and part make candid
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +19,15 @@ from .functions import vectors as V
 from .operators import cache as C
 from .operators import catalog as L
 from .operators import correction as K
+from .operators import curated as U
 from .operators import glossary as G
 from .operators import intervals as I
 from .operators import metadata as M
 from .operators import signal as S
 from .operators import speakers as P
 from .plans import speech
+from .sources import tables as R
+from .streaming import incremental as N
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -118,6 +124,16 @@ SPOKEN = """spoken_text AS (SELECT o_orderkey, CASE o_orderkey % 6 WHEN 0 THEN '
     || CASE o_orderkey % 5 WHEN 0 THEN ' el 50% usan seo.' WHEN 1 THEN ' órale, vamos!' WHEN 2 THEN ' te gusta esto?' WHEN 3 THEN ' cuánto bueno!' ELSE '' END || ' fin.' AS text FROM orders)"""
 
 
+#: Whole documents beside the made sentences, by id; made ones have what documents seldom do: numbers, questions, calls.
+def real_and(made: DataFrame, spark: SparkSession, sf: str) -> DataFrame:
+    d = read(spark, sf, "documents").select(F.concat(lit("d"), "doc_id").alias("id"), "text")
+    return made.select(F.concat(lit("o"), "o_orderkey").alias("id"), "text").unionByName(d)
+
+
+def real_and_sql(made: str) -> str:
+    return f"every AS (SELECT 'o' || o_orderkey AS id, text FROM {made} UNION ALL SELECT 'd' || doc_id, text FROM documents)"
+
+
 def quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -153,13 +169,13 @@ def spoken_sql(n: str) -> str:
 
 
 def numbers_sql(source: str) -> str:
-    """A CTE body (o_orderkey, text) from a relation of the same columns."""
-    return f"""SELECT o_orderkey, array_to_string([CASE
+    """A CTE body (id, text) from a relation of the same columns."""
+    return f"""SELECT id, array_to_string([CASE
             WHEN NOT regexp_matches(toks[i], '^[0-9]') THEN CASE WHEN i > 1 AND starts_with(toks[i], '%') THEN ' por ciento' || substr(toks[i], 2) ELSE toks[i] END
             WHEN starts_with(coalesce(toks[i + 1], ''), '%') THEN {spoken_sql("toks[i]::BIGINT")}
             WHEN length(toks[i]) <= 4 AND (i = 1 OR NOT regexp_matches(toks[i - 1], '[\\pL\\pN_]$')) AND (i = len(toks) OR regexp_matches(toks[i + 1], '^[?!:;,.\\s]')) THEN {spoken_sql("toks[i]::BIGINT")}
             ELSE toks[i] END FOR i IN range(1, len(toks) + 1)], '') AS text
-        FROM (SELECT o_orderkey, regexp_extract_all(text, '([0-9]+|[^0-9]+)') AS toks, {WORDS} AS words FROM {source})"""
+        FROM (SELECT id, regexp_extract_all(text, '([0-9]+|[^0-9]+)') AS toks, {WORDS} AS words FROM {source})"""
 
 
 def opened_sql(e: str) -> str:
@@ -190,13 +206,13 @@ def interval_overlap_join(spark, sf):
 @query(f"WITH {TURNS} SELECT podcast_id, seg_idx, dominant, round(purity, 9) AS purity, speakers, seconds FROM purity")
 def speaker_purity(spark, sf):
     t = turns(spark, sf)
-    return I.purity(I.overlaps(windows(t), t)).withColumn("purity", F.round("purity", 9))
+    return I.purity(I.overlaps(windows(t), t, 60 * SECOND)).withColumn("purity", F.round("purity", 9))
 
 
 @query(f"WITH {TURNS} SELECT w.podcast_id, w.seg_idx, s::BIGINT AS \"start\", e::BIGINT AS \"end\", coalesce(dominant, 'SPEAKER_00') AS speaker FROM windows w LEFT JOIN purity p ON p.podcast_id = w.podcast_id AND p.seg_idx = w.seg_idx")
 def overlap_assignment(spark, sf):
     t = turns(spark, sf)
-    return I.assigned(windows(t).drop("speaker"), t, 15 * SECOND)
+    return I.assigned(windows(t).drop("speaker"), t, 15 * SECOND, 60 * SECOND)
 
 
 DECIDED = """, seen AS (SELECT w.podcast_id, w.seg_idx, s, e, dominant, purity, CASE WHEN speakers IS NULL THEN 'keep' WHEN speakers > 2 THEN 'split' WHEN purity < 0.8 THEN 'drop' ELSE 'keep' END AS decision
@@ -207,7 +223,7 @@ DECIDED = """, seen AS (SELECT w.podcast_id, w.seg_idx, s, e, dominant, purity,
 def speaker_purity_review(spark, sf):
     """Segments kept, split and dropped in each recording: turns, fixed segments, overlap join, purity, decision."""
     t = turns(spark, sf)
-    return I.review_counts(I.reviewed(windows(t), t, max_speakers=2))
+    return I.review_counts(I.reviewed(windows(t), t, max_speakers=2, bucket=60 * SECOND))
 
 
 @query(f"""WITH {TURNS}, seen AS (SELECT w.podcast_id, w.seg_idx, s, e, dominant, purity, coalesce(speakers, 0) AS n FROM windows w LEFT JOIN purity p ON p.podcast_id = w.podcast_id AND p.seg_idx = w.seg_idx),
@@ -218,7 +234,7 @@ def speaker_purity_review(spark, sf):
     SELECT podcast_id, row_number() OVER (PARTITION BY podcast_id ORDER BY seg_idx, a, turn_idx) - 1 AS segment, "start"::BIGINT AS "start", "end"::BIGINT AS "end", speaker, speaker_purity, split_from FROM pieces""")
 def segment_review(spark, sf):
     t = turns(spark, sf)
-    return I.review(windows(t), t, 1, 0.8, 5 * SECOND)
+    return I.review(windows(t), t, 1, 0.8, 5 * SECOND, 60 * SECOND)
 
 
 @query(f"WITH {TURNS} SELECT podcast_id, seg_idx, s::BIGINT AS \"start\", e::BIGINT AS \"end\" FROM windows")
@@ -272,9 +288,8 @@ def sliding_rms(spark, sf):
 @query(f"""WITH {SAMPLES}, s AS (SELECT podcast_id, max(abs(x)) AS p, sqrt(avg(x * x)) AS r FROM samples GROUP BY 1), g AS (SELECT *, pow(10::DOUBLE, (-23 + 0.691::DOUBLE) / 20) / r AS gain FROM s)
     SELECT podcast_id, round(p, 6) AS peak, round(r, 6) AS rms, round(20 * log10(r) - 0.691::DOUBLE, 6) AS lufs, round(gain, 6) AS gain, round(least(p * 2, CASE WHEN p * 2 > pow(10::DOUBLE, -0.05::DOUBLE) THEN pow(10::DOUBLE, -0.05::DOUBLE) ELSE p * 2 END), 6) AS limited_peak FROM g""")
 def signal_figures(spark, sf):
-    x = samples(spark, sf).groupBy("podcast_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "x"))), lambda s: s["x"]).alias("x"))
-    r = V.rms(col("x"))
-    return x.select("podcast_id", F.round(V.peak(col("x")), 6).alias("peak"), F.round(r, 6).alias("rms"), F.round(V.loudness(r), 6).alias("lufs"), F.round(V.gain(r), 6).alias("gain"), F.round(V.peak(V.limited(F.transform("x", lambda v: v * 2))), 6).alias("limited_peak"))
+    r, twice = col("rms"), F.array(col("peak") * 2)
+    return S.signal_stats(samples(spark, sf)).select("podcast_id", F.round("peak", 6).alias("peak"), F.round(r, 6).alias("rms"), F.round(V.loudness(r), 6).alias("lufs"), F.round(V.gain(r), 6).alias("gain"), F.round(V.peak(V.limited(twice)), 6).alias("limited_peak"))
 
 
 # labels, ids, urls
@@ -282,10 +297,10 @@ def signal_figures(spark, sf):
 
 @query(f"""WITH {LABELS}, n AS (SELECT *, nullif(regexp_extract(label, 'SPEAKER_(?:GLOBAL_)?([0-9]+)', 1), '')::BIGINT AS own, nullif(regexp_extract(label, '([0-9]+)', 1), '')::BIGINT AS any_ FROM labels_)
     SELECT o_orderkey, label, CASE WHEN regexp_matches(label, '^SPK_[0-9]{{2}}$') THEN label ELSE format('SPK_{{:02d}}', coalesce(own, any_, 0)) END AS code, CASE WHEN any_ IS NOT NULL THEN format('SPK_{{:02d}}', any_) ELSE label END AS fallback,
-    CASE WHEN contains(label, 'SPEAKER_') THEN coalesce(try_cast(string_split(label, '_')[2] AS INT), 0) END AS number FROM n""")
+    CASE WHEN contains(label, 'SPEAKER_') THEN coalesce(try_cast(string_split(label, '_')[2] AS INT), 0) ELSE (('0x' || substr(md5(label), 1, 8))::BIGINT % 1000)::INT END AS number FROM n""")
 def speaker_codes(spark, sf):
     x = labels(spark, sf)
-    return x.select("o_orderkey", "label", T.speaker_code(col("label")).alias("code"), T.fallback_speaker(col("label")).alias("fallback"), F.when(col("label").contains("SPEAKER_"), T.speaker_number(col("label"))).alias("number"))
+    return x.select("o_orderkey", "label", T.speaker_code(col("label")).alias("code"), T.fallback_speaker(col("label")).alias("fallback"), T.speaker_number(col("label")).alias("number"))
 
 
 @query("SELECT page_id, substr(regexp_replace(url, '[^0-9A-Za-z_-]', '_', 'g'), 1, 50) AS podcast_id FROM pages")
@@ -316,32 +331,38 @@ def text_glossary(spark, sf):
     return T.with_glossary(read(spark, sf, "documents").select("doc_id", "text"), "text", RULES)
 
 
-@query("WITH n AS (SELECT o_orderkey, 'hay ' || o_orderkey * 7 || ' casos, o ' || o_custkey || '% de x' || o_custkey || '; 3.' || o_orderkey % 10 || ' y 0012' AS text FROM orders) " + numbers_sql("n"))
+@query("WITH n AS (SELECT o_orderkey, 'hay ' || o_orderkey * 7 || ' casos, o ' || o_custkey || '% de x' || o_custkey || '; 3.' || o_orderkey % 10 || ' y 0012' AS text FROM orders), " + real_and_sql("n") + " " + numbers_sql("every"))
 def text_numbers(spark, sf):
-    return T.with_numbers(numbers_text(spark, sf), "text")
+    return T.with_numbers(real_and(numbers_text(spark, sf), spark, sf), "text")
 
 
-@query(f"WITH {SPOKEN} SELECT o_orderkey, {opened_sql(spaced_sql('text'))} AS text, len(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS sentences FROM spoken_text")
+@query(f"WITH {SPOKEN}, {real_and_sql('spoken_text')} SELECT id, {opened_sql(spaced_sql('text'))} AS text, len(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS sentences FROM every")
 def text_opening_signs(spark, sf):
-    x = spoken_text(spark, sf)
-    return x.select("o_orderkey", T.opened(T.spaced(col("text"))).alias("text"), F.size(T.sentences(col("text"))).cast("long").alias("sentences"))
+    x = real_and(spoken_text(spark, sf), spark, sf)
+    return x.select("id", T.opened(T.spaced(col("text"))).alias("text"), F.size(T.sentences(col("text"))).cast("long").alias("sentences"))
 
 
-@query(f"SELECT doc_id, {capitals_sql('text')} AS text FROM documents WHERE lang <> 'de'")
+@query(f"SELECT doc_id, {capitals_sql('text')} AS text FROM documents")
 def text_capitals(spark, sf):
     return read(spark, sf, "documents").select("doc_id", T.capitalised(col("text")).alias("text"))
 
 
-@query(f"""WITH {SPOKEN}, a AS (SELECT o_orderkey, {spaced_sql('text')} AS text FROM spoken_text), b AS (SELECT o_orderkey, {glossary_sql('text', RULES)} AS text FROM a), c AS ({numbers_sql('b')}), d AS (SELECT o_orderkey, {opened_sql('text')} AS text FROM c),
-    e AS (SELECT o_orderkey, {strip_sql(capitals_sql('text'))} AS text FROM d) SELECT e.o_orderkey, e.text, s.text AS text_original, e.text <> s.text AS text_changed FROM e JOIN spoken_text s ON s.o_orderkey = e.o_orderkey""")
+@query(f"""WITH {SPOKEN}, {real_and_sql('spoken_text')}, a AS (SELECT id, {spaced_sql('text')} AS text FROM every), b AS (SELECT id, {glossary_sql('text', RULES)} AS text FROM a), c AS ({numbers_sql('b')}), d AS (SELECT id, {opened_sql('text')} AS text FROM c),
+    e AS (SELECT id, {strip_sql(capitals_sql('text'))} AS text FROM d) SELECT e.id, e.text, s.text AS text_original, e.text <> s.text AS text_changed FROM e JOIN every s ON s.id = e.id""")
 def text_repair(spark, sf):
-    return T.preprocessed(spoken_text(spark, sf), "text", RULES)
+    return T.preprocessed(real_and(spoken_text(spark, sf), spark, sf), "text", RULES)
 
 
 @query()
 def text_change_log(spark, sf):
-    """As text_repair, with what each stage did."""
-    return T.with_changes(spoken_text(spark, sf), "text", RULES).select("o_orderkey", "text", F.to_json("changes").alias("changes"))
+    """As text_repair, with what each stage did; tested against text_repair and by examples."""
+    return T.with_changes(real_and(spoken_text(spark, sf), spark, sf), "text", RULES).select("id", "text", F.to_json("changes").alias("changes"))
+
+
+@query()
+def text_stage_counts(spark, sf):
+    """How many texts each stage changed; tested against the change log."""
+    return T.stage_counts(T.with_changes(real_and(spoken_text(spark, sf), spark, sf), "text", RULES))
 
 
 @query(f"SELECT doc_id, md5(lower({strip_sql('text')})) AS text_hash FROM documents")
@@ -356,7 +377,10 @@ def text_unaccented(spark, sf):
 
 @query(f"SELECT page_id, substr({strip_sql(f"regexp_replace(translate(lower(url), {quoted(T.TITLE_SIGNS)}, {quoted(' ' * len(T.TITLE_SIGNS))}), '\\s+', ' ', 'g')")}, 1, 50) AS title FROM pages")
 def search_titles(spark, sf):
-    return read(spark, sf, "pages").select("page_id", T.search_title(col("url")).alias("title"))
+    """URLs in full-width letters, whose plain forms are the URLs."""
+    letters = "abcdefghijklmnopqrstuvwxyz0123456789"
+    wide = F.translate(F.lower("url"), letters, "".join(chr(ord(c) + 0xFEE0) for c in letters))
+    return read(spark, sf, "pages").select("page_id", T.search_title(wide).alias("title"))
 
 
 @query("WITH s AS (SELECT c_custkey, floor(c_acctbal * 3)::BIGINT AS s, c_acctbal < 0 AS neg FROM customer) SELECT c_custkey, CASE WHEN neg THEN '0:00' WHEN s // 3600 > 0 THEN (s // 3600) || 'h ' || (s % 3600 // 60) || 'm ' || (s % 60) || 's' WHEN s // 60 > 0 THEN (s // 60) || 'm ' || (s % 60) || 's' ELSE s || 's' END AS label FROM s")
@@ -371,18 +395,18 @@ TERMS = f"""terms AS (SELECT DISTINCT page_id, term FROM (SELECT page_id, {strip
     WHERE length(term) BETWEEN 3 AND 50 AND lower(term) NOT IN ({COMMON}) AND regexp_matches(term, '\\p{{Lu}}'))"""
 
 
-@query(f"WITH {TERMS} SELECT page_id, count(*) AS terms, min(term) AS first, max(term) AS last FROM terms WHERE regexp_matches(term, '^[ -~]*$') GROUP BY 1")
+@query(f"WITH {TERMS} SELECT page_id, term FROM terms")
 def page_terms(spark, sf):
     return G.page_terms(read(spark, sf, "pages"))
 
 
-@query(f"WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+')) AS term FROM documents WHERE lang = 'es') SELECT DISTINCT * FROM (SELECT lower(term) AS error, term AS correction FROM w UNION ALL SELECT translate(term, {quoted(T.ACCENTED)}, {quoted(T.PLAIN)}), term FROM w) WHERE error <> correction")
+@query(f"WITH w AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+')) AS term FROM documents) SELECT DISTINCT * FROM (SELECT lower(term) AS error, term AS correction FROM w UNION ALL SELECT translate(term, {quoted(T.ACCENTED)}, {quoted(T.PLAIN)}), term FROM w) WHERE error <> correction")
 def term_variants(spark, sf):
-    w = read(spark, sf, "documents").where("lang = 'es'").select(F.explode(F.regexp_extract_all("text", lit("[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+"), lit(0))).alias("term")).distinct()
+    w = read(spark, sf, "documents").select(F.explode(F.regexp_extract_all("text", lit("[A-ZÁÉÍÓÚÑ][a-záéíóúñ]+"), lit(0))).alias("term")).distinct()
     return G.variants(w)
 
 
-PARTS = """base AS (SELECT p_partkey AS pos, p_name AS error, p_brand AS correction FROM part WHERE p_partkey % 3 = 0), custom AS (SELECT p_partkey AS pos, p_name AS error, p_type AS correction FROM part WHERE p_partkey % 3 = 1)"""
+PARTS = """base AS (SELECT p_partkey AS pos, p_name AS error, p_brand AS correction FROM part WHERE p_partkey % 3 = 0), custom AS (SELECT p_partkey AS pos, p_name AS error, p_type AS correction FROM part WHERE p_partkey % 3 <> 0)"""
 
 
 def _rules(spark, sf):
@@ -427,7 +451,7 @@ def _cache(spark, sf) -> DataFrame:
     return one.select("text_hash", F.concat(lit("c"), "k").alias("text"), F.array(lit("x")).alias("changes"), lit(0.9).alias("confidence"), lit("m").alias("model"), F.expr(f"{NOW} - make_interval(0, 0, 0, CAST(k % 60 AS INT))").alias("created_at"), (col("k") % 5).alias("hits"), lit(None).cast("timestamp").alias("last_accessed"))
 
 
-CACHE = f"""cache AS (SELECT text_hash, 'c' || k AS text, {NOW} - to_days((k % 60)::INT) AS created_at, k % 5 AS hits FROM (SELECT md5(lower({strip_sql('text')})) AS text_hash, min(doc_id) AS k FROM documents WHERE doc_id % 2 = 0 GROUP BY 1)),
+CACHE = f"""cache AS (SELECT text_hash, 'c' || k AS text, {NOW} - to_days((k % 60)::INT) AS created_at, k % 5 AS hits FROM (SELECT md5(lower({strip_sql("(CASE WHEN doc_id % 2 = 0 THEN text ELSE text || ' antes' END)")})) AS text_hash, min(doc_id) AS k FROM documents GROUP BY 1)),
     looked AS (SELECT doc_id, d.text_hash, c.text_hash IS NOT NULL AS hit, c.text AS cached FROM (SELECT doc_id, md5(lower({strip_sql('text')})) AS text_hash FROM documents) d LEFT JOIN cache c ON c.text_hash = d.text_hash)"""
 
 
@@ -472,7 +496,7 @@ def _found(spark, sf) -> DataFrame:
 FOUND = """found AS (SELECT 'cat' || o_custkey % 5 AS category, o_custkey AS query_idx, o_orderkey AS pos, 'v' || (o_orderkey // 2) AS id, o_orderpriority || ' ' || o_orderkey % 13 AS title, 'chan' || o_orderkey % 17 AS channel, (o_orderkey % 12000)::DOUBLE AS duration,
         CASE WHEN o_orderkey % 11 = 0 THEN 'private' WHEN o_orderkey % 11 < 6 THEN 'public' END AS availability, CASE WHEN o_orderkey % 19 = 0 THEN 'is_live' WHEN o_orderkey % 19 < 9 THEN 'not_live' END AS live_status FROM orders),
     suitable AS (SELECT * FROM found WHERE coalesce(availability, 'public') = 'public' AND coalesce(live_status, 'not_live') = 'not_live' AND duration <> 0 AND duration BETWEEN 600 AND 10800)"""
-REGISTRY = """registry AS (SELECT 'v' || o_orderkey AS video_id, CASE o_orderkey % 3 WHEN 0 THEN 'processed' WHEN 1 THEN 'failed' ELSE 'skipped' END AS status, CASE o_orderkey % 4 WHEN 0 THEN 'downloaded' WHEN 1 THEN 'processing' WHEN 2 THEN 'download' ELSE 'completed' END AS stage, 'a' || o_orderkey || '.wav' AS audio_path, o_orderdate AS timestamp FROM orders WHERE o_orderkey % 10 < 3)"""
+REGISTRY = """registry AS (SELECT 'v' || o_orderkey AS video_id, CASE o_orderkey % 3 WHEN 0 THEN 'processed' WHEN 1 THEN 'failed' ELSE 'skipped' END AS status, CASE o_orderkey % 4 WHEN 0 THEN 'downloaded' WHEN 1 THEN 'processing' WHEN 2 THEN 'download' ELSE 'completed' END AS stage, 'a' || o_orderkey || '.wav' AS audio_path, o_orderdate AS timestamp FROM orders)"""
 WHY = "CASE WHEN contains(lower(title), 'low 1') THEN 'keyword: LOW 1' WHEN contains(lower(title), 'urgent') THEN 'keyword: urgent' WHEN contains(lower(channel), 'chan3') THEN 'channel: Chan3' END"
 
 
@@ -578,7 +602,7 @@ def chosen_files(spark, sf):
 @query("SELECT 'f' || o_orderkey AS path FROM orders WHERE o_orderkey % 2 = 0 EXCEPT SELECT 'f' || o_orderkey FROM orders WHERE o_orderkey % 3 = 0")
 def new_files(spark, sf):
     o = read(spark, sf, "orders").select("o_orderkey", F.concat(lit("f"), "o_orderkey").alias("path"))
-    return o.where("o_orderkey % 2 = 0").select("path").exceptAll(o.where("o_orderkey % 3 = 0").select("path")).distinct()
+    return L.new_files(o.where("o_orderkey % 2 = 0"), o.where("o_orderkey % 3 = 0"))
 
 
 @query("WITH d AS (SELECT CASE o_orderstatus WHEN 'F' THEN 'processed' WHEN 'O' THEN 'failed' ELSE 'skipped' END AS status, (o_orderkey % 5000)::DOUBLE AS a, o_orderkey % 40 AS n, (o_orderkey % 300)::DOUBLE AS p FROM orders), s AS (SELECT count(*) AS videos, count(*) FILTER (status = 'processed') AS processed, count(*) FILTER (status = 'failed') AS failed, coalesce(sum(n) FILTER (status = 'processed'), 0)::BIGINT AS segments, sum(a) FILTER (status = 'processed') AS audio_seconds, sum(p) FILTER (status = 'processed') AS p FROM d) SELECT videos, processed, failed, segments, audio_seconds, segments * 12.0::DOUBLE AS useful_seconds, round(segments * 12.0::DOUBLE / audio_seconds * 100, 2) AS efficiency, round(processed * 3600 / p, 4) AS videos_an_hour, round(p / processed, 4) AS mean_seconds FROM s")
@@ -588,7 +612,7 @@ def run_summary(spark, sf):
     return L.run_summary(d, 12.0)
 
 
-@query("SELECT (SELECT string_agg(e, '|' ORDER BY o_orderkey) FROM (SELECT o_orderkey, 'error ' || o_orderkey AS e FROM orders WHERE o_orderkey % 100 = 0 ORDER BY 1 LIMIT 5)) AS shown, (SELECT greatest(count(*) - 5, 0) FROM orders WHERE o_orderkey % 100 = 0) AS more")
+@query("SELECT (SELECT string_agg(e, '|' ORDER BY o_orderkey) FROM (SELECT o_orderkey, 'error ' || o_orderkey AS e FROM orders ORDER BY 1 LIMIT 5)) AS shown, (SELECT greatest(count(*) - 5, 0) FROM orders) AS more")
 def shown_errors(spark, sf):
     e = read(spark, sf, "orders").select(col("o_orderkey").alias("pos"), F.concat(lit("error "), "o_orderkey").alias("error"))
     return L.shown_errors(e).select(F.array_join("shown", "|").alias("shown"), col("more").cast("long").alias("more"))
@@ -760,7 +784,7 @@ def unit_vectors(spark, sf):
     return e.select("vec_id", F.round(F.aggregate(u, lit(0.0), lambda a, x: a + x), 6).alias("total"), F.round(V.norm(u), 6).alias("norm"), V.valid(col("embedding")).alias("valid"))
 
 
-BANKED = f"""{EMB}, bank AS (SELECT label, [x / sqrt(list_sum([y * y FOR y IN m])) FOR x IN m] AS b FROM (SELECT label, list(a ORDER BY i) AS m FROM (SELECT label, i, avg(w[i]) AS a FROM (SELECT label, w, unnest(range(1, len(w) + 1)) AS i FROM u WHERE vec_id % 2 = 0) GROUP BY ALL) GROUP BY 1))"""
+BANKED = f"""{EMB}, bank AS (SELECT label, [x / sqrt(list_sum([y * y FOR y IN m])) FOR x IN m] AS b FROM (SELECT label, list(a ORDER BY i) AS m FROM (SELECT label, i, avg(w[i]) AS a FROM (SELECT label, w, unnest(range(1, len(w) + 1)) AS i FROM u) GROUP BY ALL) GROUP BY 1))"""
 
 
 def _bank(spark, sf) -> DataFrame:
@@ -773,7 +797,7 @@ def mean_embeddings(spark, sf):
     return _bank(spark, sf).select("label", F.round(F.aggregate("embedding", lit(0.0), lambda a, x: a + x), 6).alias("total"), F.round(F.element_at("embedding", 1), 6).alias("first"))
 
 
-@query(f"""WITH {BANKED}, s AS (SELECT vec_id, bank.label AS l, list_sum([w[i] * b[i] FOR i IN range(1, len(w) + 1)]) AS c FROM u, bank WHERE vec_id % 2 = 1), m AS (SELECT vec_id, max(c) AS c, arg_max(l, c) AS l FROM s GROUP BY 1)
+@query(f"""WITH {BANKED}, s AS (SELECT vec_id, bank.label AS l, list_sum([w[i] * b[i] FOR i IN range(1, len(w) + 1)]) AS c FROM u, bank), m AS (SELECT vec_id, max(c) AS c, arg_max(l, c) AS l FROM s GROUP BY 1)
     SELECT vec_id AS query_id, CASE WHEN c >= 0.5 THEN l::VARCHAR END AS speaker_id, round(c, 6) AS score FROM m""")
 def nearest_speakers(spark, sf):
     bank = _bank(spark, sf).select(col("label").cast("string").alias("speaker_id"), "embedding")
@@ -806,3 +830,326 @@ def running_means(spark, sf):
     nxt = e.select((col("vec_id") - 1).alias("vec_id"), col("a").alias("b"))
     m = V.running_mean(col("a"), lit(3), col("b"))
     return e.join(nxt, "vec_id").select("vec_id", m.alias("m")).select("vec_id", F.round(F.element_at("m", 1), 6).alias("first"), F.round(F.aggregate("m", lit(0.0), lambda a, x: a + x), 6).alias("total"))
+
+
+# sounds, registries, glossaries and runs
+
+
+def _sounds(spark, sf) -> DataFrame:
+    """For each part a second or more of even sound at 100 samples a second; every seventh is no sound, every eleventh of a format without decoder."""
+
+    @F.pandas_udf("binary")
+    def made(keys: pd.Series) -> pd.Series:
+        return keys.map(lambda k: b"nothing to hear" if k % 7 == 0 else b"ID3" + bytes(2000) if k % 11 == 0 else S.encode_wav(np.full(100 * (1 + k % 3), 0.5), 100))
+
+    return read(spark, sf, "part").select("p_partkey", F.concat(lit("s"), "p_partkey").alias("path"), made("p_partkey").alias("content"))
+
+
+KIND = "CASE WHEN p_partkey % 7 = 0 THEN 'noise' WHEN p_partkey % 11 = 0 THEN 'mp3' ELSE 'wav' END"
+SOUNDS = f"sounds AS (SELECT p_partkey AS k, 's' || p_partkey AS path, {KIND} AS kind, 1 + p_partkey % 3 AS sec FROM part)"
+
+
+@query(f"WITH {SOUNDS} SELECT path, nullif(kind, 'noise') AS format, kind = 'wav' AS readable, CASE WHEN kind = 'wav' THEN sec::DOUBLE END AS seconds, kind = 'noise' AS corrupt FROM sounds")
+def audio_probe(spark, sf):
+    return R.probed(_sounds(spark, sf)).select("path", "format", "readable", "seconds", "corrupt")
+
+
+@query(f"WITH {SOUNDS} SELECT path, CASE WHEN kind = 'wav' THEN 44 + 2 * 50 * sec END AS bytes, kind <> 'wav' AS failed FROM sounds")
+def audio_conversion(spark, sf):
+    """Decoded, mono, at half the rate, as WAV."""
+    return S.converted_files(_sounds(spark, sf), 50).select("path", F.octet_length("content").cast("long").alias("bytes"), col("error").isNotNull().alias("failed"))
+
+
+@query(f"WITH {SOUNDS} SELECT path, kind = 'wav' AS ok, CASE WHEN kind = 'wav' THEN 44 + 2 * 16000 * sec END AS bytes FROM sounds")
+def audio_repair(spark, sf):
+    """Files that end too early, read as far as they go."""
+    cut = _sounds(spark, sf).withColumn("content", F.when(col("p_partkey") % 2 == 0, F.expr("concat(substring(content, 1, 40), X'FFFFFF7F', substring(content, 45, octet_length(content)))")).otherwise(col("content")))
+    return R.repaired(cut).select("path", "ok", F.octet_length("content").cast("long").alias("bytes"))
+
+
+@query(f"WITH {SOUNDS} SELECT count(*) AS files, 0 AS valid, count(*) FILTER (kind = 'wav') AS repaired, count(*) FILTER (kind <> 'wav') AS bad FROM sounds")
+def audio_validation(spark, sf):
+    """The report of all files, of which short ones are written anew at a higher rate."""
+    return L.validation_summary(R.validated_files(_sounds(spark, sf)))
+
+
+@query(f"WITH {SOUNDS} SELECT path, CASE WHEN kind = 'wav' THEN -23.0::DOUBLE END AS loudness, CASE WHEN kind = 'wav' THEN round(0.076657::DOUBLE, 4) END AS peak, CASE WHEN kind = 'wav' THEN sec::DOUBLE END AS duration, kind <> 'wav' AS failed FROM sounds")
+def audio_normalisation(spark, sf):
+    return S.normalised_files(_sounds(spark, sf)).select("path", F.round("loudness", 2).alias("loudness"), F.round("peak", 4).alias("peak"), "duration", col("error").isNotNull().alias("failed"))
+
+
+@query(f"WITH {SOUNDS} SELECT k AS podcast_id, seg AS seg_idx, CASE WHEN kind = 'wav' THEN 44 + 2 * 100 END AS bytes, kind <> 'wav' AS failed FROM (SELECT *, unnest(range(0, sec)) AS seg FROM sounds)")
+def audio_segments(spark, sf):
+    """Each second of each recording as a file."""
+    x = _sounds(spark, sf)
+    segments = x.select(col("p_partkey").cast("string").alias("podcast_id"), F.explode(F.sequence(lit(0).cast("long"), col("p_partkey") % 3)).alias("seg_idx")).withColumn("start", col("seg_idx").cast("double")).withColumn("end", col("start") + 1)
+    out = S.cut_files(segments, x.select(col("p_partkey").cast("string").alias("podcast_id"), "content"))
+    return out.select(col("podcast_id").cast("long").alias("podcast_id"), "seg_idx", F.octet_length("content").cast("long").alias("bytes"), col("error").isNotNull().alias("failed"))
+
+
+def _said(content: bytes, language: str = "en") -> dict:
+    return {"text": f"{len(S.decode(content)[0])} samples", "language": language}
+
+
+@query(f"WITH {SOUNDS} SELECT path, CASE WHEN kind = 'wav' THEN 100 * sec || ' samples' ELSE '' END AS text, CASE WHEN kind = 'wav' THEN 'es' ELSE 'unknown' END AS language, kind <> 'wav' AS failed FROM sounds")
+def audio_transcripts(spark, sf):
+    """By a stand-in for a model, with an option of its own."""
+    return S.transcribed(_sounds(spark, sf), _said, language="es").select("path", "text", "language", col("error").isNotNull().alias("failed"))
+
+
+def _turns_of(content: bytes) -> list[dict]:
+    """A stand-in for a diarizer: it knows two seconds of sound, finds nothing in one, and fails else."""
+    n = len(S.decode(content)[0]) // 100
+    if n == 3:
+        raise RuntimeError("too long")
+    return [{"start": 0, "end": 1, "speaker": "A"}, {"start": 1, "end": 2, "speaker": "B"}] if n == 2 else []
+
+
+@query(f"""WITH {SOUNDS} SELECT path AS podcast_id, t.turn_idx, t.s AS "start", t.e AS "end", t.speaker, t.method FROM sounds, (VALUES ('model', 2, 0, 0.0, 1.0, 'A'), ('model', 2, 1, 1.0, 2.0, 'B'), ('energy', 1, 0, 0.0, 1.0, 'SPEAKER_00'), ('energy', 3, 0, 0.0, 3.0, 'SPEAKER_00'), ('none', 0, 0, 0.0, 0.0, 'SPEAKER_00')) t(method, n, turn_idx, s, e, speaker) WHERE n = CASE WHEN kind = 'wav' THEN sec ELSE 0 END""".replace("t.turn_idx", "t.turn_idx::BIGINT AS turn_idx").replace("t.s AS", "t.s::DOUBLE AS").replace("t.e AS", "t.e::DOUBLE AS"))
+def audio_diarization(spark, sf):
+    """A model first; where it fails or finds nothing turns by energy; where there is no sound one turn."""
+    return S.diarized(_sounds(spark, sf).select(col("path").alias("podcast_id"), "content"), _turns_of).drop("error")
+
+
+#: Cuts of even sound: the first place that may be quietest, a second before 15.
+CUTS = """cuts AS (SELECT * FROM (VALUES (40, 0, 0, 14), (40, 1, 14, 28), (40, 2, 28, 40), (41, 0, 0, 14), (41, 1, 14, 28), (41, 2, 28, 41), (42, 0, 0, 14), (42, 1, 14, 28), (42, 2, 28, 42), (43, 0, 0, 14), (43, 1, 14, 28), (43, 2, 28, 43), (44, 0, 0, 14), (44, 1, 14, 28), (44, 2, 28, 42)) t(total, seg_idx, s, e))"""
+
+
+@query(f"""WITH {CUTS} SELECT s_suppkey AS podcast_id, seg_idx::BIGINT AS seg_idx, s::DOUBLE AS "start", e::DOUBLE AS "end" FROM supplier JOIN cuts ON total = 40 + s_suppkey % 5""")
+def quiet_cuts(spark, sf):
+    @F.pandas_udf("binary")
+    def made(keys: pd.Series) -> pd.Series:
+        return keys.map(lambda k: S.encode_wav(np.full(100 * (40 + k % 5), 0.5), 100))
+
+    x = read(spark, sf, "supplier").select(col("s_suppkey").alias("podcast_id"), made("s_suppkey").alias("content"))
+    t = x.select("podcast_id", lit(0).alias("turn_idx"), lit(0.0).alias("start"), (lit(40.0) + col("podcast_id") % 5).alias("end"), lit("A").alias("speaker"))
+    return S.split_turns(t, x).select("podcast_id", "seg_idx", "start", "end")
+
+
+@query(f"WITH {TURNS}, s AS (SELECT podcast_id, speaker, sum(duration)::BIGINT AS total, min(turn_idx) AS first FROM turns GROUP BY ALL) SELECT podcast_id, arg_max(speaker, total * 1000000 - first) AS dominant, round(max(total) / sum(total), 9) AS purity, count(*) AS speakers FROM s GROUP BY 1")
+def dominant_by_duration(spark, sf):
+    """Of whole recordings, by the durations that turns carry."""
+    t = turns(spark, sf).withColumn("seg_idx", lit(0))
+    return I.purity(t, "duration").select("podcast_id", "dominant", F.round("purity", 9).alias("purity"), "speakers")
+
+
+@query(f"""WITH {TURNS}, seen AS (SELECT w.podcast_id, w.seg_idx, s, e, dominant, purity, coalesce(speakers, 0) AS n FROM windows w LEFT JOIN purity p ON p.podcast_id = w.podcast_id AND p.seg_idx = w.seg_idx),
+    long AS (SELECT o.podcast_id, o.seg_idx, turn_idx, s + o_start AS a FROM overlap o JOIN seen x ON x.podcast_id = o.podcast_id AND x.seg_idx = o.seg_idx WHERE n > 1 AND o >= 5000),
+    pieces AS (SELECT podcast_id, seg_idx, a, turn_idx, true AS split FROM long UNION ALL SELECT podcast_id, seg_idx, s, 0, true FROM seen x WHERE n > 1 AND NOT EXISTS (SELECT 1 FROM long l WHERE l.podcast_id = x.podcast_id AND l.seg_idx = x.seg_idx) UNION ALL SELECT podcast_id, seg_idx, s, 0, false FROM seen WHERE n <= 1 AND coalesce(purity, 1) >= 0.8)
+    SELECT podcast_id, segment, CASE WHEN split AND segment % 3 > 0 THEN 'again ' || segment ELSE 'first' END AS text, CASE WHEN split AND segment % 3 > 0 THEN 'fr' ELSE 'es' END AS language FROM (SELECT *, row_number() OVER (PARTITION BY podcast_id ORDER BY seg_idx, a, turn_idx) - 1 AS segment FROM pieces)""")
+def review_transcribed_again(spark, sf):
+    """Segments that review split are transcribed anew, where that gives a text."""
+    t = turns(spark, sf)
+    seen = I.review(windows(t), t, 1, 0.8, 5 * SECOND, 60 * SECOND).withColumn("text", lit("first")).withColumn("language", lit("es"))
+    again = seen.where("segment % 3 > 0").select("podcast_id", "segment", F.concat(lit("again "), "segment").alias("text"), lit("fr").alias("language"))
+    return I.transcribed_again(seen, again).select("podcast_id", "segment", "text", "language")
+
+
+@query("SELECT r_name AS name, n.pos, n.query FROM (SELECT r_regionkey, r_name FROM region WHERE r_regionkey % 3 <> 1) r JOIN (SELECT n_regionkey, n_name AS query, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) - 1 AS pos FROM nation) n ON n_regionkey = r_regionkey")
+def enabled_categories(spark, sf):
+    names = read(spark, sf, "nation").groupBy("n_regionkey").agg(F.array_sort(F.collect_list("n_name")).alias("queries"))
+    k = col("r_regionkey") % 3
+    c = read(spark, sf, "region").join(names, col("n_regionkey") == col("r_regionkey")).select(col("r_name").alias("name"), F.when(k == 0, lit(True)).when(k == 1, lit(False)).alias("enabled"), "queries", lit(None).cast("array<string>").alias("exclude_keywords"))
+    return L.enabled(c).select("name", col("pos").cast("long").alias("pos"), "query")
+
+
+@query(f"WITH {CACHE}, n AS (SELECT DISTINCT 'n' || p_partkey AS text_hash FROM part) SELECT (SELECT count(*) FROM looked WHERE hit) AS hits, (SELECT count(*) FROM looked WHERE NOT hit) AS misses, (SELECT round(count(*) FILTER (hit) * 100.0::DOUBLE / count(*), 2) FROM looked) AS hit_rate, (SELECT count(*) FROM n) AS writes, (SELECT greatest(count(*) - 500, 0) FROM (SELECT text_hash FROM cache UNION SELECT text_hash FROM n)) AS evictions, (SELECT least(count(*), 500) FROM (SELECT text_hash FROM cache UNION SELECT text_hash FROM n)) AS entries, 500 AS max_entries")
+def cache_run(spark, sf):
+    cache = _cache(spark, sf)
+    new = read(spark, sf, "part").select(F.concat(lit("n"), "p_partkey").alias("text_hash")).distinct()
+    return C.run_figures(C.looked_up(read(spark, sf, "documents").select("doc_id", "text"), cache), cache, new, 500)
+
+
+@query(f"WITH {CACHE} SELECT doc_id, hit FROM looked")
+def cache_contains(spark, sf):
+    return C.contains(read(spark, sf, "documents").select("doc_id", "text"), _cache(spark, sf)).select("doc_id", "hit")
+
+
+def _fetch(url: str) -> bytes:
+    """A stand-in for a source of media."""
+    k = int(url.rsplit("/", 1)[1])
+    if k % 5 == 0:
+        raise RuntimeError("HTTP Error 404: Not Found")
+    if k % 5 == 1:
+        raise RuntimeError("timed out")
+    return b"x" * k
+
+
+@query("SELECT count(*) AS downloads, count(*) FILTER (p_partkey % 5 > 1) AS succeeded, count(*) FILTER (p_partkey % 5 <= 1) AS failed, count(*) FILTER (p_partkey % 5 = 0) AS terminal, sum(CASE WHEN p_partkey % 5 = 1 THEN 3 ELSE 1 END)::BIGINT AS tries FROM part")
+def download_figures(spark, sf):
+    """A batch of downloads: tried again unless that can't help."""
+    got = L.downloaded(read(spark, sf, "part").select(col("p_partkey").cast("string").alias("id"), F.concat(lit("https://x.example/"), "p_partkey").alias("url")), _fetch)
+    return L.download_summary(got).crossJoin(got.agg(F.sum("tries").alias("tries")))
+
+
+@query("SELECT label AS podcast_id, count(*) FILTER (vec_id % 7 <> 0 AND vec_id % 11 <> 0) AS matched, count(*) FILTER (vec_id % 7 = 0) AS created FROM embeddings GROUP BY 1")
+def bank_figures(spark, sf):
+    met = read(spark, sf, "embeddings").select(col("label").alias("podcast_id"), (col("vec_id") % 7 == 0).alias("created"), F.when(col("vec_id") % 11 != 0, "x").alias("global_id"))
+    return P.bank_counts(met)
+
+
+@query(f"WITH {PARTS}, o AS (SELECT error, min(correction) AS correction FROM base GROUP BY 1) SELECT row_number() OVER (ORDER BY error) AS place, error, correction FROM o")
+def glossary_sorted(spark, sf):
+    """Read back from the file of rules in order, whose lines tell the order."""
+    from pyspark.sql import Window
+
+    a, _ = _rules(spark, sf)
+    path = f"{R.shared_folder(spark)}/glossary-{uuid.uuid4()}"
+    R.write_glossary(G.sorted_rules(a.groupBy("error").agg(F.min("correction").alias("correction"))), path)
+    lines = spark.read.schema("error string, correction string").json(path).withColumn("line", F.monotonically_increasing_id())
+    return lines.select(F.row_number().over(Window.orderBy("line")).cast("long").alias("place"), "error", "correction")
+
+
+@query("SELECT c_custkey, format('SPEAKER_GLOBAL_{:03d}', rank) AS global_id, first <> c_custkey AS matched FROM (SELECT *, dense_rank() OVER (ORDER BY first) AS rank FROM (SELECT c_custkey, min(c_custkey) OVER (PARTITION BY c_nationkey) AS first FROM customer))")
+def online_speakers(spark, sf):
+    """The online fold where it is known what it must give: voices that are equal or at right angles."""
+    one_hot = F.transform(F.sequence(lit(0), lit(24)), lambda i: F.when(i == col("c_nationkey"), lit(2.0)).otherwise(0.0))
+    rows = read(spark, sf, "customer").select(col("c_custkey").alias("podcast_id"), lit("S").alias("speaker"), one_hot.alias("embedding"), col("c_custkey").alias("seq"))
+    return P.clustered(rows).select(col("podcast_id").alias("c_custkey"), "global_id", (~col("created")).alias("matched"))
+
+
+@query("SELECT r_regionkey, 'own-' || (1 + r_regionkey) AS global_id FROM region")
+def speaker_ids(spark, sf):
+    """Ids of the caller's making."""
+    one_hot = F.transform(F.sequence(lit(0), lit(4)), lambda i: F.when(i == col("r_regionkey"), lit(1.0)).otherwise(0.0))
+    rows = read(spark, sf, "region").select(col("r_regionkey").cast("long").alias("podcast_id"), lit("S").alias("speaker"), one_hot.alias("embedding"), col("r_regionkey").alias("seq"))
+    return P.clustered(rows, made=lambda n: f"own-{n}").select(col("podcast_id").cast("int").alias("r_regionkey"), "global_id")
+
+
+@query(f"WITH {REGISTRY} SELECT video_id, CASE WHEN ok THEN 'processed' ELSE status END AS status, CASE WHEN ok THEN 'completed' ELSE stage END AS stage, audio_path, CASE WHEN ok THEN 12::BIGINT END AS segments, ok AS retried FROM (SELECT *, status = 'failed' AND substr(video_id, 2)::BIGINT % 2 = 0 AS ok FROM registry)")
+def retries(spark, sf):
+    """Failed recordings tried again: every second goes well, the others stay as they were; nothing else of a row is lost."""
+    r = _registry(spark, sf).withColumn("segments", lit(None).cast("long")).withColumn("error", lit("e")).withColumn("retried", lit(False))
+    results = r.where("status = 'failed'").select("video_id", (F.substring("video_id", 2, 20).cast("long") % 2 == 0).alias("ok"), lit(12).cast("long").alias("segments"), lit("again").alias("error"), F.expr("timestamp + INTERVAL 1 DAY").alias("timestamp"))
+    return L.retried(r, results).select("video_id", "status", "stage", "audio_path", "segments", "retried")
+
+
+@query(f"""WITH {FOUND}, {REGISTRY}, a AS (SELECT * FROM suitable QUALIFY row_number() OVER (PARTITION BY category, query_idx ORDER BY pos) <= 5), b AS (SELECT * FROM a WHERE id NOT IN (SELECT video_id FROM registry WHERE status IN ('processed', 'failed')) AND {WHY} IS NULL),
+    c AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY id ORDER BY category, query_idx, pos) = 1), d AS (SELECT id, substr(id, 2)::BIGINT AS k FROM c QUALIFY row_number() OVER (PARTITION BY category ORDER BY query_idx, pos) <= 50)
+    SELECT id, CASE WHEN k % 5 > 1 AND k % 3 > 0 THEN 'processed' ELSE 'failed' END AS status, CASE WHEN k % 5 <= 1 THEN 'download' WHEN k % 3 = 0 THEN 'processing' ELSE 'completed' END AS stage, CASE WHEN k % 5 = 0 THEN 'HTTP Error 404: Not Found' WHEN k % 5 = 1 THEN 'timed out' WHEN k % 3 = 0 THEN 'no sound' END AS error, CASE WHEN k % 5 > 1 AND k % 3 > 0 THEN k END AS segments FROM d""")
+def orchestrated_run(spark, sf):
+    """Search results to what came of them: selection, downloads, processing, with failures of each as rows."""
+
+    def work(got: DataFrame) -> DataFrame:
+        k = F.octet_length("content").cast("long")
+        return got.select("id", F.when(k % 3 > 0, k).alias("segments"), lit(60.0).alias("audio_seconds"), lit(1.0).alias("processing_seconds"), F.when(k % 3 == 0, "no sound").alias("error"))
+
+    found = _found(spark, sf).withColumn("url", F.concat(lit("https://x.example/"), F.substring("id", 2, 20)))
+    details, _ = speech.run(found, _registry(spark, sf), _fetch, work, 50, ["LOW 1", "urgent"], ["Chan3"])
+    return details.select("id", "status", "stage", "error", "segments")
+
+
+@query("SELECT * FROM (VALUES ('all', 'model', true, true, true, true), ('nothing', 'energy', false, false, false, false), ('no key', 'model', false, true, false, false), ('turns only', 'energy', false, true, false, false), ('silent model', 'energy', false, false, false, false)) t(name, diarize, bank, review, transcribe, correct)")
+def readiness(spark, sf):
+    """Which steps can run, for several things at hand."""
+    some = lambda *_: [{"start": 0}]
+    cases = {
+        "all": speech.readiness(some, some, True, some, lambda *_: "ok"), "nothing": speech.readiness(), "no key": speech.readiness(some, some, True, embedder_needs_key=True),
+        "turns only": speech.readiness(global_turns=True), "silent model": speech.readiness(client=lambda *_: ""),
+    }
+    return spark.createDataFrame([(n, r.diarize, r.bank, r.review, r.transcribe, r.correct) for n, r in cases.items()], "name string, diarize string, bank boolean, review boolean, transcribe boolean, correct boolean")
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"({quoted(e)}, {quoted(c)}, {quoted(g)})" for e, c, g in U.curated_rules()) + ") t(error, correction, category) UNION ALL SELECT *, 'kept' FROM (VALUES " + ", ".join(f"({quoted(w)}, {quoted(w)})" for w in U.kept_words()) + ") k(error, correction)")
+def curated_words(spark, sf):
+    return spark.createDataFrame([*U.curated_rules(), *((w, w, "kept") for w in U.kept_words())], "error string, correction string, category string")
+
+
+@query(f"SELECT doc_id, {glossary_sql('text', [(e, c) for e, c, g in U.curated_rules() if g == 'spellings'])} AS text FROM documents")
+def text_spellings(spark, sf):
+    """The curated spellings over whole documents."""
+    return T.with_glossary(read(spark, sf, "documents").select("doc_id", "text"), "text", [(e, c) for e, c, g in U.curated_rules() if g == "spellings"])
+
+
+@query("SELECT p_partkey, p_name AS text, CASE WHEN p_partkey % 6 = 5 THEN NULL ELSE 0.9::DOUBLE END AS confidence FROM part")
+def json_repair(spark, sf):
+    """Answers that are broken in six ways, read after repair."""
+    k, name = col("p_partkey") % 6, F.concat(lit('"'), "p_name", lit('"'))
+    forms = (
+        ('```json\n{"texto_corregido": ', ', "confianza": 0.9}\n```'), ('Here is it: {"texto_corregido": ', ', "confianza": 0.9,} bye'), ('{"texto_corregido": ', ' "confianza": 0.9}'), ('{"texto_corregido": ', '\n"confianza": 0.9 // sure\n}'),
+        ('{"confianza": 0.9 /* high */ "texto_corregido": ', "}"), ('{"texto_corregido": ', ', "cambios": ["a", "b"}'),
+    )
+    answer = F.coalesce(*[F.when(k == n, F.concat(lit(before), name, lit(after))) for n, (before, after) in enumerate(forms)])
+    read_ = K.with_repaired_json(read(spark, sf, "part").select("p_partkey", answer.alias("a")), "a")
+    return read_.select("p_partkey", F.from_json("a", K.RESPONSE).alias("r")).select("p_partkey", col("r.texto_corregido").alias("text"), col("r.confianza").alias("confidence"))
+
+
+@query("SELECT p_partkey AS id, upper(p_name) AS batched, upper(p_name) AS single, upper(p_name) AS spread FROM part")
+def correction_modes(spark, sf):
+    """In batches, one by one, and over other tasks: the same."""
+    p = read(spark, sf, "part").select(col("p_partkey").alias("id"), col("p_name").alias("text"))
+    as_ = lambda df, name: df.select("id", col("corrected").alias(name))
+    return as_(K.corrected(p, _shout), "batched").join(as_(K.corrected(p, _shout, size=1), "single"), "id").join(as_(K.corrected(p.repartition(3), _shout), "spread"), "id")
+
+
+@query("""WITH r AS (SELECT DISTINCT lower(p_name) AS error FROM part WHERE p_partkey % 3 = 0), f AS (SELECT p_size AS query, p_name AS term, 0 AS source FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_size, p_brand, 1 FROM part),
+    n AS (SELECT query, lower(term) AS error, term, source FROM f WHERE lower(term) <> term AND lower(term) NOT IN (FROM r)), o AS (SELECT query, error, arg_min(term, (source, term)) AS correction, min(source) AS source FROM n GROUP BY ALL)
+    SELECT query, error, correction, source FROM o QUALIFY source = min(source) OVER (PARTITION BY query)""")
+def term_sources(spark, sf):
+    """Terms of two sources in order: the second counts where the first adds nothing."""
+    p = read(spark, sf, "part")
+    rules = p.where("p_partkey % 3 = 0").select(F.lower("p_name").alias("error"), col("p_name").alias("correction"))
+    return G.first_source([p.where("p_partkey % 2 = 0").select(col("p_size").alias("query"), col("p_name").alias("term")), p.select(col("p_size").alias("query"), col("p_brand").alias("term"))], rules)
+
+
+@query("SELECT 'correcciones' AS key, 0 AS pos, 'a' AS error, 'A' AS correction UNION ALL SELECT 'correcciones', 1, 'b', 'otra' UNION ALL SELECT 'correcciones', 2, 'c', 'C' UNION ALL SELECT 'mantener', 0, 'x', NULL UNION ALL SELECT 'mantener', 1, 'y', NULL UNION ALL SELECT 'propio', 0, 'z', NULL")
+def glossary_file(spark, sf):
+    """A glossary saved, loaded over another one and saved again: repeated errors, lists, keys of its own."""
+    path = f"{R.shared_folder(spark)}/glossary-{uuid.uuid4()}.json"
+    R.save_glossary(spark, {"correcciones": {"c": "C", "b": "otra"}, "mantener": ["x", "y", "x"], "propio": ["z"]}, path)
+    g = R.load_glossary(spark, path, {"correcciones": {"b": "B", "a": "A"}, "mantener": ["x"]})
+    R.save_glossary(spark, g, path)
+    g = R.load_glossary(spark, path, {})
+    rows = [(k, n, e, g[k][e] if isinstance(g[k], dict) else None) for k in g for n, e in enumerate(g[k])]
+    return spark.createDataFrame(rows, "key string, pos int, error string, correction string")
+
+
+@query(f"WITH {REGISTRY} SELECT video_id, CASE WHEN status = 'failed' THEN 'processed' ELSE status END AS status, stage, audio_path FROM registry")
+def registry_table(spark, sf):
+    """Saved, read, changed, saved over what was read, and read again."""
+    path = f"{R.shared_folder(spark)}/registry-{uuid.uuid4()}"
+    R.replace(_registry(spark, sf), path)
+    R.replace(R.registry(spark, path).withColumn("status", F.when(col("status") == "failed", "processed").otherwise(col("status"))), path)
+    return R.registry(spark, path).select("video_id", "status", "stage", "audio_path")
+
+
+@query(f"WITH {EMB} SELECT vec_id::VARCHAR AS speaker_id, round(list_sum(w), 4) AS total, vec_id AS occurrences FROM u")
+def bank_table(spark, sf):
+    """Voices saved and read, of length 1."""
+    path = f"{R.shared_folder(spark)}/bank-{uuid.uuid4()}"
+    R.write_bank(read(spark, sf, "embeddings").select(col("vec_id").cast("string").alias("speaker_id"), "embedding", col("vec_id").cast("int").alias("occurrences"), F.expr(NOW).alias("last_seen")), path)
+    return R.bank(spark, path).select("speaker_id", F.round(F.aggregate("embedding", lit(0.0), lambda a, x: a + x), 4).alias("total"), col("occurrences").cast("long").alias("occurrences"))
+
+
+@query(f"WITH {CACHE} SELECT text_hash, text, (SELECT count(*) FROM cache) AS said FROM cache WHERE created_at >= {NOW} - INTERVAL 30 DAYS")
+def cache_table(spark, sf):
+    """Entries saved and read: those that haven't expired, and how many the envelope says there are."""
+    path = f"{R.shared_folder(spark)}/cache-{uuid.uuid4()}"
+    R.write_cache(_cache(spark, sf), path, {"hits": 1})
+    said = R.cache_envelope(spark, path)["entries_count"]
+    return R.cache(spark, path, F.expr(NOW)).select("text_hash", "text", lit(said).cast("long").alias("said"))
+
+
+@query(f"WITH {TURNS} SELECT podcast_id, count(*) AS n, count(*) AS consolidated, sum(z - a)::BIGINT AS seconds FROM turns GROUP BY 1")
+def metadata_tables(spark, sf):
+    """Metadata by recording and of all recordings, and the log of figures, written and read."""
+    base = f"{R.shared_folder(spark)}/metadata-{uuid.uuid4()}"
+    t = turns(spark, sf).withColumn("seconds", col("end") - col("start"))
+    R.write_metadata(t, f"{base}/one")
+    R.write_consolidated(t, f"{base}/all")
+    R.write_metrics(t.groupBy("podcast_id").agg(F.sum("seconds").alias("seconds")), f"{base}/log")
+    n = lambda path, name: spark.read.json(f"{base}/{path}").groupBy("podcast_id").agg(F.count("*").alias(name))
+    log = spark.read.json(f"{base}/log").select(col("podcast_id").cast("long").alias("podcast_id"), "seconds")
+    return n("one", "n").select(col("podcast_id").cast("long").alias("podcast_id"), "n").join(n("all", "consolidated"), "podcast_id").join(log, "podcast_id")
+
+
+@query("SELECT n_name AS video_id, 'processed' AS status FROM nation")
+def resumed_stream(spark, sf):
+    """A stream run twice over the same file: each row is processed once."""
+    base = f"{R.shared_folder(spark)}/stream-{uuid.uuid4()}"
+    for k in range(2):  # with a checkpoint of its own the second run is given all rows again
+        rows = spark.readStream.schema("n_nationkey int, n_name string, n_regionkey int").option("pathGlobFilter", "nation.parquet").parquet(sf).select(col("n_name").alias("id"))
+        work = lambda df, k=k: df.select(col("id").alias("video_id"), F.lit("processed" if k == 0 else "again").alias("status"), F.current_timestamp().alias("timestamp"))
+        N.processed_once(rows, f"{base}/registry", f"{base}/checkpoint-{k}", work, number=k).awaitTermination()
+    R.compacted(spark, f"{base}/registry")
+    return R.logged(spark, f"{base}/registry").select("video_id", "status")

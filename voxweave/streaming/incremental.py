@@ -11,18 +11,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.catalog import first_of_each, unseen, upsert
+from ..operators.catalog import first_of_each, unseen
 from ..operators.speakers import THRESHOLD, Bank
-from ..sources.tables import registry, replace
+from ..sources.tables import log, logged
 
 
-def processed_once(stream: DataFrame, registry_path: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], key: str = "id") -> StreamingQuery:
-    """Each micro-batch's new rows, once each, go through ``work``, which gives (video_id, status, stage, ...) rows for the registry. A batch that is run again after a failure finds its rows there and does nothing."""
+def processed_once(stream: DataFrame, registry_path: str, checkpoint: str, work: Callable[[DataFrame], DataFrame], key: str = "id", number: int = 0) -> StreamingQuery:
+    """Each micro-batch's new rows, once each, go through ``work``, which gives (video_id, status, stage, ...) rows for the registry's log. A batch writes its own folder of the log and nothing else; run again after a failure, it replaces what it wrote. ``tables.logged`` reads the registry, ``tables.compacted`` makes one folder of many. A stream with another checkpoint needs another ``number`` (up to 2^20), which keeps its folders apart."""
 
-    def batch(df: DataFrame, _: int) -> None:
-        known = registry(df.sparkSession, registry_path)
+    def batch(df: DataFrame, n: int) -> None:
+        at = (number << 40) + n
+        known = logged(df.sparkSession, registry_path, before=at)
         new = first_of_each(unseen(df, known), key, key)
-        replace(upsert(known, work(new)), registry_path)
+        log(work(new), registry_path, at)
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -34,8 +35,8 @@ def clustered_stream(stream: DataFrame, threshold: float = THRESHOLD) -> DataFra
         bank = Bank(threshold)
         if state.exists:
             ids, vectors, times = state.get
-            bank.ids, bank.times = list(ids), list(times)
-            bank.vectors = [np.array(v, np.float64) for v in (np.asarray(vectors).reshape(len(bank.ids), -1) if len(bank.ids) else [])]
+            for name, v, n in zip(ids, np.asarray(vectors).reshape(len(ids), -1) if len(ids) else [], times):
+                bank.load(name, v, n)
         rows = pd.concat(list(pdfs)).sort_values("seq", kind="stable")
         met = [bank.meet(None if e is None else np.asarray(e, np.float64)) for e in rows["embedding"]]
         state.update((bank.ids, [float(x) for v in bank.vectors for x in v], bank.times))
