@@ -1,3 +1,6 @@
+import io
+import wave
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -105,3 +108,86 @@ def test_tables(spark, tmp_path):
     assert R.glossary(spark, str(tmp_path / "g.json")) == [("b", "B"), ("a", "A")]
     R.write_metadata(spark.createDataFrame([("p", "hola")], "podcast_id string, text string"), str(tmp_path / "m"))
     assert spark.read.json(str(tmp_path / "m")).count() == 1
+
+
+def test_formats(spark):
+    rate, x = 1000, tone(1, 1000)
+    out = io.BytesIO()
+    with wave.open(out, "wb") as w:
+        w.setnchannels(2)
+        w.setsampwidth(3)
+        w.setframerate(rate)
+        v = np.round(np.repeat(x, 2) * (2**23 - 1)).astype(np.int32)
+        w.writeframes(b"".join(int(i).to_bytes(3, "little", signed=True) for i in v))
+    got, own = S.decode(out.getvalue())
+    assert own == rate and np.allclose(got, x, atol=1e-6)
+    rows = [("a", S.encode_wav(x, rate)), ("b", b"ID3" + bytes(50)), ("c", b"what"), ("d", None), ("e", S.encode_wav(np.tile(x, 8), rate)[:-5001])]
+    df = spark.createDataFrame(rows, "path string, content binary")
+    probe = {r["path"]: (r["format"], r["readable"], r["corrupt"]) for r in R.probed(df).collect()}
+    assert probe["a"] == ("wav", True, False) and probe["b"] == ("mp3", False, False) and probe["c"] == (None, False, True) and probe["d"] == (None, False, True)
+    mp3 = {"mp3": lambda content: (np.ones(500), 500)}
+    assert {r["path"]: r["seconds"] for r in R.probed(df, mp3).collect()}["b"] == 1
+    assert {r["path"]: r["error"] is None for r in S.converted_files(df, decoders=mp3).collect()} == {"a": True, "b": True, "c": False, "d": False, "e": False}
+    parts = S.segmented_files(df).collect()
+    assert {r["path" if "path" in r.asDict() else "podcast_id"] for r in parts if r["error"]} == {"b", "c", "d"} and any(r["duration"] for r in parts)
+    seg = spark.createDataFrame([(p, 0, 0.0, 0.5) for p in "abz"], "podcast_id string, seg_idx long, start double, end double")
+    cut = {r["podcast_id"]: r["error"] for r in S.cut_files(seg, df.withColumnRenamed("path", "podcast_id")).collect()}
+    assert cut["a"] is None and cut["b"] and cut["z"]
+    report = {r["path"]: (r["valid"], r["message"], r["repaired"]) for r in R.validated_files(df).collect()}
+    assert report["a"] == (True, "ok", None) and report["d"][1] == "too small" and report["b"][1] == "too small" and not report["c"][2]
+    assert report["e"] == (False, "unreadable", True)  # ends within a sample: read as far as it goes
+
+
+def test_repair_reads_what_is_there():
+    good = S.encode_wav(tone(2, 1000), 1000)
+    broken = good[:4] + b"\xff\xff\xff\xff" + good[8:16] + b"\x00\x00\x00\x00" + good[20:]
+    x, rate = R.salvaged(broken)
+    assert rate == 1000 and len(x) == 2000
+
+
+def test_replacing_is_safe(spark, tmp_path):
+    """A replacement that is broken off after any of its steps leaves the old table or the new one."""
+    import shutil
+
+    path = str(tmp_path / "t")
+    R.replace(spark.createDataFrame([("v1",)], "video_id string"), path)
+    shutil.move(path, f"{path}.old")  # renamed aside, and then nothing more
+    assert [r["video_id"] for r in R.registry(spark, path).collect()] == ["v1"]
+    R.replace(spark.createDataFrame([("v2",)], "video_id string"), path)
+    assert [r["video_id"] for r in R.registry(spark, path).collect()] == ["v2"]
+    (tmp_path / "t.old").mkdir()
+    R.replace(R.registry(spark, path), path)
+    assert R.registry(spark, path).count() == 1 and not (tmp_path / "t.old").exists()
+
+
+def test_bank_grows_and_mixes():
+    rng, b, plain = np.random.default_rng(3), P.Bank(0.7), []
+    for _ in range(200):
+        e = rng.normal(size=3)
+        u = e / np.linalg.norm(e)
+        scores = [v @ u for v, _ in plain]
+        if plain and max(scores) >= 0.7:
+            k = int(np.argmax(scores))
+            v, n = plain[k]
+            v = (v * n + u) / (n + 1)
+            plain[k] = (v / np.linalg.norm(v), n + 1)
+        else:
+            plain.append((u, 1))
+        b.meet(e)
+    assert len(b.ids) == len(plain) and np.allclose(b.vectors, [v for v, _ in plain]) and b.times == [n for _, n in plain]
+    b.add(np.ones(5))
+    assert b.match(np.ones(5)) == (None, 0.0) and len(b.vectors) == len(b.ids)
+
+
+def test_nearest_in_blocks(spark):
+    rng = np.random.default_rng(4)
+    bank = [(f"s{k:02}", rng.normal(size=4).tolist()) for k in range(40)] + [("s99", [1.0, 2.0])]
+    qs = [(k, rng.normal(size=4).tolist()) for k in range(30)] + [(30, [3.0, 6.0]), (31, [1.0])]
+    b, q = spark.createDataFrame(bank, "speaker_id string, embedding array<double>"), spark.createDataFrame(qs, "query_id long, embedding array<double>")
+    one = {r["query_id"]: (r["speaker_id"], round(r["score"], 9)) for r in P.nearest(q, b, 0.5).collect()}
+    assert one == {r["query_id"]: (r["speaker_id"], round(r["score"], 9)) for r in P.nearest(q, b, 0.5, bank_bytes=500).collect()}
+    assert one[30] == ("s99", 1.0) and one[31] == (None, -1.0)
+    unit = lambda v: np.array(v) / np.linalg.norm(v)
+    for k, v in qs[:30]:
+        score, name = max((float(unit(v) @ unit(e)), i) for i, e in bank[:40])
+        assert one[k] == (name if score >= 0.5 else None, round(score, 9))
