@@ -129,7 +129,7 @@ def test_formats(spark):
     assert {r["path"]: r["seconds"] for r in R.probed(df, mp3).collect()}["b"] == 1
     assert {r["path"]: r["error"] is None for r in S.converted_files(df, decoders=mp3).collect()} == {"a": True, "b": True, "c": False, "d": False, "e": False}
     parts = S.segmented_files(df).collect()
-    assert {r["path" if "path" in r.asDict() else "podcast_id"] for r in parts if r["error"]} == {"b", "c", "d"} and any(r["duration"] for r in parts)
+    assert {r["path" if "path" in r.asDict() else "podcast_id"] for r in parts if r["error"]} == {"b", "c", "d", "e"} and any(r["duration"] for r in parts)
     seg = spark.createDataFrame([(p, 0, 0.0, 0.5) for p in "abz"], "podcast_id string, seg_idx long, start double, end double")
     cut = {r["podcast_id"]: r["error"] for r in S.cut_files(seg, df.withColumnRenamed("path", "podcast_id")).collect()}
     assert cut["a"] is None and cut["b"] and cut["z"]

@@ -78,6 +78,23 @@ def correction_rules() -> list[Rule]:
     return [("text_present", F.length(strip(F.coalesce(c("corrected"), F.lit("")))) > 0), ("at_most_10_changes", F.size("changes") <= 10), ("confidence_in_range", c("confidence").between(0, 1))]
 
 
+def request_rules(most: int = 10) -> list[Rule]:
+    """Of requests (texts, ids): one to ``most`` texts, none blank, and an id for each where there are ids."""
+    c = F.col
+    return [("texts_present", F.size("texts") >= 1), (f"at_most_{most}_texts", F.size("texts") <= most), ("no_blank_text", ~F.exists("texts", lambda t: F.length(strip(F.coalesce(t, F.lit("")))) == 0)), ("an_id_for_each", c("ids").isNull() | (F.size("ids") == F.size("texts")))]
+
+
+def stats_rules() -> list[Rule]:
+    """Of a recording's figures (segments, speakers, useful, total, efficiency)."""
+    c = F.col
+    return [("counts_not_negative", (c("segments") >= 0) & (c("speakers") >= 0)), ("times_not_negative", (c("useful") >= 0) & (c("total") >= 0)), ("efficiency_in_range", c("efficiency").between(0, 100))]
+
+
+def with_efficiency(rows: DataFrame) -> DataFrame:
+    """Figures whose efficiency is missing or 0 get it from useful and total."""
+    return rows.withColumn("efficiency", F.when(F.coalesce("efficiency", F.lit(0.0)) == 0, efficiency(F.col("useful"), F.col("total"))).otherwise(F.round("efficiency", 2)))
+
+
 def rounded(rows: DataFrame) -> DataFrame:
     """Times to 3 places, as the contract keeps them."""
     return rows.withColumns({c: F.round(c, 3) for c in ("start", "end", "duration") if c in rows.columns})

@@ -1153,3 +1153,29 @@ def resumed_stream(spark, sf):
         N.processed_once(rows, f"{base}/registry", f"{base}/checkpoint-{k}", work, number=k).awaitTermination()
     R.compacted(spark, f"{base}/registry")
     return R.logged(spark, f"{base}/registry").select("video_id", "status")
+
+
+@query("""WITH r AS (SELECT c_custkey AS k, c_custkey % 12 AS n, c_custkey % 7 = 0 AS blank, CASE c_custkey % 3 WHEN 0 THEN NULL WHEN 1 THEN c_custkey % 12 ELSE 5 END AS ids FROM customer),
+    e AS (SELECT k, list_filter([CASE WHEN n < 1 THEN 'texts_present' END, CASE WHEN n > 10 THEN 'at_most_10_texts' END, CASE WHEN blank AND n > 0 THEN 'no_blank_text' END, CASE WHEN ids <> n THEN 'an_id_for_each' END], lambda x: x IS NOT NULL) AS errors FROM r)
+    SELECT k AS c_custkey, array_to_string(errors, ',') AS errors, len(errors) = 0 AS is_valid FROM e""")
+def request_validation(spark, sf):
+    k = col("c_custkey")
+    some = lambda n, what: F.when(n > 0, F.transform(F.sequence(lit(1).cast("long"), n), lambda i: what)).otherwise(F.array().cast("array<string>"))
+    text = F.when(k % 7 == 0, lit(" ")).otherwise(lit("hola"))
+    rows = read(spark, sf, "customer").select("c_custkey", some(k % 12, text).alias("texts"), F.when(k % 3 == 1, some(k % 12, lit("i"))).when(k % 3 == 2, some(lit(5).cast("long"), lit("i"))).alias("ids"))
+    return M.validated(rows, M.request_rules()).select("c_custkey", F.array_join("errors", ",").alias("errors"), "is_valid")
+
+
+@query("""WITH r AS (SELECT c_custkey AS k, (c_custkey % 50 - 1)::BIGINT AS segments, floor(c_acctbal) AS useful, 5000.0::DOUBLE AS total, CASE WHEN c_custkey % 4 = 0 THEN 150.0::DOUBLE ELSE round(floor(c_acctbal) * 100.0::DOUBLE / 5000.0::DOUBLE, 2) END AS efficiency FROM customer),
+    e AS (SELECT k, efficiency, list_filter([CASE WHEN segments < 0 THEN 'counts_not_negative' END, CASE WHEN useful < 0 THEN 'times_not_negative' END, CASE WHEN efficiency NOT BETWEEN 0 AND 100 THEN 'efficiency_in_range' END], lambda x: x IS NOT NULL) AS errors FROM r)
+    SELECT k AS c_custkey, efficiency, array_to_string(errors, ',') AS errors FROM e""")
+def stats_validation(spark, sf):
+    k = col("c_custkey")
+    rows = read(spark, sf, "customer").select("c_custkey", (k % 50 - 1).alias("segments"), lit(1).alias("speakers"), F.floor("c_acctbal").cast("double").alias("useful"), lit(5000.0).alias("total"), F.when(k % 4 == 0, 150.0).when(k % 4 == 1, 0.0).alias("efficiency"))
+    return M.validated(M.with_efficiency(rows), M.stats_rules()).select("c_custkey", "efficiency", F.array_join("errors", ",").alias("errors"))
+
+
+@query(f"WITH {ANSWERED}, e AS (SELECT p_partkey, list_filter([CASE WHEN length(trim(text)) = 0 THEN 'text_present' END, CASE WHEN changes > 10 THEN 'at_most_10_changes' END, CASE WHEN confidence NOT BETWEEN 0 AND 1 THEN 'confidence_in_range' END], lambda x: x IS NOT NULL) AS errors FROM p) SELECT p_partkey, array_to_string(errors, ',') AS errors FROM e")
+def correction_validation(spark, sf):
+    rows = _answered(spark, sf).select("p_partkey", col("r.text").alias("corrected"), "r.changes", "r.confidence")
+    return M.validated(rows, M.correction_rules()).select("p_partkey", F.array_join("errors", ",").alias("errors"))
