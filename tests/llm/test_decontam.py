@@ -65,7 +65,10 @@ def every_window(rows, its):
     default, want = np.log1p(len(its)), {}
     for d, t in rows:
         w = K.words_of(t)
+        every = cut(w)
         for k, x in known.items():
+            if len(x) >= 3 and not every & cut(x):
+                continue
             own, least = cut(x), D.THRESHOLD if len(x) >= D.WHOLE_BELOW else 1
             for s in range(max(1, len(w) - len(x) + 1)):
                 sh = cut(w[s : s + len(x)])

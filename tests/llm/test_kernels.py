@@ -36,3 +36,14 @@ def test_sliced_and_large_arrays():
     raw, offsets = K.buffers(pa.chunked_array([a, a]))
     assert raw.tobytes() == b"zzzz" and offsets.tolist() == [0, 0, 2, 2, 2, 4, 4]
     assert K.buffers(pa.array([], pa.string()))[1].tolist() == [0]
+
+
+def test_sieve(spark):
+    from voxweave.llm.util import sieve, sifted
+
+    ids = spark.range(0, 3000, 3)
+    told = {r["id"]: r["__may"] for r in sifted(spark.range(-50, 4000), "id", sieve(ids)).collect()}
+    assert all(told[k] for k in range(0, 3000, 3)) and sum(told.values()) < 1100
+    assert not any(r["__may"] for r in sifted(spark.range(10), "id", sieve(ids.limit(0))).collect())
+    odd = spark.createDataFrame([(None,), (3,)], "id long")
+    assert {r["id"] for r in sifted(odd, "id", sieve(ids)).where("__may").collect()} >= {3}

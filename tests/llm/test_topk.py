@@ -42,7 +42,7 @@ def test_against_brute_force(spark):
         assert sorted(map(tuple, topk.search(a, b, k).collect())) == brute(docs, queries, k)
     old, topk.POSTINGS = topk.POSTINGS, 50
     try:
-        assert sorted(map(tuple, topk.search(a.coalesce(1), b, 5, block=7).collect())) == brute(docs, queries, 5)
+        assert sorted(map(tuple, topk.search(a.coalesce(1), b, 5, block_bytes=300).collect())) == brute(docs, queries, 5)
     finally:
         topk.POSTINGS = old
 

@@ -18,7 +18,8 @@ Every row is decoded again and compared with its text (``round_trip``); a row
 that a hash collision had spoilt would be encoded anew by tier 2 alone.
 
 Defined cases. A null text has null ids, 0 tokens and round_trip true; an empty
-one has no ids. Repeated rows and null doc_id are encoded row by row, like any.
+one has no ids. Very long texts are encoded whole. Repeated rows and null doc_id are encoded row by row, like any. Ties: of merges of equal rank the leftmost is made first.
+An empty table gives no rows. Only doc_id and text (or ids) are read, so other columns can't clash. The vocabulary file at ``path`` must be on all executors, like the code.
 """
 
 from __future__ import annotations

@@ -23,13 +23,15 @@ decoded. title is that of the title element.
 Defined cases. Null html: text, title, path and used null. Empty html or no text: empty text,
 used 'host' where the host's path is there (body always is), else 'body'. A null or hostless url counts as host ''. Unclosed and stray tags: an end tag closes
 up to the nearest open element of its name, or nothing; p and li are closed by the next one;
-any block element closes an open p; bare '<' is text. Elements nested deeper than 200 count at the path of their ancestor of that depth. Repeated rows each vote and each give a row.
+any block element closes an open p; bare '<' is text. Elements count at whatever depth they are, in very long pages too. Repeated rows each vote and each give a row. Ties: of paths with equal votes the first by name wins, of containers with equal scores the first. Empty tables
+give no rows. Only page_id, url and html are read, so other columns can't clash.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+import zlib
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -46,7 +48,6 @@ _CONTAINERS = frozenset("body main article section div td center blockquote".spl
 _BLOCKS = frozenset("address article aside blockquote body br center dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol p pre section table td th tr ul".split())
 _SELF_CLOSING = {"p": frozenset(["p"]), "li": frozenset(["li"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "tr": frozenset(["tr", "td", "th"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"])}
 _PARAGRAPH = frozenset(["p"])
-_DEPTH = 200
 _SCOPE = frozenset("ul ol table dl select article section div body main".split())
 _BOILER = re.compile(r"\b(?:ad|ads|advert\w*|nav\w*|menu|footer|header|sidebar|comment\w*|share|social|promo|banner|cookie\w*|related)\b", re.I)
 _DIGITS = re.compile(r"\d+")
@@ -54,10 +55,17 @@ _BLANK = re.compile(r"[^\S\n]+")
 _LINES = re.compile(r"\s*\n\s*")
 
 
+def key_of(path: str, begin: tuple[int, int] = (0, 1)) -> tuple[int, int]:
+    """Two checksums of a path, which go on from those of what it begins with: a deep element needn't hold its whole path."""
+    data = path.encode()
+    return zlib.crc32(data, begin[0]), zlib.adler32(data, begin[1])
+
+
 @dataclass
 class Node:
     tag: str
-    path: str
+    part: str
+    key: tuple[int, int]
     parent: Node | None
     container: Node | None  # the nearest container, itself if it is one
     skip: bool
@@ -69,6 +77,14 @@ class Node:
     forms: tuple[int, ...] = ()  # forms it is in, by their number in the page
     hidden: bool = False  # skipped by something else than a form
 
+    @property
+    def path(self) -> str:
+        way, at = [], self
+        while at is not None:
+            way.append(at.part)
+            at = at.parent
+        return ">".join(reversed(way))
+
 
 @dataclass
 class Page:
@@ -89,7 +105,7 @@ def parse(source: str, read: frozenset[int] | None = None) -> Page:
     """read: numbers of the forms that are read; by default they are found."""
     inside: dict[int, int] = {}  # characters in each form
     skipped, form = 0, -1
-    root = Node("body", "body", None, None, False, False, False)
+    root = Node("body", "body", key_of("body"), None, None, False, False, False)
     root.container = root
     page = Page("", [root], [])
     stack, at, title, in_title = [root], 0, [], False
@@ -133,7 +149,7 @@ def parse(source: str, read: frozenset[int] | None = None) -> Page:
             continue
         up = stack[-1]
         part, names = _part(tag, m[4])
-        node = Node(tag, f"{up.path}>{part}" if len(stack) < _DEPTH else up.path, up, up.container, up.skip or tag in _SKIP and not (tag == "form" and form + 1 in (read or ())), up.boiler or bool(names and _BOILER.search(names)), up.link or tag == "a")
+        node = Node(tag, part, key_of(">" + part, up.key), up, up.container, up.skip or tag in _SKIP and not (tag == "form" and form + 1 in (read or ())), up.boiler or bool(names and _BOILER.search(names)), up.link or tag == "a")
         form += tag == "form"
         node.forms = (*up.forms, form) if tag == "form" else up.forms
         node.hidden = up.hidden or tag in _SKIP and tag != "form"
@@ -177,7 +193,8 @@ def text_at(page: Page, path: str | None) -> str | None:
     """Text of all elements at the path, or None if there is no such element; of the page where path is None."""
     if path is None:
         return _tidy("".join(t for _, t in page.pieces))
-    inside = {id(n) for n in page.containers if n.path == path}
+    key = key_of(path)
+    inside = {id(n) for n in page.containers if n.key == key and n.path == path}
     if not inside:
         return None
     known: dict[int, bool] = {}

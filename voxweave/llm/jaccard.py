@@ -17,7 +17,7 @@ verified on full sets by a shuffle; those stay that are so near that members of
 the groups within which every link must lie. Sets are sent once to their group and all pairs settled there: Jaccard distance is a
 metric, so most pairs of near copies are settled by their distances to one of them, and the others are counted on full sets. A group of more than
 CELL n-grams is cut to blocks by distance to its lowest member, of which each pair not settled by distance is a task. No cap on buckets,
-partners or groups; nothing is broadcast but the n-grams that more than one in FREQUENT of those looked at are (at most FREQUENT),
+partners or groups; nothing is broadcast but sieves of ids (of a fixed size, so that texts of others aren't shuffled), the n-grams that more than one in FREQUENT of those looked at are (at most FREQUENT),
 and classes that hold more than one in HOT of all documents (at most HOT).
 
 Defined cases. Null and empty texts, and texts without words, have no n-grams, no links, and are a class by themselves. A text
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .util import cut, keyed, map_batches, small_batches
+from .util import cut, keyed, map_batches, sieve, sifted, small_batches
 
 N, THRESHOLD, RECALL = 3, 0.6, 0.995
 ROWS = 3
@@ -117,7 +117,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _grams(df: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(rep, grams) of the wanted (rep, digest_a, digest_b), from the texts; of several texts of a doc_id, the one of that digest, once."""
-    texts = keyed(df)
+    texts = sifted(keyed(df), "doc_id", sieve(wanted.select("rep"))).where("__may").drop("__may")  # so that few other texts are shuffled
     texts = texts.join(wanted.select("rep", "digest_a", "digest_b"), texts["doc_id"] == wanted["rep"]).select("rep", "text", "digest_a", "digest_b")
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -424,5 +424,8 @@ def losers(df: DataFrame, **how) -> DataFrame:
 
 def one_of_each(df: DataFrame, key: str = "doc_id", **how) -> DataFrame:
     """The rows of df, all columns, without the losers."""
-    gone = losers(df.select(df[key].alias("doc_id"), df["text"]), **how).select(F.col("doc_id").alias("__gone"))
-    return df.join(gone, df[key].cast("long") == gone["__gone"], "left_anti")
+    gone = cut(losers(df.select(df[key].alias("doc_id"), df["text"]), **how).select(F.col("doc_id").alias("__gone")))
+    told = sifted(df, key, sieve(gone))
+    stay = told.where("not __may").drop("__may")  # surely no losers: they aren't shuffled
+    rest = told.where("__may").drop("__may")
+    return stay.unionByName(rest.join(gone, rest[key].cast("long") == gone["__gone"], "left_anti"))

@@ -39,6 +39,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"))
 
 
+def bpe_decoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts again, from the ids that op 6 gives."""
+    return bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_pii": op5_pii,
     "op6_byte_bpe": op6_byte_bpe,
+    "bpe_decoding": bpe_decoding,
     "op7_license_scan": op7_license_scan,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_resharding": op9_resharding,
@@ -71,6 +77,7 @@ QUERIES: dict[str, Query] = {
 
 SQL: dict[str, str] = {
     "op1_exact_topk": oracles.TOPK,
+    "bpe_decoding": "SELECT doc_id, text FROM documents",
     "op7_license_scan": oracles.LICENSE,
     "op8_benchmark_decontamination": oracles.DECONTAM,
     "op10_ngram_jaccard_join": oracles.JACCARD,

@@ -16,10 +16,10 @@ may still be among the k are scored exactly. (3) The k best of each task are shu
 query and the k best of those kept.
 
 Documents are spread as they are read, so indexes don't grow with the corpus but in number; a run
-holds POSTINGS postings at most (or one batch). Queries are taken in runs of about ``block`` rows, so that
-what is broadcast is bounded.
+holds POSTINGS postings at most (or one batch). Queries are taken in runs of about ``block_bytes`` of text, so that
+what is collected and sent is bounded (a query longer than that is sent whole); each run is two passes over the corpus, and its indexes live as long as their task.
 
-Defined cases. Null and empty texts and queries match nothing. Documents that share no term with
+Defined cases. Null and empty texts and queries match nothing. Very long texts and queries count whole. Empty tables give no rows. Ties go to the lower doc_id, of repeated rows to any, as they are alike. Only ids and texts are read, so other columns can't clash. Documents that share no term with
 a query aren't results, so it may have fewer than k. Repeated rows are each a document (or query) of their
 own; rows of null doc_id or query_id are left out.
 """
@@ -38,7 +38,7 @@ from . import kernels as K
 from .util import cut, keyed
 
 TOP, K1, B = 10, 1.2, 0.75
-LEVELS, POSTINGS, BLOCK = 255, 4_000_000, 20_000
+LEVELS, POSTINGS, BLOCK_BYTES = 255, 4_000_000, 4 << 20
 SCALE = 1e6
 
 
@@ -91,6 +91,7 @@ class Index:
         self.segment_start, self.segment_end = first, np.append(first[1:], len(t)).astype(np.int64)[: len(first)]
         self.segment_level = v[first]
         self.segments = np.searchsorted(t[first], np.arange(n_terms + 1))
+        self.total = np.zeros(len(ids), np.int32)
 
     def top(self, terms: np.ndarray, k: int, floor: int) -> tuple[np.ndarray, np.ndarray]:
         """(rows, scores) of all documents that can be among the k best, or reach ``floor``, exactly scored."""
@@ -102,26 +103,36 @@ class Index:
         bound = [int(self.segment_level[self.segments[t]]) if self.segments[t + 1] > self.segments[t] else 0 for t in terms.tolist()]
         last = [int(self.segments[t + 1]) for t in terms.tolist()]
         rest = sum(bound)
-        total = np.zeros(len(self.ids), np.int32)
+        total, seen = self.total, []  # rows are noted when first met, so time and resetting go by postings, not by documents
         work = sum(int(self.segment_end[s] - self.segment_start[s]) for _, s, _ in lists)
         done, check = 0, work // 16
         least = -(-floor // self.step) if floor else 0
+
+        def proved() -> tuple[np.ndarray, np.ndarray, int]:
+            """(rows met, their levels, a level below which no result lies)."""
+            rows = np.concatenate(seen)
+            values = total[rows]
+            kth = int(np.partition(values, -k)[-k]) - m if len(rows) >= k else 0
+            # levels of floor are rounded up: an upper bound of less than least - 1 is below it
+            return rows, values, max(kth, least - 1)
+
         for level, s, n in lists:
-            a, z = self.segment_start[s], self.segment_end[s]
-            total[self.by_row[a:z]] += level
+            own = self.by_row[self.segment_start[s] : self.segment_end[s]]
+            seen.append(own[total[own] == 0])
+            total[own] += level
             now = int(self.segment_level[s + 1]) if s + 1 < last[n] else 0
             rest += now - bound[n]
             bound[n] = now
-            done += z - a
+            done += len(own)
             if done >= check:
                 check = done + max(1, work // 16)
-                kth = int(np.partition(total, -k)[-k]) - m if len(total) >= k else 0
-                # levels of floor are rounded up: an upper bound of less than least - 1 is below it
-                proof = max(kth, least - 1)
-                if rest < proof and (total + rest >= proof).sum() <= 8 * k:
+                _, values, proof = proved()
+                if rest < proof and (values + rest >= proof).sum() <= 8 * k:
                     break
-        kth = int(np.partition(total, -k)[-k]) - m if len(total) >= k else 0
-        rows = np.flatnonzero((total + rest >= max(kth, least - 1)) & ((total > 0) | (rest > 0)))
+        # stopped, no row unmet can reach the proof; at the end, none has any posting
+        met, values, proof = proved()
+        rows = np.sort(met[values + rest >= proof])
+        total[met] = 0
         score = np.zeros(len(rows), np.int64)
         for t in terms.tolist():
             a, z = self.splits[t], self.splits[t + 1]
@@ -204,12 +215,12 @@ def _found(texts: DataFrame, q: Queries, k: int) -> DataFrame:
     return texts.mapInArrow(run, "query_id long, query_row long, doc_id long, score long")
 
 
-def search(docs: DataFrame, queries: DataFrame, k: int = TOP, key: str = "item_id", block: int = BLOCK) -> DataFrame:
+def search(docs: DataFrame, queries: DataFrame, k: int = TOP, key: str = "item_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(query_id, rank from 1, doc_id, score)."""
     texts = keyed(docs).where("doc_id is not null and text is not null")
     wanted = queries.select(queries[key].cast("long").alias("query_id"), queries["text"].cast("string").alias("text")).where("query_id is not null and text is not null")
     wanted = cut(wanted)
-    parts = max(1, -(-wanted.count() // block))
+    parts = max(1, -(-(wanted.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
     numbered = wanted.withColumn("part", F.pmod(F.xxhash64("query_id", "text"), F.lit(parts)))
     out = None
     for part in range(parts):

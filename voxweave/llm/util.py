@@ -52,6 +52,24 @@ def sized(df: DataFrame, width: int, limit: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if df.count() * width <= limit else df
 
 
+#: Words of 64 bits of a sieve: its rows are broadcast, and there are never more than these, however many ids.
+SIEVE = 1 << 18
+
+
+def sieve(ids: DataFrame) -> DataFrame:
+    """(__word, __bits) of ids, a frame of one column: a bitmap by hash, which says of an id that it is surely not among them, or may be. As ids grow beyond 64 x SIEVE it says less, but never wrong."""
+    spread = ids.select(F.xxhash64(F.col(ids.columns[0]).cast("long")).alias("h")).select(F.expr(f"pmod(h, {SIEVE})").alias("__word"), F.expr("shiftleft(1L, cast(pmod(shiftright(h, 20), 64) as int))").alias("__bit"))
+    return cut(spread.groupBy("__word").agg(F.bit_or("__bit").alias("__bits")))
+
+
+def sifted(df: DataFrame, key: str, words: DataFrame) -> DataFrame:
+    """df with __may: whether its key may be among the ids of the sieve. No shuffle."""
+    h = F.xxhash64(df[key].cast("long"))
+    hashed = df.withColumn("__h", h)
+    joined = hashed.join(F.broadcast(words), F.expr(f"pmod(__h, {SIEVE})") == F.col("__word"), "left")
+    return joined.withColumn("__may", F.expr("coalesce(shiftright(__bits, cast(pmod(shiftright(__h, 20), 64) as int)) & 1L, 0L) = 1L")).drop("__h", "__word", "__bits")
+
+
 #: Rows of an Arrow batch where the session says nothing about them: texts are long, and a batch is held by the JVM and by Python at once.
 BATCH_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
