@@ -138,6 +138,11 @@ def _grams(df: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     return map_batches(texts, "rep long, grams array<long>", one)
 
 
+def _of(grams: DataFrame, ids: DataFrame) -> DataFrame:
+    """The grams of the ids (and of few others), so that the rest isn't shuffled."""
+    return sifted(grams, "rep", sieve(ids)).where("__may").drop("__may")
+
+
 def _verified(pairs: DataFrame, grams: DataFrame) -> DataFrame:
     """pairs (u, v, ...) with j, their exact similarity: full sets are joined by shuffle, twice on the same partitioning of the sets."""
     with_u = pairs.join(grams.select(F.col("rep").alias("u"), F.col("grams").alias("gu")), "u")
@@ -168,7 +173,8 @@ def _paired(rows: DataFrame, key: str, threshold: float) -> DataFrame:
 
 def _rarest(homes: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
     """(gram, id, size, ball, level) of the homes (id, size, ball): the rarest n-grams of each, as many as a pair must share one of; level is the number of balls from which on a pair needs it."""
-    own = homes.join(grams, homes["id"] == grams["rep"]).select("id", "size", "ball", "grams")
+    some = _of(grams, homes.select("id"))
+    own = homes.join(some, homes["id"] == some["rep"]).select("id", "size", "ball", "grams")
     total = homes.agg(F.sum("size")).first()[0] or 0
     counts = own.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > max(BUCKET, total // FREQUENT))
     frequent = counts.collect()  # of n-grams that occur more than total / FREQUENT times there are at most FREQUENT
@@ -396,10 +402,12 @@ def _classes(df: DataFrame, n: int, threshold: float, recall: float, rows: int,
     grouped = nodes.join(comps.select(F.col("node").alias("home"), "label"), "home", "left").where("ball or label is not null")
     placed = cut(grouped.select(F.coalesce("label", "home").alias("label"), "rep", "size", "copies"))
     weights = cut(placed.groupBy("label").agg(F.sum("size").alias("w")))
-    small = placed.join(weights.where(F.col("w") <= cell).select("label"), "label").join(grams, "rep").withColumn("side", F.lit(0))
+    small = cut(placed.join(weights.where(F.col("w") <= cell).select("label"), "label"))
+    small = small.join(_of(grams, small.select("rep")), "rep").withColumn("side", F.lit(0))
     found = _in_groups(small, ["label"], lambda sets, _, copies: settled(sets, copies, threshold))
     if not weights.where(F.col("w") > cell).isEmpty():
-        found = found.unionByName(_in_blocks(placed.join(weights.where(F.col("w") > cell).select("label"), "label"), grams, threshold, cell))
+        large = cut(placed.join(weights.where(F.col("w") > cell).select("label"), "label"))
+        found = found.unionByName(_in_blocks(large, _of(grams, large.select("rep")), threshold, cell))
     joined = sets.drop("bands").join(found, "rep", "left").where("copies > 1 or root is not null")
     return docs, cut(joined.select("digest_a", "digest_b", F.coalesce("root", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("links"), "copies"))
 
