@@ -164,6 +164,37 @@ def test_crowds(spark):
     assert by["near"]["max(class_id)"] == 2 * m and by["near"]["min(links)"] == most["near"] == 1999
 
 
+def test_a_group_is_not_compared_with_itself_to_be_found(spark, monkeypatch):
+    """A group of m near copies outside of each other's balls: some comparisons for each, not m^2 / 2 on full sets, and all links."""
+    rng, compared, verified = random.Random(11), [], J._verified
+
+    def counted(pairs, grams):
+        compared.append(pairs.count())
+        return verified(pairs, grams)
+
+    monkeypatch.setattr(J, "_verified", counted)
+    base, m = [f"b{k}" for k in range(100)], 300
+    rows = []
+    for k in range(m):
+        w = list(base)
+        for at in rng.sample(range(100), 3):
+            w[at] = f"x{k} {at}"
+        rows.append((k, " ".join(w)))
+    pairs = brute(rows)
+    assert len(pairs) > 0.4 * m * m
+    assert joined(spark, rows) == classes(rows, pairs)
+    assert sum(compared) < 0.25 * m * m
+
+
+def test_main_group_meets_only_the_others(spark):
+    """Of rows that share a key all pairs of unequal labels are made, once, and no others, however many blocks they fill."""
+    rows = [(1, k, 10, False, 0, 0 if k < 1100 else k // 3) for k in range(1130)] + [(2, k, 10, False, 0, 7) for k in range(50)]
+    df = spark.createDataFrame(rows, "value long, id long, size long, ball boolean, level int, label long")
+    got = [(r["u"], r["v"]) for r in J._paired(J._parted(df, "value"), "value", 0.6).collect()]
+    label = {i: g for v, i, _, _, _, g in rows if v == 1}
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a in label for b in label if a > b and label[a] != label[b]}
+
+
 def test_odd_rows(spark):
     df = odd(spark)
     got = J.join(df).collect()

@@ -9,9 +9,10 @@ How. (1) One Arrow pass hashes each text to its number of distinct n-grams, a 12
 band hashes of ``rows`` minima each; bands and rows are the cheapest for which a pair at the threshold shares a band
 with probability ``recall``. (2) Documents of equal digest are one set, counted, of which the lowest doc_id goes on;
 no list of ids is made. (3) A shuffle on band hashes counts each bucket and finds its lowest member. Members within a distance of
-BALL of it are one ball, of which the lowest is the home: a group of m near copies takes m verifications, not m^2. (4) Homes that
-share a bucket are candidates. Buckets of at most BUCKET homes are joined with themselves. Homes of fuller
-ones are split by n-gram: any pair at the threshold shares one among the rarest of each, so strangers whom only a common passage
+BALL of it are one ball, of which the lowest is the home: a group of m near copies takes m verifications, not m^2. What it links has
+one label from then on, and pairs within a label aren't compared: they are a group anyhow. (4) Homes that share a bucket and not a label are
+candidates; each first tries TRIES of the bucket's main label. Buckets with at most BUCKET homes outside their main label are joined with those. Homes of others
+are split by n-gram: any pair at the threshold shares one among the rarest of each, so strangers whom only a common passage
 brought together part without being compared, and nobody is lost. Groups that are still large are paired in blocks. All candidates are
 verified on full sets by a shuffle; those stay that are so near that members of their balls may be linked. (5) What they join is
 the groups within which every link must lie. Sets are sent once to their group and all pairs settled there: Jaccard distance is a
@@ -43,7 +44,7 @@ from .util import cut, keyed, map_batches, sieve, sifted, small_batches
 N, THRESHOLD, RECALL = 3, 0.6, 0.995
 ROWS = 3
 BALL, BUCKET, BLOCK, CELL, STEP = 0.1, 32, 512, 1 << 18, 0.05
-FREQUENT, HOT = 500_000, 10_000
+FREQUENT, HOT, TRIES = 500_000, 10_000, 1
 EPS = 1e-9
 
 
@@ -155,26 +156,59 @@ def _sizes_fit(a: Column, b: Column, least: Column | float) -> Column:
     return F.least(a, b) >= F.greatest(a, b) * (least - EPS)
 
 
-def _paired(rows: DataFrame, key: str, threshold: float) -> DataFrame:
-    """(u, v, need), u > v, distinct, of the rows (key, id, size, ball, level) that share a key; need is the similarity below which no members of their balls are linked.
+def _parted(rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key is shared by several labels, with the label that most of its rows have as __main, the number __n of its rows and the number __rest of those of other labels."""
+    by = rows.groupBy(key, "label").agg(F.count("*").alias("n")).groupBy(key).agg(F.sum("n").alias("__n"), F.max(F.struct("n", "label")).alias("top")).where("top.n < __n")
+    return rows.join(by.select(key, "__n", (F.col("__n") - F.col("top.n")).alias("__rest"), F.col("top.label").alias("__main")), key)
 
-    Groups of more than BLOCK rows are paired in blocks, so a task's join has at most some BLOCK^2 pairs of a group, whatever its size.
-    """
-    n = rows.groupBy(key).agg(F.count("*").alias("__n")).where("__n > 1")
-    cells = rows.join(n, key).withColumn("k", F.ceil(F.col("__n") / BLOCK)).withColumn("own", F.pmod(F.xxhash64("id"), F.col("k")))
-    cells = cells.withColumn("c", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
-    cells = cells.select(key, F.least("own", "c").alias("i"), F.greatest("own", "c").alias("j"), "own", "id", "size", "ball", "level")
-    other = cells.select(key, "i", "j", *[F.col(c).alias("o_" + c) for c in ("own", "id", "size", "ball", "level")])
-    both = cells.join(other, [key, "i", "j"]).where((F.col("id") > F.col("o_id")) & ((F.col("i") == F.col("j")) | (F.col("own") != F.col("o_own"))))
+
+def _fitting(both: DataFrame, threshold: float) -> DataFrame:
+    """(u, v, need), u > v, distinct, of the pairs (id, size, ball, level and the same of the other by o_); need is the similarity below which no members of their balls are linked."""
     balls = F.col("ball").cast("int") + F.col("o_ball").cast("int")
     both = both.where(F.greatest("level", "o_level") <= balls).withColumn("need", threshold - BALL * balls)
-    return both.where(_sizes_fit(F.col("size"), F.col("o_size"), F.col("need"))).select(F.col("id").alias("u"), F.col("o_id").alias("v"), "need").distinct()
+    return both.where(_sizes_fit(F.col("size"), F.col("o_size"), F.col("need"))).select(F.greatest("id", "o_id").alias("u"), F.least("id", "o_id").alias("v"), "need").distinct()
+
+
+def _other(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.select(*keys, *[F.col(c).alias("o_" + c) for c in ("id", "size", "ball", "level", "label")])
+
+
+def _paired(rows: DataFrame, key: str, threshold: float) -> DataFrame:
+    """As ``_fitting``, of the ``_parted`` rows (key, id, size, ball, level, label) that share a key and not a label.
+
+    Those of the main label meet only the others, so a great group costs what is outside it. Keys of more than BLOCK rows are paired in blocks, so a task's join has at most some BLOCK^2 pairs of a key, whatever its size.
+    """
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK)
+    mine = lambda c: F.pmod(F.xxhash64("id"), blocks(c))
+    each = lambda c: F.explode(F.sequence(F.lit(0), blocks(c) - 1))
+    few = rows.where("label <> __main").withColumn("i", mine("__rest")).withColumn("j", each("__n"))
+    all_ = _other(rows.withColumn("j", mine("__n")).withColumn("i", each("__rest")), key, "i", "j")
+    both = few.join(all_, [key, "i", "j"]).where((F.col("label") != F.col("o_label")) & ((F.col("o_label") == F.col("__main")) | (F.col("id") > F.col("o_id"))))
+    return _fitting(both, threshold)
+
+
+def _tried(rows: DataFrame, k: int, threshold: float) -> DataFrame:
+    """As ``_paired``, but each row meets only one row of its key's main label, drawn by a hash that ``k`` changes."""
+    drawn = rows.where("label = __main").groupBy("value").agg(F.min_by(F.struct("id", "size", "ball", "level", "label"), F.xxhash64("id", F.lit(k))).alias("s")).select("value", "s.*")
+    return _fitting(rows.where("label <> __main").join(_other(drawn, "value"), "value"), threshold)
+
+
+def _joined(heads: DataFrame, pairs: DataFrame, grams: DataFrame) -> DataFrame:
+    """(old, new) labels that change as the heads (id, label) of pairs that are as near as they need be join."""
+    label = heads.select("id", "label").distinct()
+    edges = _verified(pairs, grams).where(F.col("j") >= F.col("need") - EPS)
+    edges = edges.join(label.select(F.col("id").alias("u"), F.col("label").alias("a")), "u").join(label.select(F.col("id").alias("v"), F.col("label").alias("b")), "v")
+    return cut(components(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))).where("node <> label").select(F.col("node").alias("old"), F.col("label").alias("new")))
+
+
+def _renamed(rows: DataFrame, changed: DataFrame) -> DataFrame:
+    return rows.join(changed, rows["label"] == changed["old"], "left").withColumn("label", F.coalesce("new", "label")).drop("old", "new")
 
 
 def _rarest(homes: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
-    """(gram, id, size, ball, level) of the homes (id, size, ball): the rarest n-grams of each, as many as a pair must share one of; level is the number of balls from which on a pair needs it."""
+    """(gram, id, size, ball, level, label) of the homes (id, size, ball, label): the rarest n-grams of each, as many as a pair must share one of; level is the number of balls from which on a pair needs it."""
     some = _of(grams, homes.select("id"))
-    own = homes.join(some, homes["id"] == some["rep"]).select("id", "size", "ball", "grams")
+    own = homes.join(some, homes["id"] == some["rep"]).select("id", "size", "ball", "grams", "label")
     total = homes.agg(F.sum("size")).first()[0] or 0
     counts = own.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") > max(BUCKET, total // FREQUENT))
     frequent = counts.collect()  # of n-grams that occur more than total / FREQUENT times there are at most FREQUENT
@@ -199,9 +233,9 @@ def _rarest(homes: DataFrame, grams: DataFrame, threshold: float) -> DataFrame:
         keep = level <= 1 + ball[row]
         row = row[keep]
         ids = batch.column(0).take(pa.array(row))
-        return pa.RecordBatch.from_arrays([pa.array(flat[by][keep]), ids, pa.array(size[row]), pa.array(ball[row] > 0), pa.array(level[keep].astype(np.int32))], names=["gram", "id", "size", "ball", "level"])
+        return pa.RecordBatch.from_arrays([pa.array(flat[by][keep]), ids, pa.array(size[row]), pa.array(ball[row] > 0), pa.array(level[keep].astype(np.int32)), batch.column(4).take(pa.array(row))], names=["gram", "id", "size", "ball", "level", "label"])
 
-    return map_batches(own, "gram long, id long, size long, ball boolean, level int", one)
+    return map_batches(own, "gram long, id long, size long, ball boolean, level int, label long", one)
 
 
 class _Sets:
@@ -217,12 +251,14 @@ class _Sets:
     def own(self, k: int) -> np.ndarray:
         return self.flat[self.start[k] : self.start[k + 1]]
 
-    def scores(self, k: int, among: np.ndarray | None = None) -> np.ndarray:
+    def scores(self, k: int, among: np.ndarray | slice | None = None) -> np.ndarray:
         """Similarity of set k and each of the others, or of those ``among``."""
         own = self.own(k)
         self.mark[own] = 1
         if among is None:
             shared, size = np.add.reduceat(self.mark[self.flat], self.start[:-1]), self.size
+        elif isinstance(among, slice):
+            shared, size = np.add.reduceat(self.mark[self.flat[self.start[among.start] : self.start[among.stop]]], self.start[among] - self.start[among.start]), self.size[among]
         else:
             size = self.size[among]
             at = np.repeat(self.start[among] - np.cumsum(size) + size, size) + np.arange(size.sum())
@@ -281,8 +317,9 @@ def crossed(left: list[np.ndarray], right: list[np.ndarray], copies: np.ndarray,
     a, m = len(left), len(left) + len(right)
     s, links, parent = _Sets([*left, *right]), np.zeros(m, np.int64), list(range(m))
     short, long = (np.arange(a), np.arange(a, m)) if a <= m - a else (np.arange(a, m), np.arange(a))
+    run = slice(int(long[0]), int(long[-1]) + 1)
     for x in short.tolist():
-        with_x = long[s.scores(x, long) >= threshold]
+        with_x = long[s.scores(x, run) >= threshold]
         links[x] += copies[with_x].sum()
         links[with_x] += copies[x]
         _unite(parent, x, with_x)
@@ -377,31 +414,35 @@ def _classes(df: DataFrame, n: int, threshold: float, recall: float, rows: int,
     grams = cut(_grams(df, involved, n))
     size = lambda c: involved.select(F.col("rep").alias(c), F.col("size").alias("size_" + c))
 
-    # balls: near copies of a bucket's lowest member, unless that is near another
+    # what a bucket's lowest member links, and balls: its near copies, unless it is near another
+    least = min(threshold, 1 - BALL)
     stars = members.where("rep <> pivot").select(F.col("rep").alias("u"), F.col("pivot").alias("v")).distinct()
-    stars = stars.join(size("u"), "u").join(size("v"), "v").where(_sizes_fit(F.col("size_u"), F.col("size_v"), 1 - BALL)).select("u", "v")
-    close = cut(_verified(stars, grams).where(F.col("j") >= 1 - BALL + EPS).select("u", "v"))
+    stars = stars.join(size("u"), "u").join(size("v"), "v").where(_sizes_fit(F.col("size_u"), F.col("size_v"), least)).select("u", "v")
+    near = cut(_verified(stars, grams).where(F.col("j") >= least - EPS))
+    close = near.where(F.col("j") >= 1 - BALL + EPS).select("u", "v")
     homes = close.join(close.select(F.col("u").alias("v")).distinct(), "v", "left_anti").groupBy("u").agg(F.min("v").alias("home"))
     nodes = involved.join(homes.withColumnRenamed("u", "rep"), "rep", "left").withColumn("home", F.coalesce("home", "rep")).select("rep", "size", "copies", "home")
     balls = nodes.where("home <> rep").select("home").distinct().withColumn("ball", F.lit(True))
-    nodes = cut(nodes.join(balls, "home", "left").withColumn("ball", F.coalesce("ball", F.lit(False))))
-
-    # homes that share a bucket
-    heads = members.select("value", "rep").join(nodes.select("rep", "home", "ball"), "rep").select("value", F.col("home").alias("id"), "ball").distinct()
-    heads = cut(heads.join(size("id").withColumnRenamed("size_id", "size"), "id"))
-    full = heads.groupBy("value").agg(F.count("*").alias("n")).where("n > 1")
-    sharing = cut(heads.join(full, "value").withColumn("level", F.lit(0)))
-    pairs = _paired(sharing.where(F.col("n") <= BUCKET).drop("n"), "value", threshold)
-    crowd = cut(sharing.where(F.col("n") > BUCKET).select("id", "size", "ball").distinct())
+    nodes = nodes.join(balls, "home", "left").withColumn("ball", F.coalesce("ball", F.lit(False)))
+    nodes = cut(nodes.join(components(near).withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep")))
+
+    # homes that share a bucket and no label yet
+    heads = members.select("value", "rep").join(nodes.select("rep", "home", "ball", "label"), "rep").select("value", F.col("home").alias("id"), "ball", "label").distinct()
+    heads = cut(heads.join(size("id").withColumnRenamed("size_id", "size"), "id").withColumn("level", F.lit(0)))
+    for k in range(TRIES):
+        sharing = cut(_parted(heads, "value"))
+        changed = _joined(sharing, _tried(sharing, k, threshold), grams)
+        heads, nodes = cut(_renamed(heads, changed)), cut(_renamed(nodes, changed))
+    sharing = cut(_parted(heads, "value"))
+    pairs = _paired(sharing.where(F.col("__rest") <= BUCKET), "value", threshold)
+    crowd = cut(sharing.where(F.col("__rest") > BUCKET).select("id", "size", "ball", "label").distinct())
     if not crowd.isEmpty():
-        pairs = pairs.unionByName(_paired(_rarest(crowd, grams, threshold), "gram", threshold)).distinct()
-    edges = _verified(pairs, grams).where(F.col("j") >= F.col("need") - EPS)
-    comps = components(edges)
+        pairs = pairs.unionByName(_paired(_parted(cut(_rarest(crowd, grams, threshold)), "gram"), "gram", threshold)).distinct()
+    nodes = _renamed(nodes, _joined(sharing, pairs, grams))
 
     # groups within which every link lies
-    grouped = nodes.join(comps.select(F.col("node").alias("home"), "label"), "home", "left").where("ball or label is not null")
-    placed = cut(grouped.select(F.coalesce("label", "home").alias("label"), "rep", "size", "copies"))
-    weights = cut(placed.groupBy("label").agg(F.sum("size").alias("w")))
+    placed = cut(nodes.select("label", "rep", "size", "copies"))
+    weights = cut(placed.groupBy("label").agg(F.sum("size").alias("w"), F.count("*").alias("n")).where("n > 1").drop("n"))
     small = cut(placed.join(weights.where(F.col("w") <= cell).select("label"), "label"))
     small = small.join(_of(grams, small.select("rep")), "rep").withColumn("side", F.lit(0))
     found = _in_groups(small, ["label"], lambda sets, _, copies: settled(sets, copies, threshold))
