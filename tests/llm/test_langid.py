@@ -1,5 +1,6 @@
 import math
 import random
+import tracemalloc
 
 import pyarrow as pa
 from common import ODD, odd
@@ -35,6 +36,20 @@ def test_rates_against_plain_parsing():
             assert math.isclose(rate[k, j], c * math.log2(len(model.texts[lang]) + 1) / max(1, len(f)))
 
 
+def test_tables_take_little_more_than_they_hold():
+    """What makes an automaton and folds is no multiple of the tables that are kept, nor are another model's tables held meanwhile."""
+    rng = random.Random(3)
+    say = lambda: " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(1, 8))) for _ in range(9000)).encode()
+    L.tables(L.Model({"a": say(), "b": say()}))
+    model = L.Model({"c": say(), "d": say()})
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    kept = L.tables(model).step.nbytes
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert list(L._tables) == [model.digest] and peak < 2.5 * kept
+
+
 def fold(t: str) -> bytes:
     from voxweave.llm import kernels as K
 

@@ -34,6 +34,7 @@ language, and accepts whatever has letters. Only doc_id, text and, in training,
 from __future__ import annotations
 
 import hashlib
+from array import array
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -73,34 +74,41 @@ def fold(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out[keep], count[offsets]
 
 
-def automaton(text: bytes) -> tuple[list[dict[int, int]], int]:
-    """Transitions of the suffix automaton (online construction), and the number of states."""
-    nxt: list[dict[int, int]] = [{}]
-    link, length, last = [-1], [0], 0
-    for c in text:
-        cur = len(nxt)
-        nxt.append({})
+def fold_runs(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``fold``, a run of rows at a time, as it works on arrays many times as large as its bytes."""
+    runs = [fold(part, off) for _, _, part, off in K.slices(raw, offsets)]
+    return np.concatenate([d for d, _ in runs]), np.concatenate([[0], np.cumsum(np.concatenate([np.diff(e) for _, e in runs]))])
+
+
+def automaton(symbols: list[int], table: np.ndarray) -> int:
+    """Writes the transitions of the suffix automaton (online construction) to the first rows of the zeroed table, a row for each state, 0 for none as no way leads to the start; the number of states, 2 a symbol at most."""
+    width, ways = table.shape[1], memoryview(table.reshape(-1))
+    link, length, last, states = array("q", [-1]), array("q", [0]), 0, 1
+    for c in symbols:
+        cur = states
+        states += 1
         length.append(length[last] + 1)
         link.append(0)
         p = last
-        while p >= 0 and c not in nxt[p]:
-            nxt[p][c] = cur
+        while p >= 0 and not ways[p * width + c]:
+            ways[p * width + c] = cur
             p = link[p]
         if p >= 0:
-            q = nxt[p][c]
+            q = ways[p * width + c]
             if length[p] + 1 == length[q]:
                 link[cur] = q
             else:
-                clone = len(nxt)
-                nxt.append(dict(nxt[q]))
+                clone = states
+                states += 1
+                ways[clone * width : (clone + 1) * width] = ways[q * width : (q + 1) * width]
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p >= 0 and nxt[p].get(c) == q:
-                    nxt[p][c] = clone
+                while p >= 0 and ways[p * width + c] == q:
+                    ways[p * width + c] = clone
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    return nxt, len(nxt)
+    return states
 
 
 @dataclass
@@ -134,27 +142,25 @@ def tables(model: Model) -> Tables:
     key = model.digest
     if key in _tables:
         return _tables[key]
+    _tables.clear()  # two models' tables are never held at once
     used = sorted({c for t in model.texts.values() for c in t})
-    symbol = np.zeros(256, np.int64)
+    symbol = np.zeros(256, np.int32)
     symbol[used] = np.arange(1, len(used) + 1)
-    width, base, parts, roots = len(used) + 1, 0, [], []
+    width, base, roots = len(used) + 1, 0, []
+    most = sum(2 * len(model.texts[x]) + 1 for x in model.langs)
+    step = np.zeros((most, width), np.int32 if most * width << 2 < 2**31 else np.int64)  # of rows that no state takes no memory is touched
     for lang in model.langs:
-        nxt, n = automaton(model.texts[lang])
-        table = np.full((n, width), -1, np.int64)
-        for s, ways in enumerate(nxt):
-            if ways:
-                table[s, symbol[list(ways)]] = list(ways.values())
-        top = table[0].copy()
+        n = automaton(symbol[np.frombuffer(model.texts[lang], np.uint8)].tolist(), step[base:])
+        top = step[base].copy()
         # no way on: a phrase ends, and the byte begins the next one; a byte that isn't there is a phrase, and so the next starts anew
-        fallback = np.where(top >= 0, ((top + base) * width) << 2 | 1, (base * width) << 2 | 2)
-        out = np.where(table >= 0, ((table + base) * width) << 2, fallback[None, :])
-        out[0] = np.where(top >= 0, ((top + base) * width) << 2, (base * width) << 2 | 1)
+        fallback = np.where(top > 0, ((top + base) * width) << 2 | 1, (base * width) << 2 | 2)
+        for a in range(base, base + n, LANES):
+            some = step[a : min(a + LANES, base + n)]
+            some[:] = np.where(some > 0, ((some + base) * width) << 2, fallback)
+        step[base] = np.where(top > 0, ((top + base) * width) << 2, (base * width) << 2 | 1)
         roots.append(base * width)
-        parts.append(out)
         base += n
-    step = np.concatenate(parts).reshape(-1) if parts else np.zeros(0, np.int64)
-    _tables.clear()
-    _tables[key] = Tables(symbol, step.astype(np.int32 if step.max(initial=0) < 2**31 else np.int64), np.array(roots, np.int64), np.log2([len(model.texts[x]) + 1 for x in model.langs]) if model.langs else np.zeros(0))
+    _tables[key] = Tables(symbol, step[:base].reshape(-1), np.array(roots, np.int64), np.log2([len(model.texts[x]) + 1 for x in model.langs]) if model.langs else np.zeros(0))
     return _tables[key]
 
 
@@ -164,7 +170,7 @@ def phrases(t: Tables, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out = np.zeros((n, langs), np.int64)
     length = np.diff(offsets)
     order = np.argsort(-length, kind="stable")[: int((length > 0).sum())]
-    symbols, steps = t.symbol[data].astype(np.int32), memoryview(t.step)
+    symbols, steps = t.symbol[data], memoryview(t.step)
     for a in range(0, len(order), LANES):
         lane = order[a : a + LANES]
         at, left = offsets[lane], length[lane]
@@ -197,7 +203,7 @@ def rates(model: Model, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     raw, offsets = K.buffers(column)
     parts, lengths = [], []
     for _, _, part, off in K.slices(raw, offsets, 8 << 20):
-        data, ends = fold(part, off)
+        data, ends = fold_runs(part, off)
         length = np.diff(ends)
         parts.append(phrases(t, data, ends) * t.bits / np.maximum(length, 1)[:, None])
         lengths.append(length)
