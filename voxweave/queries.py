@@ -25,6 +25,7 @@ from .operators import intervals as I
 from .operators import metadata as M
 from .operators import signal as S
 from .operators import speakers as P
+from .operators.spread import spread
 from .plans import speech
 from .sources import tables as R
 from .streaming import incremental as N
@@ -842,7 +843,7 @@ def _sounds(spark, sf) -> DataFrame:
     def made(keys: pd.Series) -> pd.Series:
         return keys.map(lambda k: b"nothing to hear" if k % 7 == 0 else b"ID3" + bytes(2000) if k % 11 == 0 else S.encode_wav(np.full(100 * (1 + k % 3), 0.5), 100))
 
-    return read(spark, sf, "part").select("p_partkey", F.concat(lit("s"), "p_partkey").alias("path"), made("p_partkey").alias("content"))
+    return spread(read(spark, sf, "part").select("p_partkey"), "p_partkey").select("p_partkey", F.concat(lit("s"), "p_partkey").alias("path"), made("p_partkey").alias("content"))
 
 
 KIND = "CASE WHEN p_partkey % 7 = 0 THEN 'noise' WHEN p_partkey % 11 = 0 THEN 'mp3' ELSE 'wav' END"
@@ -921,7 +922,7 @@ def quiet_cuts(spark, sf):
     def made(keys: pd.Series) -> pd.Series:
         return keys.map(lambda k: S.encode_wav(np.full(100 * (40 + k % 5), 0.5), 100))
 
-    x = read(spark, sf, "supplier").select(col("s_suppkey").alias("podcast_id"), made("s_suppkey").alias("content"))
+    x = spread(read(spark, sf, "supplier").select("s_suppkey"), "s_suppkey").select(col("s_suppkey").alias("podcast_id"), made("s_suppkey").alias("content"))
     t = x.select("podcast_id", lit(0).alias("turn_idx"), lit(0.0).alias("start"), (lit(40.0) + col("podcast_id") % 5).alias("end"), lit("A").alias("speaker"))
     return S.split_turns(t, x).select("podcast_id", "seg_idx", "start", "end")
 
@@ -978,8 +979,8 @@ def _fetch(url: str) -> bytes:
 @query("SELECT count(*) AS downloads, count(*) FILTER (p_partkey % 5 > 1) AS succeeded, count(*) FILTER (p_partkey % 5 <= 1) AS failed, count(*) FILTER (p_partkey % 5 = 0) AS terminal, sum(CASE WHEN p_partkey % 5 = 1 THEN 3 ELSE 1 END)::BIGINT AS tries FROM part")
 def download_figures(spark, sf):
     """A batch of downloads: tried again unless that can't help."""
-    got = L.downloaded(read(spark, sf, "part").select(col("p_partkey").cast("string").alias("id"), F.concat(lit("https://x.example/"), "p_partkey").alias("url")), _fetch)
-    return L.download_summary(got).crossJoin(got.agg(F.sum("tries").alias("tries")))
+    got = L.downloaded(spread(read(spark, sf, "part").select("p_partkey"), "p_partkey").select(col("p_partkey").cast("string").alias("id"), F.concat(lit("https://x.example/"), "p_partkey").alias("url")), _fetch, keep=False)
+    return L.download_summary(got)
 
 
 @query("SELECT label AS podcast_id, count(*) FILTER (vec_id % 7 <> 0 AND vec_id % 11 <> 0) AS matched, count(*) FILTER (vec_id % 7 = 0) AS created FROM embeddings GROUP BY 1")
