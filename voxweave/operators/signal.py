@@ -12,6 +12,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .spread import in_batches
+
 
 def window_energy(samples: DataFrame, width: int) -> DataFrame:
     """(podcast_id, window, energy, start, end) of samples (podcast_id, idx, t, x): mean square of each ``width`` consecutive samples."""
@@ -215,52 +217,74 @@ def diarized(files: DataFrame, diarizer: Diarizer | None = None, decoders: Decod
         except Exception as e:  # noqa: BLE001 - a row, not a task's failure
             return [(0.0, 0.0, "SPEAKER_00")], "none", str(e) or type(e).__name__
 
+    def rows(pdf: pd.DataFrame) -> Iterator[tuple]:
+        for name, content in zip(pdf["podcast_id"], pdf["content"]):
+            turns, method, error = one(content)
+            for k, t in enumerate(turns):
+                yield (name, k, *t, method, error)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for name, content in zip(pdf["podcast_id"], pdf["content"]):
-                turns, method, error = one(content)
-                rows += [(name, k, *t, method, error) for k, t in enumerate(turns)]
-            yield pd.DataFrame(rows, columns=["podcast_id", "turn_idx", "start", "end", "speaker", "method", "error"])
+            yield from in_batches(rows(pdf), ["podcast_id", "turn_idx", "start", "end", "speaker", "method", "error"])
 
     return files.select("podcast_id", "content").mapInPandas(run, "podcast_id string, turn_idx long, start double, end double, speaker string, method string, error string")
 
 
+def _with_sound(parts: DataFrame, files: DataFrame) -> DataFrame:
+    """(podcast_id, parts, there, content): all parts (podcast_id, part) of each recording in order, with its file in files (podcast_id, content), of several one. A row is a recording, so that many go through Python at once; both sides are shuffled once, and neither is sent to all tasks."""
+    kind = dict(parts.dtypes)["part"]
+    sound = files.select("podcast_id", F.lit(None).cast(kind).alias("part"), F.struct("content").alias("file"))
+    both = parts.select("podcast_id", "part", F.lit(None).cast("struct<content:binary>").alias("file")).unionByName(sound)
+    gathered = both.groupBy("podcast_id").agg(F.array_sort(F.collect_list("part")).alias("parts"), F.first("file", ignorenulls=True).alias("file")).where(F.size("parts") > 0)
+    return gathered.select("podcast_id", "parts", F.col("file").isNotNull().alias("there"), F.col("file.content").alias("content"))
+
+
+def _sound(there: bool, content: bytes | None, decoders: Decoders | None) -> tuple[np.ndarray, int, str | None]:
+    """(samples, rate, error) of a recording's file, if it is there."""
+    try:
+        if not there:
+            raise ValueError("no file")
+        return *decode(content, decoders), None
+    except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+        return np.zeros(0), 1, str(e) or type(e).__name__
+
+
 def split_turns(turns: DataFrame, files: DataFrame, max_length: float = 15, min_length: float = 10, decoders: Decoders | None = None) -> DataFrame:
     """Segments (podcast_id, seg_idx, start, end, speaker, error) of turns (podcast_id, turn_idx, start, end, speaker), long ones cut at quiet places of the sound in files (podcast_id, content), which is decoded once a recording. Turns are clamped to the sound; short ones go. Without readable sound long turns are cut at max_length, and error says why."""
     kind = dict(turns.dtypes)["podcast_id"]
 
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows, x, rate, error = [], np.zeros(0), 1, None
-        try:
-            if right.empty:
-                raise ValueError("no file")
-            x, rate = decode(right["content"].iloc[0], decoders)
-        except Exception as e:  # noqa: BLE001 - a row, not a task's failure
-            error = str(e) or type(e).__name__
-        for t in left.sort_values(["start", "turn_idx"], kind="stable").itertuples():
-            start, end = max(0.0, float(t.start)), float(t.end) if error else min(float(t.end), len(x) / rate)
+    def one(name: object, parts: list, there: bool, content: bytes | None) -> Iterator[tuple]:
+        x, rate, error = _sound(there, content, decoders)
+        k = 0
+        for t in parts:
+            start, end = max(0.0, float(t["start"])), float(t["end"]) if error else min(float(t["end"]), len(x) / rate)
             if end - start >= min_length:
-                rows += [(a, z, t.speaker) for a, z in split_long(x, rate, start, end, max_length, min_length)]
-        return pd.DataFrame([(key[0], k, a, z, s, error) for k, (a, z, s) in enumerate(rows)], columns=["podcast_id", "seg_idx", "start", "end", "speaker", "error"])
+                for a, z in split_long(x, rate, start, end, max_length, min_length):
+                    yield name, k, a, z, t["speaker"], error
+                    k += 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = (r for own in zip(pdf["podcast_id"], pdf["parts"], pdf["there"], pdf["content"]) for r in one(*own))
+            yield from in_batches(rows, ["podcast_id", "seg_idx", "start", "end", "speaker", "error"])
 
-    grouped = turns.select("podcast_id", "turn_idx", "start", "end", "speaker").groupBy("podcast_id")
-    return grouped.cogroup(files.select("podcast_id", "content").groupBy("podcast_id")).applyInPandas(run, f"podcast_id {kind}, seg_idx long, start double, end double, speaker string, error string")
+    both = _with_sound(turns.select("podcast_id", F.struct("start", "turn_idx", "end", "speaker").alias("part")), files)
+    return both.mapInPandas(run, f"podcast_id {kind}, seg_idx long, start double, end double, speaker string, error string")
 
 
 def converted_files(files: DataFrame, rate: int | None = None, decoders: Decoders | None = None) -> DataFrame:
     """(path, content, error): files of any format that can be decoded as WAV, at ``rate`` or their own."""
 
+    def one(path: str, content: bytes | None) -> tuple:
+        try:
+            x, own = decode(content, decoders)
+            return path, encode_wav(resample(x, own, rate or own), rate or own), None
+        except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+            return path, None, str(e) or type(e).__name__
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    x, own = decode(content, decoders)
-                    rows.append((path, encode_wav(resample(x, own, rate or own), rate or own), None))
-                except Exception as e:  # noqa: BLE001 - a row, not a task's failure
-                    rows.append((path, None, str(e) or type(e).__name__))
-            yield pd.DataFrame(rows, columns=["path", "content", "error"])
+            yield from in_batches(map(one, pdf["path"], pdf["content"]), ["path", "content", "error"])
 
     return files.select("path", "content").mapInPandas(run, "path string, content binary, error string")
 
@@ -268,17 +292,17 @@ def converted_files(files: DataFrame, rate: int | None = None, decoders: Decoder
 def normalised_files(files: DataFrame, target: int = 22050, lufs: float = -23.0, peak: bool = True, decoders: Decoders | None = None) -> DataFrame:
     """(path, content, sample_rate, peak, rms, loudness, duration, error) of files (path, content); a file that can't be read gives an error and no content."""
 
+    def one(path: str, content: bytes | None) -> tuple:
+        try:
+            x = normalise(*decode(content, decoders), target, lufs, peak)
+            r = level(x)
+            return path, encode_wav(x, target), target, float(np.abs(x).max(initial=0)), r, 20 * math.log10(r) - 0.691 if r > 0 else float("-inf"), len(x) / target, None
+        except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+            return path, None, None, None, None, None, None, str(e) or type(e).__name__
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    x = normalise(*decode(content, decoders), target, lufs, peak)
-                    r = level(x)
-                    rows.append((path, encode_wav(x, target), target, float(np.abs(x).max(initial=0)), r, 20 * math.log10(r) - 0.691 if r > 0 else float("-inf"), len(x) / target, None))
-                except Exception as e:  # noqa: BLE001 - a row, not a task's failure
-                    rows.append((path, None, None, None, None, None, None, str(e) or type(e).__name__))
-            yield pd.DataFrame(rows, columns=["path", "content", "sample_rate", "peak", "rms", "loudness", "duration", "error"])
+            yield from in_batches(map(one, pdf["path"], pdf["content"]), ["path", "content", "sample_rate", "peak", "rms", "loudness", "duration", "error"])
 
     return files.select("path", "content").mapInPandas(run, "path string, content binary, sample_rate int, peak double, rms double, loudness double, duration double, error string")
 
@@ -286,15 +310,16 @@ def normalised_files(files: DataFrame, target: int = 22050, lufs: float = -23.0,
 def segmented_files(files: DataFrame, max_length: float = 15, min_length: float = 10, threshold: float = -40.0, decoders: Decoders | None = None) -> DataFrame:
     """(podcast_id, chunk_idx, duration, error) between silences, for ``intervals.filled``; a file that can't be read is one row with an error alone."""
 
+    def one(p: str, c: bytes | None) -> list[tuple]:
+        try:
+            return [(p, k, z - a, None) for k, (a, z) in enumerate(quiet_parts(*decode(c, decoders), threshold))]
+        except Exception as e:  # noqa: BLE001 - a row, not a task's failure
+            return [(p, None, None, str(e) or type(e).__name__)]
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for p, c in zip(pdf["path"], pdf["content"]):
-                try:
-                    rows += [(p, k, z - a, None) for k, (a, z) in enumerate(quiet_parts(*decode(c, decoders), threshold))]
-                except Exception as e:  # noqa: BLE001 - a row, not a task's failure
-                    rows.append((p, None, None, str(e) or type(e).__name__))
-            yield pd.DataFrame(rows, columns=["podcast_id", "chunk_idx", "duration", "error"]).astype({"chunk_idx": "Int32"})
+            rows = (r for own in map(one, pdf["path"], pdf["content"]) for r in own)
+            yield from in_batches(rows, ["podcast_id", "chunk_idx", "duration", "error"], {"chunk_idx": "Int32"})
 
     return files.select("path", "content").mapInPandas(run, "podcast_id string, chunk_idx int, duration double, error string")
 
@@ -302,18 +327,18 @@ def segmented_files(files: DataFrame, max_length: float = 15, min_length: float
 def cut_files(segments: DataFrame, files: DataFrame, decoders: Decoders | None = None) -> DataFrame:
     """(podcast_id, seg_idx, path, content, error): the sound of each segment as WAV; files (podcast_id, content) are decoded once a recording. Segments of a file that isn't there or can't be read have an error and no content."""
 
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        x, rate, error = np.zeros(0), 1, None
-        try:
-            if right.empty:
-                raise ValueError("no file")
-            x, rate = decode(right["content"].iloc[0], decoders)
-        except Exception as e:  # noqa: BLE001 - a row, not a task's failure
-            error = str(e) or type(e).__name__
-        rows = [(key[0], s, f"{key[0]}/seg_{s:04d}.wav", None if error else encode_wav(x[int(a * rate) : int(z * rate)], rate), error) for s, a, z in zip(left["seg_idx"], left["start"], left["end"])]
-        return pd.DataFrame(rows, columns=["podcast_id", "seg_idx", "path", "content", "error"])
+    def one(name: str, parts: list, there: bool, content: bytes | None) -> Iterator[tuple]:
+        x, rate, error = _sound(there, content, decoders)
+        for s in parts:
+            yield name, s["seg_idx"], f"{name}/seg_{s['seg_idx']:04d}.wav", None if error else encode_wav(x[int(s["start"] * rate) : int(s["end"] * rate)], rate), error
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = (r for own in zip(pdf["podcast_id"], pdf["parts"], pdf["there"], pdf["content"]) for r in one(*own))
+            yield from in_batches(rows, ["podcast_id", "seg_idx", "path", "content", "error"])
 
-    return segments.select("podcast_id", "seg_idx", "start", "end").groupBy("podcast_id").cogroup(files.select("podcast_id", "content").groupBy("podcast_id")).applyInPandas(run, "podcast_id string, seg_idx long, path string, content binary, error string")
+    both = _with_sound(segments.select("podcast_id", F.struct("seg_idx", "start", "end").alias("part")), files)
+    return both.mapInPandas(run, "podcast_id string, seg_idx long, path string, content binary, error string")
 
 
 Transcriber = Callable[[bytes], dict]
@@ -322,15 +347,15 @@ Transcriber = Callable[[bytes], dict]
 def transcribed(files: DataFrame, transcriber: Transcriber, **options: object) -> DataFrame:
     """(path, text, language, error) of each file by a given model; an error leaves the text blank."""
 
+    def one(path: str, content: bytes | None) -> tuple:
+        try:
+            got = transcriber(content, **options)
+            return path, got.get("text", ""), got.get("language", "unknown"), None
+        except Exception as e:  # noqa: BLE001 - a model's failure is a row, not a task's
+            return path, "", "unknown", str(e) or type(e).__name__
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    got = transcriber(content, **options)
-                    rows.append((path, got.get("text", ""), got.get("language", "unknown"), None))
-                except Exception as e:  # noqa: BLE001 - a model's failure is a row, not a task's
-                    rows.append((path, "", "unknown", str(e) or type(e).__name__))
-            yield pd.DataFrame(rows, columns=["path", "text", "language", "error"])
+            yield from in_batches(map(one, pdf["path"], pdf["content"]), ["path", "text", "language", "error"])
 
     return files.select("path", "content").mapInPandas(run, "path string, text string, language string, error string")
