@@ -8,7 +8,7 @@ import json
 import shutil
 import tempfile
 import wave
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +19,7 @@ from ..operators import cache as C
 from ..operators import catalog as L
 from ..operators import glossary as G
 from ..operators import signal as S
+from ..operators.spread import in_batches
 
 AUDIO = ("wav", "mp3", "flac", "m4a", "ogg")
 REGISTRY = "video_id string, status string, title string, stage string, audio_path string, error string, segments long, category string, timestamp timestamp, retried boolean"
@@ -54,19 +55,25 @@ def recordings(spark: SparkSession, path: str) -> DataFrame:
 def probed(files: DataFrame, decoders: S.Decoders | None = None) -> DataFrame:
     """(path, length, format, readable, seconds, corrupt, reason): what can be told of each file by decoding it. A known format without a decoder is neither readable nor corrupt."""
 
+    return _probes(files, decoders).drop("content")
+
+
+def _probes(files: DataFrame, decoders: S.Decoders | None = None) -> DataFrame:
+    """``probed`` with the content."""
+
+    def one(path: str, content: bytes | None) -> tuple:
+        size, kind = 0 if content is None else len(content), S.audio_format(content)
+        try:
+            x, rate = S.decode(content, decoders)
+            return path, size, kind, True, len(x) / rate, False, None, content
+        except Exception as e:  # noqa: BLE001 - any failure to decode is what is asked for
+            return path, size, kind, False, None, not isinstance(e, S.UnsupportedError), str(e) or type(e).__name__, content
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                size, kind = 0 if content is None else len(content), S.audio_format(content)
-                try:
-                    x, rate = S.decode(content, decoders)
-                    rows.append((path, size, kind, True, len(x) / rate, False, None))
-                except Exception as e:  # noqa: BLE001 - any failure to decode is what is asked for
-                    rows.append((path, size, kind, False, None, not isinstance(e, S.UnsupportedError), str(e) or type(e).__name__))
-            yield pd.DataFrame(rows, columns=["path", "length", "format", "readable", "seconds", "corrupt", "reason"])
+            yield from in_batches(map(one, pdf["path"], pdf["content"]), ["path", "length", "format", "readable", "seconds", "corrupt", "reason", "content"])
 
-    return files.select("path", "content").mapInPandas(run, "path string, length long, format string, readable boolean, seconds double, corrupt boolean, reason string")
+    return files.select("path", "content").mapInPandas(run, "path string, length long, format string, readable boolean, seconds double, corrupt boolean, reason string, content binary")
 
 
 def salvaged(content: bytes, decoders: S.Decoders | None = None) -> S.Sound:
@@ -98,29 +105,46 @@ def salvaged(content: bytes, decoders: S.Decoders | None = None) -> S.Sound:
 def repaired(files: DataFrame, rate: int = 16_000, least: int = 10_000, decoders: S.Decoders | None = None) -> DataFrame:
     """(path, content, ok): files decoded as far as they go and written anew, mono, at ``rate``; ok if more than ``least`` bytes result that can be read again."""
 
+    one = _repairer(rate, least, decoders)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = []
-            for path, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    x, own = salvaged(content, decoders)
-                    new = S.encode_wav(S.resample(x, own, rate), rate)
-                    rows.append((path, new, len(new) > least and len(S.decode_wav(new)[0]) > 0))
-                except Exception:  # noqa: BLE001 - what can't be decoded can't be repaired
-                    rows.append((path, None, False))
-            yield pd.DataFrame(rows, columns=["path", "content", "ok"])
+            yield from in_batches(((path, *one(content)) for path, content in zip(pdf["path"], pdf["content"])), ["path", "content", "ok"])
 
     return files.select("path", "content").mapInPandas(run, "path string, content binary, ok boolean")
 
 
+def _repairer(rate: int = 16_000, least: int = 10_000, decoders: S.Decoders | None = None) -> Callable[[bytes | None], tuple[bytes | None, bool]]:
+    """``repaired`` for one file: (content, ok)."""
+
+    def one(content: bytes | None) -> tuple[bytes | None, bool]:
+        try:
+            x, own = salvaged(content, decoders)
+            new = S.encode_wav(S.resample(x, own, rate), rate)
+            return new, len(new) > least and len(S.decode_wav(new)[0]) > 0
+        except Exception:  # noqa: BLE001 - what can't be decoded can't be repaired
+            return None, False
+
+    return one
+
+
 def validated_files(files: DataFrame, decoders: S.Decoders | None = None) -> DataFrame:
-    """The report of a folder: (path, valid, message, seconds, repaired, content): every file checked; of those that fail, what a repair gives, content null where it gives nothing. Valid files have content null, too: they stay as they are."""
-    probe = probed(files, decoders)
+    """The report of a folder: (path, valid, message, seconds, repaired, content): every file checked; of those that fail, what a repair gives, content null where it gives nothing. Valid files have content null, too: they stay as they are. A file is a row from probe to repair: contents are neither shuffled nor joined."""
     check = L.audio_check(F.col("length"), F.col("readable"), F.col("seconds"), F.col("corrupt"))
-    checked = probe.select("path", check.alias("c"), "seconds").select("path", "c.valid", "c.message", "seconds")
-    bad = files.join(checked.where("not valid").select("path"), "path", "left_semi")
-    fixed = repaired(bad, decoders=decoders).where("ok").select("path", F.col("content"))
-    return checked.join(fixed, "path", "left").withColumn("repaired", F.when(~F.col("valid"), F.col("content").isNotNull())).select("path", "valid", "message", "seconds", "repaired", "content")
+    checked = _probes(files, decoders).select("path", check.alias("c"), "seconds", "content")
+    bad = checked.select("path", "c.valid", "c.message", "seconds", F.when(~F.col("c.valid"), F.col("content")).alias("content"))
+    repair = _repairer(decoders=decoders)
+
+    def one(path: str, valid: bool, message: str, seconds: float, content: bytes | None) -> tuple:
+        new, ok = (None, None) if valid else repair(content)
+        return path, valid, message, seconds, ok, new if ok else None
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["path", "valid", "message", "seconds"]
+        for pdf in batches:
+            yield from in_batches(map(one, *(pdf[c] for c in [*columns, "content"])), [*columns, "repaired", "content"])
+
+    return bad.mapInPandas(run, "path string, valid boolean, message string, seconds double, repaired boolean, content binary")
 
 
 def _path(spark: SparkSession, path: str):
