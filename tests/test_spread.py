@@ -68,3 +68,14 @@ def test_validation_joins_nothing(spark):
     assert not any(x in plan(out) for x in ("Join", "Exchange"))
     got = sorted((r["path"], r["valid"], r["message"], r["repaired"], r["content"] and len(r["content"])) for r in out.collect())
     assert got == [("a", True, "ok", None, None), ("b", False, "too small", True, 19244), ("b", False, "too small", True, 19244), ("c", False, "too small", False, None), ("d", False, "too small", False, None)]
+
+
+def test_titles_match_row_by_row(spark, monkeypatch):
+    """Each pair of rows once, as a join of both tables gives it, however many rows have a text; and over several tasks."""
+    titles = [(1, "red bolt"), (2, "red bolt"), (2, "red bolt"), (3, "the red bolt and more of it"), (4, "blue"), (5, ""), (6, None)]
+    files = [("x", "the red bolt 5"), ("x", "the red bolt 5"), ("y", "the red bolt and more of another"), ("z", "b"), ("w", ""), ("v", None)]
+    a, b = spark.createDataFrame(titles, "id long, title string"), spark.createDataFrame(files, "path string, name string")
+    want = sorted((i, p) for i, t in titles for p, n in files if t and n and (t[:20] in n or n[:20] in t))
+    assert sorted(tuple(r) for r in L.matching_titles(a, b).collect()) == want
+    monkeypatch.setattr(L, "PAIRS", 2)
+    assert sorted(tuple(r) for r in L.matching_titles(a, b).collect()) == want
