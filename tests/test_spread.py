@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from voxweave import queries as Q
 from voxweave.operators import catalog as L
@@ -79,3 +80,49 @@ def test_titles_match_row_by_row(spark, monkeypatch):
     assert sorted(tuple(r) for r in L.matching_titles(a, b).collect()) == want
     monkeypatch.setattr(L, "PAIRS", 2)
     assert sorted(tuple(r) for r in L.matching_titles(a, b).collect()) == want
+
+
+@pytest.mark.parametrize("small", [0, 1 << 14])
+def test_the_fold_is_a_stream(spark, monkeypatch, small):
+    """In batches and blocks as one meeting after the other: close scores, equal vectors, embeddings that aren't valid or of another length, several banks."""
+    from voxweave.operators import speakers as P
+
+    monkeypatch.setattr(P.Bank, "SMALL", small)
+    rng = np.random.default_rng(3)
+    centres = rng.standard_normal((40, 8))
+    es = [(centres[rng.integers(40)] + 0.3 * rng.standard_normal(8)).tolist() for _ in range(600)]
+    es[7], es[90], es[200], es[201], es[300] = None, [0.0] * 8, es[100], es[100], [float("nan")] * 8
+    rows = [(k % 2, k, f"s{k}", e, k) for k, e in enumerate(es)]
+    df = spark.createDataFrame(rows[::-1], "bank_id int, podcast_id long, speaker string, embedding array<double>, seq long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+        out = P.clustered(df, threshold=0.8)
+        assert "FlatMapGroups" not in plan(out)
+        got = {r["podcast_id"]: tuple(r)[2:] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    banks = P.Bank(0.8), P.Bank(0.8)
+    want = {k: banks[b].meet(None if e is None else np.asarray(e)) for b, k, _, e, _ in rows}
+    assert {k: (g[0], g[2]) for k, g in got.items()} == {k: (w[0], w[2]) for k, w in want.items()}
+    assert max(abs(got[k][1] - want[k][1]) for k in want) < 1e-12
+    one = P.Bank(0.8)
+    assert [m[0] for m in one.meet_all([None if e is None else np.asarray(e) for e in es])] == [m[0] for m in (lambda b: [b.meet(None if e is None else np.asarray(e)) for e in es])(P.Bank(0.8))]
+    P_bank, alone = P.Bank(0.8), P.Bank(0.8)
+    mixed = [np.asarray(e) for e in es[:5]] + [np.ones(3), np.ones(8)] + [np.asarray(e) for e in es[10:30]]
+    assert [m[0] for m in P_bank.meet_all(mixed)] == [alone.meet(e)[0] for e in mixed]
+
+
+def test_blocks_share_one_product(monkeypatch):
+    from voxweave.operators import speakers as P
+
+    calls = []
+    own = P.Bank._multiply
+    monkeypatch.setattr(P.Bank, "_multiply", lambda self, near, scores: calls.append(scores.shape) or own(self, near, scores))
+    monkeypatch.setattr(P.Bank, "SMALL", 0)
+    b = P.Bank(2.0)
+    b.meet_all(list(np.random.default_rng(0).standard_normal((1025, 16))))
+    assert len(calls) == 4 and len(b.ids) == 1025
+    monkeypatch.setattr(P.Bank, "SCORES", 4000)
+    b.meet_all(list(np.random.default_rng(1).standard_normal((9, 16))))
+    assert all(a * n <= 4000 for a, n in calls[4:])

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -122,8 +124,14 @@ class Bank:
     """A speaker bank: embeddings of length 1 with the times each was met. ``match``, ``add`` and ``update`` are the steps of the online fold.
 
     Embeddings are rows of one matrix that grows by doubling, and the highest number of an id is kept, so a meeting costs one product of the matrix.
+    ``meet_all`` shares that product between the meetings of a block: it is made in single precision, and what comes within its error of the best is scored exactly.
     """
 
+    #: Meetings of a block at most, scores that are held for one, and threads that share the product: the fold is one task, beside which an executor's other cores have nothing to do.
+    BLOCK, SCORES, THREADS = 256, 1 << 24, 4
+    #: Values of a bank up to which each meeting has a product of its own.
+    SMALL = 1 << 14
+
     def __init__(self, threshold: float = THRESHOLD, made: Callable[[int], str] | None = None):
         self.threshold, self.made = threshold, made
         self.ids: list[str] = []
@@ -131,6 +139,8 @@ class Bank:
         self.at: dict[str, int] = {}
         self.highest, self.mixed = 0, False
         self._rows = np.zeros((0, 0))
+        self._near = np.zeros((0, 0), np.float32)  # the same in single precision
+        self._scores = np.zeros(0, np.float32)
         self._odd: list[np.ndarray] = []  # all vectors, where their lengths differ
 
     @property
@@ -148,7 +158,8 @@ class Bank:
         else:
             if n == len(self._rows):
                 self._rows = np.concatenate([self._rows.reshape(n, len(v)), np.zeros((max(8, n), len(v)))])
-            self._rows[n] = v
+                self._near = np.concatenate([self._near.reshape(n, len(v)), np.zeros((max(8, n), len(v)), np.float32)])
+            self._rows[n] = self._near[n] = v
         self.ids.append(name)
         self.times.append(times)
         self.at.setdefault(name, n)
@@ -188,11 +199,32 @@ class Bank:
             if self.mixed:
                 self._odd[at] = new
             else:
-                self._rows[at] = new
+                self._rows[at] = self._near[at] = new
             self.times[at] += 1
 
+    def _update(self, at: int, u: np.ndarray) -> None:
+        t = self.times[at]
+        new = (self._rows[at] * t + u) / (t + 1)
+        norm = math.sqrt(new.dot(new))
+        self._rows[at] = self._near[at] = new / norm if norm > 0 else new
+        self.times[at] += 1
+
     def meet(self, e: np.ndarray | None) -> tuple[str | None, float, bool]:
         """(global id, score, whether it is new)."""
+        n = len(self.ids)
+        if n and e is not None and not self.mixed and len(e) == self._rows.shape[1]:
+            e = np.asarray(e, np.float64)
+            norm = math.sqrt(e.dot(e))
+            if 0 < norm < math.inf:  # what else is valid goes the longer way
+                u = e / norm
+                scores = self._rows[:n] @ u
+                at = int(scores.argmax())
+                score = float(scores[at])
+                if score >= self.threshold:
+                    name = self.ids[at]
+                    self._update(self.at[name], u)
+                    return name, score, False
+                return self.add(e), score, True
         name, score = self.match(e)
         if name is not None:
             self.update(name, e)
@@ -200,27 +232,94 @@ class Bank:
         new = self.add(e)
         return new, score, new is not None
 
+    def meet_all(self, es: list[np.ndarray | None]) -> list[tuple[str | None, float, bool]]:
+        """``meet`` of each, in order, in blocks of valid embeddings of the bank's length."""
+        out: list[tuple[str | None, float, bool]] = []
+        while (k := len(out)) < len(es):
+            n, block = len(self.ids), []
+            if n and not self.mixed and self._rows.shape[1] * n > self.SMALL:
+                most = max(1, min(self.BLOCK, self.SCORES // n))
+                for e in es[k : k + most]:
+                    if not self.valid(e) or len(e) != self._rows.shape[1]:
+                        break
+                    block.append(self.unit(np.asarray(e, np.float64)))
+            out += self._meet_block(np.stack(block), es[k : k + len(block)]) if len(block) > 1 else [self.meet(es[k])]
+        return out
+
+    def _multiply(self, near: np.ndarray, scores: np.ndarray) -> None:
+        n = scores.shape[1]
+        part = lambda a, z: np.matmul(near, self._near[a:z].T, out=scores[:, a:z])
+        if scores.size < 1 << 20 or self.THREADS < 2:
+            part(0, n)
+            return
+        step = -(-n // self.THREADS)
+        with ThreadPoolExecutor(self.THREADS) as pool:
+            list(pool.map(part, range(0, n, step), [min(n, a + step) for a in range(0, n, step)]))
+
+    def _meet_block(self, units: np.ndarray, es: list[np.ndarray]) -> list[tuple[str | None, float, bool]]:
+        n, (count, width) = len(self.ids), units.shape
+        near = units.astype(np.float32)
+        if len(self._scores) < count * n:
+            self._scores = np.empty(min(max(2 * count * n, 1 << 20), max(self.SCORES, count * n)), np.float32)
+        scores = self._scores[: count * n].reshape(count, n)
+        self._multiply(near, scores)
+        fresh = np.empty((count, count), np.float32)  # of speakers that are new in this block
+        error = 2 * (width + 4) * float(np.finfo(np.float32).eps)
+        out: list[tuple[str | None, float, bool]] = []
+        for j in range(count):
+            known = len(self.ids)
+            row, new = scores[j], fresh[j, : known - n]
+            least = max(float(row.max()), float(new.max(initial=-2.0))) - error
+            may = np.concatenate([np.flatnonzero(row >= least), n + np.flatnonzero(new >= least)])
+            exact = self._rows[may] @ units[j]
+            best = int(np.argmax(exact))
+            score = float(exact[best])
+            if score >= self.threshold:
+                name = self.ids[may[best]]
+                at, result = self.at[name], (name, score, False)
+                self._update(at, units[j])
+            else:
+                made = self.add(es[j])
+                at, result = known, (made, score, made is not None)
+            if at < n:
+                scores[j + 1 :, at] = near[j + 1 :] @ self._near[at]
+            else:
+                fresh[j + 1 :, at - n] = near[j + 1 :] @ self._near[at]
+            out.append(result)
+        return out
+
 
 def clustered(speakers: DataFrame, bank: DataFrame | None = None, threshold: float = THRESHOLD, made: Callable[[int], str] | None = None) -> DataFrame:
     """(podcast_id, speaker, global_id, score, created): local speakers (podcast_id, speaker, embedding, seq) meet the bank in order of seq.
 
-    Each meeting changes the bank, so the order is the semantics and the fold is one task; embeddings are made before it, in parallel, and a row is one
-    speaker of one recording. Rows of several banks can be folded side by side by a column bank_id. A given bank is state of that fold, so it is read by the driver; ``sources.bank`` keeps it as a table.
+    Each meeting changes the bank, so the order is the semantics and the fold of a bank is one task, which holds the bank and a batch of rows: rows are sorted before it and
+    go through it as a stream. Embeddings are made before it, in parallel, and a row is one speaker of one recording. Rows of several banks can be folded side by side by a column
+    bank_id. A given bank is state of that fold, so it is read by the driver; ``sources.bank`` keeps it as a table. Rows of equal seq go by podcast_id and speaker.
     """
     rows = speakers if "bank_id" in speakers.columns else speakers.withColumn("bank_id", F.lit(0))
     old = [] if bank is None else [(r["speaker_id"], list(r["embedding"]), r["occurrences"]) for r in bank.orderBy("speaker_id").collect()]
 
-    def fold(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    def begun() -> Bank:
         b = Bank(threshold, made)
         for name, e, n in old:
             b.load(name, np.asarray(e, np.float64), n)
-        met = [b.meet(None if e is None else np.asarray(e, np.float64)) for e in pdf.sort_values("seq", kind="stable")["embedding"]]
-        out = pdf.sort_values("seq", kind="stable")[["podcast_id", "speaker"]].copy()
-        out["global_id"], out["score"], out["created"] = [m[0] for m in met], [m[1] for m in met], [m[2] for m in met]
-        return out
+        return b
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        b, key = None, None
+        for pdf in batches:
+            keys = [None if k != k else k for k in pdf["bank_id"]]
+            starts = [k for k in range(len(keys)) if not k or keys[k] != keys[k - 1]]
+            for at, end in zip(starts, [*starts[1:], len(keys)]):
+                if b is None or keys[at] != key:
+                    b, key = begun(), keys[at]
+                own = pdf.iloc[at:end]
+                met = b.meet_all([None if e is None else np.asarray(e, np.float64) for e in own["embedding"]])
+                yield pd.DataFrame({"podcast_id": own["podcast_id"].to_numpy(), "speaker": own["speaker"].to_numpy(), "global_id": [m[0] for m in met], "score": [m[1] for m in met], "created": [m[2] for m in met]})
 
     kind = dict(speakers.dtypes)["podcast_id"]
-    return rows.select("bank_id", "podcast_id", "speaker", "embedding", "seq").groupBy("bank_id").applyInPandas(fold, f"podcast_id {kind}, speaker string, global_id string, score double, created boolean")
+    ordered = rows.select("bank_id", "podcast_id", "speaker", "embedding", "seq").repartition("bank_id").sortWithinPartitions("bank_id", F.asc_nulls_last("seq"), "podcast_id", "speaker")
+    return ordered.mapInPandas(fold, f"podcast_id {kind}, speaker string, global_id string, score double, created boolean")
 
 
 def bank_counts(met: DataFrame) -> DataFrame:

@@ -38,7 +38,7 @@ def clustered_stream(stream: DataFrame, threshold: float = THRESHOLD) -> DataFra
             for name, v, n in zip(ids, np.asarray(vectors).reshape(len(ids), -1) if len(ids) else [], times):
                 bank.load(name, v, n)
         rows = pd.concat(list(pdfs)).sort_values("seq", kind="stable")
-        met = [bank.meet(None if e is None else np.asarray(e, np.float64)) for e in rows["embedding"]]
+        met = bank.meet_all([None if e is None else np.asarray(e, np.float64) for e in rows["embedding"]])
         state.update((bank.ids, [float(x) for v in bank.vectors for x in v], bank.times))
         yield pd.DataFrame({"podcast_id": rows["podcast_id"].astype(str).to_numpy(), "speaker": rows["speaker"].to_numpy(), "global_id": [m[0] for m in met], "score": [m[1] for m in met], "created": [m[2] for m in met]})
 
