@@ -126,3 +126,14 @@ def test_blocks_share_one_product(monkeypatch):
     monkeypatch.setattr(P.Bank, "SCORES", 4000)
     b.meet_all(list(np.random.default_rng(1).standard_normal((9, 16))))
     assert all(a * n <= 4000 for a, n in calls[4:])
+
+
+def test_folders_are_written_by_many_tasks(spark, tmp_path):
+    """However few bytes the recordings have; a folder is written by one."""
+    rows = spark.range(300).selectExpr("id % 100 AS podcast_id", "id AS seconds").coalesce(1)
+    for write in (R.write_metadata, R.write_metrics):
+        path = tmp_path / write.__name__
+        write(rows, str(path))
+        files = list(path.glob("podcast_id=*/part-*"))
+        assert len(files) == 100 and len({f.name.split("-")[1] for f in files}) > 4
+        assert spark.read.json(str(path)).groupBy("podcast_id").count().where("count = 3").count() == 100

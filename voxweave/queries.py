@@ -1139,8 +1139,8 @@ def metadata_tables(spark, sf):
     R.write_metadata(t, f"{base}/one")
     R.write_consolidated(t, f"{base}/all")
     R.write_metrics(t.groupBy("podcast_id").agg(F.sum("seconds").alias("seconds")), f"{base}/log")
-    n = lambda path, name: spark.read.json(f"{base}/{path}").groupBy("podcast_id").agg(F.count("*").alias(name))
-    log = spark.read.json(f"{base}/log").select(col("podcast_id").cast("long").alias("podcast_id"), "seconds")
+    n = lambda path, name: spark.read.schema("podcast_id long, turn_idx long").json(f"{base}/{path}").groupBy("podcast_id").agg(F.count("*").alias(name))
+    log = spark.read.schema("podcast_id long, seconds long").json(f"{base}/log").select(col("podcast_id").cast("long").alias("podcast_id"), "seconds")
     return n("one", "n").select(col("podcast_id").cast("long").alias("podcast_id"), "n").join(n("all", "consolidated"), "podcast_id").join(log, "podcast_id")
 
 

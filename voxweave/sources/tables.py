@@ -235,9 +235,14 @@ def cache_envelope(spark: SparkSession, path: str) -> dict:
     return json.loads(rows[0]["body"]) | {"updated_at": rows[0]["updated_at"]} if rows else {}
 
 
+def _by_recording(rows: DataFrame) -> DataFrame:
+    """rows by recording, over all cores: a folder costs its task more than the few rows in it, by whose bytes tasks would else be few."""
+    return rows.repartition(4 * rows.sparkSession.sparkContext.defaultParallelism, "podcast_id")
+
+
 def write_metadata(rows: DataFrame, path: str) -> None:
     """A folder of JSON lines for each recording."""
-    rows.write.mode("overwrite").partitionBy("podcast_id").json(path)
+    _by_recording(rows).write.mode("overwrite").partitionBy("podcast_id").json(path)
 
 
 def write_consolidated(rows: DataFrame, path: str) -> None:
@@ -247,7 +252,7 @@ def write_consolidated(rows: DataFrame, path: str) -> None:
 
 def write_metrics(metrics: DataFrame, path: str) -> None:
     """The log of runs: a JSON line of nested figures for each recording, in a folder of its own; other recordings' folders stay."""
-    metrics.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("podcast_id").json(path)
+    _by_recording(metrics).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("podcast_id").json(path)
 
 
 def write_glossary(rules: DataFrame, path: str) -> None:
