@@ -137,3 +137,11 @@ def test_folders_are_written_by_many_tasks(spark, tmp_path):
         files = list(path.glob("podcast_id=*/part-*"))
         assert len(files) == 100 and len({f.name.split("-")[1] for f in files}) > 4
         assert spark.read.json(str(path)).groupBy("podcast_id").count().where("count = 3").count() == 100
+
+
+def test_corrections_are_spread(spark, tmp_path):
+    """The names of parts, however few their bytes, are many tasks' work."""
+    spark.range(7000).selectExpr("id AS p_partkey", "concat('name ', id) AS p_name").coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    assert Q.model_correction(spark, str(tmp_path)).rdd.getNumPartitions() == 4
+    rows = Q.correction_modes(spark, str(tmp_path)).collect()
+    assert len(rows) == 7000 and all(r["batched"] == r["single"] == r["spread"] == f"NAME {r['id']}" for r in rows)

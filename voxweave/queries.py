@@ -690,9 +690,13 @@ def _shout(system: str, prompt: str) -> str:
     return json.dumps({"correcciones": [{"id": int(i), "texto_corregido": t.upper(), "cambios": ["upper"], "confianza": 0.9} for i, t in items]}).replace("}]", "},]")
 
 
+def _names(spark, sf) -> DataFrame:
+    return spread(read(spark, sf, "part").select(col("p_partkey").alias("id"), col("p_name").alias("text")), "id")
+
+
 @query("SELECT p_partkey AS id, upper(p_name) AS corrected, 0.9::DOUBLE AS confidence, NULL::VARCHAR AS error FROM part")
 def model_correction(spark, sf):
-    return K.corrected(read(spark, sf, "part").select(col("p_partkey").alias("id"), col("p_name").alias("text")), _shout).select("id", "corrected", "confidence", "error")
+    return K.corrected(_names(spark, sf), _shout).select("id", "corrected", "confidence", "error")
 
 
 @query("WITH c AS (SELECT DISTINCT md5(lower(p_name)) AS h FROM part WHERE p_partkey % 3 = 0) SELECT p_partkey AS id, CASE WHEN md5(lower(p_name)) IN (FROM c) THEN 'cached' ELSE upper(p_name) END AS final_text, md5(lower(p_name)) IN (FROM c) AS hit FROM part")
@@ -1078,9 +1082,9 @@ def json_repair(spark, sf):
 @query("SELECT p_partkey AS id, upper(p_name) AS batched, upper(p_name) AS single, upper(p_name) AS spread FROM part")
 def correction_modes(spark, sf):
     """In batches, one by one, and over other tasks: the same."""
-    p = read(spark, sf, "part").select(col("p_partkey").alias("id"), col("p_name").alias("text"))
+    p = _names(spark, sf)
     as_ = lambda df, name: df.select("id", col("corrected").alias(name))
-    return as_(K.corrected(p, _shout), "batched").join(as_(K.corrected(p, _shout, size=1), "single"), "id").join(as_(K.corrected(p.repartition(3), _shout), "spread"), "id")
+    return as_(K.corrected(p, _shout), "batched").join(as_(K.corrected(p, _shout, size=1), "single"), "id").join(as_(K.corrected(spread(p, each=3_000), _shout), "spread"), "id")
 
 
 @query("""WITH r AS (SELECT DISTINCT lower(p_name) AS error FROM part WHERE p_partkey % 3 = 0), f AS (SELECT p_size AS query, p_name AS term, 0 AS source FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_size, p_brand, 1 FROM part),
