@@ -57,3 +57,12 @@ def test_frames(spark):
     back = {(r["doc_id"], r["text"]) for r in bpe.decode(bpe.encode(odd(spark))).collect()}
     assert back == {(i, t) for i, t, _ in ODD}
     assert bpe.encode(odd(spark).limit(0)).count() == 0
+
+
+def test_ids_are_decoded_in_runs(spark, monkeypatch):
+    """Of few ids, a longer row by itself; empty and null rows anywhere."""
+    texts = ["", "ab " * 40, None, "x", "ñandú y más " * 30, "", None, "z" * 5, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    for limit in (1, 7, 1 << 17):
+        monkeypatch.setattr(bpe, "DECODE_IDS", limit)
+        assert {r["doc_id"]: r["text"] for r in bpe.decode(bpe.encode(df)).collect()} == dict(enumerate(texts))
